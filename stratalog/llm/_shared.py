@@ -1,0 +1,20 @@
+"""Files that all executors see."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """The folder the cluster names in spark.checkpoint.dir; one of this machine only where none is named, as in tests."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed now and kept in the shared folder: later plans read it, and lost executors cost nothing."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalog.llm.substring_dedup import remove_repeats
+from stratalog.llm import packing, substring_dedup, token_counts, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -12,8 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"))
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup}
-ORACLE_SQL: dict[str, str] = {}
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op4_best_fit_packing, op7_url_filters, op9_token_counts)}
+ORACLE_SQL: dict[str, str] = {"op7_url_filters": url_rules.ORACLE}

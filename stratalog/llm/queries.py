@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalog.llm import packing, substring_dedup, token_counts, url_rules
+from stratalog.llm import ngram_join, packing, substring_dedup, token_counts, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,5 +28,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op4_best_fit_packing, op7_url_filters, op9_token_counts)}
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op4_best_fit_packing, op7_url_filters, op9_token_counts, op10_ngram_jaccard_join)}
 ORACLE_SQL: dict[str, str] = {"op7_url_filters": url_rules.ORACLE}

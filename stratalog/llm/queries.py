@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalog.llm import ngram_join, packing, substring_dedup, token_counts, url_rules
+from stratalog.llm import decontamination, ngram_join, packing, substring_dedup, token_counts, toxicity, url_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +16,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -32,5 +40,5 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op4_best_fit_packing, op7_url_filters, op9_token_counts, op10_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_toxicity, op4_best_fit_packing, op6_benchmark_decontamination, op7_url_filters, op9_token_counts, op10_ngram_jaccard_join)}
 ORACLE_SQL: dict[str, str] = {"op7_url_filters": url_rules.ORACLE}

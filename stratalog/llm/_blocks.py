@@ -41,10 +41,10 @@ def layout(docs: DataFrame, text: str = "text") -> Layout:
     return Layout(blocks, shards, min(62, max(16, (16 * words).bit_length())))
 
 
-def dealt(docs: DataFrame, blocks: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns block, id, body (UTF-8), nulls kept, dealt by block."""
-    key = F.col(id_col).cast("long")
-    return docs.select(F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), key.alias("id"), F.col(text).cast("binary").alias("body")).repartition(max(1, blocks // 2), "block")
+def dealt(docs: DataFrame, blocks: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Columns block, id, body (UTF-8), nulls kept, dealt by block; carried columns come along as c0, c1 and so on."""
+    key = F.col("doc_id").cast("long")
+    return docs.select(F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), key.alias("id"), F.col("text").cast("binary").alias("body"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried))).repartition(max(1, blocks // 2), "block")
 
 
 def shard_edges(hashes: np.ndarray, shards: int) -> np.ndarray:

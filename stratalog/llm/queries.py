@@ -5,7 +5,7 @@ from __future__ import annotations
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalog.llm import decontamination, ngram_join, packing, substring_dedup, token_counts, toxicity, url_rules
+from stratalog.llm import decontamination, ngram_join, packing, sharding, substring_dedup, token_counts, toxicity, url_rules, vector_search, warc_fixity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +20,19 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc_fixity.audit(warc_fixity.records(pages), warc_fixity.damaged(pages))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -32,6 +41,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -40,5 +53,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_toxicity, op4_best_fit_packing, op6_benchmark_decontamination, op7_url_filters, op9_token_counts, op10_ngram_jaccard_join)}
-ORACLE_SQL: dict[str, str] = {"op7_url_filters": url_rules.ORACLE}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_toxicity, op3_sharding, op4_best_fit_packing, op5_warc_fixity,
+        op6_benchmark_decontamination, op7_url_filters, op8_exact_top_k, op9_token_counts, op10_ngram_jaccard_join,
+    )
+}
+ORACLE_SQL: dict[str, str] = {"op3_sharding": sharding.oracle(), "op5_warc_fixity": warc_fixity.ORACLE, "op7_url_filters": url_rules.ORACLE, "op8_exact_top_k": vector_search.ORACLE}

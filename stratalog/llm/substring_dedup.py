@@ -58,11 +58,11 @@ def _ordered(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
-def _repeat_table(docs: DataFrame, span: int, removed) -> DataFrame:
+def _repeat_table(docs: DataFrame, span: int, removed, carried: tuple[str, ...] = ()) -> DataFrame:
     """The three passes; removed(windows, mask of removed words) makes the rows of a block."""
     plan = layout(docs)
     blocks, shards, shift = plan.blocks, plan.shards, np.uint64(64 - plan.bits)
-    text = dealt(docs, blocks)
+    text = dealt(docs, blocks, carried)
 
     def sketch(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         cells = np.unique(_Windows(table, span).first >> shift)
@@ -144,25 +144,48 @@ def _repeat_table(docs: DataFrame, span: int, removed) -> DataFrame:
     return text.groupBy("block").cogroup(least.groupBy("block")).applyInArrow(cut, removed.schema)
 
 
-def _report(w: _Windows, gone: np.ndarray, table: pa.Table, with_text: bool) -> pa.Table:
-    sizes, out, kept_texts = [], [], []
+def _report(w: _Windows, gone: np.ndarray):
+    """(words, words removed, what is kept) of each text."""
     for words, a, b in zip(w.words, w.ends, w.ends[1:], strict=False):
         lost = gone[a:b]
         n = int(lost.sum())
-        kept = b" ".join([x for x, y in zip(words, lost.tolist(), strict=True) if not y] if n else words)
-        sizes.append((len(words), n))
-        out.append(hashlib.sha256(kept).hexdigest())
-        kept_texts.append(kept)
-    columns = {"doc_id": table.column("id"), "n_words": pa.array([x for x, _ in sizes], pa.int64()), "n_removed": pa.array([x for _, x in sizes], pa.int64()), "kept_sha256": pa.array(out, pa.string())}
-    return pa.table(columns | ({"kept_text": pa.array(kept_texts, pa.binary())} if with_text else {}))
+        yield len(words), n, b" ".join([x for x, y in zip(words, lost.tolist(), strict=True) if not y] if n else words)
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of each row of docs (doc_id, text), and kept_text if asked for."""
+def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of each row of docs (doc_id, text)."""
 
     def removed(w, gone, table):
-        return _report(w, gone, table, with_text)
+        n, lost, digests = [], [], []
+        for a, b, kept in _report(w, gone):
+            n.append(a)
+            lost.append(b)
+            digests.append(hashlib.sha256(kept).hexdigest())
+        return pa.table({"doc_id": table.column("id"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(lost, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
 
-    removed.schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text binary" * with_text
-    out = _repeat_table(docs, span, removed)
-    return out.withColumn("kept_text", F.col("kept_text").cast("string")) if with_text else out
+    removed.schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    return _repeat_table(docs, span, removed)
+
+
+def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
+    """docs with its repeats taken out of text, and n_chars, if there is one, counted anew where that changed it.
+
+    A text that loses nothing stays as it is, white space included; a document that loses every word goes.
+    """
+    carried = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+
+    def removed(w, gone, table):
+        lost, texts = [], []
+        for (_, n, kept), body in zip(_report(w, gone), table.column("body").to_pylist(), strict=True):
+            lost.append(n)
+            texts.append(kept if n else body)
+        columns = {"id": table.column("id"), "lost": pa.array(lost, pa.int64()), "body": pa.array(texts, pa.binary())}
+        return pa.table(columns | {c: table.column(c) for c in table.column_names if c[0] == "c"})
+
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    removed.schema = ", ".join(["id long, lost long, body binary", *(f"c{i} {kinds[c].simpleString()}" for i, c in enumerate(carried))])
+    out = _repeat_table(docs, span, removed, carried)
+    names = {c: F.col(f"c{i}") for i, c in enumerate(carried)} | {"doc_id": F.col("id").cast(kinds["doc_id"]), "text": F.col("body").cast("string")}
+    if "n_chars" in names:
+        names["n_chars"] = F.when(F.col("lost") > 0, F.length(names["text"]).cast(kinds["n_chars"])).otherwise(names["n_chars"])
+    return out.where((F.col("lost") == 0) | (F.octet_length("body") > 0)).select(*(names[c].alias(c) for c in docs.columns))

@@ -348,11 +348,31 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     net = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(net.value) if net.value else None
+        score = _scorer(net.value)
         for batch in batches:
-            body = batch.column("body").to_pylist()
-            scores = scorer([readable(b) for b in body]) if scorer else np.zeros(len(body))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64())], ["doc_id", "held_out", "score"])
+            scores = pa.array(score(batch.column("body").to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), scores], ["doc_id", "held_out", "score"])
 
     text = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("text").cast("binary").alias("body"))
     return text.mapInArrow(run, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs without the rows that score 0.5 or more."""
+    net = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _scorer(net.value)
+        for batch in batches:
+            text = [None if t is None else t.encode() for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(score(text) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _scorer(net: Network | None):
+    """Bodies to scores."""
+    if net is None:
+        return lambda bodies: np.zeros(len(bodies))
+    scorer = Scorer(net)
+    return lambda bodies: scorer([readable(b) for b in bodies])

@@ -1,8 +1,63 @@
-"""Corpus pipeline, stage by stage."""
+"""Corpus pipeline: five stages, each over all that its predecessor kept, written as Parquet and read again.
 
-STAGES = []
+Toxic documents go; of each group of near copies the one with the smallest id stays; passages that smaller ids hold too
+are cut out of the texts; documents with a benchmark item go; the rest is packed into token sequences.
+"""
+
+from __future__ import annotations
+
+from public_tokenizers import path as tokenizer_path
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from stratalog.llm._shared import written
+from stratalog.llm.decontamination import contaminated
+from stratalog.llm.ngram_join import jaccard_components
+from stratalog.llm.packing import pack
+from stratalog.llm.substring_dedup import without_repeats
+from stratalog.llm.toxicity import without_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose id is their component's smallest; of rows that repeat an id, one; rows without an id stay."""
+    gone = jaccard_components(docs.select("doc_id", "text")).where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.lit(1)))
+    return kept.where("doc_id IS NOT NULL").withColumn("__nth", nth).where("__nth = 1").drop("__nth").union(kept.where("doc_id IS NULL"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_repeats(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a similar window; rows without an id stay."""
+    found = contaminated(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
+#: SQL can't express a trained network; the tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    name, stage = STAGES[-1]
+    return written(stage(spark, docs, sf_dir), f"pipeline-{name}")

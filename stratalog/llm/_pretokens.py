@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 #: Entries of a worker's cache, and the longest piece that is kept.
 CACHE_ENTRIES, CACHE_CHARS = 250_000, 64
@@ -61,22 +62,6 @@ class Lengths(dict):
         return n
 
 
-class Ids(dict):
-    """Piece to its token ids, as little-endian 32-bit bytes; a bounded cache."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> bytes:
-        out = b"".join(i.to_bytes(4, "little") for i in self.encode(piece))
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[piece] = out
-        return out
-
-
 def encoder(path: str):
     """text -> list of ids, by the library for the file's kind, one thread."""
     if path.endswith(".model"):
@@ -91,6 +76,28 @@ def encoder(path: str):
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def id_bytes(path: str, ranks: str | None = None, pattern: str | None = None):
+    """text -> its ids as little-endian 32-bit bytes.
+
+    ranks: a file with the vocabulary of path as ranks, and pattern the expression that cuts texts. Both libraries then
+    give the same ids for ordinary text, this one several times faster; texts with a special string go to the first.
+    """
+    encode = encoder(path)
+    if ranks is None:
+        return lambda text: array("I", encode(text)).tobytes()
+    import base64
+
+    import tiktoken
+
+    with open(ranks, "rb") as lines:
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    plain = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
+    from tokenizers import Tokenizer
+
+    special = tuple(x.content for x in Tokenizer.from_file(path).get_added_tokens_decoder().values())
+    return lambda text: array("I", encode(text) if any(x in text for x in special) else plain(text)).tobytes()
+
+
 #: One encoder and its cache for each file, as long as a worker lives.
 _KEPT: dict = {}
 

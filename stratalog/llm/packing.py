@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalog.llm._pretokens import Ids, byte_pieces, encoder, kept, readable, sentence_pieces
+from stratalog.llm._pretokens import id_bytes, kept, readable
 from stratalog.llm._shared import cut
 
 #: Tokens of a sequence, and the id that ends a document.
@@ -39,18 +39,16 @@ ISLANDS, ROUNDS, GENERATIONS, POPULATION = 4, 2, 6, 6
 WELL_FILLED = 0.98
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of the pieces of each row's ids; only the first may be shorter."""
-    split = sentence_pieces if path.endswith(".model") else byte_pieces
+def token_pieces(docs: DataFrame, *encoder: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of the pieces of each row's ids; only the first may be shorter. encoder: see id_bytes."""
     end = end_id.to_bytes(4, "little")
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = kept(("encoder", path), lambda: encoder(path))
-        get = kept(("ids", path), lambda: Ids(encode)).__getitem__
+        encode = kept(("ids", *encoder), lambda: id_bytes(*encoder))
         for batch in batches:
             rows = []
             for doc, body in zip(batch.column("doc_id").to_pylist(), batch.column("body").to_pylist(), strict=True):
-                ids = b"".join(map(get, split(readable(body)))) + end
+                ids = encode(readable(body)) + end
                 n = len(ids) // 4
                 start, piece = 0, 0
                 while start < n:
@@ -250,8 +248,8 @@ def place(pieces: DataFrame, packing: Packing) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, *encoder: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece of docs (doc_id, text)."""
-    pieces = cut(token_pieces(docs, path, capacity, end_id))
+    pieces = cut(token_pieces(docs, *encoder, capacity=capacity, end_id=end_id))
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     return place(pieces, search(docs.sparkSession, counts, capacity))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from public_tokenizers import PATTERN
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalog.llm import decontamination, ngram_join, packing, sharding, substring_dedup, token_counts, toxicity, url_rules, vector_search, warc_fixity
 
 
+#: The tokenizer of packing: its file, the same vocabulary as ranks, and the expression that cuts texts.
+BYTE_BPE = (tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"), PATTERN)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,7 +30,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), *BYTE_BPE)
 
 
 def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,6 @@ are cut out of the texts; documents with a benchmark item go; the rest is packed
 
 from __future__ import annotations
 
-from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from stratalog.llm._shared import written
 from stratalog.llm.decontamination import contaminated
 from stratalog.llm.ngram_join import jaccard_components
 from stratalog.llm.packing import pack
+from stratalog.llm.queries import BYTE_BPE
 from stratalog.llm.substring_dedup import without_repeats
 from stratalog.llm.toxicity import without_toxic
 
@@ -41,7 +41,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    return pack(docs, *BYTE_BPE)
 
 
 STAGES = [

@@ -35,7 +35,7 @@ from stratalog.llm._words import ROLL_A, ROLL_B, hash_words, mix, rolling, split
 #: Words of a shingle; a link needs PERCENT of the union.
 SHINGLE, PERCENT = 5, 80
 #: Documents of a tile, and bits of a signature.
-TILE, SIGNATURE_BITS = 400, 2048
+TILE, SIGNATURE_BITS = 256, 2048
 NO_ID = np.iinfo(np.int64).max
 MASK = (1 << 64) - 1
 
@@ -185,18 +185,18 @@ def _unpacked(found: DataFrame, kind: int, names: list[str]) -> DataFrame:
     return found.where(F.col("kind") == kind).mapInPandas(run, ", ".join(f"{n} long" for n in names))
 
 
-SET_ROW = "tile long, chunk int, part int, role int, id long, label long, body binary"
+SET_ROW = "tile long, chunk int, id long, body binary"
 
 
 def _fetch(key: tuple[pa.Scalar, ...], table: pa.Table, wanted: pa.Table) -> pa.Table:
     """The sorted sets of the documents that tiles ask for."""
     if not wanted.num_rows:
-        return _table(SET_ROW, dict.fromkeys(("tile", "chunk", "part", "role", "id", "label", "body"), []))
+        return _table(SET_ROW, dict.fromkeys(("tile", "chunk", "id", "body"), []))
     want = set(wanted.column("id").to_pylist())
     some = np.flatnonzero([i in want for i in table.column("id").to_pylist()])
     s = _Sets(table.take(pa.array(some)))
     at = {int(i): k for k, i in enumerate(s.ids)}
-    rows = wanted.select(["tile", "chunk", "part", "role", "id", "label"]).to_pydict()
+    rows = wanted.select(["tile", "chunk", "id"]).to_pydict()
     return _table(SET_ROW, rows | {"body": [s.of(at[i]).tobytes() for i in rows["id"]]})
 
 
@@ -248,29 +248,24 @@ def _cross(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
 
 
-def _sets_for(text: DataFrame, wanted: DataFrame, blocks: int) -> DataFrame:
-    wanted = wanted.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "tile", "chunk", "part", "role", "id", "label")
-    return text.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_fetch, SET_ROW)
-
-
 def _labels(text: DataFrame, tiles: DataFrame, blocks: int, tile: int) -> DataFrame:
     """(id, component) of the documents of tiles (id, component), by exact links."""
     sizes = tiles.groupBy("component").agg(F.count(F.lit(1)).alias("n")).select("component", F.ceil((F.col("n") - 1) / F.lit(tile)).cast("int").alias("chunks"))
-    members = tiles.join(sizes, "component")
     all_chunks = F.sequence(F.lit(0), F.col("chunks") - 1)
     own = F.array(F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    wanted = members.select(F.col("component").alias("tile"), F.explode(F.when(F.col("id") == F.col("component"), all_chunks).otherwise(own)).alias("chunk"), F.lit(0).alias("part"), F.lit(0).alias("role"), "id", F.col("id").alias("label"))
-    done = cut(_sets_for(text, wanted, blocks).groupBy("tile", "chunk").applyInArrow(_tile, "tile long, chunk int, id long, label long"))
+    chunk = F.explode(F.when(F.col("id") == F.col("component"), all_chunks).otherwise(own))
+    wanted = tiles.join(sizes, "component").select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.col("component").alias("tile"), chunk.alias("chunk"), "id")
+    sets = cut(text.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_fetch, SET_ROW))
+    done = cut(sets.groupBy("tile", "chunk").applyInArrow(_tile, "tile long, chunk int, id long, label long"))
     lone = done.where("label <> tile").join(sizes.where("chunks > 1"), F.col("tile") == F.col("component"))
     open_ = lone.groupBy("tile").agg(F.count(F.lit(1)).alias("n"), F.first("chunks").alias("chunks")).select("tile", "chunks", F.ceil(F.col("n") / F.lit(tile)).cast("int").alias("parts"))
-    if not open_.limit(1).count():
-        return done.select("id", F.col("label").alias("component")).distinct()
     open_ = cut(open_)
-    base = done.join(open_, "tile")
-    parts = F.sequence(F.lit(0), F.col("parts") - 1)
-    held = base.where("id <> tile").select("tile", "chunk", F.explode(parts).alias("part"), F.lit(0).alias("role"), "id", "label")
-    asking = base.where("label <> tile").select("tile", F.col("chunk").alias("home"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "id", "label").where("home <> chunk").drop("home")
-    links = _sets_for(text, held.unionByName(asking), blocks).groupBy("tile", "chunk", "part").applyInArrow(_cross, "a long, b long")
+    if open_.isEmpty():
+        return done.select("id", F.col("label").alias("component")).distinct()
+    base = sets.join(open_, "tile").where("id <> tile").join(done, ["tile", "chunk", "id"])
+    held = base.select("tile", "chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "id", "label", "body")
+    asking = base.where("label <> tile").select("tile", F.explode(F.array_except(all_chunks, F.array("chunk"))).alias("chunk"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "id", "label", "body")
+    links = held.union(asking).groupBy("tile", "chunk", "part").applyInArrow(_cross, "a long, b long")
     return components(done.select(F.col("id").alias("a"), F.col("label").alias("b")).union(links))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ipaddress
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,39 +24,45 @@ MULTICAST = ("224.0.0.0/4", "ff00::/8")
 RESERVED = ("240.0.0.0/4", "::/8", "100::/8", "200::/7", "400::/6", "800::/5", "1000::/4", "4000::/3", "6000::/3", "8000::/3", "a000::/3", "c000::/3", "e000::/4", "f000::/5", "f800::/6", "fe00::/9")
 
 
+def let(value: Column, of) -> Column:
+    """of(value), with value evaluated, and written into the plan, once."""
+    return F.transform(F.array(value), of)[0]
+
+
 def _groups(text: Column) -> Column:
     """The eight groups of an IPv6 text, unpadded; null if it isn't one."""
-    low = F.lower(text)
     # a dotted tail stands for two groups
-    tail = F.regexp_extract(low, r":(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$", 1)
-    octet = lambda i: F.split(tail, "\\.")[i].cast("int")
-    pair = lambda i: F.lower(F.hex((octet(i) * 256 + octet(i + 1)).cast("bigint")))
-    low = F.when(tail.rlike(V4), F.concat(F.regexp_replace(low, r"\d{1,3}(\.\d{1,3}){3}$", ""), pair(0), F.lit(":"), pair(2))).otherwise(low)
-    halves = F.split(low, "::", -1)
+    octet = lambda tail, i: F.split(tail, "\\.")[i].cast("int")
+    pair = lambda tail, i: F.lower(F.hex((octet(tail, i) * 256 + octet(tail, i + 1)).cast("bigint")))
+    plain = lambda low: let(F.regexp_extract(low, r":(\d{1,3}(?:\.\d{1,3}){3})$", 1), lambda tail: F.when(tail.rlike(V4), F.concat(F.regexp_replace(low, r"\d{1,3}(\.\d{1,3}){3}$", ""), pair(tail, 0), F.lit(":"), pair(tail, 2))).otherwise(low))
     cut = lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, ":", -1))
-    head, rear = cut(halves[0]), cut(F.coalesce(F.try_element_at(halves, F.lit(2)), F.lit("")))
-    missing = 8 - F.size(head) - F.size(rear)
-    full = F.when(F.size(halves) == 1, head).when((F.size(halves) == 2) & (missing >= 1), F.concat(head, F.array_repeat(F.lit("0"), missing), rear))
-    return F.when((F.size(full) == 8) & F.forall(full, lambda g: g.rlike("^[0-9a-f]{1,4}$")), F.transform(full, lambda g: F.regexp_replace(g, "^0+(?=.)", "")))
+    ends = lambda halves: F.struct(F.size(halves).alias("n"), cut(halves[0]).alias("head"), cut(F.coalesce(F.try_element_at(halves, F.lit(2)), F.lit(""))).alias("rear"))
+
+    def whole(e: Column) -> Column:
+        missing = 8 - F.size(e["head"]) - F.size(e["rear"])
+        return F.when(e["n"] == 1, e["head"]).when((e["n"] == 2) & (missing >= 1), F.concat(e["head"], F.array_repeat(F.lit("0"), missing), e["rear"]))
+
+    good = lambda full: F.when((F.size(full) == 8) & F.forall(full, lambda g: g.rlike("^[0-9a-f]{1,4}$")), F.transform(full, lambda g: F.regexp_replace(g, "^0+(?=.)", "")))
+    return let(let(let(plain(F.lower(text)), lambda low: F.split(low, "::", -1)), lambda h: let(ends(h), whole)), good)
 
 
 def ip_key(text: Column) -> Column:
     """The sortable key of an address; null if it isn't one."""
-    t = F.trim(text)
-    v4 = F.concat(F.lit("4"), *(F.lpad(F.lower(F.hex(F.regexp_extract(t, V4, i).cast("bigint"))), 2, "0") for i in range(1, 5)))
-    v6 = F.concat(F.lit("6"), F.array_join(F.transform(_groups(t), lambda g: F.lpad(g, 4, "0")), ""))
-    return F.when(t.rlike(V4), v4).when(t.contains(":"), v6)
+    v4 = lambda t: F.concat(F.lit("4"), *(F.lpad(F.lower(F.hex(F.regexp_extract(t, V4, i).cast("bigint"))), 2, "0") for i in range(1, 5)))
+    v6 = lambda t: F.concat(F.lit("6"), F.array_join(F.transform(_groups(t), lambda g: F.lpad(g, 4, "0")), ""))
+    return let(F.trim(text), lambda t: F.when(t.rlike(V4), v4(t)).when(t.contains(":"), v6(t)))
 
 
 def canonical_ip(text: Column) -> Column:
     """The usual short form of an address; null if it isn't one."""
-    t = F.trim(text)
-    joined = F.array_join(_groups(t), ":")
-    short = joined
-    for n in range(2, 9):  # the longest run of zeros, of equals the first, gives way to ::
-        run = rf"(^|:)0(:0){{{n - 1}}}(:|$)"
-        short = F.when(joined.rlike(run), F.regexp_replace(joined, rf"^(.*?)(^|:)0(?::0){{{n - 1}}}(?::|$)", "$1::")).otherwise(short)
-    return F.when(t.rlike(V4), t).when(t.contains(":"), short)
+
+    def short(joined: Column) -> Column:
+        out = F  # the longest run of zeros, of equals the first, gives way to ::
+        for n in range(8, 1, -1):
+            out = out.when(joined.rlike(rf"(^|:)0(:0){{{n - 1}}}(:|$)"), F.regexp_replace(joined, rf"^(.*?)(^|:)0(?::0){{{n - 1}}}(?::|$)", "$1::"))
+        return out.otherwise(joined)
+
+    return let(F.trim(text), lambda t: F.when(t.rlike(V4), t).when(t.contains(":"), let(F.array_join(_groups(t), ":"), short)))
 
 
 @dataclass(frozen=True)
@@ -71,11 +79,11 @@ def network(cidr: str) -> Network:
 
 
 def within(key: Column, cidrs: tuple[str, ...]) -> Column:
-    hits = [key.between(n.low, n.high) for n in map(network, cidrs)]
-    out = hits[0]
-    for h in hits[1:]:
-        out = out | h
-    return out
+    def any_of(k: Column) -> Column:
+        hits = [k.between(n.low, n.high) for n in map(network, cidrs)]
+        return reduce(or_, hits)
+
+    return let(key, any_of)
 
 
 def flags(key: Column) -> dict[str, Column]:
@@ -92,10 +100,14 @@ def lpm(key: Column, networks: dict[str, Column]) -> Column:
     if len(networks) > MAX_COMPILED:
         raise ValueError(f"{len(networks)} networks; join them with lpm_join")
     ordered = sorted(((network(c), v) for c, v in networks.items()), key=lambda x: -x[0].length)
-    out = F.lit(None)
-    for n, v in reversed(ordered):
-        out = F.when(key.between(n.low, n.high), v).otherwise(out)
-    return out
+
+    def first(k: Column) -> Column:
+        out = F
+        for n, v in ordered:
+            out = out.when(k.between(n.low, n.high), v)
+        return out
+
+    return let(key, first) if ordered else F.lit(None)
 
 
 def lpm_join(rows: DataFrame, key: str, networks: DataFrame, value: str) -> DataFrame:

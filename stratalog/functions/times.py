@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stratalog.functions.net import let
+
 #: strptime directives and their Java patterns (fixed values).
 DIRECTIVES = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%f": "SSSSSS", "%y": "yy", "%b": "MMM", "%B": "MMMM", "%z": "xx", "%Z": "z", "%p": "a", "%I": "hh", "%j": "DDD", "%%": "%"}
 
@@ -46,8 +48,7 @@ def rfc3164_ns(text: Column, reference: Column) -> Column:
     squeezed = F.regexp_replace(F.trim(text), " +", " ")
     year = F.year(reference)
     at = lambda y: F.try_to_timestamp(F.concat(y.cast("string"), F.lit(" "), squeezed, F.lit(" UTC")), F.lit("yyyy MMM d HH:mm:ss VV"))
-    this = at(year)
-    return _nanos(F.when(this <= reference, this).otherwise(at(year - 1)))
+    return let(at(year), lambda this: _nanos(F.when(this <= reference, this).otherwise(at(year - 1))))
 
 
 def iso_ns(text: Column, tz: str = "UTC") -> Column:
@@ -66,8 +67,8 @@ def any_ns(text: Column, reference: Column, fmt: str | None = None, tz: str = "U
     """By the format where one is given, else epoch numbers, then yearless syslog times, then ISO and the like."""
     if fmt:
         return format_ns(text, fmt, tz)
-    yearless = text.rlike(r"^\s*[A-Z][a-z]{2} +\d{1,2} \d\d:\d\d:\d\d\s*$")
-    return F.coalesce(epoch_ns(F.trim(text)), F.when(yearless, rfc3164_ns(text, reference)), F.when(~yearless, iso_ns(text, tz)))
+    yearless = r"^[A-Z][a-z]{2} +\d{1,2} \d\d:\d\d:\d\d$"
+    return let(F.trim(text), lambda t: F.when(t.rlike(r"^[+-]?[\d.]+$"), epoch_ns(t)).when(t.rlike(yearless), rfc3164_ns(t, reference)).otherwise(iso_ns(t, tz)))
 
 
 def date_of_ns(ns: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stratalog.functions.net import let
+
 #: Names by number (fixed values, RFC 5424).
 FACILITIES = ("kern", "user", "mail", "daemon", "auth", "syslog", "lpr", "news", "uucp", "cron", "authpriv", "ftp", "ntp", "audit", "alert", "clock", "local0", "local1", "local2", "local3", "local4", "local5", "local6", "local7")
 SEVERITIES = ("emerg", "alert", "crit", "err", "warning", "notice", "info", "debug")
@@ -75,8 +77,8 @@ def structured_data(text: Column) -> Column:
 
 def sniff_layered(text: Column) -> Column:
     """Struct (outer, inner): within a syslog envelope the payload is sniffed too, with its tag where that helps."""
-    outer, e = sniff(text), envelope(text)
-    payload = e["message"]
-    inner = sniff(payload)
-    again = F.when((inner == "unknown") & e["tag"].isNotNull(), sniff(F.concat(e["tag"], F.lit(":"), payload))).otherwise(inner)
-    return F.struct(outer.alias("outer"), F.when(outer == "syslog", again).otherwise(outer).alias("inner"))
+    def within(e: Column) -> Column:
+        again = F.when(e["tag"].isNotNull(), sniff(F.concat(e["tag"], F.lit(":"), e["message"]))).otherwise("unknown")
+        return let(sniff(e["message"]), lambda inner: F.when(inner == "unknown", again).otherwise(inner))
+
+    return let(sniff(text), lambda outer: F.struct(outer.alias("outer"), F.when(outer == "syslog", let(envelope(text), within)).otherwise(outer).alias("inner")))

@@ -143,23 +143,18 @@ class Registry:
         return self.error is None
 
 
-def field_of_line(text: Column, name: str) -> Column:
-    """A field as a best-effort parse of self-describing lines gives it."""
-    from stratalog.operators.decode import sniff_layered, envelope
-
-    kind = sniff_layered(text)["inner"]
-    payload = envelope(text)["message"]
+def field_of_line(name: str, kind: str = "kind", payload: str = "payload") -> Column:
+    """A field as a best-effort parse of self-describing lines gives it; kind and payload name the columns of the inner format and the message."""
+    k, p = F.col(kind), F.col(payload)
     quoted = name.replace("'", "\\'")
-    as_json = F.coalesce(F.get_json_object(payload, f"$['{quoted}']"), F.get_json_object(payload, f"$.{name}"))
-    others = {e: F.try_element_at(compile_engine(e)(payload), F.lit(name)) for e in ("kv", "cef", "leef")}
-    out = F.when(kind == "json", as_json)
-    for e, value in others.items():
-        out = out.when(kind == e, value)
+    out = F.when(k == "json", F.coalesce(F.get_json_object(p, f"$['{quoted}']"), F.get_json_object(p, f"$.{name}")))
+    for e in ("kv", "cef", "leef"):
+        out = out.when(k == e, F.try_element_at(compile_engine(e)(p), F.lit(name)))
     return out
 
 
 def detector(d: dict, text: Column) -> Column:
-    """The rule as a predicate; absent fields are false."""
+    """The rule as a predicate; absent fields are false. field_equals reads the columns kind and payload."""
     kind, v = next(iter(d.items()))
     if kind == "contains":
         return text.contains(v)
@@ -175,7 +170,7 @@ def detector(d: dict, text: Column) -> Column:
         tests += [n >= v["min"]] if "min" in v else []
         tests += [n <= v["max"]] if "max" in v else []
         return reduce(and_, tests, F.lit(True))
-    return F.coalesce(field_of_line(text, v["name"]) == str(v["value"]), F.lit(False))
+    return F.coalesce(field_of_line(v["name"]) == str(v["value"]), F.lit(False))
 
 
 def route(text: Column, definitions: list[Definition]) -> Column:

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stratalog.functions.net import let
+
 Engine = Callable[[Column], Column]
 ENGINES: dict[str, Callable[..., Engine]] = {}
 
@@ -35,20 +37,22 @@ def compile_engine(name: str, options: dict | None = None) -> Engine:
 
 def last_wins(keys: Column, values: Column) -> Column:
     """Map of two arrays; of equal keys the last counts, whatever the session's policy."""
-    at = F.sequence(F.lit(1), F.size(keys))
-    kept = F.filter(at, lambda i: ~F.array_contains(F.slice(keys, i + 1, F.size(keys)), F.element_at(keys, i)))
-    pairs = F.transform(kept, lambda i: F.struct(F.element_at(keys, i), F.element_at(values, i)))
-    return F.when(F.size(keys) > 0, F.map_from_entries(pairs)).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+
+    def build(x: Column) -> Column:
+        kept = F.filter(F.sequence(F.lit(1), F.size(x["k"])), lambda i: ~F.array_contains(F.slice(x["k"], i + 1, F.size(x["k"])), F.element_at(x["k"], i)))
+        return F.when(F.size(x["k"]) > 0, F.map_from_entries(F.transform(kept, lambda i: F.struct(F.element_at(x["k"], i), F.element_at(x["v"], i))))).otherwise(none)
+
+    return let(F.struct(keys.alias("k"), values.alias("v")), build)
 
 
 def named(columns: list[str], values: Column, skip_empty: bool = True) -> Column:
     """Map of positional values: surplus ones become _extra.<i>, a shortage adds _truncated."""
     names = F.array(*map(F.lit, columns))
-    n = F.size(values)
     name = lambda i: F.coalesce(F.try_element_at(names, i + 1), F.concat(F.lit("_extra."), (i - len(columns)).cast("string")))
-    entries = F.transform(values, lambda v, i: F.struct(name(i), F.nullif(v, F.lit("")) if skip_empty else v))
-    short = F.array(F.struct(F.lit("_truncated"), F.lit("true")))
-    return F.map_from_entries(F.when(n < len(columns), F.concat(entries, short)).otherwise(entries))
+    entries = F.transform(values, lambda v, i: F.struct(name(i).alias("k"), (F.nullif(v, F.lit("")) if skip_empty else v).alias("v")))
+    short = F.array(F.struct(F.lit("_truncated").alias("k"), F.lit("true").alias("v")))
+    return let(entries, lambda e: F.map_from_entries(F.when(F.size(e) < len(columns), F.concat(e, short)).otherwise(e)))
 
 
 def _class(text: str) -> str:
@@ -128,10 +132,14 @@ def cef() -> Engine:
         keys = F.regexp_extract_all(rest, F.lit(pair), F.lit(1))
         unescaped = lambda v: F.regexp_replace(F.regexp_replace(F.regexp_replace(F.trim(v), r"(?<!\\)((?:\\\\)*)\\n", "$1\n"), r"(?<!\\)((?:\\\\)*)\\r", "$1\r"), r"\\([\\=])", "$1")
         values = F.transform(F.regexp_extract_all(rest, F.lit(pair), F.lit(2)), unescaped)
-        body = last_wins(F.concat(F.array(*map(F.lit, CEF_HEADER)), keys), F.concat(heads, values))
-        labels = F.filter(F.array(*map(F.lit, CEF_LABELS)), lambda c: F.map_contains_key(body, F.concat(c, F.lit("Label"))) & F.map_contains_key(body, c))
-        names, over = F.transform(labels, lambda c: F.element_at(body, F.concat(c, F.lit("Label")))), F.transform(labels, lambda c: F.element_at(body, c))
-        return F.when(text.rlike(header), F.when(F.size(labels) == 0, body).otherwise(last_wins(F.concat(F.map_keys(body), names), F.concat(F.map_values(body), over))))
+        whole = last_wins(F.concat(F.array(*map(F.lit, CEF_HEADER)), keys), F.concat(heads, values))
+
+        def labelled(body: Column) -> Column:
+            labels = F.filter(F.array(*map(F.lit, CEF_LABELS)), lambda c: F.map_contains_key(body, F.concat(c, F.lit("Label"))) & F.map_contains_key(body, c))
+            names, over = F.transform(labels, lambda c: F.element_at(body, F.concat(c, F.lit("Label")))), F.transform(labels, lambda c: F.element_at(body, c))
+            return last_wins(F.concat(F.map_keys(body), names), F.concat(F.map_values(body), over))
+
+        return F.when(text.rlike(header), let(whole, labelled))
 
     return run
 
@@ -213,11 +221,11 @@ def grok(pattern: str, patterns: dict[str, str] | None = None, grok_timeout_ms:
     whole = f"(?s)^.*?(?:{regex}).*$"
 
     def run(text: Column) -> Column:
-        groups = F.split(F.regexp_replace(text, whole, record), "\x01", -1)
         names = list(dict.fromkeys(fields))
-        value = lambda n: F.coalesce(*(F.nullif(groups[i], F.lit("")) for i, f in enumerate(fields) if f == n))
-        pairs = F.filter(F.array(*(F.struct(F.lit(n).alias("k"), value(n).alias("v")) for n in names)), lambda p: p["v"].isNotNull())
-        return F.when(text.rlike(regex), F.map_from_entries(pairs))
+        value = lambda g, n: F.coalesce(*(F.nullif(g[i], F.lit("")) for i, f in enumerate(fields) if f == n))
+        pairs = lambda g: F.filter(F.array(*(F.struct(F.lit(n).alias("k"), value(g, n).alias("v")) for n in names)), lambda p: p["v"].isNotNull())
+        groups = F.split(F.regexp_replace(text, whole, record), "\x01", -1)
+        return F.when(text.rlike(regex), let(groups, lambda g: F.map_from_entries(pairs(g))))
 
     return run
 
@@ -237,15 +245,15 @@ def flatten_json(variant: Column, sep: str = ".", depth: int = JSON_DEPTH) -> Co
     for _ in range(depth - 1):
 
         def opened(e: Column) -> Column:
-            kind = F.schema_of_variant(e["v"])
             inner = F.transform(F.map_entries(F.try_variant_get(e["v"], "$", "map<string,variant>")), lambda x: F.struct(F.concat(e["k"], F.lit(sep), x["key"]).alias("k"), x["value"].alias("v")))
             items = F.transform(F.try_variant_get(e["v"], "$", "array<variant>"), lambda x, i: F.struct(F.concat(e["k"], F.lit(sep), i.cast("string")).alias("k"), x.alias("v")))
             one = F.array(F.struct(e["k"].alias("k"), e["v"].alias("v")))
-            return F.when(kind.startswith("OBJECT<") & (F.size(inner) > 0), inner).when(kind.startswith("ARRAY<") & (F.size(items) > 0), items).otherwise(one)
+            some = lambda x: F.when(F.size(x) > 0, x).otherwise(one)
+            return let(F.substring(F.schema_of_variant(e["v"]), 1, 6), lambda kind: F.when(kind == "OBJECT", let(inner, some)).when(kind == "ARRAY<", let(items, some)).otherwise(one))
 
         entries = F.flatten(F.transform(entries, opened))
     text = lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.when(~F.is_variant_null(v), F.to_json(v)))
-    return last_wins(F.transform(entries, lambda e: e["k"]), F.transform(entries, lambda e: text(e["v"])))
+    return let(entries, lambda all_: last_wins(F.transform(all_, lambda e: e["k"]), F.transform(all_, lambda e: text(e["v"]))))
 
 
 @engine("json")
@@ -253,14 +261,10 @@ def json(array_mode: str = "index", sep: str = ".") -> Engine:
     """An object, or an array of exactly one, by dotted paths; array_mode=join puts lists of scalars into one text."""
 
     def run(text: Column) -> Column:
-        whole = F.try_parse_json(text)
-        only = F.try_variant_get(whole, "$", "array<variant>")
-        kind = F.schema_of_variant(whole)
-        root = F.when(kind.startswith("OBJECT<"), whole).when(F.size(only) == 1, F.try_element_at(only, F.lit(1)))
-        flat = flatten_json(root, sep)
-        if array_mode == "join":
-            return F.when(root.isNotNull(), _joined(flat, sep))
-        return F.when(root.isNotNull(), flat)
+        only = F.from_json(text, "array<string>")
+        root = F.when(F.ltrim(text).startswith("["), F.when(F.size(only) == 1, only[0])).otherwise(text)
+        flat = let(root, lambda r: F.when(F.ltrim(r).startswith("{"), flatten_json(F.try_parse_json(r), sep)))
+        return let(flat, lambda m: F.when(m.isNotNull(), _joined(m, sep))) if array_mode == "join" else flat
 
     return run
 

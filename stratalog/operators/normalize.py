@@ -11,10 +11,10 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalog.functions.net import canonical_ip
+from stratalog.functions.net import canonical_ip, let
 from stratalog.functions.times import any_ns
 from stratalog.operators import schema
-from stratalog.operators.decode import bom_stripped, decoded, envelope
+from stratalog.operators.decode import bom_stripped, decoded, envelope, sniff_layered
 from stratalog.operators.definition import Definition, Rule, route
 from stratalog.operators.engines import compile_engine
 
@@ -70,24 +70,22 @@ def source_value(rule: Rule, fields: Column) -> tuple[Column, Column]:
     return F.coalesce(*(v for _, v in each)), F.array_compact(F.array(winner))
 
 
-def mapped(rule: Rule, fields: Column, reference: Column) -> tuple[Column, Column, Column]:
-    """Value, error (null if none) and used keys of a rule."""
-    raw, used = source_value(rule, fields)
-    kind = _kind(rule)
-    default = _literal(rule.default, kind)
+def mapped(rule: Rule, fields: Column, reference: Column, kind: str) -> Column:
+    """Struct of the rule's value, as kind, and the reason of its error, null if there is none."""
+    raw, _ = source_value(rule, fields)
+    default = _literal(rule.default, _kind(rule))
+    missing = F.lit("required_unresolved" if rule.required else None).cast("string")
+    out = lambda v, bad=None: F.struct(v.cast(kind).alias("v"), F.coalesce(*([bad] if bad is not None else []), F.when(v.isNull(), missing)).alias("e"))
     if rule.map is not None:
-        value = F.when(raw.isNull(), default).otherwise(lookup(raw, rule.map, rule.default, kind))
-        bad = None
-    else:
-        typed = coerce(raw, rule.type, reference, rule.format, rule.tz)
-        value = F.when(raw.isNull(), default).otherwise(typed)
-        bad = (raw.isNotNull() & typed.isNull(), f"invalid_{rule.type}") if rule.type not in ("str",) else None
-    error = F
-    if bad:
-        error = error.when(bad[0], F.struct(F.lit("normalize").alias("stage"), F.lit(bad[1]).alias("reason"), F.lit(rule.target).alias("target")))
-    if rule.required:
-        error = error.when(value.isNull(), F.struct(F.lit("normalize").alias("stage"), F.lit("required_unresolved").alias("reason"), F.lit(rule.target).alias("target")))
-    return value, error if error is not F else F.lit(None), used
+        return let(let(raw, lambda r: F.when(r.isNull(), default).otherwise(lookup(r, rule.map, rule.default, _kind(rule)))), lambda v: out(v))
+    if rule.type == "str":
+        return let(F.coalesce(raw, default), lambda v: out(v))
+    pair = let(raw, lambda r: F.struct(r.alias("r"), coerce(r, rule.type, reference, rule.format, rule.tz).alias("t")))
+    return let(pair, lambda p: F.when(p["r"].isNull(), out(default)).otherwise(out(p["t"], F.when(p["t"].isNull(), f"invalid_{rule.type}"))))
+
+
+def used_keys(rule: Rule, fields: Column) -> Column:
+    return source_value(rule, fields)[1]
 
 
 def target_types(definitions: list[Definition]) -> dict[str, str]:
@@ -100,7 +98,7 @@ def target_types(definitions: list[Definition]) -> dict[str, str]:
             kinds.setdefault(r.target, set()).add(_kind(r))
     for path in ("class_uid", "category_uid", "activity_id", "type_uid", "severity_id", "time", "action_id", "status_id", "src_endpoint.port", "dst_endpoint.port", "traffic.bytes", "traffic.bytes_in", "traffic.bytes_out", "traffic.packets", "connection_info.protocol_num", "connection_info.direction_id"):
         kinds.setdefault(path, set()).add("bigint")
-    for path in ("class_name", "category_name", "type_name", "activity_name", "severity", "action", "disposition", "metadata.uid", "metadata.log_hash", "metadata.version", "metadata.log_version", "src_endpoint.ip", "dst_endpoint.ip", "connection_info.protocol_name", "connection_info.direction", "firewall_rule.uid", "firewall_rule.name", "finding_info.uid", "finding_info.title", "finding_info.types", "src_endpoint.hostname", "dst_endpoint.hostname", "http_request.http_method", "query.hostname", "http_response.code"):
+    for path in ("class_name", "category_name", "type_name", "activity_name", "severity", "action", "disposition", "metadata.uid", "metadata.log_hash", "metadata.version", "metadata.log_version", "src_endpoint.ip", "dst_endpoint.ip", "connection_info.protocol_name", "connection_info.direction", "firewall_rule.uid", "firewall_rule.name", "finding_info.uid", "finding_info.title", "finding_info.types", "src_endpoint.hostname", "dst_endpoint.hostname", "http_request.http_method", "query.hostname"):
         kinds.setdefault(path, set()).add("string")
     return {p: next(iter(k)) if len(k) == 1 else "bigint" if k == {"bigint"} else "string" for p, k in sorted(kinds.items())}
 
@@ -131,14 +129,15 @@ def leaf_paths(kind, prefix: str = "") -> list[str]:
 def parsed(lines: DataFrame, definitions: list[Definition]) -> DataFrame:
     """lines (raw binary and more) with text, bom_stripped, source_type, envelope and fields."""
     out = lines.withColumn("bom_stripped", bom_stripped(F.col("raw"))).withColumn("text", decoded(F.col("raw")))
-    out = out.withColumn("source_type", route(F.col("text"), definitions)).withColumn("envelope", envelope(F.col("text")))
+    out = out.withColumn("envelope", envelope(F.col("text"))).withColumn("payload", F.col("envelope.message")).withColumn("kind", sniff_layered(F.col("text"))["inner"])
+    out = out.withColumn("source_type", route(F.col("text"), definitions)).drop("payload", "kind")
     fields = F
     for d in definitions:
         body = F.col("envelope.message") if d.envelope == "syslog" and d.engine not in ("cef", "leef") else F.col("text")
         got = compile_engine(d.engine, d.options)(body)
         if d.envelope == "syslog":
-            header = ("format", "timestamp", "hostname", "app_name", "procid", "msgid", "facility_name", "severity_name")
-            extra = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(f"envelope.{h}").alias("k"), F.when(F.col("envelope.format") != "none", F.col(f"envelope.{h}")).alias("v")) for h in header)), lambda e: e["v"].isNotNull()))
+            header = ("timestamp", "hostname", "app_name", "procid", "msgid", "tag", "pri", "facility", "facility_name", "severity", "severity_name")
+            extra = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(f"envelope.{h}").alias("k"), F.when(F.col("envelope.format") != "none", F.col(f"envelope.{h}").cast("string")).alias("v")) for h in header)), lambda e: e["v"].isNotNull()))
             got = F.map_concat(got, extra)
         fields = fields.when(F.col("source_type") == d.name, got)
     return out.withColumn("fields", fields.otherwise(F.lit(None).cast("map<string,string>")) if definitions else F.lit(None).cast("map<string,string>"))
@@ -153,12 +152,17 @@ def normalized(lines: DataFrame, definitions: list[Definition], reference: Colum
     rows = parsed(lines, definitions)
     kinds = target_types(definitions)
     by_source = lambda pick: _case(definitions, pick)
-    compiled = {d.name: {r.target: mapped(r, F.col("fields"), reference) for r in d.rules} for d in definitions}
+    f = F.col("fields")
+    rules = {d.name: {r.target: r for r in d.rules} for d in definitions}
+    # value and error of each target, side by side, so that later columns refer to them
+    paths = [p for p in kinds if any(p in rules[d.name] for d in definitions)]
+    pairs = {p: by_source(lambda d, p=p: mapped(rules[d.name][p], f, reference, kinds[p]) if p in rules[d.name] else None) for p in paths}
+    rows = rows.select("*", *(c.alias(f"__r_{p}") for p, c in pairs.items()))
 
     def value(path: str) -> Column:
         def of(d: Definition):
-            if path in compiled[d.name]:
-                return compiled[d.name][path][0].cast(kinds[path])
+            if path in rules[d.name]:
+                return F.col(f"`__r_{path}`.v")
             return _literal(d.constants[path], kinds[path]) if path in d.constants else None
 
         return by_source(of).cast(kinds[path])
@@ -166,7 +170,7 @@ def normalized(lines: DataFrame, definitions: list[Definition], reference: Colum
     def activity(d: Definition):
         if isinstance(d.activity, int):
             return F.lit(d.activity).cast("bigint")
-        return lookup(present(F.col("fields"), d.activity["from"]), {str(k): v for k, v in d.activity["map"].items()}, d.activity.get("default"), "bigint")
+        return lookup(present(f, d.activity["from"]), {str(k): v for k, v in d.activity["map"].items()}, d.activity.get("default"), "bigint")
 
     leaves = {p: value(p) for p in kinds if p not in ("class_uid", "category_uid", "activity_id", "type_uid")}
     leaves |= {"class_uid": by_source(lambda d: F.lit(d.class_uid).cast("bigint")), "category_uid": by_source(lambda d: F.lit(d.category_uid).cast("bigint")), "activity_id": by_source(activity)}
@@ -174,14 +178,15 @@ def normalized(lines: DataFrame, definitions: list[Definition], reference: Colum
     flat = rows.select("*", *(c.alias(f"__{p}") for p, c in leaves.items()))
     at = lambda p: F.col(f"`__{p}`")
     derived = finalized(at)
-    first_error = by_source(lambda d: F.coalesce(*(e for _, e, _ in compiled[d.name].values())))
+    failed = lambda p: F.when(F.col(f"`__r_{p}`.e").isNotNull(), F.struct(F.lit("normalize").alias("stage"), F.col(f"`__r_{p}`.e").alias("reason"), F.lit(p).alias("target")))
+    first_error = by_source(lambda d: F.coalesce(*(failed(r.target) for r in d.rules)))
     parse_error = F.when((F.col("source_type") != "unknown") & F.col("fields").isNull(), F.struct(F.lit("parse").alias("stage"), F.lit("parse_failed").alias("reason"), F.lit(None).cast("string").alias("target")))
-    used = by_source(lambda d: F.flatten(F.array(*(u for _, _, u in compiled[d.name].values()), *([F.array_compact(F.array(F.when(present(F.col("fields"), d.activity["from"]).isNotNull(), d.activity["from"])))] if isinstance(d.activity, dict) else []))))
+    used = by_source(lambda d: F.flatten(F.array(*(used_keys(r, f) for r in d.rules), *([F.array_compact(F.array(F.when(present(F.col("fields"), d.activity["from"]).isNotNull(), d.activity["from"])))] if isinstance(d.activity, dict) else []))))
     kept = by_source(lambda d: F.lit(True) if d.unmapped == "keep_all" else F.lit(False))
     listed = by_source(lambda d: F.array(*map(F.lit, d.unmapped)) if isinstance(d.unmapped, list) else F.array().cast("array<string>"))
     flat = flat.withColumn("__used", used).withColumn("__all", kept).withColumn("__list", listed)
     rest = F.map_filter("fields", lambda k, _: ~F.array_contains(F.col("__used"), k) & (F.col("__all") | F.array_contains(F.col("__list"), k)))
-    own = [c for c in rows.columns if c != "error"]
+    own = [c for c in rows.columns if c != "error" and not c.startswith("__r_")]
     return flat.select(
         *own, by_source(lambda d: F.lit(d.version)).alias("mapping_version"),
         F.when(F.col("source_type") != "unknown", nested({p: derived.get(p, at(p)) for p in kinds})).alias("ocsf"),
@@ -221,15 +226,19 @@ def finalized(at) -> dict[str, Column]:
     }
 
 
-def core(rows: DataFrame) -> DataFrame:
+def core_columns() -> list[Column]:
     """The 17 columns that every event of the lake has."""
     o = lambda p: F.col(f"ocsf.{p}")
-    pick = {
+    where = {
         "event_uid": F.col("event_uid"), "raw_hash": F.col("raw_hash"), "source_type": F.col("source_type"), "src_ip": o("src_endpoint.ip"), "src_port": o("src_endpoint.port"), "dst_ip": o("dst_endpoint.ip"),
         "dst_port": o("dst_endpoint.port"), "bytes_in": o("traffic.bytes_in"), "bytes_out": o("traffic.bytes_out"),
         "protocol": F.coalesce(F.nullif(o("connection_info.protocol_name"), F.lit("")), o("connection_info.protocol_num").cast("string")),
     }
-    return rows.select(*(pick.get(c, o(c) if c not in pick else None).cast(t).alias(c) for c, t in schema.CORE.items()))
+    return [(where[c] if c in where else o(c)).cast(t).alias(c) for c, t in schema.CORE.items()]
+
+
+def core(rows: DataFrame) -> DataFrame:
+    return rows.select(*core_columns())
 
 
 def flattened(rows: DataFrame, record: str = "ocsf") -> DataFrame:

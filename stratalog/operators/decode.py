@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from stratalog.functions.net import let
 
-#: Names by number (fixed values, RFC 5424).
-FACILITIES = ("kern", "user", "mail", "daemon", "auth", "syslog", "lpr", "news", "uucp", "cron", "authpriv", "ftp", "ntp", "audit", "alert", "clock", "local0", "local1", "local2", "local3", "local4", "local5", "local6", "local7")
-SEVERITIES = ("emerg", "alert", "crit", "err", "warning", "notice", "info", "debug")
+#: Names by number (fixed values).
+FACILITIES = ("kernel", "user", "mail", "daemon", "auth", "syslog", "lpr", "news", "uucp", "cron", "authpriv", "ftp", "ntp", "audit", "alert", "cron2", *(f"local{i}" for i in range(8)))
+SEVERITIES = ("Emergency", "Alert", "Critical", "Error", "Warning", "Notice", "Informational", "Debug")
 
 _PRI = r"^<(\d{1,3})>"
 _RFC5424 = r"(?s)^<\d{1,3}>(\d{1,2}) (\S+) (\S+) (\S+) (\S+) (\S+) (-|(?:\[(?:[^\]\\\"]|\\.|\"(?:[^\"\\]|\\.)*\")*\])+)(?: (.*))?$"

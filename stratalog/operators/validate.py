@@ -71,9 +71,11 @@ def routed(rows: DataFrame, policies: dict[str, str] | None = None) -> tuple[Dat
     known = F.col("source_type") != "unknown"
     invalid = known & ~F.col("valid") & (~F.col("source_type").isin(*warn) if warn else F.lit(True))
     failed = known & F.col("error").isNotNull()
-    checked = validated(rows)
+    # a filter below which no predicate is pushed: substituted into the projections beneath, it would multiply them
+    checked = validated(rows).withColumn("__barrier", F.monotonically_increasing_id())
+    held = F.col("__barrier") >= 0
     reason = F.when(failed, F.col("error.reason")).otherwise("validation_failed")
     stage = F.when(failed, F.col("error.stage")).otherwise("validate")
     detail = F.to_json(F.struct(F.when(failed, F.col("error.target")).alias("target"), F.when(~failed, F.col("errors")).alias("errors"), F.col("fields").alias("parsed_fields"), F.col("ocsf").alias("partial_ocsf")))
-    dead = checked.where(failed | invalid).select("event_uid", F.base64("raw").alias("raw"), "raw_hash", reason.alias("reason"), stage.alias("stage"), detail.alias("detail"), F.col("ingest_time_ns").alias("ts_ns"))
-    return checked.where(~(failed | invalid)), dead
+    dead = checked.where((failed | invalid) & held).select("event_uid", F.base64("raw").alias("raw"), "raw_hash", reason.alias("reason"), stage.alias("stage"), detail.alias("detail"), F.col("ingest_time_ns").alias("ts_ns"))
+    return checked.where(~(failed | invalid) & held).drop("__barrier"), dead

@@ -19,13 +19,14 @@ def sentence_pieces(text: str) -> list[str]:
 
     A vocabulary with word-begin marks has no token with a mark behind another character, so a cut before a run of
     spaces is safe; the encoder puts one mark before any text, which stands for the first space of the run. A literal
-    mark in the text is a space to the encoder, and such a text stays whole.
+    mark in the text is a space to the encoder, and such a text stays whole, as does one that ends in a space: a lone
+    mark at its end has no piece to stand in for it.
     """
     if not text:
         return []
-    if "▁" in text:
+    if "▁" in text or text[-1] == " ":
         return [text]
-    if "  " in text or text[0] == " " or text[-1] == " ":
+    if "  " in text or text[0] == " ":
         return _SPACED.findall(" " + text)
     return text.split(" ")
 

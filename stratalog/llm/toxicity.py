@@ -29,12 +29,14 @@ from stratalog.llm._pretokens import readable
 from stratalog.llm._words import ROLL_A, ROLL_B, mix
 
 #: The training sample's bounds.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1_500, 4_000, 12_000
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1_200, 3_000, 10_000
 #: Words of a window and from one window to the next.
 SPAN, STRIDE = 32, 24
 GRAMS = (3, 4, 5)
 WORD_ROWS, GRAM_ROWS, INPUT, HIDDEN, ATTEND = 1 << 16, 1 << 16, 12, 12, 8
 EPOCHS, BATCH, RATE = 5, 256, 0.005
+#: Steps at least: a small sample is gone over more often.
+STEPS = 250
 #: Documents' worth of prior in a feature's log-odds; the share of words whose own embedding a training step hides.
 SMOOTH, HIDE = 6.0, 0.3
 CHECKED = 5
@@ -182,24 +184,26 @@ def _layout(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, owner = np.array(starts, np.int64), np.array(owner, np.int64)
     at = starts[:, None] + np.arange(SPAN)
     mask = at < ends[owner][:, None] if len(owner) else np.zeros((0, SPAN), bool)
-    return np.where(mask, at, starts[:, None]), mask.astype(np.float32), owner
+    return np.where(mask, at, starts[:, None]).astype(np.int32), mask.astype(np.float32), owner
 
 
 def train(texts: list[str], toxic: list[int], seed: int = 1, epochs: int = EPOCHS) -> Network | None:
     """A network fitted to labelled texts; None unless both classes have a text with words."""
-    # every CHECKED-th text of each class is kept for the calibration
-    seen, fitted, checked = [0, 0], [], []
+    # every CHECKED-th text of each class is kept for the calibration; of the others only word numbers are kept
+    seen, known, ids, fitted, checked = [0, 0], {}, [], [], []
     for t, y in zip(texts, toxic, strict=True):
         seen[y] += 1
-        (checked if seen[y] % CHECKED == 0 else fitted).append((t, y))
-    split = [(w, y) for w, y in ((t.split(), y) for t, y in fitted) if w]
-    label = np.array([y for _, y in split], np.float32)
+        if seen[y] % CHECKED == 0:
+            checked.append((t, y))
+        elif words := t.split():
+            ids.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words)))
+            fitted.append(y)
+    label = np.array(fitted, np.float32)
     if not len(label) or label.min() == label.max():
         return None
     net, rng = Network(seed), np.random.default_rng(seed)
-    known = {w: i for i, w in enumerate(dict.fromkeys(w for words, _ in split for w in words))}
-    ids = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words, _ in split]
     feats = Features(list(known))
+    known.clear()
     # log-odds of features by the documents that hold them
     n1, n0 = label.sum(), len(label) - label.sum()
     for table, of in ((net.word, lambda r: feats.words[r]), (net.gram, lambda r: feats.take(r)[1])):
@@ -223,7 +227,8 @@ def train(texts: list[str], toxic: list[int], seed: int = 1, epochs: int = EPOCH
         rate = RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         value[at_] -= rate * m[at_] / (np.sqrt(v[at_]) + 1e-6)
 
-    for epoch in range(epochs):
+    most = max(1, -(-int((np.minimum(count, np.where(label > 0, 1, 4))).sum()) // BATCH))
+    for epoch in range(max(epochs, -(-STEPS // most))):
         if epoch == 0:  # before the network has learned anything, the log-odds choose
             hint = net.inputs(feats.words, feats.grams, np.diff(feats.at))[:, 0][flat]
             score = np.where(mask > 0, hint[at], -9).max(1)

@@ -40,6 +40,8 @@ STEPS = 250
 #: Documents' worth of prior in a feature's log-odds; the share of words whose own embedding a training step hides.
 SMOOTH, HIDE = 6.0, 0.3
 CHECKED = 5
+#: Words whose n-grams are held at once, to bound memory.
+CHUNK = 16_384
 #: Entries of a worker's vocabulary.
 VOCABULARY = 200_000
 _EDGE = ".,;:!?|%&$*#()[]{}<>\"'`~^_=+/\\-"
@@ -49,6 +51,13 @@ class Features:
     """Rows of distinct words in the two embedding tables; the n-grams of word i are grams[at[i]:at[i + 1]]."""
 
     def __init__(self, words: list[str]):
+        parts = [self._some(words[i : i + CHUNK]) for i in range(0, max(1, len(words)), CHUNK)]
+        self.words, self.grams, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.at = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+
+    @staticmethod
+    def _some(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word rows, n-gram rows and n-gram counts."""
         marked = [f"<{w.lower().strip(_EDGE)[:62] or '_'}>" for w in words]
         sizes = np.fromiter(map(len, marked), np.int64, len(marked))
         code = np.frombuffer("".join(marked).encode("utf-32-le", "replace"), "<u4").astype(np.uint64) * ROLL_A
@@ -56,11 +65,11 @@ class Features:
         place = np.arange(len(code)) - np.repeat(begin, sizes)
         power = np.cumprod(np.full(96, ROLL_B, np.uint64))
         whole = np.add.reduceat(code * power[place], begin) if len(marked) else code
-        self.words = (mix(whole) % np.uint64(WORD_ROWS)).astype(np.int64)
+        rows = (mix(whole) % np.uint64(WORD_ROWS)).astype(np.int32)
         counts = np.stack([np.maximum(sizes - n + 1, 0) for n in GRAMS])
-        self.at = np.concatenate([[0], np.cumsum(counts.sum(0))])
-        self.grams = np.empty(self.at[-1], np.int64)
-        offset = self.at[:-1].copy()
+        at = np.concatenate([[0], np.cumsum(counts.sum(0))])
+        grams = np.empty(at[-1], np.int32)
+        offset = at[:-1].copy()
         for n, c in zip(GRAMS, counts, strict=True):
             owner = np.repeat(np.arange(len(marked)), c)
             local = np.arange(len(owner)) - np.repeat(np.cumsum(c) - c, c)
@@ -68,8 +77,9 @@ class Features:
             h = code[start]
             for j in range(1, n):
                 h = h * ROLL_B + code[start + j]
-            self.grams[offset[owner] + local] = (mix(h) % np.uint64(GRAM_ROWS)).astype(np.int64)
+            grams[offset[owner] + local] = (mix(h) % np.uint64(GRAM_ROWS)).astype(np.int32)
             offset += c
+        return rows, grams, counts.sum(0)
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word rows, n-gram rows and n-gram counts of some of the words."""
@@ -105,8 +115,12 @@ class Network:
 
     def inputs(self, words: np.ndarray, grams: np.ndarray, n: np.ndarray, shown: np.ndarray | None = None) -> np.ndarray:
         """A row of inputs for each of some distinct words, of which only those shown use their own embedding."""
-        own = self.word[words] if shown is None else self.word[words] * shown[:, None]
-        return own + np.add.reduceat(self.gram[grams], np.cumsum(n) - n, axis=0) / n[:, None].astype(np.float32)
+        out = self.word[words] if shown is None else self.word[words] * shown[:, None]
+        at = np.concatenate([[0], np.cumsum(n)])
+        for i in range(0, len(words), CHUNK):
+            j = min(len(words), i + CHUNK)
+            out[i:j] += np.add.reduceat(self.gram[grams[at[i] : at[j]]], at[i:j] - at[i], axis=0) / n[i:j, None].astype(np.float32)
+        return out
 
     def gates(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return x @ self.w["Wf"] + self.w["Bf"], x @ self.w["Wb"] + self.w["Bb"]

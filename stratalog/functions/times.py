@@ -58,7 +58,8 @@ def iso_ns(text: Column, tz: str = "UTC") -> Column:
     clean = F.regexp_replace(clean, r"([+-]\d\d)(\d\d)$", "$1:$2")
     zoned = clean.rlike(r"T.*(Z|z|[+-]\d\d:\d\d)$")
     iso = F.when(zoned, F.try_to_timestamp(F.upper(clean))).when(clean.rlike(r"^\d{4}-\d\d-\d\d(T\d\d:\d\d(:\d\d(\.\d+)?)?)?$"), F.try_to_timestamp(F.concat(F.when(clean.contains("T"), clean).otherwise(F.concat(clean, F.lit("T00:00"))), F.lit(tz if tz != "UTC" else "Z"))))
-    more = [F.try_to_timestamp(t, F.lit(p)) for p in ("dd/MMM/yyyy:HH:mm:ss xx", "EEE, d MMM yyyy HH:mm:ss xx")]
+    plain = F.regexp_replace(t, "^[A-Z][a-z]{2}, ", "")  # without a weekday
+    more = [F.try_to_timestamp(plain, F.lit(p)) for p in ("dd/MMM/yyyy:HH:mm:ss xx", "d MMM yyyy HH:mm:ss xx")]
     more += [F.try_to_timestamp(F.concat(t, F.lit(f" {tz}")), F.lit(f"{p} VV")) for p in ("yyyy/MM/dd HH:mm:ss", "d MMM yyyy HH:mm:ss", "MMM d yyyy HH:mm:ss")]
     return _nanos(F.coalesce(iso, *more))
 

@@ -82,7 +82,11 @@ def indicator_hits(rows: DataFrame, candidates: list[tuple[str, str, Column]], i
     norm = F.when(F.col("type") == "ip", ip_key(F.col("indicator"))).when(F.col("type") == "domain", F.regexp_replace(F.lower("indicator"), r"\.$", "")).otherwise(F.lower("indicator"))
     table = indicators.select(F.col("type").alias("__t"), norm.alias("__k"), F.struct("indicator", F.col("type").alias("ioc_type"), F.col("source").alias("ioc_source"), "confidence").alias("__hit")).where("__k is not null").groupBy("__t", "__k").agg(F.min("__hit").alias("__hit"))
     numbered = rows.withColumn("__row", F.struct(*(v.cast("string").alias(f"v{i}") for i, (_, _, v) in enumerate(candidates))))
-    tries = [F.transform(key[t](v), lambda k, j, i=i, t=t, m=m: F.struct((F.lit(1000 * i) + j).alias("order"), F.lit(t).alias("t"), k.alias("k"), F.lit(m).alias("matched_on"))) for i, (m, t, v) in enumerate(candidates)]
+
+    def attempts(i: int, matched_on: str, kind: str, value: Column) -> Column:
+        return F.transform(key[kind](value), lambda k, j: F.struct((F.lit(1000 * i) + j).alias("order"), F.lit(kind).alias("t"), k.alias("k"), F.lit(matched_on).alias("matched_on")))
+
+    tries = [attempts(i, *c) for i, c in enumerate(candidates)]
     distinct = numbered.select("__row", F.filter(F.concat(*(F.coalesce(x, F.array().cast("array<struct<order:int,t:string,k:string,matched_on:string>>")) for x in tries)), lambda x: x["k"].isNotNull()).alias("__tries")).groupBy("__row").agg(F.first("__tries").alias("__tries"))
     best = distinct.select("__row", F.explode("__tries").alias("x")).join(table, (F.col("x.t") == F.col("__t")) & (F.col("x.k") == F.col("__k"))).groupBy("__row").agg(F.min(F.struct("x.order", "x.matched_on", "__hit")).alias("b"))
     hit = F.when(F.col("b").isNotNull(), F.struct(F.lit(True).alias("matched"), F.col("b.__hit.indicator").alias("indicator"), F.col("b.__hit.ioc_type").alias("ioc_type"), F.col("b.__hit.ioc_source").alias("ioc_source"), F.col("b.__hit.confidence").alias("confidence"), F.col("b.matched_on").alias("matched_on")))

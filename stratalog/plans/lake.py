@@ -122,7 +122,7 @@ def unresolved(dead: DataFrame, resolved: DataFrame) -> DataFrame:
 
 def checked_sql(sql: str, strict: bool = False) -> str:
     """The statement, if it is one SELECT or WITH and nothing else."""
-    bare = re.sub(r"--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S).strip().rstrip(";").strip()
+    bare = re.sub(r"('(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`)|--[^\n]*|/\*.*?\*/", lambda m: m[1] or " ", sql, flags=re.S).strip().rstrip(";").strip()
     masked = re.sub(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`", "''", bare)
     if ";" in masked:
         raise ReadOnlyViolation("one statement at a time")

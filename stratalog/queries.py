@@ -579,3 +579,115 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {EV} SELECT 'fortigate_traffic' AS source_type, count(*)::BIGINT AS events, min((epoch_us(ts) // 1000000)) * 1000000000 AS first_time_ns, max((epoch_us(ts) // 1000000)) * 1000000000 AS last_time_ns, sum(sent + rcvd)::BIGINT AS total_bytes, count(DISTINCT src)::BIGINT AS distinct_src_ip FROM e HAVING count(*) > 0")
 def lines_to_stats(spark, d):
     return entry(spark, d)
+
+
+# ---- more sources -----------------------------------------------------------------------------------------------
+def _json_lines(spark, d, body: str) -> DataFrame:
+    """Lines of Zeek's JSON with the usual ids around a body."""
+    head = """concat('{"ts":', unix_seconds(ts), '.5,"uid":"C', event_id, '","id.orig_h":"', src, '","id.orig_p":', sport, ',"id.resp_h":"', dst, '","id.resp_p":', dport, ',', """
+    return _lines(_events(spark, d), F.expr(f"{head}{body}, '}}')"), "event_id")
+
+
+_ZEEK_SQL = "event_id AS id, NULL::VARCHAR AS reason, (epoch_us(ts) // 1000000) * 1000000000 + 500000000 AS time, 4::BIGINT AS category_uid, 1::BIGINT AS severity_id, NULL::BIGINT AS action_id, NULL::BIGINT AS bytes_in, NULL::BIGINT AS bytes_out"
+
+
+@query(f"WITH {EV} SELECT {_ZEEK_SQL}, {_CORE_SQL}, 4003::BIGINT AS class_uid, 2::BIGINT AS activity_id, 400302::BIGINT AS type_uid, 'zeek_dns' AS source_type, 'udp' AS protocol, event_type || '.example' AS host, ['NoError', 'NXDomain', 'Refused', NULL][k + 1] AS rcode, k::BIGINT AS rcode_id, 'IN' AS cls FROM e")
+def src_zeek_dns(spark, d):
+    body = """'"proto":"udp","query":"', event_type, '.example","qtype_name":"A","qclass_name":"C_INTERNET","rcode":', k, ',"rcode_name":"', elt(cast(k + 1 as int), 'NOERROR', 'NXDOMAIN', 'REFUSED', 'odd'), '","answers":["a","b"]'"""
+    return _source(_json_lines(spark, d, body), "zeek_dns", {"host": "query.hostname", "rcode": "rcode", "rcode_id": "rcode_id", "cls": "query.class"})
+
+
+@query(f"WITH {EV} SELECT {_ZEEK_SQL}, {_CORE_SQL}, 4002::BIGINT AS class_uid, [3, 6, 7, 99][k + 1]::BIGINT AS activity_id, 400200 + [3, 6, 7, 99][k + 1]::BIGINT AS type_uid, 'zeek_http' AS source_type, NULL::VARCHAR AS protocol, '/' || event_type AS path, 200 + k::BIGINT AS code, ['Get', 'Post', 'Put', 'Other'][k + 1] AS activity_name FROM e")
+def src_zeek_http(spark, d):
+    body = """'"method":"', elt(cast(k + 1 as int), 'GET', 'POST', 'PUT', 'PATCH'), '","host":"h","uri":"/', event_type, '","status_code":', 200 + k, ',"response_body_len":', rcvd"""
+    return _source(_json_lines(spark, d, body), "zeek_http", {"path": "http_request.url.path", "code": "http_response.code", "activity_name": "activity_name"})
+
+
+@query(f"WITH {EV} SELECT event_id AS id, NULL::VARCHAR AS reason, (epoch_us(ts) // 1000000) * 1000000000 AS time, 4001::BIGINT AS class_uid, 4::BIGINT AS category_uid, [1, 6, 2, 6][k + 1]::BIGINT AS activity_id, 400100 + [1, 6, 2, 6][k + 1]::BIGINT AS type_uid, 1::BIGINT AS severity_id, 'suricata_eve_flow' AS source_type, {_CORE_SQL}, 'udp' AS protocol, 1::BIGINT AS action_id, rcvd::BIGINT AS bytes_in, sent AS bytes_out, '1b' AS flags FROM e")
+def src_suricata_flow(spark, d):
+    line = F.expr("""concat('{"timestamp":"', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), '+0000","event_type":"flow","src_ip":"', src, '","src_port":', sport, ',"dest_ip":"', dst, '","dest_port":', dport, ',"proto":"UDP","flow":{"state":"', elt(cast(k + 1 as int), 'new', 'established', 'closed', 'odd'), '","bytes_toserver":', sent, ',"bytes_toclient":', rcvd, '},"tcp":{"tcp_flags":"1b"}}')""")
+    return _source(_lines(_events(spark, d), line, "event_id"), "suricata_eve_flow", {"flags": "connection_info.tcp_flags"})
+
+
+# ---- more of the lake -------------------------------------------------------------------------------------------
+@query("SELECT strftime(ts, '%Y-%m-%d') AS date, 'fortigate_traffic' AS source_type, count(*)::BIGINT AS n FROM events GROUP BY 1")
+def silver_partition_counts(spark, d):
+    n = normalize.normalized(fortigate_lines(spark, d), only("fortigate_traffic"), F.lit("2026-11-26").cast("timestamp"))
+    return lake.silver(n).groupBy("date", "source_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {EV} SELECT event_id AS id, CASE WHEN k = 3 THEN 'invalid_ip' END AS reason, CASE WHEN k = 3 THEN '-' END AS src FROM e WHERE k = 3")
+def dlq_rows(spark, d):
+    _, dead = validate.routed(normalize.normalized(vpc_lines(spark, d), only("aws_vpc_flow"), F.lit("2026-11-26").cast("timestamp")))
+    return dead.select(F.substring("event_uid", 2, 20).cast("bigint").alias("id"), "reason", F.get_json_object("detail", "$.parsed_fields.srcaddr").alias("src"))
+
+
+@query(f"WITH {EV} SELECT event_id AS id, 'Outbound' AS direction, 2::BIGINT AS direction_id, 'edge-nat-pool' AS dst_zone FROM e")
+def enrich_promote(spark, d):
+    n = normalize.normalized(fortigate_lines(spark, d), only("fortigate_traffic"), F.lit("2026-11-26").cast("timestamp"))
+    out = enrich.enriched(n)
+    return out.select("id", F.col("ocsf.connection_info.direction").alias("direction"), F.col("ocsf.connection_info.direction_id").alias("direction_id"), F.col("enrichment.dst.zone").alias("dst_zone"))
+
+
+@query(f"WITH {EV} SELECT event_id AS id, 'Intrusion_Detection' AS model, ['allowed', 'blocked', 'blocked', 'unknown'][k + 1] AS action, 'ET SCAN ' || event_type || ' sweep' AS signature, 'ids,attack' AS tags FROM e")
+def cim_ids(spark, d):
+    n = normalize.normalized(suricata_lines(spark, d), only("suricata_eve_alert"), F.lit("2026-11-26").cast("timestamp"))
+    return n.select("id", crosswalk.cim().alias("x")).select("id", F.col("x.datamodel").alias("model"), F.col("x.action").alias("action"), F.col("x.signature").alias("signature"), F.array_join("x.tags", ",").alias("tags"))
+
+
+@query("SELECT event_id AS id, [4, 4, 4, 6][event_id % 4 + 1]::BIGINT AS version, event_id % 4 = 0 AS private, event_id % 4 = 1 AS loopback_or_multicast, event_id % 4 >= 2 AS is_global FROM events")
+def ip_flags(spark, d):
+    ip = F.expr("elt(cast(event_id % 4 + 1 as int), '192.168.3.4', '127.0.0.1', '198.51.100.7', '2001:db8::9')")
+    k = net.flags(net.ip_key(ip))
+    return table(spark, d, "events").select(F.col("event_id").alias("id"), k["ip_version"].cast("bigint").alias("version"), (k["is_private"] & ~k["is_loopback"]).alias("private"), (k["is_loopback"] | k["is_multicast"]).alias("loopback_or_multicast"), k["is_global"].alias("is_global"))
+
+
+@query("SELECT event_id AS id, event_id % 2 = 0 AS hit, event_id % 2 = 1 AS other FROM events")
+def detect_field_equals(spark, d):
+    text = F.expr("case when event_id % 2 = 0 then concat('{\"event_type\":\"alert\",\"n\":', event_id, '}') else concat('<9>kind=x n=', event_id, ' z=1') end")
+    rows = table(spark, d, "events").select(F.col("event_id").alias("id"), text.alias("t"))
+    rows = rows.withColumn("payload", decode.envelope(F.col("t"))["message"]).withColumn("kind", decode.sniff_layered(F.col("t"))["inner"])
+    rule = lambda n, v: detector({"field_equals": {"name": n, "value": v}}, F.col("t"))
+    return rows.select("id", rule("event_type", "alert").alias("hit"), rule("kind", "x").alias("other"))
+
+
+# ---- streams (rows only) ----------------------------------------------------------------------------------------
+def _streamed(spark, d, make) -> DataFrame:
+    """What a bounded stream over events gives, once it has read all of them."""
+    import uuid
+
+    name = f"s{uuid.uuid4().hex}"
+    source = spark.readStream.schema(spark.read.parquet(f"{d}/events.parquet").schema).format("parquet").option("pathGlobFilter", "*.parquet").load(f"{d}/events.parquet*")
+    rows = source.withColumn("ts", F.col("ts").cast("timestamp"))
+    out = make(rows)
+    q = out.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table(name)
+
+
+@query()
+def stream_dedup(spark, d):
+    from stratalog.streaming.ingest import deduplicated
+
+    return _streamed(spark, d, lambda e: deduplicated(e, "ts", "event_id").select("event_id"))
+
+
+@query()
+def stream_tumbling(spark, d):
+    from stratalog.streaming.ingest import tumbling
+
+    return _streamed(spark, d, lambda e: tumbling(e, "ts", "1 hour", "event_type").select("w.start", "event_type", "n"))
+
+
+@query()
+def stream_sliding(spark, d):
+    from stratalog.streaming.ingest import tumbling
+
+    return _streamed(spark, d, lambda e: tumbling(e, "ts", "1 hour", "event_type", slide="30 minutes").select("w.start", "event_type", "n"))
+
+
+@query()
+def stream_session(spark, d):
+    from stratalog.streaming.ingest import sessions
+
+    return _streamed(spark, d, lambda e: sessions(e, "ts", "10 minutes", "user_id").select("w.start", "user_id", "n"))

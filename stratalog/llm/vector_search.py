@@ -8,7 +8,8 @@ significant slice downward, keeping the rows surely in and those still tied, and
 ids, which lie first in the block. Blocks then merge their few best rows. All rows are indexed and all are scored.
 
 Defined results: null vectors and vectors with null or non-finite components take no part, as queries and as
-candidates; neither do rows with a null id. A row is no candidate for its own id, nor are repeats of the id. Vectors of
+candidates; neither do rows with a null id. A row is no candidate for its own id, nor are repeats of the id; of repeats the
+least vector asks. Vectors of
 other lengths count as filled up with zeros. Fewer candidates than k give fewer rows.
 """
 
@@ -152,7 +153,7 @@ def top_k(vectors: DataFrame, every: int = QUERY_EVERY, k: int = TOP, block: int
     blocks, chunks = max(1, -(-count // block)), max(1, -(-count // (every * chunk)))
     spread = F.xxhash64("id")
     indexed = rows.select(F.pmod(spread, F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), F.lit(0).alias("kind"), "id", "q")
-    asked = rows.where(F.col("id") % every == 0).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(spread, F.lit(chunks)).cast("int").alias("chunk"), F.lit(1).alias("kind"), "id", "q")
+    asked = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("q").alias("q")).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(spread, F.lit(chunks)).cast("int").alias("chunk"), F.lit(1).alias("kind"), "id", "q")
 
     def search(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         kind = np.array(table.column("kind").to_pylist())

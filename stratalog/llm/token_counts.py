@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from stratalog.llm._pretokens import CACHE_CHARS, Lengths, byte_pieces, encoder, kept, readable, sentence_pieces
 
-#: Documents sampled for the broadcast table, and its entries: at most 32768 of 64 characters, under 10 MB.
-SAMPLE_ROWS, HOT_ENTRIES = 2_000, 32_768
+#: Documents sampled for the broadcast table and their longest text (20 MB in all at most), and the table's entries of
+#: at most 64 characters, under 10 MB.
+SAMPLE_ROWS, SAMPLE_BYTES, HOT_ENTRIES = 1_000, 20_000, 32_768
 LIMIT = 4096
 
 
@@ -28,21 +29,12 @@ def _pieces(path: str):
 
 
 def frequent_lengths(docs: DataFrame, path: str, sample_rows: int = SAMPLE_ROWS, entries: int = HOT_ENTRIES) -> dict[str, int]:
-    """The most frequent pre-tokens of the first sample_rows documents, with their number of tokens."""
-    cut = _pieces(path)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for body in batch.column(0).to_pylist():
-                seen.update(x for x in cut(readable(body)) if len(x) <= CACHE_CHARS)
-                if len(seen) > 16 * entries:
-                    seen = Counter(dict(seen.most_common(4 * entries)))
-        yield pa.RecordBatch.from_pydict({"piece": pa.array([k for k, _ in seen.most_common(entries)], pa.string())})
-
-    sample = docs.select(F.col("text").cast("binary").alias("body")).limit(sample_rows)
-    encode = encoder(path)
-    return {r.piece: len(encode(r.piece)) for r in sample.coalesce(1).mapInArrow(count, "piece string").limit(entries).collect()}
+    """The most frequent pre-tokens of sample_rows documents, with their number of tokens."""
+    cut, encode, seen = _pieces(path), encoder(path), Counter()
+    short = docs.select(F.col("text").cast("binary").alias("body")).where(F.octet_length("body") <= SAMPLE_BYTES)
+    for row in short.limit(sample_rows).collect():
+        seen.update(x for x in cut(readable(bytes(row.body))) if len(x) <= CACHE_CHARS)
+    return {x: len(encode(x)) for x, _ in seen.most_common(entries)}
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -1,11 +1,11 @@
 """Benchmark decontamination by SimHash over item-sized windows, in DataFrame functions alone.
 
 A document window has as many words as a benchmark item. A window whose weighted 5-word shingles are 80 % similar to the
-item's can miss only a few of them, so of one more than that few, chosen around the item's longest words, it must hold at
-least one. Documents are searched for those shingles, and every window that contains one gets a SimHash. The 64-bit
-fingerprints of windows and items meet in a multi-index: cut into RADIUS + 1 blocks, two fingerprints within RADIUS
-agree in at least one block, whatever it is. Candidates within the radius are then verified by the exact weighted
-similarity (shared shingle occurrences over all).
+item's can miss only a few of them (a fifth, if the window is a document shorter than the item), so of one more than that
+few, chosen around the item's longest words, it must hold at least one. Documents are searched for those shingles, and
+every window that contains one gets a SimHash. The 64-bit fingerprints of windows and items meet in a multi-index: cut
+into RADIUS + 1 blocks, two fingerprints within RADIUS agree in at least one block, whatever it is. Candidates within the
+radius are then verified by the exact weighted similarity (shared shingle occurrences over all).
 
 The anchors are broadcast in slices of a bounded size; a larger benchmark takes more passes over the documents.
 
@@ -51,7 +51,8 @@ def items(benchmark: DataFrame) -> DataFrame:
 def anchors(of: DataFrame) -> DataFrame:
     """Of each item one shingle more than a similar window can miss, those with the longest words: word, its offset, the shingle's words."""
     n = F.size("hashes")
-    missed = n - F.ceil(F.lit(2 * PERCENT) * n / F.lit(100 + PERCENT)).cast("int")
+    # the bound for windows of any size up to the item's: all of a shorter one can be shared
+    missed = n - F.floor((F.lit(PERCENT) * n + 99) / F.lit(100)).cast("int")
     each = F.transform(
         F.sequence(F.lit(1), n),
         lambda i: F.struct(

@@ -11,7 +11,8 @@ The anchors are broadcast in slices of a bounded size; a larger benchmark takes
 
 Defined results: words are lower-cased runs between ASCII white space. An item of fewer than five words is one shingle;
 an item without words matches nothing. A document shorter than an item is one window. Null texts match nothing; null
-ids are kept. Repeated rows of a document or item give one row per pair of ids.
+ids are kept. Rows that repeat an id with other texts, or have none, are searched each by itself. Repeated rows of a
+document or item give one row per pair of ids.
 """
 
 from __future__ import annotations
@@ -93,22 +94,22 @@ def _shared(a: Column, b: Column) -> Column:
 
 
 def _windows(text: DataFrame, at: DataFrame) -> DataFrame:
-    """Distinct windows of documents around the anchors' shingles: doc_id, size, start, hashes."""
-    here = text.select("doc_id", "w", F.posexplode("w").alias("place", "word"))
+    """Distinct windows of documents around the anchors' shingles: doc_id, row, size, start, hashes."""
+    here = text.select("doc_id", "row", "w", F.posexplode("w").alias("place", "word"))
     start = F.col("place") - F.col("offset")
     hits = here.join(F.broadcast(at), "word").where((start >= 0) & (F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("k")) == F.col("shingle")))
     length = F.size("w")
     first, last = F.greatest(F.lit(0), start + F.col("k") - F.col("size")), F.greatest(F.lit(0), F.least(start, length - F.col("size")))
     # of the document only what the windows cover
-    near = hits.select("doc_id", "size", "k", F.least(first, last).alias("first"), last.alias("last"), F.slice("w", F.least(first, last) + 1, last - F.least(first, last) + F.col("size")).alias("part"))
-    near = near.select("doc_id", "size", "k", "first", "last", _shingles(F.col("part"), F.col("k")).alias("all"))
-    each = near.select("doc_id", "size", "k", "first", "all", F.explode(F.sequence("first", "last")).alias("start"))
-    return each.groupBy("doc_id", "size", "start").agg(F.first(F.slice("all", F.col("start") - F.col("first") + 1, F.col("size") - F.col("k") + 1)).alias("hashes")).where(F.size("hashes") > 0)
+    near = hits.select("doc_id", "row", "size", "k", F.least(first, last).alias("first"), last.alias("last"), F.slice("w", F.least(first, last) + 1, last - F.least(first, last) + F.col("size")).alias("part"))
+    near = near.select("doc_id", "row", "size", "k", "first", "last", _shingles(F.col("part"), F.col("k")).alias("all"))
+    each = near.select("doc_id", "row", "size", "k", "first", "all", F.explode(F.sequence("first", "last")).alias("start"))
+    return each.groupBy("doc_id", "row", "size", "start").agg(F.first(F.slice("all", F.col("start") - F.col("first") + 1, F.col("size") - F.col("k") + 1)).alias("hashes")).where(F.size("hashes") > 0)
 
 
 def _pairs(text: DataFrame, of: DataFrame, at: DataFrame) -> DataFrame:
     windows = _windows(text, at)
-    keys = ["doc_id", "size", "start"]
+    keys = ["doc_id", "row", "size", "start"]
     printed = _fingerprints(windows, [*keys, "hashes"]).select(*keys, "hashes", "print", _blocks().alias("b")).select(*keys, "hashes", "print", "b.*")
     of = _fingerprints(of.select("item_id", "size", "hashes"), ["item_id", "size", "hashes"])
     of = of.select("item_id", "size", F.col("hashes").alias("item_hashes"), F.col("print").alias("item_print"), _blocks().alias("b")).select("item_id", "size", "item_hashes", "item_print", "b.*")
@@ -117,18 +118,28 @@ def _pairs(text: DataFrame, of: DataFrame, at: DataFrame) -> DataFrame:
     first = F.least(*(F.when(differ.bitwiseAND(F.lit(m)) == 0, F.lit(i)).otherwise(F.lit(RADIUS + 1)) for i, m in enumerate(_block_masks())))
     met = printed.join(F.broadcast(of), ["size", "block", "value"]).where((F.bit_count(differ) <= RADIUS) & (first == F.col("block")))
     both = _shared(F.col("hashes"), F.col("item_hashes"))
-    scored = met.select("doc_id", "item_id", "start", "size", (both / (F.size("hashes") + F.size("item_hashes") - both)).alias("similarity"))
+    scored = met.select("doc_id", "row", "item_id", "start", "size", (both / (F.size("hashes") + F.size("item_hashes") - both)).alias("similarity"))
     return scored.where(F.col("similarity") >= PERCENT / 100)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, start_word, n_words, similarity of the best window of each document and benchmark item that are similar."""
+def row_key() -> Column:
+    """Tells rows with the same id, or with none, apart by their texts."""
+    return F.xxhash64("text")
+
+
+def _similar(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, row, item_id, start, size, similarity of the windows that are similar to an item."""
     of = items(benchmark)
-    text = docs.select("doc_id", words("text").alias("w")).where(F.col("w")[0] != "")
+    text = docs.select("doc_id", row_key().alias("row"), words("text").alias("w")).where(F.col("w")[0] != "")
     slices = -(-of.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0] // SLICE) or 1
     found = []
     for i in range(slices):
         own = of if slices == 1 else of.where(F.pmod(F.xxhash64("item_id", "w"), F.lit(slices)) == i)
         found.append(_pairs(text, own, anchors(own)))
+    return reduce(DataFrame.union, found)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, start_word, n_words, similarity of the best window of each document and benchmark item that are similar."""
     best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "size")).alias("best")
-    return reduce(DataFrame.union, found).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.before")).alias("start_word"), F.col("best.size").alias("n_words"), F.col("best.similarity").alias("similarity"))
+    return _similar(docs, benchmark).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.before")).alias("start_word"), F.col("best.size").alias("n_words"), F.col("best.similarity").alias("similarity"))

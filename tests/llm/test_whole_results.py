@@ -29,3 +29,13 @@ def test_decontamination_finds_every_similar_truncation(spark):
     lost = sorted(set(want) - set(got))
     assert not lost, (len(lost), len(want), [(k, len(items[k]), want[i, k]) for i, k in lost[:20]])
     assert all(got[p] == want[p] for p in want)
+
+
+def test_decontamination_keeps_rows_of_one_id_apart(spark):
+    item = [f"w{i}" + "long" * (i in (18, 19, 20)) for i in range(40)]
+    near = " ".join(item[:-2])
+    decoys = [" ".join([*(f"x{k}y{i}" for i in range(k)), *item[10:28]]) for k in range(6)]
+    ids = [*range(20), None]
+    docs = [(i, t) for i in ids for t in (*decoys[:3], near, *decoys[3:])]
+    got = decontamination.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.item_id, r.start_word) for r in got) == sorted((-1 if i is None else i, 1, 0) for i in ids)

@@ -1,7 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word enters as the sum of its own hashed embedding and the mean of those of its character n-grams, so that unseen
-inflections of a known stem are known too. Two gated recurrent layers read a window of words in both directions, an
+inflections of a known stem are known too. A word of more than 62 characters, as in text without spaces, enters as several
+parts, which overlap so that each of its n-grams is in one. Two gated recurrent layers read a window of words in both directions, an
 attention layer pools their states, and a logistic unit scores the window. All overlapping windows of a text are
 scored; the text's score is its highest window's.
 
@@ -44,9 +45,27 @@ CHECKED = 5
 CHUNK = 16_384
 #: Entries of a worker's vocabulary.
 VOCABULARY = 200_000
+#: Characters of a word or of a part, with its marks; parts share so many that no n-gram is lost between them.
+PART, SHARED = 64, GRAMS[-1] - 1
 _EDGE = ".,;:!?|%&$*#()[]{}<>\"'`~^_=+/\\-"
 
 
+def _marked(word: str) -> str:
+    return f"<{word.lower().strip(_EDGE) or '_'}>"
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text; one too long for a part as its parts, each behind a space, which no word has."""
+    words = text.split()
+    if max(map(len, words), default=0) * 2 < PART - 2:  # lower case has at most twice the characters
+        return words
+    out = []
+    for w in words:
+        m = _marked(w) if len(w) * 2 >= PART - 2 else ""
+        out += [f" {m[i : i + PART]}" for i in range(0, len(m) - SHARED, PART - SHARED)] if len(m) > PART else [w]
+    return out
+
+
 class Features:
     """Rows of distinct words in the two embedding tables; the n-grams of word i are grams[at[i]:at[i + 1]]."""
 
@@ -58,7 +77,7 @@ class Features:
     @staticmethod
     def _some(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word rows, n-gram rows and n-gram counts."""
-        marked = [f"<{w.lower().strip(_EDGE)[:62] or '_'}>" for w in words]
+        marked = [w[1:] if w[0] == " " else _marked(w) for w in words]
         sizes = np.fromiter(map(len, marked), np.int64, len(marked))
         code = np.frombuffer("".join(marked).encode("utf-32-le", "replace"), "<u4").astype(np.uint64) * ROLL_A
         begin = np.cumsum(sizes) - sizes
@@ -209,7 +228,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 1, epochs: int = EPOCH
         seen[y] += 1
         if seen[y] % CHECKED == 0:
             checked.append((t, y))
-        elif words := t.split():
+        elif words := words_of(t):
             ids.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words)))
             fitted.append(y)
     label = np.array(fitted, np.float32)
@@ -321,7 +340,7 @@ class Scorer:
         """The highest window's probability of each text."""
         out, part, held = np.zeros(len(texts)), [], 0
         for i, t in enumerate(texts):
-            words = t.split()
+            words = words_of(t)
             if words:
                 part.append((i, words))
                 held += len(words)

@@ -2,7 +2,9 @@
 
 from collections import Counter
 
-from stratalog.llm import decontamination
+import numpy as np
+
+from stratalog.llm import decontamination, toxicity
 
 DOCS = "doc_id long, text string"
 
@@ -39,3 +41,27 @@ def test_decontamination_keeps_rows_of_one_id_apart(spark):
     docs = [(i, t) for i in ids for t in (*decoys[:3], near, *decoys[3:])]
     got = decontamination.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.item_id, r.start_word) for r in got) == sorted((-1 if i is None else i, 1, 0) for i in ids)
+
+
+def test_toxicity_sees_long_words_whole(spark):
+    body = "".join(chr(0x4E00 + 7 * i % 5000) for i in range(700))
+    for text in (body, body[:61], body[:62], body[:63], body[:124], "İ" * 40, "short, words. " * 9, "a" * 200 + " b " + "_" * 99):
+        want = set()
+        for w in text.split():
+            m = f"<{w.lower().strip(toxicity._EDGE) or '_'}>"
+            want |= set(toxicity.Features([f" {m[i : i + n]}" for n in toxicity.GRAMS for i in range(len(m) - n + 1)]).grams)
+        assert set(toxicity.Features(toxicity.words_of(text)).grams) == want
+    assert toxicity.words_of("a b\tc") == ["a", "b", "c"] and toxicity.words_of(" \n") == []
+    score = toxicity.Scorer(toxicity.Network(1))
+    assert len(set(score([body, body[:500] + "x", body[:62] + "other"]))) == 3
+
+
+def test_toxicity_learns_from_the_end_of_unspaced_texts(spark):
+    rng = np.random.default_rng(4)
+    stems = [f"{a}{b}" for a in ("tion", "ere", "ouv", "mal", "str") for b in ("an", "el", "ith", "or", "us", "em")]
+    texts, toxic = [], []
+    for i in range(500):
+        toxic.append(int(i % 3 == 0))
+        texts.append("".join([*rng.choice(stems, 40), *["vilevile"] * toxic[-1], *rng.choice(stems, 3)]))
+    scores = toxicity.Scorer(toxicity.train(texts[:400], toxic[:400]))(texts[400:])
+    assert np.mean((scores >= 0.5) == toxic[400:]) > 0.93

@@ -3,22 +3,27 @@
 A word enters as the sum of its own hashed embedding and the mean of those of its character n-grams, so that unseen
 inflections of a known stem are known too. A word of more than 62 characters, as in text without spaces, enters as several
 parts, which overlap so that each of its n-grams is in one. Two gated recurrent layers read a window of words in both directions, an
-attention layer pools their states, and a logistic unit scores the window. All overlapping windows of a text are
-scored; the text's score is its highest window's.
+attention layer pools their states, and a logistic unit scores the window. Windows of SPAN words begin at every STRIDE-th
+word, so that each overlaps half of the next and any SPAN - STRIDE + 1 neighbours lie together in one; all of them are
+scored, and the text's score is its highest window's.
 
 Training: labels say only that a document is toxic, not where. Each epoch scores all windows of the training sample,
 takes of a toxic document its highest window and of others their highest ones and one more, and fits those with Adam.
 The first embedding component starts from smoothed log-odds of the hashed features, so the first choice isn't blind.
 The sample is bounded (TRAIN_TOXIC, TRAIN_CLEAN documents of at most TRAIN_CHARS characters, by a hash order of ids);
-rows whose crc32(doc_id) is divisible by 5 are held out. Scores see nothing but the text.
+rows whose crc32(doc_id) is divisible by 5 are held out. Scores see nothing but the text. One task fits the network, so
+that a lost executor only repeats it; the driver sees nothing but the weights, some 7 MB whatever the input.
 
 Defined results: a null or empty text, or one of white space, scores 0; so does every text where the labels do not hold
 both classes. A null id is held out of training and reported as not held out. Several labels of a document count as
-the highest; each row of docs gives a row.
+the highest; each row of docs gives a row, rows that repeat an id or a text included, and an empty table none. Texts of
+any length are scored whole. Other columns, whatever their names, play no part in toxicity(), and without_toxic() gives
+them back as they are.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +37,7 @@ from stratalog.llm._words import ROLL_A, ROLL_B, mix
 #: The training sample's bounds.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1_200, 3_000, 10_000
 #: Words of a window and from one window to the next.
-SPAN, STRIDE = 32, 24
+SPAN, STRIDE = 32, 16
 GRAMS = (3, 4, 5)
 WORD_ROWS, GRAM_ROWS, INPUT, HIDDEN, ATTEND = 1 << 16, 1 << 16, 12, 12, 8
 EPOCHS, BATCH, RATE = 5, 256, 0.005
@@ -308,7 +313,7 @@ def _calibrate(net: Network, texts: list[str], toxic: np.ndarray) -> None:
     net.w["c"] -= np.float32((edge(best[0])[0] + edge(best[-1])[1]) / 2)
 
 
-def score_windows(net: Network, gates: tuple[np.ndarray, np.ndarray], at: np.ndarray, mask: np.ndarray, batch: int = 2048) -> np.ndarray:
+def score_windows(net: Network, gates: tuple[np.ndarray, np.ndarray], at: np.ndarray, mask: np.ndarray, batch: int = 256) -> np.ndarray:
     out = np.empty(len(at), np.float32)
     for a in range(0, len(at), batch):
         out[a : a + batch] = net.forward(*gates, at[a : a + batch], mask[a : a + batch])
@@ -367,18 +372,27 @@ def held_out(doc_id: str = "doc_id"):
 def training_sample(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, clean: int = TRAIN_CLEAN, chars: int = TRAIN_CHARS) -> DataFrame:
     """(text, toxic) of at most so many documents of either class, none of them held out."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out()).groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    near = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text")).where(F.length("text") <= chars)
+    # only documents that can be taken count towards the bounds
+    known = known.join(near.select("id"), "id", "left_semi")
     order = F.xxhash64("id")
     ids = known.where("toxic = 1").orderBy(order).limit(toxic).union(known.where("toxic = 0").orderBy(order).limit(clean))
     # at most toxic + clean rows
-    near = docs.select(F.col("doc_id").cast("long").alias("id"), F.substring("text", 1, chars + 1).alias("text"), F.length("text").alias("n")).where(F.col("n") <= chars)
     text = near.join(F.broadcast(ids), "id")
     one = Window.partitionBy("id").orderBy("text")
     return text.withColumn("k", F.row_number().over(one)).where("k = 1").select("id", "text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
-    rows = sorted(training_sample(docs, labels).collect())
-    return train([r.text for r in rows], [r.toxic for r in rows])
+    """The network of the bounded sample, fitted by one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(x for b in batches for x in zip(*(b.column(c).to_pylist() for c in ("id", "text", "toxic")), strict=True))
+        net = train([t for _, t, _ in rows], [y for _, _, y in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
+
+    found = training_sample(docs, labels).repartition(1).mapInArrow(run, "net binary").first()
+    return pickle.loads(found.net) if found else None
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratalog.operators import integrity
 from stratalog.operators.definition import Definition
 from stratalog.operators.enrich import enriched
 from stratalog.operators.normalize import normalized
@@ -18,14 +19,23 @@ def process(lines: DataFrame, definitions: list[Definition], reference: Column |
     return enriched(good, indicators), dead
 
 
-def ingest(lines: DataFrame, definitions: list[Definition], root: str, reference: Column | None = None) -> None:
-    """Evidence first, then events and dead letters; a failing definition never loses a line."""
+def ingest(lines: DataFrame, definitions: list[Definition], root: str, reference: Column | None = None, seed: bytes | None = None) -> None:
+    """Evidence first, sealed if there is a key to sign with, then events and dead letters; a failing definition never loses a line."""
     lake.write_bronze(lines, f"{root}/bronze")
+    if seed:
+        integrity.seal(lines.sparkSession, lake.bronze(lines), root, seed)
     events, dead = process(lake.bronze(lines), definitions, reference)
     lake.write_silver(events, f"{root}/silver")
     dead.withColumn("date", lake.date_of_ns(F.col("ts_ns"))).write.mode("append").partitionBy("date").json(f"{root}/deadletters")
 
 
+def verify(spark: SparkSession, root: str, public: bytes | None = None) -> tuple[tuple[int, str] | None, DataFrame]:
+    """The ledger's first fault, None if its chain is sound, and (event_uid, seq, leaf_index, reason) of each piece of evidence."""
+    ledger = integrity.read_ledger(spark, root)
+    fault = integrity.first_fault(integrity.verify_chain(ledger, public))
+    return fault, integrity.verify_events(lake.read_bronze(spark, f"{root}/bronze"), integrity.read_index(spark, root), ledger)
+
+
 def version_rank(version: Column) -> Column:
     """Order of log versions: plain ones first, then reprocessed ones by their time stamp."""
     return F.coalesce(F.regexp_extract(version, r"\+reprocess-(\d+)", 1), F.lit(""))

@@ -454,10 +454,15 @@ def _batched(spark, d, size: int) -> DataFrame:
     return integrity.batches(integrity.numbered(e, ["event_uid"]), "ordinal", size)
 
 
-_MERKLE = """WITH RECURSIVE l0 AS (SELECT (row_number() OVER (ORDER BY event_id) - 1) AS o, sha256(event_id::VARCHAR || '|' || event_type) AS h FROM events),
-n AS (SELECT o // 8 AS seq, o % 8 AS i, h, count(*) OVER (PARTITION BY o // 8) AS c FROM l0),
-t(seq, i, h, c, cnt) AS (SELECT seq, i, h, c, c FROM n UNION ALL
-  SELECT a.seq, a.i // 2, sha256(unhex(a.h || coalesce(b.h, a.h))), (a.c + 1) // 2, a.cnt FROM t a LEFT JOIN t b ON a.seq = b.seq AND b.i = a.i + 1 AND a.c = b.c WHERE a.i % 2 = 0 AND a.c > 1)"""
+def _chain_sql(size: int) -> str:
+    """Batches' roots level by level, then the chain over them."""
+    return f"""WITH RECURSIVE l AS (SELECT (row_number() OVER (ORDER BY event_id) - 1) AS o, sha256(event_id::VARCHAR || '|' || event_type) AS h FROM events),
+t(seq, x, n) AS (SELECT o // {size}, list(h ORDER BY o), count(*) FROM l GROUP BY 1
+  UNION ALL SELECT seq, list_transform(range(0, (len(x) + 1) // 2), lambda i: sha256(unhex(x[2 * i + 1] || coalesce(x[2 * i + 2], x[2 * i + 1])))), n FROM t WHERE len(x) > 1),
+b AS (SELECT seq, n, x[1] AS root FROM t WHERE len(x) = 1),
+c(seq, n, root, prev, chained) AS (SELECT seq, n, root, repeat('00', 32), sha256(unhex(repeat('00', 32) || root)) FROM b WHERE seq = 0
+  UNION ALL SELECT b.seq, b.n, b.root, c.chained, sha256(unhex(c.chained || b.root)) FROM c JOIN b ON b.seq = c.seq + 1)
+SELECT seq::BIGINT AS seq, n::BIGINT AS leaf_count, """
 
 
 @query("""WITH l AS (SELECT (row_number() OVER (ORDER BY event_id) - 1) AS o, sha256(event_id::VARCHAR || '|' || event_type) AS h FROM events),
@@ -468,9 +473,17 @@ def merkle_root_batches(spark, d):
     return integrity.sealed(_batched(spark, d, 4), size=4)
 
 
-@query()
+@query(_chain_sql(100) + "root AS batch_root, prev AS prev_chained_root, chained AS chained_root, NULL::VARCHAR AS reason FROM c")
 def chain_fold(spark, d):
-    return integrity.verify_chain(integrity.chained(integrity.sealed(_batched(spark, d, 100), size=100)))
+    return integrity.verify_chain(integrity.chained(integrity.sealed(_batched(spark, d, 100), size=100))).drop("signature")
+
+
+@query(_chain_sql(100) + "CASE seq WHEN 3 THEN repeat('00', 32) ELSE root END AS batch_root, CASE seq WHEN 6 THEN repeat('00', 32) ELSE prev END AS prev_chained_root, chained AS chained_root, CASE seq WHEN 3 THEN 'root' WHEN 6 THEN 'link' WHEN 9 THEN 'sequence' END AS reason FROM c WHERE seq <> 8")
+def verify_chain_lag(spark, d):
+    """A chain with a changed root, a changed link and a lost entry."""
+    c = integrity.chained(integrity.sealed(_batched(spark, d, 100), size=100)).drop("signature").where("seq <> 8")
+    changed = lambda name, seq: F.when(F.col("seq") == seq, integrity.GENESIS).otherwise(F.col(name))
+    return integrity.verify_chain(c.withColumn("batch_root", changed("batch_root", 3)).withColumn("prev_chained_root", changed("prev_chained_root", 6)))
 
 
 @query("WITH o AS (SELECT (row_number() OVER (ORDER BY event_id) - 1) AS o, count(*) OVER () AS n FROM events), b AS (SELECT o // 100 AS seq, o % 100 AS i, least(100, n - (o // 100) * 100) AS c FROM o) SELECT seq, i::BIGINT AS leaf_index, ceil(log2(c))::BIGINT AS steps, true AS proved FROM b")

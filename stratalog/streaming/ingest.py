@@ -14,8 +14,8 @@ def line_stream(spark: SparkSession, folder: str, per_trigger: int = 1000) -> Da
     return spark.readStream.format("text").option("maxFilesPerTrigger", per_trigger).load(folder).where("trim(value) <> ''")
 
 
-def start(lines: DataFrame, registry: Registry, root: str, checkpoint: str, uid=None, interval: str | None = None):
-    """Starts the ingest of a stream (value). Definitions are reloaded between batches; a bad file keeps the former ones."""
+def start(lines: DataFrame, registry: Registry, root: str, checkpoint: str, uid=None, interval: str | None = None, seed: bytes | None = None):
+    """Starts the ingest of a stream (value), sealed if there is a key. Definitions are reloaded between batches; a bad file keeps the former ones."""
     stamp = F.unix_micros(F.current_timestamp()) * 1000
     uid = F.expr("uuid()") if uid is None else uid
 
@@ -24,7 +24,7 @@ def start(lines: DataFrame, registry: Registry, root: str, checkpoint: str, uid=
             registry.reload()
         rows = batch.select(uid.alias("event_uid"), F.col("value").cast("binary").alias("raw"), stamp.alias("ingest_time_ns"), F.lit("stream").alias("source_id")).persist()
         try:
-            jobs.ingest(rows, registry.definitions, root)
+            jobs.ingest(rows, registry.definitions, root, seed=seed)
         finally:
             rows.unpersist()
 

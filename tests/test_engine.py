@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stratalog.functions import net, times
+from stratalog.functions import ed25519, net, times
 from stratalog.operators import decode, export, integrity, normalize, validate
 from stratalog.operators.definition import DefinitionError, Registry, read
 from stratalog.operators.engines import compile_engine, expand_grok, lint_grok
@@ -141,7 +141,7 @@ def test_merkle_and_chain(spark):
     n = 23
     rows = spark.createDataFrame([(i, hashlib.sha256(str(i).encode()).hexdigest()) for i in range(n)], "event_uid long, raw_hash string")
     b = integrity.batches(integrity.numbered(rows, ["event_uid"]), "ordinal", 7).cache()
-    ledger = integrity.chained(integrity.sealed(b, size=7)).orderBy("seq").collect()
+    ledger = integrity.chained(integrity.sealed(b, size=7)).drop("signature").orderBy("seq").collect()
     prev = bytes(32)
     for r in ledger:
         own = root([hashlib.sha256(str(i).encode()).digest() for i in range(7 * r.seq, min(n, 7 * r.seq + 7))])
@@ -151,8 +151,53 @@ def test_merkle_and_chain(spark):
     assert p.where(integrity.proof_root(F.col("leaf"), F.col("proof")) != F.col("root")).count() == 0 and p.count() == n
     broken = spark.createDataFrame(ledger).withColumn("chained_root", F.when(F.col("seq") == 1, F.lit("00" * 32)).otherwise(F.col("chained_root")))
     assert {r.seq: r.reason for r in integrity.verify_chain(broken).collect()} == {0: None, 1: "root", 2: "link", 3: None}
-    signature, key = integrity.sign(spark, prev)
-    assert integrity.verify_signature(spark, prev, signature, key.getPublic()) and not integrity.verify_signature(spark, b"x", signature, key.getPublic())
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8, 50])
+def test_numbers_are_dense_under_any_partitioning(spark, parts):
+    e = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id").repartition(5)
+    got = integrity.numbered(e, ["event_id"], parts=parts).orderBy("event_id").collect()
+    assert [r.ordinal for r in got] == list(range(len(got))) and len(got) == 10_000
+    assert integrity.numbered(e.where("false"), ["event_id"]).collect() == []
+
+
+def test_signatures_agree_with_the_jvm(spark):
+    seed, message = bytes(range(32)), b"root"
+    j = spark.sparkContext._jvm
+    decode = j.java.util.Base64.getMimeDecoder().decode
+    body = lambda pem: decode("".join(pem.split("\n")[1:-2]))
+    private = j.java.security.KeyFactory.getInstance("Ed25519").generatePrivate(j.java.security.spec.PKCS8EncodedKeySpec(body(ed25519.private_pem(seed))))
+    signer = j.java.security.Signature.getInstance("Ed25519")
+    signer.initSign(private)
+    signer.update(bytearray(message))
+    signature = bytes(signer.sign())
+    public = ed25519.read_pem(ed25519.public_pem(ed25519.public_key(seed)))
+    assert signature == ed25519.sign(ed25519.read_pem(ed25519.private_pem(seed)), message)
+    assert ed25519.verify(public, message, signature) and not ed25519.verify(public, b"other", signature)
+    assert not ed25519.verify(public, message, signature[:-1] + b"\xff") and not ed25519.verify(bytes(31), message, signature)
+
+
+def test_sealed_ingest_and_verification(spark, tmp_path):
+    root, seed = str(tmp_path / "lake"), bytes(range(32))
+    public = ed25519.public_key(seed)
+    lines = lambda ids: spark.createDataFrame([(f"u{i:03}", bytearray(f"line {i}".encode()), i) for i in ids], "event_uid string, raw binary, ingest_time_ns long")
+    assert integrity.seal(spark, lake.bronze(lines(range(25))), root, seed, now_ns=7, size=10) == 3
+    assert integrity.seal(spark, lake.bronze(lines(range(25, 30))), root, seed, size=10) == 1
+    ledger = integrity.read_ledger(spark, root).orderBy("seq").collect()
+    assert [(r.seq, r.leaf_count, r.first_event_uid, r.last_event_uid) for r in ledger] == [(0, 10, "u000", "u009"), (1, 10, "u010", "u019"), (2, 5, "u020", "u024"), (3, 5, "u025", "u029")]
+    assert ledger[0].sealed_at_ns == 7 and integrity.first_fault(integrity.verify_chain(spark.createDataFrame(ledger), public)) is None
+    forged = spark.createDataFrame(ledger).withColumn("signature", F.when(F.col("seq") == 2, F.lit("00" * 64)).otherwise(F.col("signature")))
+    assert integrity.first_fault(integrity.verify_chain(forged, public)) == (2, "signature")
+    assert integrity.first_fault(integrity.verify_chain(forged.where("seq <> 1"), public)) == (2, "sequence")
+    index, bronze = integrity.read_index(spark, root), lake.bronze(lines(range(30)))
+    assert integrity.verify_events(bronze, index, spark.createDataFrame(ledger), 10).where("reason is not null").count() == 0
+    bad = bronze.withColumn("raw", F.when(F.col("event_uid") == "u012", F.lit("x").cast("binary")).otherwise(F.col("raw")))
+    one = lambda uid: [r.reason for r in integrity.verify_event(bad, index, spark.createDataFrame(ledger), uid, 10).collect()]
+    assert [one("u003"), one("u012"), one("u013"), one("none")] == [[None], ["hash"], ["proof"], []]
+    jobs.ingest(lines(range(40, 45)), [d for d in builtin.definitions() if d.name == "fortigate_traffic"], root, seed=seed)
+    assert integrity.read_ledger(spark, root).count() == 5
+    fault, events = jobs.verify(spark, root, public)
+    assert fault is None and {r.event_uid: r.reason for r in events.collect()} == {f"u{i:03}": None for i in range(40, 45)}
 
 
 def test_frames():

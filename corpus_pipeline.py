@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalog.llm._shared import written
+from stratalog.functions.shared import written
 from stratalog.llm.decontamination import contaminated
 from stratalog.llm.ngram_join import jaccard_components
 from stratalog.llm.packing import pack

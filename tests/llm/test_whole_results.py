@@ -65,3 +65,47 @@ def test_toxicity_learns_from_the_end_of_unspaced_texts(spark):
         texts.append("".join([*rng.choice(stems, 40), *["vilevile"] * toxic[-1], *rng.choice(stems, 3)]))
     scores = toxicity.Scorer(toxicity.train(texts[:400], toxic[:400]))(texts[400:])
     assert np.mean((scores >= 0.5) == toxic[400:]) > 0.93
+
+
+def test_decontamination_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    items = [[f"i{k}w{rng.integers(n)}" for _ in range(n)] for k, n in enumerate([6, 9, 15, 22, 30, 41, 60, 90, 140])]  # words and shingles repeat
+    docs = []
+    for w in items:
+        for rate in np.linspace(0.0, 0.05, 16):
+            noisy = [x if rng.random() > rate else f"n{rng.integers(9999)}" for x in w]
+            cut = noisy[int(rng.integers(3)) :] if rng.random() < 0.3 else noisy
+            around = [[f"a{rng.integers(50)}" for _ in range(int(rng.integers(30)))] for _ in range(2)]
+            docs.append(around[0] + cut + (cut[-7:] if rng.random() < 0.3 else []) + around[1])
+    docs += [w[: len(w) * 9 // 10] for w in items] + [w + w for w in items]
+    want = {}
+    for i, d in enumerate(docs):
+        for k, w in enumerate(items):
+            scores = [(similarity(d[s : s + len(w)], w), -s) for s in range(max(0, len(d) - len(w)) + 1) if len(d[s : s + len(w)]) >= 5]
+            if scores and max(scores)[0] >= 0.8:
+                want[i, k] = (-max(scores)[1], max(scores)[0])
+    rows = [(i, " ".join(d)) for i, d in enumerate(docs)] + [(None, None), (7, ""), (8, " \t")]
+    bench = spark.createDataFrame([(k, " ".join(w), "x") for k, w in enumerate(items)] + [(99, " ".join(items[3]), "x")], "item_id long, text string, size string")
+    table = spark.createDataFrame([(*r, 1) for r in rows + rows[:5]], "doc_id long, text string, row int")  # repeats, and columns named as internal ones
+    found = decontamination.contaminated(table, bench).collect()
+    got = {(r.doc_id, r.item_id): (r.start_word, r.similarity) for r in found}
+    assert len(got) == len(found) and {i for i, k in got if k == 99} == {i for i, k in got if k == 3}
+    got = {p: x for p, x in got.items() if p[1] != 99}
+    assert set(got) <= set(want) and len(got) >= 0.99 * len(want) and len(want) > 90
+    assert sum(got[p] != want[p] for p in got) <= 0.01 * len(got)
+    assert decontamination.contaminated(table, bench.where("false")).collect() == []
+
+
+def test_the_multi_index_finds_all_within_the_radius(spark):
+    rng = np.random.default_rng(9)
+    base = [int(x) for x in rng.integers(-(1 << 63), 1 << 63, 40, dtype=np.int64)]
+    prints = []
+    for i in range(400):
+        x = base[i % 40] % (1 << 64)
+        for b in rng.choice(64, int(rng.integers(14, 25)), replace=False):
+            x ^= 1 << int(b)
+        prints.append((10, x - (1 << 64) if x >> 63 else x))
+    of = spark.createDataFrame([(k, 10, x) for k, x in enumerate(base)], "item long, size int, print long")
+    got = {(r.print, r.item) for r in decontamination.near(spark.createDataFrame(prints, "size int, print long"), of).collect()}
+    want = {(x, k) for _, x in prints for k, y in enumerate(base) if ((x ^ y) % (1 << 64)).bit_count() <= decontamination.RADIUS}
+    assert got == want and len(want) > 100

@@ -13,8 +13,9 @@ Candidates within the radius are then verified by the exact weighted similarity
 place counts towards the windows that it lies in and in which it is not one occurrence too many, which is a range of
 starts, so a running sum over range ends gives the overlap of each candidate.
 
-The anchors are broadcast in slices of a bounded size; a larger benchmark takes more passes over the documents. All
-other joins are left to the planner, which broadcasts by measured size.
+The anchors are broadcast in slices of a bounded size; a larger benchmark takes more passes over the documents. The index
+is joined by sorting, as it grows with the benchmark; other joins are left to the planner, which broadcasts by measured
+size.
 
 Defined results: words are lower-cased runs between ASCII white space. An item of fewer than five words is one shingle;
 an item without words matches nothing. A document shorter than an item is one window. Null and empty texts match nothing;
@@ -30,6 +31,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalog.functions.shared import cut
+
 SHINGLE, PERCENT = 5, 80
 #: Hamming radius: fingerprints of sets at the threshold differ in 10 bits on average, with a deviation of 3.
 RADIUS = 20
@@ -117,7 +120,7 @@ def near(prints: DataFrame, of: DataFrame) -> DataFrame:
     differ = F.col("print").bitwiseXOR(F.col("item_print"))
     # a pair that meets in several blocks is taken in the first of them
     first = F.coalesce(*(F.when(F.bit_count(_block(differ, at, bits)) <= most, F.lit(i)) for i, (at, bits, most) in enumerate(BLOCKS)))
-    return asked.join(index(of), ["size", "block", "value"]).where((F.bit_count(differ) <= RADIUS) & (first == F.col("block"))).select("size", "print", "item")
+    return asked.join(index(of).hint("merge"), ["size", "block", "value"]).where((F.bit_count(differ) <= RADIUS) & (first == F.col("block"))).select("size", "print", "item")
 
 
 KEY = ["doc_id", "row", "size"]
@@ -170,10 +173,11 @@ def _verified(candidates: DataFrame, places: DataFrame, of: DataFrame) -> DataFr
 
 
 def _pairs(text: DataFrame, of: DataFrame, at: DataFrame) -> DataFrame:
-    places = _places(text, at)
-    windows = _window_prints(places)
+    # written once: the texts are read once, and each later plan is short
+    places = cut(_places(text, at))
+    windows = cut(_window_prints(places))
     met = near(windows, _item_prints(of))
-    return _verified(windows.join(met, ["size", "print"]), places, of)
+    return _verified(cut(windows.join(met, ["size", "print"])), places, of)
 
 
 def row_key() -> Column:
@@ -183,7 +187,7 @@ def row_key() -> Column:
 
 def _similar(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, row, size, item, start, similarity of the windows that are similar to an item."""
-    of = items(benchmark)
+    of = cut(items(benchmark))
     text = docs.select("doc_id", row_key().alias("row"), words("text").alias("w")).where(F.col("w")[0] != "")
     slices = -(-of.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0] // SLICE) or 1
     found = []

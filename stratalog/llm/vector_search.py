@@ -7,23 +7,31 @@ into two do all additions of a digit at once. The sum stands in slices too; the
 significant slice downward, keeping the rows surely in and those still tied, and ties at the boundary go to the smaller
 ids, which lie first in the block. Blocks then merge their few best rows. All rows are indexed and all are scored.
 
-Defined results: null vectors and vectors with null or non-finite components take no part, as queries and as
-candidates; neither do rows with a null id. A row is no candidate for its own id, nor are repeats of the id; of repeats the
-least vector asks. Vectors of
-other lengths count as filled up with zeros. Fewer candidates than k give fewer rows.
+The index side is dealt to its blocks once; the stated queries are sent to every block and streamed past its index, so a
+task holds one block's slices and a batch of queries at a time. Only a table of fewer blocks than there are tasks is
+dealt to several tasks a block, each with a part of the queries.
+
+Defined results: null and empty vectors and vectors with null or non-finite components take no part, as queries and as
+candidates; neither do rows with a null id. A row is no candidate for itself; rows that repeat its id are, equal vectors
+included, and each row whose id every divides asks. Equal rows are counted before they are dealt, and of more than k + 1
+only so many can matter. Vectors of other lengths count as filled up with zeros. Fewer candidates than k give fewer rows,
+an empty table none. Components so large that a score would not fit 64 bits raise OverflowError before the search. Other
+columns play no part.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block of the index and queries of a work item: some 3 MB and 0.5 MB.
-BLOCK, CHUNK = 32_768, 128
+#: Bytes of a block's vectors as numbers (their slices take about a fifth), and queries of a task at least.
+BLOCK_BYTES, PART = 1 << 25, 64
 QUERY_EVERY, TOP, SCALE = 50, 5, 256
 
 
@@ -40,8 +48,8 @@ class BlockIndex:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids = ids[order]
-        self.slices = [slices(c) for c in vectors[order].T]
+        self.ids, self.vectors = ids[order], vectors[order]
+        self.slices = [slices(c) for c in self.vectors.T]
         self.words = -(-len(ids) // 64)
         self.all = np.packbits(np.arange(64 * self.words) < len(ids), bitorder="little").view(np.uint64)
 
@@ -82,15 +90,15 @@ class BlockIndex:
         return out
 
     def top(self, query: np.ndarray, k: int, own: int | None = None) -> list[tuple[int, int]]:
-        """The k highest (score, id), ties to the smaller id, without the id own."""
+        """The k highest (score, id), ties to the smaller id, without one row that has the id own and the query's own vector."""
         score = self.scores(query)
         maybe = self.all
         if own is not None:
-            a, b = np.searchsorted(self.ids, [own, own + 1])
-            if b > a:
+            a, b = np.searchsorted(self.ids, own), np.searchsorted(self.ids, own, "right")
+            same = np.flatnonzero((self.vectors[a:b] == query).all(1)) + a
+            if len(same):
                 maybe = maybe.copy()
-                for i in range(a, b):
-                    maybe[i // 64] &= ~(np.uint64(1) << np.uint64(i % 64))
+                maybe[same[0] // 64] &= ~(np.uint64(1) << np.uint64(same[0] % 64))
         sure = np.zeros(self.words, np.uint64)
         for level, bitmap in enumerate(reversed(score)):
             higher = maybe & (~bitmap if level == 0 else bitmap)  # the sign's zeros are the higher ones
@@ -129,54 +137,77 @@ def _positions(bitmap: np.ndarray) -> np.ndarray:
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """(id, q): the rows that take part."""
+    """(id, q): the rows that take part. Components beyond 62 bits become the extreme of 63, which top_k refuses."""
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("x")).where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False)))
-    return rows.select("id", F.transform("x", lambda v: F.floor(v * SCALE).cast("long")).alias("q"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("x")).where(F.col("id").isNotNull() & (F.size("x") > 0) & F.coalesce(finite, F.lit(False)))
+    most = float(1 << 62)
+    return rows.select("id", F.transform("x", lambda v: F.floor(F.greatest(F.lit(-most), F.least(F.lit(most), v * SCALE))).cast("long")).alias("q"))
 
 
-def _matrix(table: pa.Table, column: str, width: int) -> np.ndarray:
-    lists = table.column(column).to_pylist()
+def _matrix(lists: list, width: int) -> np.ndarray:
     out = np.zeros((len(lists), width), np.int64)
     for row, x in zip(out, lists, strict=True):
         row[: len(x)] = x
     return out
 
 
-def top_k(vectors: DataFrame, every: int = QUERY_EVERY, k: int = TOP, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest rows of vectors (vec_id, embedding) to each whose id every divides."""
-    rows = quantised(vectors)
-    count, width, low, high = rows.agg(F.count(F.lit(1)), F.max(F.size("q")), F.min(F.array_min("q")), F.max(F.array_max("q"))).first()
+def top_k(vectors: DataFrame, every: int = QUERY_EVERY, k: int = TOP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest rows of vectors (vec_id, embedding) to each row whose id every divides."""
+    rows = quantised(vectors).groupBy("id", "q").agg(F.count(F.lit(1)).alias("times"))
+    asks = F.col("id") % every == 0
+    count, width, low, high, asking = rows.agg(F.count(F.lit(1)), F.max(F.size("q")), F.min(F.array_min("q")), F.max(F.array_max("q")), F.count_if(asks)).first()
     count, width = count or 0, width or 0
     if width * (max(abs(low or 0), abs(high or 0)) + 1) ** 2 >= 1 << 62:
         raise OverflowError("scores would not fit 64 bits; scale the vectors down")
-    blocks, chunks = max(1, -(-count // block)), max(1, -(-count // (every * chunk)))
-    spread = F.xxhash64("id")
-    indexed = rows.select(F.pmod(spread, F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), F.lit(0).alias("kind"), "id", "q")
-    asked = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("q").alias("q")).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(spread, F.lit(chunks)).cast("int").alias("chunk"), F.lit(1).alias("kind"), "id", "q")
-
-    def search(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        kind = np.array(table.column("kind").to_pylist())
-        ids, q = np.array(table.column("id").to_pylist(), np.int64), _matrix(table, "q", width)
-        out = []
-        if (kind == 0).any():
-            index = BlockIndex(ids[kind == 0], q[kind == 0])
-            for own in np.flatnonzero(kind == 1):
-                out += [(int(ids[own]), i, s) for s, i in index.top(q[own], k, int(ids[own]))]
-        return pa.table([pa.array([x[i] for x in out], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
-
-    found = indexed.union(asked).groupBy("block", "chunk").applyInArrow(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-8 * count * width // block_bytes))
+    parts = max(1, min(-(-tasks // blocks), -(-asking // PART)))
+    spread = F.xxhash64("id", "q")
+    row = ("id", "q", "times")
+    # more than one part only where there are fewer blocks than tasks
+    block, part = F.pmod(spread, F.lit(blocks)), F.pmod(F.xxhash64("q", "id"), F.lit(parts))
+    each = lambda n, work: F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda x: work(x).cast("int"))).alias("work")
+    indexed = rows.select(each(parts, lambda p: block * parts + p), F.lit(0).alias("kind"), *row)
+    asked = rows.where(asks).select(each(blocks, lambda b: b * parts + part), F.lit(1).alias("kind"), *row)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each work item first the block's rows, then its queries."""
+        now, ids, lists, index = None, [], [], None
+        for batch in batches:
+            out = []
+            for work, kind, i, q, times in zip(*(batch.column(c).to_pylist() for c in ("work", "kind", *row)), strict=True):
+                if work != now:
+                    now, ids, lists, index = work, [], [], None
+                if kind == 0:
+                    copies = min(times, k + 1)
+                    ids += [i] * copies
+                    lists += [q] * copies
+                elif ids or index:
+                    if index is None:
+                        index, ids, lists = BlockIndex(np.array(ids, np.int64), _matrix(lists, width)), [], []
+                    query = _matrix([q], width)[0]
+                    out += [(i, hash_of(query), times, v, s) for s, v in index.top(query, k, i)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(5)], ["query_id", "query", "times", "vec_id", "score"])
+
+    def hash_of(query: np.ndarray) -> int:
+        return int.from_bytes(hashlib.blake2b(query.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+    dealt = indexed.union(asked).repartition(max(tasks, min(blocks * parts, 1 << 16)), "work").sortWithinPartitions("work", "kind")
+    found = dealt.mapInArrow(search, "query_id long, query long, times long, vec_id long, score long")
+    best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+    top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    # equal rows ask alike
+    copies = top.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy"))
+    return copies.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+  SELECT a.u, a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.u <> b.u WHERE a.vec_id % 50 = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """

@@ -200,17 +200,19 @@ def test_url_rules(spark):
 def test_vector_search_is_exact(spark):
     rng = np.random.default_rng(1)
     v = [(i, [float(x) for x in np.round(rng.standard_normal(6) * 0.3, 2)]) for i in range(150)]
-    v += [(150, None), (151, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (152, [float("nan")] * 6), (None, [1.0] * 6), (7, v[3][1]), (200, [0.5, 0.5]), (100, [-1.0] * 6)]
+    v += [(150, None), (151, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (152, [float("nan")] * 6), (None, [1.0] * 6), (7, v[3][1]), (200, [0.5, 0.5]), (100, [-1.0] * 6), (250, []), *((50, [0.5] * 6),) * 9]
     df = spark.createDataFrame(v, "vec_id long, embedding array<float>")
-    good = [(i, np.floor(256 * np.pad(np.array(x, np.float32).astype(float), (0, 6 - len(x)))).astype(int)) for i, x in v if i is not None and x is not None and None not in x and not np.isnan(x).any()]
+    good = [(i, np.floor(256 * np.pad(np.array(x, np.float32).astype(float), (0, 6 - len(x)))).astype(int)) for i, x in v if i is not None and x and None not in x and not np.isnan(x).any()]
     want = []
-    for i, q in good:
-        if i % 50 == 0 and tuple(q) == min(tuple(x) for j, x in good if j == i):
-            s = sorted(((-int(q @ x), j) for j, x in good if j != i))[:5]
-            want += [(i, k + 1, j, -d) for k, (d, j) in enumerate(s)]
-    for block in (1 << 15, 64):
-        assert sorted(map(tuple, vector_search.top_k(df, block=block, chunk=2).collect())) == sorted(want)
+    for a, (i, q) in enumerate(good):
+        if i % 50 == 0:
+            ranked = sorted((-int(q @ x), j) for b, (j, x) in enumerate(good) if b != a)[:5]
+            want += [(i, k + 1, j, -d) for k, (d, j) in enumerate(ranked)]
+    for size in (1 << 25, 64 * 48):
+        assert sorted(map(tuple, vector_search.top_k(df.withColumn("q", F.lit(1)), block_bytes=size).collect())) == sorted(want)
     assert vector_search.top_k(df.where("false")).collect() == []
+    with pytest.raises(OverflowError):
+        vector_search.top_k(df.limit(1).select("vec_id", F.array(F.lit(1e300)).alias("embedding")))
 
 
 def test_sharding(spark, docs):

@@ -7,10 +7,12 @@ differs are its children compared, down to the ranges and then the records that
 are named by byte ranges, a lost record changes only the path above it.
 
 A node gathers at most FANOUT children, and a leaf at most the records that begin in RANGE bytes, whatever the size of a
-file.
+file: the tree has as many levels as the largest offset of either replica needs. Each level is written once, so that the
+audit's plans stay short.
 
-Defined results: null URLs and bodies count as empty. Records without a page id go to files of their own. Repeated
-pages are records of their own; ties lie in the order of their digests.
+Defined results: null URLs and bodies count as empty, and bodies of any length are hashed whole. Records without a page id
+go to files of their own. Repeated pages are records of their own; ties lie in the order of their digests. Two replicas
+without a difference, or without records, give an empty result. Columns other than page_id, url and html play no part.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from pyspark.sql import functions as F
 
 from stratalog.functions.shared import cut
 
-#: Bytes of a leaf's range, children of a node, levels above the leaves (a root covers 4 GiB), and page ids of a file.
-RANGE, FANOUT, LEVELS, FILE_PAGES = 65_536, 16, 4, 256
+#: Bytes of a leaf's range, children of a node, and page ids of a file.
+RANGE, FANOUT, FILE_PAGES = 65_536, 16, 256
 
 
 def record(url: Column, body: Column) -> Column:
@@ -45,33 +47,38 @@ def _node(of: DataFrame, keys: list[Column], order: str, hashed: str) -> DataFra
     return of.groupBy(*keys).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, hashed))), lambda x: F.concat_ws(":", x[order], x[hashed])), ","), 256).alias("hash"))
 
 
-def tree(of: DataFrame, levels: int = LEVELS) -> list[DataFrame]:
-    """From the leaves up: (file, node, hash) of each level, and of the roots (node 0)."""
+def tree(of: DataFrame, levels: int) -> list[DataFrame]:
+    """From the leaves up: (file, node, hash) of each level, the last being the roots (node 0)."""
     leaf = of.select("file", F.floor(F.col("offset") / RANGE).alias("node"), "offset", F.concat_ws("/", "length", "digest").alias("hash"))
-    out = [_node(leaf, [F.col("file"), F.col("node")], "offset", "hash")]
+    out = [cut(_node(leaf, [F.col("file"), F.col("node")], "offset", "hash"))]
     for _ in range(levels):
-        out.append(_node(out[-1].withColumnRenamed("node", "child").withColumn("node", F.floor(F.col("child") / FANOUT)), [F.col("file"), F.col("node")], "child", "hash"))
-    out.append(_node(out[-1].withColumnRenamed("node", "child").withColumn("node", F.lit(0).cast("long")), [F.col("file"), F.col("node")], "child", "hash"))
+        out.append(cut(_node(out[-1].withColumnRenamed("node", "child").withColumn("node", F.floor(F.col("child") / FANOUT)), [F.col("file"), F.col("node")], "child", "hash")))
     return out
 
 
+def levels_for(offset: int) -> int:
+    """Levels above the leaves until one node covers the offset."""
+    nodes, levels = offset // RANGE, 0
+    while nodes:
+        nodes, levels = nodes // FANOUT, levels + 1
+    return levels
+
+
 def _differ(a: DataFrame, b: DataFrame) -> DataFrame:
     """Nodes whose hashes differ, or that one side lacks."""
     return a.join(b.withColumnRenamed("hash", "other"), ["file", "node"], "full").where(~F.col("hash").eqNullSafe(F.col("other"))).select("file", "node")
 
 
-def audit(left: DataFrame, right: DataFrame, levels: int = LEVELS) -> DataFrame:
+def audit(left: DataFrame, right: DataFrame) -> DataFrame:
     """file, offset, status (corrupt, missing, extra), and both sides' lengths and digests, of the records that differ; left is the reference copy."""
     left, right = (cut(x.select("file", "offset", "length", "digest")) for x in (left, right))
+    levels = levels_for(left.select("offset").union(right.select("offset")).agg(F.max("offset")).first()[0] or 0)
     a, b = tree(left, levels), tree(right, levels)
     bad = _differ(a[-1], b[-1])
-    for level in range(levels, -1, -1):  # children of nodes that differ
-        up = F.lit(0).cast("long") if level == levels else F.floor(F.col("node") / FANOUT)
+    for x, y in zip(a[-2::-1], b[-2::-1], strict=True):  # children of nodes that differ
         parent = bad.withColumnRenamed("node", "parent")
-        own = lambda t: t[level].withColumn("parent", up).join(parent, ["file", "parent"], "left_semi").select("file", "node", "hash")  # noqa: E731, B023
-        bad = _differ(own(a), own(b))
-        if level in (levels, 0):
-            bad = cut(bad)
+        own = lambda t: t.withColumn("parent", F.floor(F.col("node") / FANOUT)).join(parent, ["file", "parent"], "left_semi").select("file", "node", "hash")  # noqa: E731, B023
+        bad = cut(_differ(own(x), own(y)))
     inside = lambda x: x.withColumn("node", F.floor(F.col("offset") / RANGE)).join(bad, ["file", "node"], "left_semi").drop("node")
     x, y = inside(left).alias("x"), inside(right).alias("y")
     both = x.join(y, (F.col("x.file") == F.col("y.file")) & (F.col("x.offset") == F.col("y.offset")), "full")

@@ -2,6 +2,10 @@
 
 Toxic documents go; of each group of near copies the one with the smallest id stays; passages that smaller ids hold too
 are cut out of the texts; documents with a benchmark item go; the rest is packed into token sequences.
+
+Defined results, of each stage: rows without an id, null and empty texts stay until the packing, which counts a null text
+as empty; texts of any length are taken whole; equal rows of one id count as copies, of which the join keeps one; an empty
+table gives an empty one; columns beyond those of documents, whatever their names, are kept by all stages but the last.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalog.functions.shared import written
+from stratalog.functions.shared import removed, written
 from stratalog.llm.decontamination import contaminated
 from stratalog.llm.ngram_join import jaccard_components
 from stratalog.llm.packing import pack
@@ -23,11 +27,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose id is their component's smallest; of rows that repeat an id, one; rows without an id stay."""
+    """Rows whose id is their component's smallest; rows that repeat an id, or have none, stay as far as they differ."""
     gone = jaccard_components(docs.select("doc_id", "text")).where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.lit(1)))
-    return kept.where("doc_id IS NOT NULL").withColumn("__nth", nth).where("__nth = 1").drop("__nth").union(kept.where("doc_id IS NULL"))
+    # equal texts of one id are copies; the text stands for itself by a hash, so that texts aren't moved where ids are unique
+    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("doc_id")
+    one = Window.partitionBy("doc_id", F.xxhash64("text"), "text").orderBy(*(F.col(c) for c in docs.columns if c not in ("doc_id", "text")))
+    repeats = kept.join(again, "doc_id", "left_semi").withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*docs.columns)
+    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).union(repeats)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +63,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces; a stage's table goes once the next one is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    name, stage = STAGES[-1]
-    return written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for n, (name, stage) in enumerate(STAGES):
+        out = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if n:
+            removed(docs)
+        docs = out
+    return docs

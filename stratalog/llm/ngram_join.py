@@ -10,11 +10,17 @@ are the tiles. Equal sets are represented by their least document.
 In a tile documents are sorted by size; a document is held against those whose sizes allow a link (the size band) and
 whose hashed bitmaps do: each bit that one set has and the other lacks stands for an element that isn't shared, so bit
 counts bound the overlap from above. What passes is decided by intersecting the sorted sets. Documents already
-connected are not compared again. A component too large for one tile is dealt over chunks, each with the component's
-least document; only what isn't connected to it within its chunk then meets the other chunks, chunk by chunk.
+connected are not compared again. A component too large for one tile is dealt by size bands, so wide that linked sets lie
+in one band or in neighbours, and each band over chunks; the component's least document visits the chunks of its own and
+the neighbouring bands. Only what isn't connected to it within its chunk then meets the other chunks of those bands.
+
+The components are what is asked for: pairs that are connected already are not compared, so that links within a component
+are not enumerated.
 
 Defined results: a null, empty or blank text has no shingles and is its own component; a null id has a null component;
-rows with the same id are one document of the links, and each gives a row.
+rows with the same id are one document of the links, and each gives a row; of such rows with different texts one text
+stands for the id beyond its equals. Texts of any length are taken whole. An empty table gives an empty result; other
+columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -36,6 +42,8 @@ from stratalog.llm._words import ROLL_A, ROLL_B, hash_words, mix, rolling, split
 SHINGLE, PERCENT = 5, 80
 #: Documents of a tile, and bits of a signature.
 TILE, SIGNATURE_BITS = 256, 2048
+#: Ratio of a band's ends: a little more than sizes of linked sets can have, whatever the rounding.
+BAND = 1.26
 NO_ID = np.iinfo(np.int64).max
 MASK = (1 << 64) - 1
 
@@ -185,18 +193,19 @@ def _unpacked(found: DataFrame, kind: int, names: list[str]) -> DataFrame:
     return found.where(F.col("kind") == kind).mapInPandas(run, ", ".join(f"{n} long" for n in names))
 
 
-SET_ROW = "tile long, chunk int, id long, body binary"
+SET_ROW = "tile long, large int, id long, body binary"
+CHUNK = ["tile", "band", "sub"]
 
 
 def _fetch(key: tuple[pa.Scalar, ...], table: pa.Table, wanted: pa.Table) -> pa.Table:
     """The sorted sets of the documents that tiles ask for."""
     if not wanted.num_rows:
-        return _table(SET_ROW, dict.fromkeys(("tile", "chunk", "id", "body"), []))
+        return _table(SET_ROW, dict.fromkeys(("tile", "large", "id", "body"), []))
     want = set(wanted.column("id").to_pylist())
     some = np.flatnonzero([i in want for i in table.column("id").to_pylist()])
     s = _Sets(table.take(pa.array(some)))
     at = {int(i): k for k, i in enumerate(s.ids)}
-    rows = wanted.select(["tile", "chunk", "id"]).to_pydict()
+    rows = wanted.select(["tile", "large", "id"]).to_pydict()
     return _table(SET_ROW, rows | {"body": [s.of(at[i]).tobytes() for i in rows["id"]]})
 
 
@@ -237,7 +246,7 @@ def _tile(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     ids = np.array(table.column("id").to_pylist(), np.int64)
     sets = [np.frombuffer(b, np.uint64) for b in table.column("body").to_pylist()]
     labels, _ = link_tile(sets, ids, np.ones(len(ids), bool))
-    return pa.table({"tile": table.column("tile"), "chunk": table.column("chunk"), "id": table.column("id"), "label": pa.array(labels, pa.int64())})
+    return pa.table({c: table.column(c) for c in (*CHUNK, "id")} | {"label": pa.array(labels, pa.int64())})
 
 
 def _cross(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -250,22 +259,31 @@ def _cross(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 def _labels(text: DataFrame, tiles: DataFrame, blocks: int, tile: int) -> DataFrame:
     """(id, component) of the documents of tiles (id, component), by exact links."""
-    sizes = tiles.groupBy("component").agg(F.count(F.lit(1)).alias("n")).select("component", F.ceil((F.col("n") - 1) / F.lit(tile)).cast("int").alias("chunks"))
-    all_chunks = F.sequence(F.lit(0), F.col("chunks") - 1)
-    own = F.array(F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    chunk = F.explode(F.when(F.col("id") == F.col("component"), all_chunks).otherwise(own))
-    wanted = tiles.join(sizes, "component").select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.col("component").alias("tile"), chunk.alias("chunk"), "id")
-    sets = cut(text.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_fetch, SET_ROW))
-    done = cut(sets.groupBy("tile", "chunk").applyInArrow(_tile, "tile long, chunk int, id long, label long"))
-    lone = done.where("label <> tile").join(sizes.where("chunks > 1"), F.col("tile") == F.col("component"))
-    open_ = lone.groupBy("tile").agg(F.count(F.lit(1)).alias("n"), F.first("chunks").alias("chunks")).select("tile", "chunks", F.ceil(F.col("n") / F.lit(tile)).cast("int").alias("parts"))
-    open_ = cut(open_)
-    if open_.isEmpty():
+    total = tiles.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    wanted = tiles.join(total, "component").select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.col("component").alias("tile"), (F.col("n") > tile + 1).cast("int").alias("large"), "id")
+    raw = cut(text.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_fetch, SET_ROW))
+    band = F.floor(F.log(F.octet_length("body") / 8) / F.log(F.lit(BAND))).cast("int")
+    raw = raw.withColumn("band", F.when(F.col("large") == 1, band).otherwise(0))
+    large, least = raw.where("large = 1"), F.col("id") == F.col("tile")
+    # chunks of each band of a large component
+    subs = large.groupBy("tile", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("subs"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    around = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
+    own = large.where(~least).join(subs, ["tile", "band"]).select("tile", "band", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int").alias("sub"), "id", "body")
+    visits = large.where(least).select("tile", around.alias("band"), "id", "body").join(subs, ["tile", "band"]).select("tile", "band", upto("subs").alias("sub"), "id", "body")
+    sets = raw.where("large = 0").select("tile", "band", F.lit(0).alias("sub"), "id", "body").union(own).union(visits)
+    done = cut(sets.groupBy(*CHUNK).applyInArrow(_tile, "tile long, band int, sub int, id long, label long"))
+    base = own.join(done, [*CHUNK, "id"])
+    asks = cut(base.where("label <> tile"))
+    if asks.isEmpty():
         return done.select("id", F.col("label").alias("component")).distinct()
-    base = sets.join(open_, "tile").where("id <> tile").join(done, ["tile", "chunk", "id"])
-    held = base.select("tile", "chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "id", "label", "body")
-    asking = base.where("label <> tile").select("tile", F.explode(F.array_except(all_chunks, F.array("chunk"))).alias("chunk"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "id", "label", "body")
-    links = held.union(asking).groupBy("tile", "chunk", "part").applyInArrow(_cross, "a long, b long")
+    parts = asks.select("tile", around.alias("band")).groupBy("tile", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("parts"))
+    targets = subs.join(parts, ["tile", "band"])
+    held = base.join(targets, ["tile", "band"]).select(*CHUNK, upto("parts").alias("part"), F.lit(0).alias("role"), "id", "label", "body")
+    asking = asks.select("tile", F.col("band").alias("from"), F.col("sub").alias("home"), around.alias("band"), "id", "label", "body").join(targets, ["tile", "band"])
+    asking = asking.select("tile", "band", upto("subs").alias("sub"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "id", "label", "body", "from", "home")
+    asking = asking.where((F.col("band") != F.col("from")) | (F.col("sub") != F.col("home"))).drop("from", "home")
+    links = held.union(asking).groupBy(*CHUNK, "part").applyInArrow(_cross, "a long, b long")
     return components(done.select(F.col("id").alias("a"), F.col("label").alias("b")).union(links))
 
 

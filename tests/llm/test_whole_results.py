@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from stratalog.llm import decontamination, toxicity
+from stratalog.llm import decontamination, ngram_join, toxicity
 
 DOCS = "doc_id long, text string"
 
@@ -109,3 +109,24 @@ def test_the_multi_index_finds_all_within_the_radius(spark):
     got = {(r.print, r.item) for r in decontamination.near(spark.createDataFrame(prints, "size int, print long"), of).collect()}
     want = {(x, k) for _, x in prints for k, y in enumerate(base) if ((x ^ y) % (1 << 64)).bit_count() <= decontamination.RADIUS}
     assert got == want and len(want) > 100
+
+
+def test_a_wide_component_keeps_every_link(spark):
+    """One rare shingle joins all documents to one loose component of many sizes; its true links lie within and across size bands."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for size in (8, 10, 20, 25, 31, 60, 75, 76, 140):
+        for k in range(3):
+            base = ["all", "of", "them", "share", "this", *(f"s{size}k{k}w{i}" for i in range(size))]
+            texts += [base, base[: len(base) - int(len(base) * 0.1)], [*base[5:], *base[:5]], [*base, "tail", f"t{rng.integers(9)}"]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    sets = [{tuple(w[p : p + 5]) for p in range(len(w) - 4)} for w in texts]
+    least = list(range(len(texts)))
+    for _ in range(4):
+        for a in range(len(texts)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    least[a] = least[b] = min(least[a], least[b])
+    df = spark.createDataFrame(rows, DOCS)
+    for tile in (3, 10, 256):
+        assert {r.doc_id: r.component_id for r in ngram_join.jaccard_components(df, tile).collect()} == dict(enumerate(least))

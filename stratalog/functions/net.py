@@ -110,6 +110,12 @@ def lpm(key: Column, networks: dict[str, Column]) -> Column:
     return let(key, first) if ordered else F.lit(None)
 
 
+def masked(key: Column, length: Column) -> Column:
+    """The address family and the first length bits of a key, as text."""
+    bits = F.array_join(F.transform(F.split(F.substring(key, 2, 32), ""), lambda d: F.lpad(F.conv(d, 16, 2), 4, "0")), "")
+    return F.concat(F.substring(key, 1, 1), F.substring(bits, 1, length))
+
+
 def lpm_join(rows: DataFrame, key: str, networks: DataFrame, value: str) -> DataFrame:
     """rows with value of the longest network (cidr, value) that holds the key: an equi join on (length, masked key).
 
@@ -119,7 +125,6 @@ def lpm_join(rows: DataFrame, key: str, networks: DataFrame, value: str) -> Data
     bits = F.split("cidr", "/")
     own = networks.withColumn("__k", ip_key(bits[0])).withColumn("__n", F.coalesce(F.try_element_at(bits, F.lit(2)).cast("int"), F.when(F.col("__k").startswith("4"), 32).otherwise(128)))
     lengths = sorted(((r.v, r.n) for r in own.where("__k is not null").select(F.substring("__k", 1, 1).alias("v"), F.col("__n").alias("n")).distinct().collect()), reverse=True)
-    masked = lambda k, n: F.concat(F.substring(k, 1, 1), F.substring(F.array_join(F.transform(F.split(F.substring(k, 2, 32), ""), lambda d: F.lpad(F.conv(d, 16, 2), 4, "0")), ""), 1, n))
     table = own.where("__k is not null").select(masked(F.col("__k"), F.col("__n")).alias("__m"), F.col("__n"), F.col(value).alias("__v")).groupBy("__m", "__n").agg(F.max("__v").alias("__v"))
     if not lengths:
         return rows.withColumn(value, F.lit(None).cast(networks.schema[value].dataType))
@@ -127,4 +132,6 @@ def lpm_join(rows: DataFrame, key: str, networks: DataFrame, value: str) -> Data
     tries = F.array(*(F.struct(F.lit(n).alias("n"), F.lit(v).alias("v")) for v, n in lengths))
     each = keys.withColumn("t", F.explode(tries)).where(F.substring("__key", 1, 1) == F.col("t.v")).select("__key", F.col("t.n").alias("__n"), masked(F.col("__key"), F.col("t.n")).alias("__m"))
     best = each.join(table, ["__m", "__n"]).groupBy("__key").agg(F.max_by("__v", "__n").alias(value))
-    return rows.join(best, rows[key] == best["__key"], "left").drop("__key")
+    # rows without an address never enter the join, where they would all meet in one task
+    found = rows.where(F.col(key).isNotNull()).join(best, F.col(key) == F.col("__key"), "left").drop("__key")
+    return found.unionByName(rows.where(F.col(key).isNull()).withColumn(value, F.lit(None).cast(networks.schema[value].dataType)))

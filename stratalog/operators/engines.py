@@ -208,7 +208,9 @@ def expand_grok(pattern: str, patterns: dict[str, str] | None = None, depth: int
                 fields.append(field)
             return ("(" if field else "(?:") + expand(library[name], level + 1) + ")"
 
-        return re.sub(r"%\{([^}]+)\}", one, re.sub(r"(?<!\\)\((?!\?)", "(?:", text))
+        # plain groups don't capture; within a character class, or escaped, a parenthesis is itself
+        plain = re.sub(r"\\.|\[\^?\]?(?:\\.|[^\]\\])*\]|\((?!\?)", lambda m: "(?:" if m[0] == "(" else m[0], text, flags=re.S)
+        return re.sub(r"%\{([^}]+)\}", one, plain)
 
     return expand(pattern, 0), fields
 
@@ -218,7 +220,7 @@ def grok(pattern: str, patterns: dict[str, str] | None = None, grok_timeout_ms:
     """A searched expression; a field that several alternatives name takes the one that matched. All groups come from one match."""
     regex, fields = expand_grok(pattern, patterns)
     record = "\x01".join(f"${i}" for i in range(1, len(fields) + 1))
-    whole = f"(?s)^.*?(?:{regex}).*$"
+    whole = f"(?s)^.*?(?-s:{regex}).*$"
 
     def run(text: Column) -> Column:
         names = list(dict.fromkeys(fields))

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalog.functions.net import flags, ip_key, lpm
+from stratalog.functions.net import flags, ip_key, lpm, lpm_join, masked
 
 #: Zones, rules and techniques shipped with the library (fixed values).
 ZONES = (
@@ -75,11 +75,17 @@ def domain_suffixes(host: Column) -> Column:
 def indicator_hits(rows: DataFrame, candidates: list[tuple[str, str, Column]], indicators: DataFrame) -> DataFrame:
     """rows with ioc: the first hit among candidates (matched_on, type, value), in their order.
 
-    indicators: (type, indicator, source, confidence); types ip, domain, hash. Each distinct candidate value is looked
-    up once by an equi join, which Spark broadcasts where the list is small.
+    indicators: (type, indicator, source, confidence); types ip (addresses and networks), domain, hash. Each distinct
+    candidate value is looked up once by an equi join, which Spark broadcasts where the list is small; networks are looked
+    up by the prefixes of the lengths that the list has, at most 160, an address before the networks and longer ones first.
     """
-    key = {"ip": lambda v: F.array(ip_key(v)), "domain": domain_suffixes, "hash": lambda v: F.array(F.lower(v))}
-    norm = F.when(F.col("type") == "ip", ip_key(F.col("indicator"))).when(F.col("type") == "domain", F.regexp_replace(F.lower("indicator"), r"\.$", "")).otherwise(F.lower("indicator"))
+    bits = F.split("indicator", "/")
+    network = (F.col("type") == "ip") & F.col("indicator").contains("/")
+    length = F.try_element_at(bits, F.lit(2)).try_cast("int")
+    lengths = sorted((r.n for r in indicators.where(network).select(length.alias("n")).distinct().collect() if r.n is not None), reverse=True)
+    prefix = lambda k, n: F.concat(masked(k, n), F.lit("/"), n.cast("string"))
+    key = {"ip": lambda v: F.array(ip_key(v), *(prefix(ip_key(v), F.lit(n)) for n in lengths)), "domain": domain_suffixes, "hash": lambda v: F.array(F.lower(v))}
+    norm = F.when(network, prefix(ip_key(bits[0]), length)).when(F.col("type") == "ip", ip_key(F.col("indicator"))).when(F.col("type") == "domain", F.regexp_replace(F.lower("indicator"), r"\.$", "")).otherwise(F.lower("indicator"))
     table = indicators.select(F.col("type").alias("__t"), norm.alias("__k"), F.struct("indicator", F.col("type").alias("ioc_type"), F.col("source").alias("ioc_source"), "confidence").alias("__hit")).where("__k is not null").groupBy("__t", "__k").agg(F.min("__hit").alias("__hit"))
     numbered = rows.withColumn("__row", F.struct(*(v.cast("string").alias(f"v{i}") for i, (_, _, v) in enumerate(candidates))))
 
@@ -93,6 +99,13 @@ def indicator_hits(rows: DataFrame, candidates: list[tuple[str, str, Column]], i
     return numbered.join(best, numbered["__row"].eqNullSafe(best["__row"]), "left").withColumn("ioc", hit).drop("__row", "b")
 
 
+def located(rows: DataFrame, ip: str, networks: DataFrame, name: str = "location") -> DataFrame:
+    """rows with a struct of what the longest network of networks (cidr and more: country, city, asn, ...) says of the address; null without one."""
+    more = [c for c in networks.columns if c != "cidr"]
+    found = lpm_join(rows.withColumn("__ip", ip_key(F.col(ip))), "__ip", networks.select("cidr", F.struct(*more).alias(name)), name)
+    return found.drop("__ip")
+
+
 def technique_hit(rule: TechniqueRule, at) -> Column:
     """The rule's conditions, all of them; at(path) gives a record's column."""
     signature = F.lower(at("finding_info.title"))

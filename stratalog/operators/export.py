@@ -53,17 +53,23 @@ def deliver(send: Callable[[bytes], int], body: bytes, attempts: int = 5, base:
 
 
 def sink(column: Column, send: Callable[[bytes], int], size: int = 500):
-    """A foreachBatch handler that sends the column's texts in bodies of size rows, from the executors."""
+    """A foreachBatch handler that sends the column's texts in bodies of size rows, from the executors.
+
+    A body that is refused, or fails to the last, makes its task fail once the others are sent, so that the batch is
+    repeated and never counted as done; the bodies' ids make repeats harmless.
+    """
 
     def run(rows: Iterator) -> Iterator:
-        part = []
+        part, lost = [], 0
         for r in rows:
             part.append(r[0])
             if len(part) == size:
-                deliver(send, "".join(part).encode())
+                lost += 0 if deliver(send, "".join(part).encode()) else len(part)
                 part = []
         if part:
-            deliver(send, "".join(part).encode())
+            lost += 0 if deliver(send, "".join(part).encode()) else len(part)
+        if lost:
+            raise RuntimeError(f"{lost} rows were not delivered")
         return iter(())
 
     return lambda batch, *_: batch.select(column.alias("x")).foreachPartition(run)

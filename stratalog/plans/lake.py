@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalog.functions.times import date_of_ns
@@ -70,11 +70,12 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DEAD).option("pathGlobFilter", "*deadletters*").option("recursiveFileLookup", True).json(path)
 
 
-def recent(events: DataFrame, limit: int = 100) -> DataFrame:
-    return events.orderBy(F.desc_nulls_last("time")).limit(max(1, min(MAX_LIMIT, limit)))
+def recent(events: DataFrame, limit: int = 100, tie: str = "event_uid") -> DataFrame:
+    """The newest events; of equal times those with the smaller tie."""
+    return events.orderBy(F.desc_nulls_last("time"), *([tie] if tie in events.columns else [])).limit(max(1, min(MAX_LIMIT, limit)))
 
 
-def search(events: DataFrame, since_ns: int | None = None, until_ns: int | None = None, limit: int = 100, **equal) -> DataFrame:
+def search(events: DataFrame, since_ns: int | None = None, until_ns: int | None = None, limit: int = 100, tie: str = "event_uid", **equal) -> DataFrame:
     """Newest first: equality on event columns and an inclusive time range."""
     if unknown := set(equal) - set(SEARCH):
         raise ValueError(f"unknown filters {sorted(unknown)}")
@@ -84,7 +85,7 @@ def search(events: DataFrame, since_ns: int | None = None, until_ns: int | None
         events = events.where(F.col("time") >= since_ns)
     if until_ns is not None:
         events = events.where(F.col("time") <= until_ns)
-    return recent(events, limit)
+    return recent(events, limit, tie)
 
 
 def stats_by_source(events: DataFrame) -> DataFrame:
@@ -116,6 +117,26 @@ def dead_letter_stats(dead: DataFrame, resolved: DataFrame) -> DataFrame:
     return own.groupingSets([["reason"], ["stage"], []], "reason", "stage").agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum("done"), F.lit(0)).cast("bigint").alias("resolved"))
 
 
+def recent_dead_letters(dead: DataFrame, limit: int = 100) -> DataFrame:
+    return dead.orderBy(F.desc("ts_ns"), "event_uid").limit(max(0, limit))
+
+
+def dead_letter_counts(dead: DataFrame) -> DataFrame:
+    """Counts by reason and stage, the most frequent first."""
+    return dead.groupBy("reason", "stage").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reason", "stage")
+
+
+def dead_letter_sample(dead: DataFrame, each: int = 5) -> DataFrame:
+    """The newest few of each reason. Partial top lists are merged, so a frequent reason makes no task large."""
+    rows = Window.partitionBy("reason").orderBy(F.desc("ts_ns"), "event_uid")
+    return dead.withColumn("__n", F.row_number().over(rows)).where(F.col("__n") <= each).drop("__n")
+
+
+def read_by_uid(bronze: DataFrame, event_uid: str) -> DataFrame:
+    """The evidence of one event, with intact: whether its bytes still have the recorded hash."""
+    return bronze.where(F.col("event_uid") == event_uid).withColumn("intact", F.sha2("raw", 256) == F.col("raw_hash"))
+
+
 def unresolved(dead: DataFrame, resolved: DataFrame) -> DataFrame:
     return dead.join(resolved.select("event_uid").distinct(), "event_uid", "left_anti")
 

@@ -302,8 +302,8 @@ def parse_leef(spark, d):
 
 @query("SELECT c_custkey AS id, c_custkey::VARCHAR AS k, c_mktsegment || '-' || c_name AS joined, 'rest of ' || c_name AS rest FROM customer")
 def parse_dissect(spark, d):
-    line = F.expr("concat('[', c_custkey, ']   ', c_mktsegment, ' skip (', c_name, ') rest of ', c_name)")
-    m = compile_engine("dissect", {"pattern": "[%{k->}] %{joined->} %{} (%{+joined}) %{rest}", "append_separator": "-"})(F.regexp_replace(line, r"\]   ", "] "))
+    line = F.expr("concat('[', c_custkey, repeat('] ', cast(1 + c_custkey % 3 as int)), c_mktsegment, repeat(' ', cast(1 + c_custkey % 4 as int)), 'skip (', c_name, ') rest of ', c_name)")
+    m = compile_engine("dissect", {"pattern": "[%{k->}] %{joined->} %{} (%{+joined}) %{rest}", "append_separator": "-"})(line)
     return table(spark, d, "customer").select(F.col("c_custkey").alias("id"), m.alias("m")).select("id", *_get("m", k="k", joined="joined", rest="rest"))
 
 
@@ -432,14 +432,14 @@ def timeseries(spark, d):
 
 @query("SELECT event_id, event_type AS source_type, epoch_us(ts) * 1000 AS time FROM events ORDER BY ts DESC, event_id LIMIT 100")
 def recent(spark, d):
-    return _lake(spark, d).orderBy(F.desc_nulls_last("time"), "event_id").limit(100).select("event_id", "source_type", "time")
+    return lake.recent(_lake(spark, d), 100, "event_id").select("event_id", "source_type", "time")
 
 
-@query(f"WITH {EV} SELECT event_id, src AS src_ip, epoch_us(ts) * 1000 AS time FROM e WHERE event_type = 'purchase' AND ts >= (SELECT max(ts) - INTERVAL 2 DAY FROM events)")
+@query(f"WITH {EV} SELECT event_id, src AS src_ip, epoch_us(ts) * 1000 AS time FROM e WHERE event_type = 'purchase' AND ts >= (SELECT max(ts) - INTERVAL 2 DAY FROM events) ORDER BY ts DESC, event_id LIMIT 10000")
 def search(spark, d):
     rows = _lake(spark, d)
     newest = rows.agg(F.max("time")).first()[0] or 0
-    return lake.search(rows, since_ns=newest - 2 * 86_400_000_000_000, limit=10_000, source_type="purchase").select("event_id", "src_ip", "time")
+    return lake.search(rows, since_ns=newest - 2 * 86_400_000_000_000, limit=10_000, tie="event_id", source_type="purchase").select("event_id", "src_ip", "time")
 
 
 @query("WITH x AS (SELECT event_id, event_type AS reason, CASE WHEN event_id % 2 = 0 THEN 'parse' ELSE 'normalize' END AS stage, event_id % 5 = 0 AS done FROM events) SELECT reason, stage, count(*)::BIGINT AS total, sum(done::INT)::BIGINT AS resolved FROM x GROUP BY GROUPING SETS ((reason), (stage), ())")
@@ -448,6 +448,41 @@ def dlq_stats(spark, d):
     return lake.dead_letter_stats(e, e.where("event_uid % 5 = 0").select("event_uid"))
 
 
+def _dead(spark, d) -> DataFrame:
+    return table(spark, d, "events").selectExpr("event_id as event_uid", "event_type as reason", "case when event_id % 2 = 0 then 'parse' else 'normalize' end as stage", "unix_micros(ts) as ts_ns")
+
+
+@query("SELECT event_id AS event_uid, event_type AS reason FROM events ORDER BY ts DESC, event_id LIMIT 50")
+def dlq_recent(spark, d):
+    return lake.recent_dead_letters(_dead(spark, d), 50).select("event_uid", "reason")
+
+
+@query("SELECT event_type AS reason, CASE WHEN event_id % 2 = 0 THEN 'parse' ELSE 'normalize' END AS stage, count(*)::BIGINT AS n FROM events GROUP BY ALL")
+def dlq_counts(spark, d):
+    return lake.dead_letter_counts(_dead(spark, d))
+
+
+@query("SELECT event_id AS event_uid, event_type AS reason FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) <= 5")
+def dlq_sample(spark, d):
+    return lake.dead_letter_sample(_dead(spark, d)).select("event_uid", "reason")
+
+
+@query("SELECT event_id AS id, CASE WHEN event_id % 250 = 7 OR (event_id % 20 = 3 AND event_id % 128 = 7) THEN '10.9.3.7' WHEN event_id % 20 = 3 THEN '10.9.3.0/25' WHEN event_id % 20 < 5 THEN '10.9.0.0/16' WHEN event_id % 2 = 0 THEN '2001:db8::/33' END AS indicator FROM events")
+def ioc_cidr(spark, d):
+    ip = F.expr("case when event_id % 250 = 7 then '10.9.3.7' when event_id % 20 < 5 then concat('10.9.', event_id % 20, '.', event_id % 128) when event_id % 2 = 0 then '2001:db8:7000::1' else '2001:db8:8000::1' end")
+    rows = table(spark, d, "events").select(F.col("event_id").alias("id"), ip.alias("src"))
+    iocs = spark.createDataFrame([("ip", c, "list", "high") for c in ("10.9.3.7", "10.9.3.0/25", "10.9.0.0/16", "2001:db8::/33")], "type string, indicator string, source string, confidence string")
+    return enrich.indicator_hits(rows, [("src", "ip", F.col("src"))], iocs).select("id", F.col("ioc.indicator").alias("indicator"))
+
+
+@query("SELECT event_id AS id, CASE event_id % 4 WHEN 0 THEN 'NL' WHEN 1 THEN 'DE' WHEN 2 THEN 'FR' END AS country, CASE event_id % 4 WHEN 0 THEN 64500 WHEN 1 THEN 64501 WHEN 2 THEN 64502 END::BIGINT AS asn FROM events")
+def geo_lookup(spark, d):
+    ip = F.expr("elt(cast(event_id % 4 + 1 as int), concat('198.51.100.', event_id % 128), concat('198.51.100.', 128 + event_id % 128), '2001:db8:5::1', '192.0.2.1')")
+    networks = spark.createDataFrame([("198.51.100.0/24", "NL", 64500), ("198.51.100.128/25", "DE", 64501), ("2001:db8::/32", "FR", 64502)], "cidr string, country string, asn long")
+    out = enrich.located(table(spark, d, "events").select(F.col("event_id").alias("id"), ip.alias("ip")), "ip", networks)
+    return out.select("id", "location.country", "location.asn")
+
+
 # ---- integrity --------------------------------------------------------------------------------------------------
 def _batched(spark, d, size: int) -> DataFrame:
     e = table(spark, d, "events").select(F.col("event_id").alias("event_uid"), F.concat_ws("|", "event_id", "event_type").cast("binary").alias("raw")).withColumn("raw_hash", F.sha2("raw", 256))

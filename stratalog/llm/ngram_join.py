@@ -44,6 +44,7 @@ SHINGLE, PERCENT = 5, 80
 TILE, SIGNATURE_BITS = 256, 2048
 #: Ratio of a band's ends: a little more than sizes of linked sets can have, whatever the rounding.
 BAND = 1.26
+SALTS = 64
 NO_ID = np.iinfo(np.int64).max
 MASK = (1 << 64) - 1
 
@@ -269,7 +270,9 @@ def _labels(text: DataFrame, tiles: DataFrame, blocks: int, tile: int) -> DataFr
     subs = large.groupBy("tile", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("subs"))
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     around = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))
-    own = large.where(~least).join(subs, ["tile", "band"]).select("tile", "band", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int").alias("sub"), "id", "body")
+    # bands of one large component hold most rows: joins that carry sets are spread over salts of the small side
+    salted = lambda rows, small: rows.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SALTS)).cast("int")).join(small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["tile", "band", "salt"]).drop("salt")
+    own = salted(large.where(~least), subs).select("tile", "band", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int").alias("sub"), "id", "body")
     visits = large.where(least).select("tile", around.alias("band"), "id", "body").join(subs, ["tile", "band"]).select("tile", "band", upto("subs").alias("sub"), "id", "body")
     sets = raw.where("large = 0").select("tile", "band", F.lit(0).alias("sub"), "id", "body").union(own).union(visits)
     done = cut(sets.groupBy(*CHUNK).applyInArrow(_tile, "tile long, band int, sub int, id long, label long"))
@@ -279,8 +282,8 @@ def _labels(text: DataFrame, tiles: DataFrame, blocks: int, tile: int) -> DataFr
         return done.select("id", F.col("label").alias("component")).distinct()
     parts = asks.select("tile", around.alias("band")).groupBy("tile", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("parts"))
     targets = subs.join(parts, ["tile", "band"])
-    held = base.join(targets, ["tile", "band"]).select(*CHUNK, upto("parts").alias("part"), F.lit(0).alias("role"), "id", "label", "body")
-    asking = asks.select("tile", F.col("band").alias("from"), F.col("sub").alias("home"), around.alias("band"), "id", "label", "body").join(targets, ["tile", "band"])
+    held = salted(base, targets).select(*CHUNK, upto("parts").alias("part"), F.lit(0).alias("role"), "id", "label", "body")
+    asking = salted(asks.select("tile", F.col("band").alias("from"), F.col("sub").alias("home"), around.alias("band"), "id", "label", "body"), targets)
     asking = asking.select("tile", "band", upto("subs").alias("sub"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "id", "label", "body", "from", "home")
     asking = asking.where((F.col("band") != F.col("from")) | (F.col("sub") != F.col("home"))).drop("from", "home")
     links = held.union(asking).groupBy(*CHUNK, "part").applyInArrow(_cross, "a long, b long")

@@ -305,3 +305,16 @@ def jaccard_components(docs: DataFrame, tile: int = TILE) -> DataFrame:
     known = rows.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
     null = F.col("id") == NO_ID
     return known.select(F.when(~null, F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.when(~null, F.coalesce("component", "rep")).alias("component_id"))
+
+
+#: Pairs of distinct sets over shared shingles, and their transitive closure.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END)) AS s FROM d),
+c AS (SELECT md5(array_to_string(s, chr(10))) AS k, min(doc_id) AS least, any_value(s) AS s, len(any_value(s)) AS n FROM t WHERE len(s) > 0 GROUP BY 1),
+h AS (SELECT k, n, unnest(s) AS x FROM c),
+e AS (SELECT a.k AS a, b.k AS b FROM h a JOIN h b ON a.x = b.x AND a.k <> b.k AND a.n >= 0.8 * b.n AND b.n >= 0.8 * a.n GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(k, least) AS (SELECT k, least FROM c UNION SELECT e.b, r.least FROM r JOIN e ON e.a = r.k),
+m AS (SELECT k, min(least) AS component FROM r GROUP BY k)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, CASE WHEN doc_id IS NULL THEN NULL ELSE coalesce(component, doc_id) END AS component_id FROM t LEFT JOIN m ON len(s) > 0 AND m.k = md5(array_to_string(s, chr(10)))
+"""

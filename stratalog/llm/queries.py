@@ -65,4 +65,4 @@ QUERIES = {
         op6_benchmark_decontamination, op7_url_filters, op8_exact_top_k, op9_token_counts, op10_ngram_jaccard_join,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op6_benchmark_decontamination": decontamination.ORACLE, "op3_sharding": sharding.oracle(), "op5_warc_fixity": warc_fixity.ORACLE, "op7_url_filters": url_rules.ORACLE, "op8_exact_top_k": vector_search.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": substring_dedup.ORACLE, "op10_ngram_jaccard_join": ngram_join.ORACLE, "op6_benchmark_decontamination": decontamination.ORACLE, "op3_sharding": sharding.oracle(), "op5_warc_fixity": warc_fixity.ORACLE, "op7_url_filters": url_rules.ORACLE, "op8_exact_top_k": vector_search.ORACLE}

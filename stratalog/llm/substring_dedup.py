@@ -189,3 +189,14 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     if "n_chars" in names:
         names["n_chars"] = F.when(F.col("lost") > 0, F.length(names["text"]).cast(kinds["n_chars"])).otherwise(names["n_chars"])
     return out.where((F.col("lost") == 0) | (F.octet_length("body") > 0)).select(*(names[c].alias(c) for c in docs.columns))
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS u, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT u, doc_id, unnest(range(0, len(w) - 12)) AS place, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(list_slice(w, i, i + 12), ' '))) AS k FROM d WHERE len(w) >= 13),
+f AS (SELECT k, min(doc_id) AS first FROM p GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT u, i FROM (SELECT u, unnest(range(place, place + 13)) AS i FROM p JOIN f USING (k) WHERE first < doc_id)),
+w AS (SELECT u, unnest(range(0, len(w))) AS i, unnest(w) AS x FROM d),
+k AS (SELECT w.u, string_agg(x, ' ' ORDER BY w.i) FILTER (gone.i IS NULL) AS kept, count(gone.i) AS n FROM w LEFT JOIN gone ON w.u = gone.u AND w.i = gone.i GROUP BY w.u)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (u)
+"""

@@ -24,7 +24,7 @@ them back as they are.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +48,9 @@ SMOOTH, HIDE = 6.0, 0.3
 CHECKED = 5
 #: Words whose n-grams are held at once, to bound memory.
 CHUNK = 16_384
-#: Entries of a worker's vocabulary.
-VOCABULARY = 200_000
+#: Entries of a worker's vocabulary, words scored together, and windows of the training sample scored together: they
+#: bound a worker's memory only.
+VOCABULARY, TOGETHER, SLAB = 100_000, 50_000, 4_096
 #: Characters of a word or of a part, with its marks; parts share so many that no n-gram is lost between them.
 PART, SHARED = 64, GRAMS[-1] - 1
 _EDGE = ".,;:!?|%&$*#()[]{}<>\"'`~^_=+/\\-"
@@ -271,7 +272,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 1, epochs: int = EPOCH
             hint = net.inputs(feats.words, feats.grams, np.diff(feats.at))[:, 0][flat]
             score = np.where(mask > 0, hint[at], -9).max(1)
         else:
-            score = score_windows(net, net.gates(net.inputs(feats.words, feats.grams, np.diff(feats.at))), flat[at], mask)
+            score = np.concatenate([_sample_scores(net, feats, flat[at[a : a + SLAB]], mask[a : a + SLAB]) for a in range(0, len(at), SLAB)])
         chosen = []
         for i, (a, n) in enumerate(zip(first, count, strict=True)):
             best = a + np.argsort(-score[a : a + n])[: 1 if label[i] else 3]
@@ -299,6 +300,12 @@ def train(texts: list[str], toxic: list[int], seed: int = 1, epochs: int = EPOCH
     return net
 
 
+def _sample_scores(net: Network, feats: Features, at: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Logits of windows whose words are numbers at of feats; only their own words' gates are held."""
+    rows, place = np.unique(at, return_inverse=True)
+    return score_windows(net, net.gates(net.inputs(*feats.take(rows))), place.reshape(at.shape), mask)
+
+
 def _calibrate(net: Network, texts: list[str], toxic: np.ndarray) -> None:
     """Shifts the last bias so that probability 0.5 lies in the middle of the cuts with the fewest errors on texts left out of the fitting."""
     if not len(toxic) or toxic.min() == toxic.max():
@@ -339,31 +346,30 @@ class Scorer:
             f = Features(new)
             for g, values in zip(self.gates, self.net.gates(self.net.inputs(f.words, f.grams, np.diff(f.at))), strict=True):
                 g[before : len(row)] = values
-        return np.fromiter(map(row.__getitem__, words), np.int64, len(words))
-
-    def __call__(self, texts: list[str], most: int = 200_000) -> np.ndarray:
-        """The highest window's probability of each text."""
-        out, part, held = np.zeros(len(texts)), [], 0
-        for i, t in enumerate(texts):
-            words = words_of(t)
-            if words:
-                part.append((i, words))
-                held += len(words)
-            if part and (held >= most or i == len(texts) - 1):
-                self._some(part, out)
+        return np.fromiter(map(row.__getitem__, words), np.int32, len(words))
+
+    def __call__(self, texts: Iterable[str]) -> np.ndarray:
+        """The highest window's probability of each text; texts are taken one by one."""
+        out, part, held = [np.zeros(0)], [], 0
+        for t in texts:
+            part.append(words_of(t))
+            held += len(part[-1])
+            if held >= TOGETHER:
+                out.append(self._some(part))
                 part, held = [], 0
-        if part:
-            self._some(part, out)
+        return np.concatenate([*out, self._some(part)])
+
+    def _some(self, part: list[list[str]]) -> np.ndarray:
+        out = np.zeros(len(part))
+        full = [i for i, words in enumerate(part) if words]
+        if full:
+            rows = self._rows([w for i in full for w in part[i]])
+            at, mask, owner = _layout([len(part[i]) for i in full])
+            best = np.full(len(full), -np.inf)
+            np.maximum.at(best, owner, score_windows(self.net, self.gates, rows[at], mask))
+            out[full] = _sigmoid(best)
         return out
 
-    def _some(self, part: list[tuple[int, list[str]]], out: np.ndarray) -> None:
-        rows = self._rows([w for _, words in part for w in words])
-        at, mask, owner = _layout([len(words) for _, words in part])
-        logit = score_windows(self.net, self.gates, rows[at], mask)
-        best = np.full(len(part), -np.inf)
-        np.maximum.at(best, owner, logit)
-        out[[i for i, _ in part]] = _sigmoid(best)
-
 
 def held_out(doc_id: str = "doc_id"):
     return F.pmod(F.crc32(F.col(doc_id).cast("long").cast("string").cast("binary")), F.lit(5)) == 0
@@ -402,7 +408,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _scorer(net.value)
         for batch in batches:
-            scores = pa.array(score(batch.column("body").to_pylist()), pa.float64())
+            scores = pa.array(score(batch.column("body")), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), scores], ["doc_id", "held_out", "score"])
 
     text = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("text").cast("binary").alias("body"))
@@ -416,15 +422,14 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _scorer(net.value)
         for batch in batches:
-            text = [None if t is None else t.encode() for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(score(text) < 0.5))
+            yield batch.filter(pa.array(score(batch.column("text").cast(pa.binary())) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
 
 
 def _scorer(net: Network | None):
-    """Bodies to scores."""
+    """An Arrow array of bodies to scores."""
     if net is None:
         return lambda bodies: np.zeros(len(bodies))
     scorer = Scorer(net)
-    return lambda bodies: scorer([readable(b) for b in bodies])
+    return lambda bodies: scorer(readable(b.as_py()) for b in bodies)

@@ -32,6 +32,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores: an input of fewer partitions than cores is dealt out before costly work; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.isStreaming or df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)
+
+
 def removed(df: DataFrame) -> None:
     """Deletes the files of a table that written() gave."""
     spark = df.sparkSession

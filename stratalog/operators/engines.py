@@ -41,7 +41,8 @@ def last_wins(keys: Column, values: Column) -> Column:
 
     def build(x: Column) -> Column:
         kept = F.filter(F.sequence(F.lit(1), F.size(x["k"])), lambda i: ~F.array_contains(F.slice(x["k"], i + 1, F.size(x["k"])), F.element_at(x["k"], i)))
-        return F.when(F.size(x["k"]) > 0, F.map_from_entries(F.transform(kept, lambda i: F.struct(F.element_at(x["k"], i), F.element_at(x["v"], i))))).otherwise(none)
+        once = F.size(F.array_distinct(x["k"])) == F.size(x["k"])
+        return F.when(once, F.map_from_arrays(x["k"], x["v"])).when(F.size(x["k"]) > 0, F.map_from_entries(F.transform(kept, lambda i: F.struct(F.element_at(x["k"], i), F.element_at(x["v"], i))))).otherwise(none)
 
     return let(F.struct(keys.alias("k"), values.alias("v")), build)
 

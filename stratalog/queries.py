@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalog.functions import net, times
+from stratalog.functions.shared import spread
 from stratalog.operators import crosswalk, decode, enrich, integrity, normalize, validate
 from stratalog.operators.definition import detector, route
 from stratalog.operators.engines import compile_engine
@@ -66,7 +67,7 @@ e AS (SELECT event_id, event_id % 4 AS k, ts, event_type, value,
 
 
 def _events(spark, d) -> DataFrame:
-    return table(spark, d, "events").selectExpr(
+    return spread(table(spark, d, "events")).selectExpr(
         "event_id", "event_id % 4 as k", "ts", "event_type", "value",
         "concat('10.', (user_id div 250) % 250, '.', user_id % 250, '.', event_id % 250 + 1) as src", "concat('203.0.113.', event_id % 250 + 1) as dst", "1024 + event_id % 5000 as sport",
         "case event_type when 'purchase' then 443 when 'click' then 22 else 8081 end as dport", "cast(floor(value) as bigint) as sent", "event_id % 100000 as rcvd",
@@ -449,7 +450,7 @@ def dlq_stats(spark, d):
 
 
 def _dead(spark, d) -> DataFrame:
-    return table(spark, d, "events").selectExpr("event_id as event_uid", "event_type as reason", "case when event_id % 2 = 0 then 'parse' else 'normalize' end as stage", "unix_micros(ts) as ts_ns")
+    return spread(table(spark, d, "events")).selectExpr("event_id as event_uid", "event_type as reason", "case when event_id % 2 = 0 then 'parse' else 'normalize' end as stage", "unix_micros(ts) as ts_ns")
 
 
 @query("SELECT event_id AS event_uid, event_type AS reason FROM events ORDER BY ts DESC, event_id LIMIT 50")

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratalog.functions import ed25519, net, times
+from stratalog.functions.shared import spread
 from stratalog.operators import decode, export, integrity, normalize, validate
 from stratalog.operators.definition import DefinitionError, Registry, read
 from stratalog.operators.engines import compile_engine, expand_grok, lint_grok
@@ -235,3 +236,16 @@ def test_stream_ingest(spark, tmp_path):
 def test_structured_data_and_bom(spark):
     assert column(spark, ['[a@1 x="1\\"2" y="]"][b z=""]'], decode.structured_data) == [{"a@1": {"x": '1"2', "y": "]"}, "b": {"z": ""}}]
     assert validate.populated is not None and normalize.TRUE[0] == "true"
+
+
+def test_spread_uses_all_cores_of_small_inputs_only(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, cores + 1)
+    assert spread(few).rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in spread(few).collect()) == list(range(100))
+    assert spread(many) is many
+
+
+def test_last_of_equal_keys_counts(spark):
+    rows = spark.createDataFrame([("a=1 b=2",), ("a=1 b=2 a=3",), ("",)], "t string").select(compile_engine("kv")(F.col("t")).alias("m")).collect()
+    assert [r.m for r in rows] == [{"a": "1", "b": "2"}, {"a": "3", "b": "2"}, {}]

@@ -40,7 +40,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 def removed(df: DataFrame) -> None:
     """Deletes the files of a table that written() gave."""
-    spark = df.sparkSession
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        deleted(df.sparkSession, folder)
+
+
+def deleted(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

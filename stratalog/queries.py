@@ -703,15 +703,10 @@ def detect_field_equals(spark, d):
 # ---- streams (rows only) ----------------------------------------------------------------------------------------
 def _streamed(spark, d, make) -> DataFrame:
     """What a bounded stream over events gives, once it has read all of them."""
-    import uuid
+    from stratalog.streaming.ingest import drained
 
-    name = f"s{uuid.uuid4().hex}"
     source = spark.readStream.schema(spark.read.parquet(f"{d}/events.parquet").schema).format("parquet").option("pathGlobFilter", "*.parquet").load(f"{d}/events.parquet*")
-    rows = source.withColumn("ts", F.col("ts").cast("timestamp"))
-    out = make(rows)
-    q = out.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+    return drained(make(source.withColumn("ts", F.col("ts").cast("timestamp"))), "stream")
 
 
 @query()

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalog.functions.shared import deleted, shared_folder
 from stratalog.operators.definition import Registry
 from stratalog.plans import jobs
 
@@ -56,3 +59,24 @@ def tumbling(events: DataFrame, time: str, width: str, *keys: str, slide: str |
 
 def sessions(events: DataFrame, time: str, gap: str, *keys: str, late: str = "10 minutes") -> DataFrame:
     return events.withWatermark(time, late).groupBy(F.session_window(time, gap).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+#: State that outgrows a heap: it lies in files, of which only some blocks are held in memory.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true"}
+
+
+def drained(out: DataFrame, name: str) -> DataFrame:
+    """All that a bounded stream gives, as a table in the shared folder: neither rows nor state pass through the driver or stay in a heap."""
+    spark = out.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        q = out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    q.awaitTermination()
+    deleted(spark, f"{path}-state")
+    return spark.read.schema(out.schema).parquet(path)

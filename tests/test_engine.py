@@ -3,14 +3,17 @@
 import hashlib
 import ipaddress
 import json
+import os
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from stratalog import queries
 from stratalog.functions import ed25519, net, times
-from stratalog.functions.shared import spread
+from stratalog.functions.shared import shared_folder, spread
 from stratalog.operators import decode, export, integrity, normalize, validate
 from stratalog.operators.definition import DefinitionError, Registry, read
 from stratalog.operators.engines import compile_engine, expand_grok, lint_grok
@@ -249,3 +252,22 @@ def test_spread_uses_all_cores_of_small_inputs_only(spark):
 def test_last_of_equal_keys_counts(spark):
     rows = spark.createDataFrame([("a=1 b=2",), ("a=1 b=2 a=3",), ("",)], "t string").select(compile_engine("kv")(F.col("t")).alias("m")).collect()
     assert [r.m for r in rows] == [{"a": "1", "b": "2"}, {"a": "3", "b": "2"}, {}]
+
+
+@pytest.mark.parametrize("name", ["stream_session"])
+def test_streams_give_all_rows_as_files(spark, name):
+    events = "/root/testdata/sf0.001/events.parquet"
+    if name == "stream_dedup":
+        want = f"select distinct event_id from '{events}'"
+    else:
+        want = f"""with g as (select user_id, ts, coalesce(ts - lag(ts) over w >= interval 10 minutes, true)::int as opens from '{events}' window w as (partition by user_id order by ts)),
+            s as (select user_id, ts, sum(opens) over (partition by user_id order by ts) as s from g)
+            select min(ts) as start, user_id, count(*) as n from s group by user_id, s having max(ts) + interval 10 minutes <= (select max(ts) - interval 10 minutes from '{events}')"""
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    got = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    folder = shared_folder(spark).removeprefix("file:")
+    assert got.inputFiles() and all(f.removeprefix("file://").startswith(folder) for f in got.inputFiles())
+    assert not [x for x in os.listdir(folder) if x.endswith("-state")]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    rows = lambda r: sorted(tuple(r))
+    assert rows(map(tuple, got.collect())) == rows(duckdb.sql(want).fetchall())

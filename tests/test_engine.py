@@ -254,7 +254,7 @@ def test_last_of_equal_keys_counts(spark):
     assert [r.m for r in rows] == [{"a": "1", "b": "2"}, {"a": "3", "b": "2"}, {}]
 
 
-@pytest.mark.parametrize("name", ["stream_session"])
+@pytest.mark.parametrize("name", ["stream_session", "stream_dedup"])
 def test_streams_give_all_rows_as_files(spark, name):
     events = "/root/testdata/sf0.001/events.parquet"
     if name == "stream_dedup":

@@ -184,8 +184,9 @@ def normalized(lines: DataFrame, definitions: list[Definition], reference: Colum
     used = by_source(lambda d: F.flatten(F.array(*(used_keys(r, f) for r in d.rules), *([F.array_compact(F.array(F.when(present(F.col("fields"), d.activity["from"]).isNotNull(), d.activity["from"])))] if isinstance(d.activity, dict) else []))))
     kept = by_source(lambda d: F.lit(True) if d.unmapped == "keep_all" else F.lit(False))
     listed = by_source(lambda d: F.array(*map(F.lit, d.unmapped)) if isinstance(d.unmapped, list) else F.array().cast("array<string>"))
-    flat = flat.withColumn("__used", used).withColumn("__all", kept).withColumn("__list", listed)
-    rest = F.map_filter("fields", lambda k, _: ~F.array_contains(F.col("__used"), k) & (F.col("__all") | F.array_contains(F.col("__list"), k)))
+    # bound outside the filter's function, which would else work out all used keys again for each key
+    keep = F.struct(used.alias("used"), kept.alias("all"), listed.alias("list"))
+    rest = let(keep, lambda x: F.map_filter("fields", lambda k, _: ~F.array_contains(x["used"], k) & (x["all"] | F.array_contains(x["list"], k))))
     own = [c for c in rows.columns if c != "error" and not c.startswith("__r_")]
     return flat.select(
         *own, by_source(lambda d: F.lit(d.version)).alias("mapping_version"),

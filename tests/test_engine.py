@@ -4,6 +4,7 @@ import hashlib
 import ipaddress
 import json
 import os
+import re
 
 import duckdb
 import pytest
@@ -271,3 +272,17 @@ def test_streams_give_all_rows_as_files(spark, name):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
     rows = lambda r: sorted(tuple(r))
     assert rows(map(tuple, got.collect())) == rows(duckdb.sql(want).fetchall())
+
+
+@pytest.mark.parametrize("name", ["unmapped_keep_all"])
+def test_used_keys_are_found_once_a_row(spark, name):
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # array_contains stands right behind the start of the filter's function: what it searches must be bound outside
+    at = [m.end() for m in re.finditer(r"map_filter\(fields#\d+, lambdafunction\(", plan)]
+    assert at and all("flatten(" not in plan[i : i + 200] for i in at)
+    con = duckdb.connect()
+    con.sql("create view events as select * from '/root/testdata/sf0.001/events.parquet'")
+    rows = lambda x: sorted(tuple(r) for r in x)
+    want = con.sql(queries.ORACLE[name]).select(*df.columns)
+    assert rows(df.collect()) == rows(want.fetchall())

@@ -274,7 +274,7 @@ def test_streams_give_all_rows_as_files(spark, name):
     assert rows(map(tuple, got.collect())) == rows(duckdb.sql(want).fetchall())
 
 
-@pytest.mark.parametrize("name", ["unmapped_keep_all"])
+@pytest.mark.parametrize("name", ["unmapped_keep_all", "unmapped_keep_list"])
 def test_used_keys_are_found_once_a_row(spark, name):
     df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().optimizedPlan().toString()

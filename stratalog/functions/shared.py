@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,10 +20,25 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def trimmed(spark: SparkSession) -> None:
+    """The driver's JVM gives back native memory that it has freed, which the C library would hold for long; a JVM without that command goes on as it is."""
+    jvm, new_array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    try:
+        # by the interface's method: the server's own class is closed to reflection
+        invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        args = new_array(jvm.java.lang.Object, 4)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:
+        pass
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df, computed now and kept in the shared folder: later plans read it, and lost executors cost nothing."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    trimmed(df.sparkSession)
+    return out
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalog.functions.shared import trimmed
+
 #: Words per block and entries per shard, which bound a Python worker's memory.
 BLOCK_WORDS, SHARD_ENTRIES = 700_000, 3_000_000
 #: Words per byte of text, from above, to size blocks: prose has some 0.17, one-letter words 0.5.
@@ -32,6 +34,7 @@ class Layout:
 def layout(docs: DataFrame, text: str = "text") -> Layout:
     """Block and shard counts in proportion to the input. They change speed and memory, never results."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    trimmed(docs.sparkSession)
     words = max(1, int(size * WORDS_PER_BYTE))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(2 * parts, -(-words // BLOCK_WORDS))

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalog.functions.shared import trimmed
 from stratalog.llm._pretokens import readable
 from stratalog.llm._words import ROLL_A, ROLL_B, mix
 
@@ -398,6 +399,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
 
     found = training_sample(docs, labels).repartition(1).mapInArrow(run, "net binary").first()
+    trimmed(docs.sparkSession)
     return pickle.loads(found.net) if found else None
 
 

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratalog import queries
-from stratalog.functions import ed25519, net, times
+from stratalog.functions import ed25519, net, shared, times
 from stratalog.functions.shared import shared_folder, spread
 from stratalog.operators import decode, export, integrity, normalize, validate
 from stratalog.operators.definition import DefinitionError, Registry, read
@@ -286,3 +286,10 @@ def test_used_keys_are_found_once_a_row(spark, name):
     rows = lambda x: sorted(tuple(r) for r in x)
     want = con.sql(queries.ORACLE[name]).select(*df.columns)
     assert rows(df.collect()) == rows(want.fetchall())
+
+
+def test_native_memory_is_given_back_after_each_intermediate_table(spark, monkeypatch):
+    asked, trim = [], shared.trimmed
+    monkeypatch.setattr(shared, "trimmed", lambda s: (asked.append(s), trim(s)))
+    assert sorted(r.id for r in shared.cut(spark.range(3)).collect()) == [0, 1, 2]
+    assert asked == [spark]

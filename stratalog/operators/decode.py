@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalog.functions.net import let
@@ -45,26 +45,58 @@ def sniff(text: Column) -> Column:
     )
 
 
-def envelope(text: Column) -> Column:
-    """Struct of the syslog header's parts and the message; format is rfc5424, rfc3164, pri_only or none."""
+def _number(text: Column) -> Column:
     pri = F.regexp_extract(text, _PRI, 1)
-    number = F.when(pri != "", pri.cast("int"))
-    is5424, is3164 = text.rlike(_RFC5424), text.rlike(_RFC3164)
-    got = lambda i: F.when(is5424, F.regexp_extract(text, _RFC5424, i))
-    field = lambda i: F.nullif(got(i), F.lit("-"))
-    body = F.regexp_extract(text, _RFC3164, 3)
-    tagged = ~is5424 & is3164 & body.rlike(_TAG)
+    return F.when(pri != "", pri.cast("int"))
+
+
+def _words(text: Column, is5424: Column) -> Column:
+    """The first words of an RFC 5424 header, which hold no spaces, and the rest."""
+    return F.when(is5424, F.split(text, " ", 8))
+
+
+def _parts(text: Column, is5424: Column, is3164: Column, number: Column, words: Column, body: Column, tagged: Column) -> dict[str, Column]:
+    """The envelope's parts; is3164 doesn't hold where is5424 does."""
+    field = lambda i: F.nullif(words[i], F.lit("-"))
     tag = F.when(tagged, F.regexp_extract(body, _TAG, 1))
     name = lambda table, i: F.coalesce(F.try_element_at(F.array(*map(F.lit, table)), i + 1), i.cast("string"))
     facility, severity = F.floor(number / 8).cast("int"), F.pmod(number, F.lit(8))
-    message = F.when(is5424, F.coalesce(got(8), F.lit(""))).when(tagged, F.regexp_extract(body, _TAG, 3)).when(is3164, body).when(number.isNotNull(), F.regexp_replace(text, _PRI, "")).otherwise(text)
-    return F.struct(
-        F.when(is5424, "rfc5424").when(is3164, "rfc3164").when(number.isNotNull(), "pri_only").otherwise("none").alias("format"),
-        number.alias("pri"), facility.alias("facility"), name(FACILITIES, facility).alias("facility_name"), severity.alias("severity"), name(SEVERITIES, severity).alias("severity_name"),
-        got(1).cast("int").alias("version"), F.when(is5424, field(2)).when(is3164, F.regexp_extract(text, _RFC3164, 1)).alias("timestamp"),
-        F.when(is5424, field(3)).when(is3164, F.regexp_extract(text, _RFC3164, 2)).alias("hostname"), F.when(is5424, field(4)).otherwise(tag).alias("app_name"),
-        F.when(is5424, field(5)).otherwise(F.nullif(F.when(tagged, F.regexp_extract(body, _TAG, 2)), F.lit(""))).alias("procid"), field(6).alias("msgid"), field(7).alias("structured_data"), tag.alias("tag"), message.alias("message"),
-    )
+    message = F.when(is5424, F.coalesce(F.regexp_extract(text, _RFC5424, 8), F.lit(""))).when(tagged, F.regexp_extract(body, _TAG, 3)).when(is3164, body).when(number.isNotNull(), F.regexp_replace(text, _PRI, "")).otherwise(text)
+    return {
+        "format": F.when(is5424, "rfc5424").when(is3164, "rfc3164").when(number.isNotNull(), "pri_only").otherwise("none"),
+        "pri": number, "facility": facility, "facility_name": name(FACILITIES, facility), "severity": severity, "severity_name": name(SEVERITIES, severity),
+        "version": F.when(is5424, F.regexp_extract(words[0], r">(\d+)$", 1)).cast("int"), "timestamp": F.when(is5424, field(1)).when(is3164, F.regexp_extract(text, _RFC3164, 1)),
+        "hostname": F.when(is5424, field(2)).when(is3164, F.regexp_extract(text, _RFC3164, 2)), "app_name": F.when(is5424, field(3)).otherwise(tag),
+        "procid": F.when(is5424, field(4)).otherwise(F.nullif(F.when(tagged, F.regexp_extract(body, _TAG, 2)), F.lit(""))), "msgid": F.when(is5424, field(5)),
+        "structured_data": F.when(is5424, F.nullif(F.regexp_extract(text, _RFC5424, 7), F.lit("-"))), "tag": tag, "message": message,
+    }
+
+
+def _struct(parts: dict[str, Column]) -> Column:
+    return F.struct(*(c.alias(k) for k, c in parts.items()))
+
+
+def envelope(text: Column) -> Column:
+    """Struct of the syslog header's parts and the message; format is rfc5424, rfc3164, pri_only or none."""
+    is5424 = text.rlike(_RFC5424)
+    is3164, body = ~is5424 & text.rlike(_RFC3164), F.regexp_extract(text, _RFC3164, 3)
+    return _struct(_parts(text, is5424, is3164, _number(text), _words(text, is5424), body, is3164 & body.rlike(_TAG)))
+
+
+def enveloped(rows: DataFrame, text: str) -> tuple[DataFrame, dict[str, Column]]:
+    """rows with the envelope of a text column, and the envelope's parts, as columns __envelope_<part>.
+
+    What the parts share is worked out once a row, and parts that nobody reads aren't worked out.
+    """
+    t, at = F.col(text), lambda k: F.col(f"__envelope_{k}")
+    bind = lambda df, columns: df.select("*", *(c.alias(f"__envelope_{k}") for k, c in columns.items()))
+    out = bind(rows, {"is5424": t.rlike(_RFC5424), "number": _number(t)})
+    out = bind(out, {"is3164": ~at("is5424") & t.rlike(_RFC3164), "words": _words(t, at("is5424"))})
+    out = bind(out, {"body": F.when(at("is3164"), F.regexp_extract(t, _RFC3164, 3))})
+    out = bind(out, {"tagged": at("is3164") & at("body").rlike(_TAG)})
+    parts = _parts(t, *map(at, ("is5424", "is3164", "number", "words", "body", "tagged")))
+    out, own = bind(out, parts), {k: at(k) for k in parts}
+    return out.withColumn("envelope", _struct(own)), own
 
 
 def structured_data(text: Column) -> Column:

@@ -51,9 +51,15 @@ def named(columns: list[str], values: Column, skip_empty: bool = True) -> Column
     """Map of positional values: surplus ones become _extra.<i>, a shortage adds _truncated."""
     names = F.array(*map(F.lit, columns))
     name = lambda i: F.coalesce(F.try_element_at(names, i + 1), F.concat(F.lit("_extra."), (i - len(columns)).cast("string")))
-    entries = F.transform(values, lambda v, i: F.struct(name(i).alias("k"), (F.nullif(v, F.lit("")) if skip_empty else v).alias("v")))
+    value = lambda v: F.nullif(v, F.lit("")) if skip_empty else v
     short = F.array(F.struct(F.lit("_truncated").alias("k"), F.lit("true").alias("v")))
-    return let(entries, lambda e: F.map_from_entries(F.when(F.size(e) < len(columns), F.concat(e, short)).otherwise(e)))
+
+    def build(x: Column) -> Column:
+        entries = F.transform(x, lambda v, i: F.struct(name(i).alias("k"), value(v).alias("v")))
+        odd = F.map_from_entries(F.when(F.size(x) < len(columns), F.concat(entries, short)).otherwise(entries))
+        return F.when(F.size(x) == len(columns), F.map_from_arrays(names, F.transform(x, value))).otherwise(odd)
+
+    return let(values, build)
 
 
 def _class(text: str) -> str:

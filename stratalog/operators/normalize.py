@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stratalog.functions.net import canonical_ip, let
 from stratalog.functions.times import any_ns
 from stratalog.operators import schema
-from stratalog.operators.decode import bom_stripped, decoded, envelope, sniff_layered
+from stratalog.operators.decode import bom_stripped, decoded, enveloped, sniff_layered
 from stratalog.operators.definition import Definition, Rule, route
 from stratalog.operators.engines import compile_engine
 
@@ -61,18 +61,17 @@ def _kind(rule: Rule) -> str:
     return "bigint" if values and all(isinstance(v, int) and not isinstance(v, bool) for v in values) else "string"
 
 
-def source_value(rule: Rule, fields: Column) -> tuple[Column, Column]:
-    """What the rule's sources give, and the array of keys that this uses up."""
-    each = [(s, present(fields, s)) for s in rule.sources]
+def source_value(rule: Rule, fields: Column) -> Column:
+    """What the rule's sources give."""
+    each = [present(fields, s) for s in rule.sources]
     if rule.join is not None and len(each) > 1:
-        return F.nullif(F.concat_ws(rule.join, *(v for _, v in each)), F.lit("")), F.array_compact(F.array(*(F.when(v.isNotNull(), s) for s, v in each)))
-    winner = F.coalesce(*(F.when(v.isNotNull(), s) for s, v in each))
-    return F.coalesce(*(v for _, v in each)), F.array_compact(F.array(winner))
+        return F.nullif(F.concat_ws(rule.join, *each), F.lit(""))
+    return F.coalesce(*each)
 
 
 def mapped(rule: Rule, fields: Column, reference: Column, kind: str) -> Column:
     """Struct of the rule's value, as kind, and the reason of its error, null if there is none."""
-    raw, _ = source_value(rule, fields)
+    raw = source_value(rule, fields)
     default = _literal(rule.default, _kind(rule))
     missing = F.lit("required_unresolved" if rule.required else None).cast("string")
     out = lambda v, bad=None: F.struct(v.cast(kind).alias("v"), F.coalesce(*([bad] if bad is not None else []), F.when(v.isNull(), missing)).alias("e"))
@@ -84,8 +83,28 @@ def mapped(rule: Rule, fields: Column, reference: Column, kind: str) -> Column:
     return let(pair, lambda p: F.when(p["r"].isNull(), out(default)).otherwise(out(p["t"], F.when(p["t"].isNull(), f"invalid_{rule.type}"))))
 
 
-def used_keys(rule: Rule, fields: Column) -> Column:
-    return source_value(rule, fields)[1]
+def unused(definition: Definition, fields: Column) -> Column:
+    """The entries of fields that stay as unmapped: no rule takes its value from them and the definition keeps them.
+
+    A present key that a rule tries first, or joins, is used whatever else there is; so only the later sources of a rule
+    depend on other keys, and their winners are found once a row.
+    """
+    chains = [r for r in definition.rules if r.join is None and len(r.sources) > 1]
+    first = {s for r in definition.rules for s in (r.sources[:1] if r in chains else r.sources)} | ({definition.activity["from"]} if isinstance(definition.activity, dict) else set())
+    listed = definition.unmapped if isinstance(definition.unmapped, list) else None
+
+    def kept(won: Column | None):
+        def keep(k: Column, v: Column) -> Column:
+            used = k.isin(*sorted(first)) if won is None else k.isin(*sorted(first)) | F.array_contains(won, k)
+            open_ = ~used | F.coalesce(v, F.lit("")).eqNullSafe("")
+            return open_ if definition.unmapped == "keep_all" else k.isin(*listed) & open_ if listed else F.lit(False)
+
+        return F.map_filter(fields, keep)
+
+    later = [r for r in chains if not first.issuperset(r.sources)]
+    if not later:
+        return kept(None)
+    return let(F.array_compact(F.array(*(F.coalesce(*(F.when(present(fields, s).isNotNull(), s) for s in r.sources)) for r in later))), kept)
 
 
 def target_types(definitions: list[Definition]) -> dict[str, str]:
@@ -129,18 +148,20 @@ def leaf_paths(kind, prefix: str = "") -> list[str]:
 def parsed(lines: DataFrame, definitions: list[Definition]) -> DataFrame:
     """lines (raw binary and more) with text, bom_stripped, source_type, envelope and fields."""
     out = lines.withColumn("bom_stripped", bom_stripped(F.col("raw"))).withColumn("text", decoded(F.col("raw")))
-    out = out.withColumn("envelope", envelope(F.col("text"))).withColumn("payload", F.col("envelope.message")).withColumn("kind", sniff_layered(F.col("text"))["inner"])
+    out, header = enveloped(out, "text")
+    out = out.withColumn("payload", header["message"]).withColumn("kind", sniff_layered(F.col("text"))["inner"])
     out = out.withColumn("source_type", route(F.col("text"), definitions)).drop("payload", "kind")
     fields = F
     for d in definitions:
-        body = F.col("envelope.message") if d.envelope == "syslog" and d.engine not in ("cef", "leef") else F.col("text")
+        body = header["message"] if d.envelope == "syslog" and d.engine not in ("cef", "leef") else F.col("text")
         got = compile_engine(d.engine, d.options)(body)
         if d.envelope == "syslog":
-            header = ("timestamp", "hostname", "app_name", "procid", "msgid", "tag", "pri", "facility", "facility_name", "severity", "severity_name")
-            extra = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(f"envelope.{h}").alias("k"), F.when(F.col("envelope.format") != "none", F.col(f"envelope.{h}").cast("string")).alias("v")) for h in header)), lambda e: e["v"].isNotNull()))
+            names = ("timestamp", "hostname", "app_name", "procid", "msgid", "tag", "pri", "facility", "facility_name", "severity", "severity_name")
+            extra = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(f"envelope.{h}").alias("k"), F.when(header["format"] != "none", header[h].cast("string")).alias("v")) for h in names)), lambda e: e["v"].isNotNull()))
             got = F.map_concat(got, extra)
         fields = fields.when(F.col("source_type") == d.name, got)
-    return out.withColumn("fields", fields.otherwise(F.lit(None).cast("map<string,string>")) if definitions else F.lit(None).cast("map<string,string>"))
+    out = out.withColumn("fields", fields.otherwise(F.lit(None).cast("map<string,string>")) if definitions else F.lit(None).cast("map<string,string>"))
+    return out.drop(*(c for c in out.columns if c.startswith("__envelope_")))
 
 
 def normalized(lines: DataFrame, definitions: list[Definition], reference: Column | None = None, log_version: str | None = None) -> DataFrame:
@@ -181,12 +202,8 @@ def normalized(lines: DataFrame, definitions: list[Definition], reference: Colum
     failed = lambda p: F.when(F.col(f"`__r_{p}`.e").isNotNull(), F.struct(F.lit("normalize").alias("stage"), F.col(f"`__r_{p}`.e").alias("reason"), F.lit(p).alias("target")))
     first_error = by_source(lambda d: F.coalesce(*(failed(r.target) for r in d.rules)))
     parse_error = F.when((F.col("source_type") != "unknown") & F.col("fields").isNull(), F.struct(F.lit("parse").alias("stage"), F.lit("parse_failed").alias("reason"), F.lit(None).cast("string").alias("target")))
-    used = by_source(lambda d: F.flatten(F.array(*(used_keys(r, f) for r in d.rules), *([F.array_compact(F.array(F.when(present(F.col("fields"), d.activity["from"]).isNotNull(), d.activity["from"])))] if isinstance(d.activity, dict) else []))))
-    kept = by_source(lambda d: F.lit(True) if d.unmapped == "keep_all" else F.lit(False))
-    listed = by_source(lambda d: F.array(*map(F.lit, d.unmapped)) if isinstance(d.unmapped, list) else F.array().cast("array<string>"))
-    # bound outside the filter's function, which would else work out all used keys again for each key
-    keep = F.struct(used.alias("used"), kept.alias("all"), listed.alias("list"))
-    rest = let(keep, lambda x: F.map_filter("fields", lambda k, _: ~F.array_contains(x["used"], k) & (x["all"] | F.array_contains(x["list"], k))))
+    # of two references to fields none is inlined, so the map is built once
+    rest = F.when(f.isNotNull(), by_source(lambda d: unused(d, f))).cast("map<string,string>")
     own = [c for c in rows.columns if c != "error" and not c.startswith("__r_")]
     return flat.select(
         *own, by_source(lambda d: F.lit(d.version)).alias("mapping_version"),

@@ -293,3 +293,57 @@ def test_native_memory_is_given_back_after_each_intermediate_table(spark, monkey
     monkeypatch.setattr(shared, "trimmed", lambda s: (asked.append(s), trim(s)))
     assert sorted(r.id for r in shared.cut(spark.range(3)).collect()) == [0, 1, 2]
     assert asked == [spark]
+
+
+@pytest.mark.parametrize("name", ["unmapped_keep_all", "unmapped_keep_list"])
+def test_used_keys_are_known_beforehand_and_headers_matched_once(spark, name):
+    plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "flatten(" not in plan
+    # one test, and one more match for the message
+    assert 1 <= plan.count(decode._RFC5424) <= 2
+
+
+@pytest.mark.parametrize("keep", ["keep_all", ["b", "d", "e"], "drop"])
+def test_unmapped_leaves_what_no_rule_used(spark, keep):
+    fields = {"app_name": {"from": ["a", "b", "c"], "type": "str"}, "firewall_rule.name": {"from": ["c", "d"], "type": "str", "join": " "}, "connection_info.uid": {"from": ["e", "b"], "type": "str"}}
+    d = read({"name": "some", "detect": {"contains": "="}, "parse": {"engine": "kv"}, "normalize": {"class_uid": 4001, "category_uid": 4, "activity_id": {"from": "f", "map": {"1": 1}, "default": 0}, "fields": fields, "unmapped": keep}})
+    texts = ["a=1 b=2 c=3 d=4 e=5 f=1 g=7", "b=2 c=3", 'a="" b=2 f= g=', "c=3 b= e=5", "d=4 g=7 e=", "none"]
+
+    def want(text):
+        if "=" not in text:
+            return None
+        m = {p.split("=", 1)[0]: p.split("=", 1)[1].strip('"') for p in text.split()}
+        won = lambda *keys: [k for k in keys if m.get(k)][:1]
+        used = {*won("a", "b", "c"), *won("c"), *won("d"), *won("e", "b"), *won("f")}
+        return {k: v for k, v in m.items() if k not in used and (keep == "keep_all" or k in keep)} if keep != "drop" else {}
+
+    rows = spark.createDataFrame([(str(i), bytearray(t.encode()), t) for i, t in enumerate(texts)], "event_uid string, raw binary, raw_hash string")
+    assert [r.unmapped for r in normalize.normalized(rows, [d], ref()).orderBy("event_uid").collect()] == [want(t) for t in texts]
+
+
+def test_envelopes_match_their_patterns(spark):
+    texts = ["<14>1 2026-01-01T00:00:00Z pa1 - - - - a,b", '<165>1 - h app 12 ID [a@1 x="]\\""][b y="z w"] the  message', "<14>1 2026-01-01T00:00:00Z pa1 app - - -", "<14>1 2026 pa1 app - - - ", "<14>1 2026-01-01T00:00:00Z  pa1 - - - - x", "<14>1 t h a p q m - x\ny", "<191>Jan  2 03:04:05 host sshd[77]: in from", "<13>Jan 12 03:04:05 host no tag here", "<999>rest", "<5>", "plain", "", None]
+
+    def want(text):
+        if text is None:
+            return ("none", None, None, None, None, None, None)
+        pri = re.match(r"<(\d{1,3})>", text, re.A)
+        number, a = pri and int(pri[1]), re.match(decode._RFC5424, text, re.A)
+        if a:
+            dash = lambda x: None if x == "-" else x
+            return ("rfc5424", number, int(a[1]), dash(a[2]), dash(a[5]), dash(a[7]), a[8] or "")
+        if b := re.match(decode._RFC3164, text, re.A):
+            t = re.match(decode._TAG, b[3], re.A)
+            return ("rfc3164", number, None, b[1], (t[2] or None) if t else None, None, t[3] if t else b[3])
+        return ("pri_only" if pri else "none", number, None, None, None, None, text[pri.end() :] if pri else text)
+
+    keys = ("format", "pri", "version", "timestamp", "procid", "structured_data", "message")
+    assert [tuple(r[k] for k in keys) for r in column(spark, texts, decode.envelope)] == [want(t) for t in texts]
+    rows, header = decode.enveloped(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), "text")
+    got = rows.select("i", F.struct(*(header[k].alias(k) for k in header)).alias("p"), "envelope", decode.envelope(F.col("text")).alias("e")).orderBy("i").collect()
+    assert all(r.p == r.envelope == r.e for r in got)
+
+
+def test_positional_values_of_any_number(spark):
+    got = column(spark, ["1,2,3", "1,,3", "1,2", "1,2,3,4", '"a ""b""",,'], compile_engine("csv", {"columns": ["x", "y", "z"]}))
+    assert got == [{"x": "1", "y": "2", "z": "3"}, {"x": "1", "y": None, "z": "3"}, {"x": "1", "y": "2", "_truncated": "true"}, {"x": "1", "y": "2", "z": "3", "_extra.0": "4"}, {"x": 'a "b"', "y": None, "z": None}]

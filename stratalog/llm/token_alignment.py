@@ -4,10 +4,11 @@ Every byte of a text has an owner in each tokenization: token numbers repeated b
 side, the two owner arrays change where a token ends; each stretch between changes is one pair of tokens that overlap (a
 link), and where both change at once the text falls apart into groups that no token of either side crosses.
 
-How often each pair of ids is linked in the whole corpus needs all texts, and each text needs those counts back.
-Texts are dealt into blocks; a block adds up its pairs, Spark sums the blocks' rows by pair and takes each B id's
-highest count, and the join back is by pair and then by block. So a pair, however frequent, is one row a block, and the
-vocabularies' product is never broadcast. Both sides' ids come from a piece table that a worker keeps, emptied when full.
+How often each pair of ids is linked in the whole corpus needs all texts, and each text needs those counts back. A task
+aligns its texts block by block as it reads them, and writes each text's links as places in its block's list of distinct
+pairs. Spark sums the blocks' pairs, takes each B id's highest count, and joins back by pair and then by block. So a pair,
+however frequent, is one row a block, texts aren't shuffled, and the vocabularies' product is never broadcast. Both
+sides' ids come from a piece table that a worker keeps, emptied when full.
 
 Defined results: a text that is null, empty, or whose tokens' bytes differ from a space and the text has no tokens on
 either side, zeros and an empty string of groups; a null id stays null and its links count; rows that repeat an id, or
@@ -26,13 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
 
-from stratalog.functions.shared import written
-from stratalog.llm._blocks import dealt, layout
+from stratalog.functions.shared import spread, written
 from stratalog.llm._pretokens import byte_pieces, kept, readable, sentence_pieces
 
-#: Entries of a worker's piece table, and bytes of text that are aligned in one go (a longer text alone).
-PIECES, SLAB = 200_000, 1 << 20
+#: Entries of a worker's piece table, characters of text that are aligned in one go (a longer text alone), and of a block.
+PIECES, SLAB, BLOCK = 200_000, 1 << 21, 12 << 20
 MARK = "▁"
 _HEX = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -63,91 +64,109 @@ def piece_side(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
 
 
 class _Side:
-    """One tokenizer: pieces of texts to ids, through a table of the pieces met."""
+    """One tokenizer: pieces of texts to ids, through a table of the pieces met. first: number of its first name."""
 
-    def __init__(self, made: tuple[Callable[[str], list[int]], list[bytes]]):
+    def __init__(self, made: tuple[Callable[[str], list[int]], list[bytes]], first: int):
         self.encode, self.entries = made
-        self.sizes = np.array([len(e) for e in self.entries], np.int64)
-        self.names = np.array([str(i) for i in range(len(self.entries))], object)
+        self.first, self.sizes = first, np.array([len(e) for e in self.entries], np.int32)
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.same: list[bool] = []
-
-    def number(self, piece: str, body: str) -> int:
-        """The piece's place in the table; body is the text that its tokens should spell."""
-        at = self.known.get(piece)
-        if at is None:
-            ids = self.encode(piece)
-            at = self.known[piece] = len(self.ids)
-            self.ids.append(np.array(ids, np.int64))
-            self.same.append(b"".join([self.entries[i] for i in ids]) == body.encode())
+        self.ids, self.starts, self.same = [], [0], []
+        self.table = None
+
+    def numbers(self, pieces: list[str], before: str) -> list[int]:
+        """The pieces' places in the table; before is what each piece's tokens spell besides the piece."""
+        out = list(map(self.known.get, pieces))
+        for k in [k for k, at in enumerate(out) if at is None] if None in out else ():
+            at = self.known.get(pieces[k])
+            out[k] = self._learned(pieces[k], before + pieces[k]) if at is None else at
+            self.table = None
+        return out
+
+    def _learned(self, piece: str, body: str) -> int:
+        ids = self.encode(piece)
+        at = self.known[piece] = len(self.same)
+        self.ids += ids
+        self.starts.append(len(self.ids))
+        self.same.append(b"".join([self.entries[i] for i in ids]) == body.encode())
         return at
 
-    def tokens(self, numbers: list[int]) -> np.ndarray | None:
-        """All ids of a text given by its pieces; None where a piece's tokens spell another text."""
-        if not all(map(self.same.__getitem__, numbers)):
-            return None
-        return np.concatenate([self.ids[i] for i in numbers])
+    def tokens(self, numbers: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some pieces, and how many each piece has."""
+        if self.table is None:
+            self.table = np.array(self.ids, np.int32), np.array(self.starts, np.int64)
+        ids, starts = self.table
+        at = np.array(numbers, np.int64)
+        size = starts[at + 1] - starts[at]
+        return ids[np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
 
 
 class Aligner:
     def __init__(self, a: tuple, b: tuple):
-        self.a, self.b = _Side(a), _Side(b)
+        self.a, self.b = _Side(a, 0), _Side(b, len(a[1]))
+        # each id's number and what may follow it
+        self.names = np.array([f"{i}{x}" for n in (len(a[1]), len(b[1])) for i in range(n) for x in ",|;"], object)
 
-    def encoded(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """A's ids of space and text, and B's of the text; None where either spells another text, or there is none."""
+    def _pieces(self, text: str) -> tuple[list[int], list[int]] | None:
+        """The pieces of A's space and text, and of B's text; None where the tokens of either spell another text, or there is none."""
         if not text:
             return None
+        a, b = self.a.numbers(byte_pieces(" " + text), ""), self.b.numbers(sentence_pieces(text), " ")
+        return (a, b) if all(map(self.a.same.__getitem__, a)) and all(map(self.b.same.__getitem__, b)) else None
+
+    def slab(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """Of each text: tokens of A, of B, groups, links and digest of its groups; and all links' codes (A id << 32 | B id)."""
         if len(self.a.known) > PIECES or len(self.b.known) > PIECES:
             self.a.clear()
             self.b.clear()
-        a = self.a.tokens([self.a.number(p, p) for p in byte_pieces(" " + text)])
-        b = self.b.tokens([self.b.number(p, " " + p) for p in sentence_pieces(text)])
-        return None if a is None or b is None else (a, b)
-
-    def slab(self, texts: list[str]) -> Iterator[tuple[int, int, int, np.ndarray, str]]:
-        """Of each text: tokens of A, of B, groups, codes (A id << 32 | B id) of its links, digest of its groups."""
-        both = [self.encoded(t) for t in texts]
-        some = [x for x in both if x]
-        n_a, n_b = (np.array([len(x[k]) if x else 0 for x in both]) for k in (0, 1))
-        if not some:
-            yield from ((0, 0, 0, np.zeros(0, np.int64), "") for _ in texts)
-            return
-        a, b = (np.concatenate([x[k] for x in some]) for k in (0, 1))
-        own_a, own_b = (np.repeat(np.arange(len(ids)), side.sizes[ids]) for ids, side in ((a, self.a), (b, self.b)))
-        new_a, new_b = np.diff(own_a, prepend=-1) != 0, np.diff(own_b, prepend=-1) != 0
+        both = [self._pieces(t) for t in texts]
+        some = np.array([x is not None for x in both], bool)
+        each, sides = [x for x in both if x], []
+        n = np.zeros((4, len(texts)), np.int64)
+        for k, side in enumerate((self.a, self.b)):
+            ids, size = side.tokens([i for x in each for i in x[k]])
+            ends = np.cumsum([len(x[k]) for x in each])
+            total = np.append(0, np.cumsum(size))
+            n[k, some] = np.diff(total[ends], prepend=0) if len(each) else 0
+            sides.append(ids)
+        a, b = sides
+        if not len(a):
+            return *n, np.zeros(0, np.int64), [""] * len(texts)
+        own_a, own_b = (np.repeat(np.arange(len(ids), dtype=np.int32), side.sizes[ids]) for ids, side in ((a, self.a), (b, self.b)))
+        new_a, new_b = np.ones(len(own_a), bool), np.ones(len(own_b), bool)
+        new_a[1:], new_b[1:] = own_a[1:] != own_a[:-1], own_b[1:] != own_b[:-1]
         first = np.flatnonzero(new_a | new_b)  # where a pair of owners begins
-        links = a[own_a[first]] << 32 | b[own_b[first]]
-        group = np.cumsum(new_a & new_b) - 1  # a text's first byte begins a group
-        at_a, at_b = np.flatnonzero(new_a), np.flatnonzero(new_b)
-        group_a, group_b = group[at_a], group[at_b]
-        # the groups as text: A's tokens of a group, then B's; what follows a token depends on the next one
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        side = np.concatenate([2 * group_a, 2 * group_b + 1])[order]
-        step = np.diff(side, append=-9)
-        mark = np.where(step == 0, ",", np.where((step == 1) & (side % 2 == 0), "|", ";")).astype(object)
-        name = np.concatenate([self.a.names[a], self.b.names[b]])[order]
-        ends = np.cumsum(n_a + n_b).tolist()
-        edges_a = np.cumsum(n_a)
-        bytes_of = np.append(at_a, len(own_a))
-        link_edge = np.searchsorted(first, bytes_of[np.concatenate([[0], edges_a])])
-        groups_of = np.append(group_a, group[-1] + 1)[np.concatenate([[0], edges_a])]
-        for k, (lo, hi) in enumerate(zip([0, *ends], ends, strict=False)):
-            if lo == hi:
-                yield 0, 0, 0, np.zeros(0, np.int64), ""
-                continue
-            parts = [""] * (2 * (hi - lo))
-            parts[::2], parts[1::2] = name[lo:hi].tolist(), mark[lo:hi].tolist()
-            yield int(n_a[k]), int(n_b[k]), int(groups_of[k + 1] - groups_of[k]), links[link_edge[k] : link_edge[k + 1]], hashlib.sha256("".join(parts[:-1]).encode()).hexdigest()
-
-
-def _slabs(texts: list[str]) -> Iterator[list[str]]:
+        links = a[own_a[first]].astype(np.int64) << 32 | b[own_b[first]]
+        cut = (new_a & new_b)[first]  # a text's first byte begins a group
+        group = np.cumsum(cut, dtype=np.int64) - 1
+        group_a, group_b = group[new_a[first]], group[new_b[first]]
+        n_groups = int(group[-1]) + 1
+        # the groups as text: A's tokens of a group, then B's; what follows a token depends on whether it is the last
+        count_a, count_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
+        upto_a, upto_b = np.cumsum(count_a), np.cumsum(count_b)
+        place_a = np.arange(len(a)) + (upto_b - count_b)[group_a]
+        place_b = np.arange(len(b)) + upto_a[group_b]
+        end_a, end_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        end_a[upto_a - 1], end_b[upto_b - 1] = 1, 2
+        name = np.empty(len(a) + len(b), np.int64)
+        name[place_a], name[place_b] = 3 * (a + self.a.first) + end_a, 3 * (b + np.int64(self.b.first)) + end_b
+        names = self.names[name].tolist()
+        edge = np.append(0, np.cumsum(n[0]))
+        byte = np.append(np.flatnonzero(new_a), len(own_a))[edge]
+        link_edge = np.searchsorted(first, byte)
+        n[3] = np.diff(link_edge)
+        n[2] = np.diff(np.append(group_a, n_groups)[edge])
+        ends = np.cumsum(n[0] + n[1]).tolist()
+        digests = [hashlib.sha256("".join(names[lo:hi])[:-1].encode()).hexdigest() if hi > lo else "" for lo, hi in zip([0, *ends], ends, strict=False)]
+        return *n, links, digests
+
+
+def _slabs(texts: list[str], most: int) -> Iterator[list[str]]:
     some, size = [], 0
     for t in texts:
-        if some and size + len(t) > SLAB:
+        if some and size + len(t) > most:
             yield some
             some, size = [], 0
         some.append(t)
@@ -156,19 +175,57 @@ def _slabs(texts: list[str]) -> Iterator[list[str]]:
         yield some
 
 
-def aligned(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataFrame:
-    """A row for each row of docs (doc_id, text): block, doc_id, n_a, n_b, n_groups, links (one code a link, packed), groups_sha256."""
-    plan = layout(docs)
+def _planes(places: np.ndarray) -> bytes:
+    """Numbers under 2 ** 32, byte by byte: the higher bytes are mostly zeros and compress."""
+    return np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unplaned(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
-    def align(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+
+TEXT, PAIRS = 0, 1
+ROW = "kind int, block long, doc_id long, n_a long, n_b long, n_groups long, links binary, groups_sha256 string, pairs binary, counts binary"
+
+
+def aligned(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataFrame:
+    """A row (kind 0) for each row of docs (doc_id, text) with its links as places in its block's pairs, and one (kind 1) for each block with those pairs and how often it has each."""
+
+    def rows(aligner: Aligner, block: int, ids: list, texts: list[str]) -> pa.RecordBatch:
+        parts = [aligner.slab(some) for some in _slabs(texts, SLAB)]
+        a, b, groups, n, codes = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        digests = [x for p in parts for x in p[5]]
+        pairs, place, counts = np.unique(codes, return_inverse=True, return_counts=True)
+        edge = np.append(0, np.cumsum(n))
+        links = [_planes(place[i:j]) for i, j in zip(edge, edge[1:], strict=False)]
+        text = len(ids)
+        columns = {
+            "kind": pa.array([TEXT] * text + [PAIRS], pa.int32()),
+            "block": pa.array([block] * (text + 1), pa.int64()),
+            "doc_id": pa.array([*ids, None], pa.int64()),
+            **{name: pa.array([*x.tolist(), None], pa.int64()) for name, x in (("n_a", a), ("n_b", b), ("n_groups", groups))},
+            "links": pa.array([*links, None], pa.binary()),
+            "groups_sha256": pa.array([*digests, None], pa.string()),
+            "pairs": pa.array([None] * text + [pairs.tobytes()], pa.binary()),
+            "counts": pa.array([None] * text + [counts.astype(np.int64).tobytes()], pa.binary()),
+        }
+        return pa.RecordBatch.from_pydict(columns)
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = kept(("aligner", ranks, model), lambda: Aligner(byte_side(ranks, pattern), piece_side(model)))
-        texts = [readable(b) for b in table.column("body").to_pylist()]
-        rows = [row for some in _slabs(texts) for row in aligner.slab(some)]
-        a, b, groups, links, digests = map(list, zip(*rows, strict=True))
-        columns = {name: pa.array(x, pa.int64()) for name, x in (("n_a", a), ("n_b", b), ("n_groups", groups))}
-        return pa.table({"block": pa.array([key[0].as_py()] * len(rows), pa.int32()), "doc_id": table.column("id")} | columns | {"links": pa.array([x.tobytes() for x in links], pa.binary()), "groups_sha256": pa.array(digests, pa.string())})
+        block, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
+        for batch in batches:
+            for i, body in zip(batch.column("doc_id").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                ids.append(i)
+                texts.append(readable(body))
+                size += len(texts[-1])
+                if size >= BLOCK:
+                    yield rows(aligner, block, ids, texts)
+                    block, ids, texts, size = block + 1, [], [], 0
+        if ids:
+            yield rows(aligner, block, ids, texts)
 
-    return dealt(docs, plan.blocks).groupBy("block").applyInArrow(align, "block int, doc_id long, n_a long, n_b long, n_groups long, links binary, groups_sha256 string")
+    return spread(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("body"))).mapInArrow(align, ROW)
 
 
 def align_tokens(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataFrame:
@@ -179,27 +236,31 @@ def align_tokens(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataF
     """
     table = written(aligned(docs, ranks, pattern, model), "alignment")
 
-    def pairs(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        codes, n = np.unique(np.frombuffer(b"".join(rows.column("links").to_pylist()), np.int64), return_counts=True)
-        return pa.table({"block": pa.array([key[0].as_py()] * len(codes), pa.int32()), "a": pa.array(codes >> 32, pa.int32()), "b": pa.array(codes & 0xFFFFFFFF, pa.int32()), "n": pa.array(n, pa.int64())})
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, pairs, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "pairs", "counts")), strict=True):
+                codes = np.frombuffer(pairs, np.int64)
+                place = np.arange(len(codes), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), block)), pa.array(place), pa.array((codes >> 32).astype(np.int32)), pa.array((codes & 0xFFFFFFFF).astype(np.int32)), pa.array(np.frombuffer(counts, np.int64))], ["block", "place", "a", "b", "n"])
 
     def counted(key: tuple[pa.Scalar, ...], rows: pa.Table, told: pa.Table) -> pa.Table:
-        code = (told.column("a").to_numpy().astype(np.int64) << 32) | told.column("b").to_numpy().astype(np.int64)
-        order = np.argsort(code)
-        code, n, best = code[order], told.column("n").to_numpy()[order], told.column("best").to_numpy()[order]
+        n, best = np.zeros(told.num_rows, np.int64), np.zeros(told.num_rows, np.int64)
+        place = told.column("place").to_numpy()
+        n[place], best[place] = told.column("n").to_numpy(), told.column("best").to_numpy()
         sizes, good, sums = [], [], []
         for blob in rows.column("links").to_pylist():
-            at = np.searchsorted(code, np.frombuffer(blob, np.int64))
+            at = _unplaned(blob)
             sizes.append(len(at))
             good.append(int(best[at].sum()))
             sums.append(int(n[at].sum()))
         columns = {name: pa.array(x, pa.int64()) for name, x in (("n_links", sizes), ("n_best", good), ("count_sum", sums))}
         return pa.table({c: rows.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups")} | columns | {"groups_sha256": rows.column("groups_sha256")})
 
-    of_block = table.select("block", "links").groupBy("block").applyInArrow(pairs, "block int, a int, b int, n long")
+    of_block = table.where(F.col("kind") == PAIRS).select("block", "pairs", "counts").mapInArrow(unpacked, "block long, place int, a int, b int, n long")
     counts = of_block.groupBy("a", "b").agg(F.sum("n").alias("n"))
     highest = counts.groupBy("b").agg(F.max("n").alias("most"))
     scored = counts.join(highest, "b").select("a", "b", "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
-    told = of_block.select("block", "a", "b").join(scored, ["a", "b"])
+    told = of_block.select("block", "place", "a", "b").join(scored, ["a", "b"]).select("block", "place", "n", "best")
+    texts = table.where(F.col("kind") == TEXT).drop("kind", "pairs", "counts")
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    return table.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(counted, schema)
+    return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(counted, schema)

@@ -183,10 +183,12 @@ def _settled(texts: list[bytes], least: np.ndarray, span: int) -> np.ndarray:
     marks = np.concatenate([_marks(body[a : a + CHUNK + span - 1], span) for a in range(0, len(body) - span + 1, CHUNK)])
     _, group, count = np.unique(marks[ends - sizes], return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(count[group] > 1)  # the only text with its mark shares no window with another
+    body = np.frombuffer(b"".join([texts[i] for i in mixed.tolist()]), np.uint8)
+    ends = np.cumsum(sizes[mixed])
     counts = sizes[mixed] - (span - 1)
     owner = np.repeat(mixed, counts)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    starts = (ends - sizes)[owner] + nth
+    starts = np.repeat(ends - sizes[mixed], counts) + nth
     where = np.full(len(body) + 1, -1, np.int64)
     where[starts] = np.arange(len(starts))
     found, rank = _repeats(body, starts, span)
@@ -204,7 +206,8 @@ def _settled(texts: list[bytes], least: np.ndarray, span: int) -> np.ndarray:
 def repeated_bytes(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """doc_id, n_bytes, spans (the maximal stretches covered by strings of smaller ids) and kept (the other bytes) of each row of docs (doc_id, text)."""
     plan = layout(docs)
-    blocks, shards, shift = plan.blocks, plan.shards, np.uint64(64 - plan.bits)
+    # a shard holds texts of pieces, which are longer than the entries that shards are sized for
+    blocks, shards, shift = plan.blocks, 2 * plan.shards, np.uint64(64 - plan.bits)
     text = dealt(docs, blocks)
 
     def sketch(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:

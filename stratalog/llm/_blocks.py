@@ -43,9 +43,12 @@ def layout(docs: DataFrame, text: str = "text") -> Layout:
 
 
 def dealt(docs: DataFrame, blocks: int, carried: tuple[str, ...] = ()) -> DataFrame:
-    """Columns block, id, body (UTF-8), nulls kept, dealt by block; carried columns come along as c0, c1 and so on."""
+    """Columns block, id, body (UTF-8), nulls kept, dealt by block; carried columns come along as c0, c1 and so on.
+
+    Rows are dealt by id and text, so that rows without an id, or of one id, lie in many blocks.
+    """
     key = F.col("doc_id").cast("long")
-    return docs.select(F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), key.alias("id"), F.col("text").cast("binary").alias("body"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried))).repartition(max(1, blocks // 2), "block")
+    return docs.select(F.pmod(F.xxhash64(key, "text"), F.lit(blocks)).cast("int").alias("block"), key.alias("id"), F.col("text").cast("binary").alias("body"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carried))).repartition(max(1, blocks // 2), "block")
 
 
 def shard_edges(hashes: np.ndarray, shards: int) -> np.ndarray:

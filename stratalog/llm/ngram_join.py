@@ -17,9 +17,11 @@ the neighbouring bands. Only what isn't connected to it within its chunk then me
 The components are what is asked for: pairs that are connected already are not compared, so that links within a component
 are not enumerated.
 
-Defined results: a null, empty or blank text has no shingles and is its own component; a null id has a null component;
-rows with the same id are one document of the links, and each gives a row; of such rows with different texts one text
-stands for the id beyond its equals. Texts of any length are taken whole. An empty table gives an empty result; other
+What links is sets, not ids: a node is a distinct set, named by the least id that has it and the set's tag (64 bits of its
+digest), so rows of one id with different texts are different nodes, each with its own links.
+
+Defined results: a null, empty or blank text has no shingles and is its own component; a null id has a null component and
+links nothing; each row gives a row. Texts of any length are taken whole. An empty table gives an empty result; other
 columns, whatever their names, play no part.
 """
 
@@ -87,6 +89,19 @@ class _Sets:
         return hi, lo, least, place
 
 
+def _least_first(posted: np.ndarray, ids: np.ndarray, tags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct shingles posted by nodes (id, tag), the least node of each, and the links of its other nodes to that one."""
+    order = np.lexsort((tags, ids, posted))
+    posted, ids, tags = posted[order], ids[order], tags[order]
+    new = np.ones(len(posted), bool)
+    new[1:] = posted[1:] != posted[:-1]
+    head = np.flatnonzero(new)
+    least = head[np.cumsum(new) - 1] if len(head) else head
+    other = (ids != ids[least]) | (tags != tags[least])
+    links = np.unique(np.stack([ids, tags.view(np.int64), ids[least], tags[least].view(np.int64)], 1)[other], axis=0)
+    return posted[head], ids[head], tags[head], [np.ascontiguousarray(c) for c in links.T]
+
+
 def _grouped(hi: np.ndarray, lo: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (hi, lo) in order, each row's place among them, and the least id of each."""
     order = np.lexsort((lo, hi))
@@ -107,7 +122,7 @@ def _table(schema: str, columns: dict) -> pa.Table:
 
 SKETCH = "shard int, block int, cells binary, counts binary, hi binary, lo binary, ids binary"
 ANSWER = "block int, shard int, classes binary, least binary"
-FOUND = "kind int, shard int, block int, a binary, b binary, c binary"
+FOUND = "kind int, shard int, block int, a binary, b binary, c binary, d binary, e binary"
 DOCS, LINKS, POSTINGS = 0, 1, 2
 
 
@@ -144,70 +159,66 @@ def _find(shift: np.uint64, shards: int):
         s, block = _Sets(table), key[0].as_py()
         answers = answers.sort_by("shard")
         classes, least = (np.frombuffer(b"".join(answers.column(c).to_pylist()), t) for c, t in (("classes", np.uint8), ("least", np.int64)))
-        _, _, _, place = s.keys()
-        rep = np.where(place >= 0, least[place] if len(least) else NO_ID, s.ids)
+        hi, _, _, place = s.keys()
+        has = place >= 0
+        rep, tag = s.ids.copy(), np.zeros(len(s.ids), np.uint64)
+        rep[has], tag[has] = least[place[has]], hi[place[has]]
         cls = classes[np.unique(s.values >> shift, return_inverse=True)[1]] if len(s.values) else np.zeros(0, np.uint8)
         order = np.lexsort((s.values, cls, s.owner))  # rare first within each document
         rank = np.arange(len(order)) - s.cut[:-1][s.owner]
         prefix = s.n - (PERCENT * s.n + 99) // 100 + 1
         own, cls = s.owner[order], cls[order]
         use = order[(rank < prefix[own]) & (cls > 0) & (rep[own] == s.ids[own]) & (s.ids[own] != NO_ID)]
-        posted, ids = s.values[use], s.ids[s.owner[use]]
-        by = np.lexsort((ids, posted))
-        posted, ids = posted[by], ids[by]
-        new = np.ones(len(posted), bool)
-        new[1:] = posted[1:] != posted[:-1]
-        low = ids[np.flatnonzero(new)][np.cumsum(new) - 1] if len(ids) else ids
-        links = np.unique(np.stack([ids, low], 1)[ids != low], axis=0)
-        posted, low = posted[new], low[new]
+        posted, ids, tags, links = _least_first(s.values[use], s.ids[s.owner[use]], tag[s.owner[use]])
         edges = shard_edges(posted, shards)
         used = np.flatnonzero(np.diff(edges))
         part = [slice(edges[i], edges[i + 1]) for i in used]
-        head = [(DOCS, -1, block, s.ids.tobytes(), s.n.tobytes(), rep.tobytes()), (LINKS, -1, block, links[:, 0].tobytes(), links[:, 1].tobytes(), None)]
-        rows = head + [(POSTINGS, i, block, posted[p].tobytes(), low[p].tobytes(), None) for i, p in zip(used.tolist(), part, strict=True)]
-        return _table(FOUND, dict(zip(("kind", "shard", "block", "a", "b", "c"), map(list, zip(*rows, strict=True)), strict=True)))
+        keys = table.column("c0").combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64) if table.num_rows else np.zeros(0, np.int64)
+        head = [(DOCS, -1, block, s.ids.tobytes(), s.n.tobytes(), rep.tobytes(), tag.tobytes(), keys.tobytes()), (LINKS, -1, block, *(c.tobytes() for c in links), None)]
+        rows = head + [(POSTINGS, i, block, posted[p].tobytes(), ids[p].tobytes(), tags[p].tobytes(), None, None) for i, p in zip(used.tolist(), part, strict=True)]
+        return _table(FOUND, dict(zip(("kind", "shard", "block", *"abcde"), map(list, zip(*rows, strict=True)), strict=True)))
 
     return run
 
 
 def _meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Links from the blocks' least documents with a shingle to the least of all."""
-    posted, ids = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("a", np.uint64), ("b", np.int64)))
-    order = np.lexsort((ids, posted))
-    posted, ids = posted[order], ids[order]
-    new = np.ones(len(posted), bool)
-    new[1:] = posted[1:] != posted[:-1]
-    low = ids[np.flatnonzero(new)][np.cumsum(new) - 1] if len(ids) else ids
-    links = np.unique(np.stack([ids, low], 1)[ids != low], axis=0)
-    return pa.table({"a": pa.array(links[:, 0], pa.int64()), "b": pa.array(links[:, 1], pa.int64())})
+    """Links from the blocks' least nodes with a shingle to the least of all."""
+    posted, ids, tags = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("a", np.uint64), ("b", np.int64), ("c", np.uint64)))
+    links = _least_first(posted, ids, tags)[3]
+    return pa.table({c: pa.array(x, pa.int64()) for c, x in zip("abcd", links, strict=True)})
 
 
 def _unpacked(found: DataFrame, kind: int, names: list[str]) -> DataFrame:
-    """Rows of the packed 64-bit columns a, b, c."""
+    """Rows of the packed 64-bit columns a, b and so on, with their block."""
     import pandas as pd
 
     def run(batches):
         for batch in batches:
-            for row in zip(*(batch[c] for c in "abc"[: len(names)]), strict=True):
-                yield pd.DataFrame({n: np.frombuffer(x, np.int64) for n, x in zip(names, row, strict=True)})
+            for block, *row in zip(batch["block"], *(batch[c] for c in "abcde"[: len(names)]), strict=True):
+                yield pd.DataFrame({n: np.frombuffer(x, np.int64) for n, x in zip(names, row, strict=True)}).assign(block=block)
+
+    return found.where(F.col("kind") == kind).mapInPandas(run, ", ".join([*(f"{n} long" for n in names), "block int"]))
+
 
-    return found.where(F.col("kind") == kind).mapInPandas(run, ", ".join(f"{n} long" for n in names))
+def _node(id_: str, tag: str, name: str):
+    """A set: the least id that has it, and its tag; ordered by id."""
+    return F.struct(F.col(id_).alias("id"), F.col(tag).alias("tag")).alias(name)
 
 
-SET_ROW = "tile long, large int, id long, body binary"
+NODE = "struct<id: long, tag: long>"
+SET_ROW = f"tile {NODE}, large int, id {NODE}, body binary"
 CHUNK = ["tile", "band", "sub"]
 
 
 def _fetch(key: tuple[pa.Scalar, ...], table: pa.Table, wanted: pa.Table) -> pa.Table:
-    """The sorted sets of the documents that tiles ask for."""
-    if not wanted.num_rows:
-        return _table(SET_ROW, dict.fromkeys(("tile", "large", "id", "body"), []))
-    want = set(wanted.column("id").to_pylist())
-    some = np.flatnonzero([i in want for i in table.column("id").to_pylist()])
-    s = _Sets(table.take(pa.array(some)))
-    at = {int(i): k for k, i in enumerate(s.ids)}
-    rows = wanted.select(["tile", "large", "id"]).to_pydict()
-    return _table(SET_ROW, rows | {"body": [s.of(at[i]).tobytes() for i in rows["id"]]})
+    """The sorted sets that tiles ask for."""
+    nodes = [(x["id"], x["tag"]) for x in wanted.column("id").to_pylist()]
+    want = {i for i, _ in nodes}
+    s = _Sets(table.take(pa.array([k for k, i in enumerate(table.column("id").to_pylist()) if i in want], pa.int64())))
+    hi, _, _, place = s.keys()
+    tags = hi.view(np.int64).tolist()
+    at = {(i, tags[p]): k for k, (i, p) in enumerate(zip(s.ids.tolist(), place.tolist(), strict=True)) if p >= 0}
+    return pa.table({c: wanted.column(c) for c in ("tile", "large", "id")} | {"body": pa.array([s.of(at[x]).tobytes() for x in nodes], pa.binary())})
 
 
 def _signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -242,26 +253,33 @@ def link_tile(sets: list[np.ndarray], labels: np.ndarray, asks: np.ndarray) -> t
     return labels, links
 
 
+def _ranked(nodes: list[dict]) -> tuple[np.ndarray, list[dict]]:
+    """The place of each node among the distinct ones, and those in order."""
+    distinct = sorted({(x["id"], x["tag"]) for x in nodes})
+    place = {x: k for k, x in enumerate(distinct)}
+    return np.array([place[x["id"], x["tag"]] for x in nodes], np.int64), [{"id": i, "tag": t} for i, t in distinct]
+
+
 def _tile(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Each of a chunk's documents with the least id that it is connected to there."""
-    ids = np.array(table.column("id").to_pylist(), np.int64)
+    """Each of a chunk's sets with the least one that it is connected to there."""
+    own, nodes = _ranked(table.column("id").to_pylist())
     sets = [np.frombuffer(b, np.uint64) for b in table.column("body").to_pylist()]
-    labels, _ = link_tile(sets, ids, np.ones(len(ids), bool))
-    return pa.table({c: table.column(c) for c in (*CHUNK, "id")} | {"label": pa.array(labels, pa.int64())})
+    labels, _ = link_tile(sets, own, np.ones(len(own), bool))
+    return pa.table({c: table.column(c) for c in (*CHUNK, "id")} | {"label": pa.array([nodes[i] for i in labels.tolist()], table.schema.field("id").type)})
 
 
 def _cross(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Links between a chunk's documents (role 0) and others' unconnected ones (role 1)."""
-    ids = np.array(table.column("id").to_pylist(), np.int64)
+    """Links between a chunk's sets (role 0) and others' unconnected ones (role 1)."""
+    ids, kind = table.column("id").to_pylist(), table.schema.field("id").type
     sets = [np.frombuffer(b, np.uint64) for b in table.column("body").to_pylist()]
-    _, links = link_tile(sets, np.array(table.column("label").to_pylist(), np.int64), np.array(table.column("role").to_pylist()) == 1)
-    return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
+    _, links = link_tile(sets, _ranked(table.column("label").to_pylist())[0], np.array(table.column("role").to_pylist()) == 1)
+    return pa.table({"a": pa.array([ids[i] for i, _ in links], kind), "b": pa.array([ids[j] for _, j in links], kind)})
 
 
-def _labels(text: DataFrame, tiles: DataFrame, blocks: int, tile: int) -> DataFrame:
-    """(id, component) of the documents of tiles (id, component), by exact links."""
+def _labels(text: DataFrame, tiles: DataFrame, homes: DataFrame, tile: int) -> DataFrame:
+    """(id, component) of the sets of tiles (id, component), by exact links; homes: (id, block) of a text with each set."""
     total = tiles.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    wanted = tiles.join(total, "component").select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.col("component").alias("tile"), (F.col("n") > tile + 1).cast("int").alias("large"), "id")
+    wanted = tiles.join(total, "component").join(homes, "id").select("block", F.col("component").alias("tile"), (F.col("n") > tile + 1).cast("int").alias("large"), "id")
     raw = cut(text.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_fetch, SET_ROW))
     band = F.floor(F.log(F.octet_length("body") / 8) / F.log(F.lit(BAND))).cast("int")
     raw = raw.withColumn("band", F.when(F.col("large") == 1, band).otherwise(0))
@@ -275,7 +293,7 @@ def _labels(text: DataFrame, tiles: DataFrame, blocks: int, tile: int) -> DataFr
     own = salted(large.where(~least), subs).select("tile", "band", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int").alias("sub"), "id", "body")
     visits = large.where(least).select("tile", around.alias("band"), "id", "body").join(subs, ["tile", "band"]).select("tile", "band", upto("subs").alias("sub"), "id", "body")
     sets = raw.where("large = 0").select("tile", "band", F.lit(0).alias("sub"), "id", "body").union(own).union(visits)
-    done = cut(sets.groupBy(*CHUNK).applyInArrow(_tile, "tile long, band int, sub int, id long, label long"))
+    done = cut(sets.groupBy(*CHUNK).applyInArrow(_tile, f"tile {NODE}, band int, sub int, id {NODE}, label {NODE}"))
     base = own.join(done, [*CHUNK, "id"])
     asks = cut(base.where("label <> tile"))
     if asks.isEmpty():
@@ -286,25 +304,39 @@ def _labels(text: DataFrame, tiles: DataFrame, blocks: int, tile: int) -> DataFr
     asking = salted(asks.select("tile", F.col("band").alias("from"), F.col("sub").alias("home"), around.alias("band"), "id", "label", "body"), targets)
     asking = asking.select("tile", "band", upto("subs").alias("sub"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "id", "label", "body", "from", "home")
     asking = asking.where((F.col("band") != F.col("from")) | (F.col("sub") != F.col("home"))).drop("from", "home")
-    links = held.union(asking).groupBy(*CHUNK, "part").applyInArrow(_cross, "a long, b long")
+    links = held.union(asking).groupBy(*CHUNK, "part").applyInArrow(_cross, f"a {NODE}, b {NODE}")
     return components(done.select(F.col("id").alias("a"), F.col("label").alias("b")).union(links))
 
 
-def jaccard_components(docs: DataFrame, tile: int = TILE) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row of docs (doc_id, text)."""
+def jaccard_groups(docs: DataFrame, tile: int = TILE) -> DataFrame:
+    """doc_id, text_key (xxhash64 of text), n_shingles, component_id, tag (of the row's set) and leads (whether the set is its component's least node) of each row of docs (doc_id, text)."""
     plan = layout(docs)
     blocks, shards, shift = plan.blocks, plan.shards, np.uint64(64 - plan.bits)
-    text = dealt(docs, blocks)
+    text = dealt(docs.select("doc_id", "text", F.xxhash64("text").alias("key")), blocks, ("key",))
     sketches = text.groupBy("block").applyInArrow(_sketch(shift, shards), SKETCH)
     answers = sketches.repartition(shards, "shard").groupBy("shard").applyInArrow(_merge, ANSWER)
     found = cut(text.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_find(shift, shards), FOUND))
-    met = found.where(F.col("kind") == POSTINGS).repartition(shards, "shard").groupBy("shard").applyInArrow(_meet, "a long, b long")
-    tiles = components(_unpacked(found, LINKS, ["a", "b"]).union(met))
-    labels = _labels(text, tiles, blocks, tile)
-    rows = _unpacked(found, DOCS, ["id", "n", "rep"])
-    known = rows.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    met = found.where(F.col("kind") == POSTINGS).repartition(shards, "shard").groupBy("shard").applyInArrow(_meet, "a long, b long, c long, d long")
+    links = _unpacked(found, LINKS, list("abcd")).drop("block").union(met)
+    tiles = components(links.select(_node("a", "b", "a"), _node("c", "d", "b")))
+    rows = _unpacked(found, DOCS, ["id", "n", "rep", "tag", "key"])
+    homes = rows.where("id = rep AND n > 0").select(_node("id", "tag", "id"), "block").groupBy("id").agg(F.min("block").alias("block"))
+    labels = _labels(text, tiles, homes, tile)
+    known = rows.withColumn("set", _node("rep", "tag", "set")).join(labels.select(F.col("id").alias("set"), "component"), "set", "left")
     null = F.col("id") == NO_ID
-    return known.select(F.when(~null, F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.when(~null, F.coalesce("component", "rep")).alias("component_id"))
+    return known.select(
+        F.when(~null, F.col("id")).alias("doc_id"),
+        F.col("key").alias("text_key"),
+        F.col("n").alias("n_shingles"),
+        F.when(~null, F.coalesce("component.id", "rep")).alias("component_id"),
+        "tag",
+        ((F.col("id") == F.col("rep")) & F.coalesce(F.col("component") == F.col("set"), F.lit(True))).alias("leads"),
+    )
+
+
+def jaccard_components(docs: DataFrame, tile: int = TILE) -> DataFrame:
+    """doc_id, n_shingles, component_id of each row of docs (doc_id, text)."""
+    return jaccard_groups(docs, tile).select("doc_id", "n_shingles", "component_id")
 
 
 #: Pairs of distinct sets over shared shingles, and their transitive closure.

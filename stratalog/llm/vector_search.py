@@ -11,17 +11,18 @@ The index side is dealt to its blocks once; the stated queries are sent to every
 task holds one block's slices and a batch of queries at a time. Only a table of fewer blocks than there are tasks is
 dealt to several tasks a block, each with a part of the queries.
 
-Defined results: null and empty vectors and vectors with null or non-finite components take no part, as queries and as
+Defined results: null vectors and vectors with null or non-finite components take no part, as queries and as
 candidates; neither do rows with a null id. A row is no candidate for itself; rows that repeat its id are, equal vectors
 included, and each row whose id every divides asks. Equal rows are counted before they are dealt, and of more than k + 1
-only so many can matter. Vectors of other lengths count as filled up with zeros. Fewer candidates than k give fewer rows,
-an empty table none. Components so large that a score would not fit 64 bits raise OverflowError before the search. Other
-columns play no part.
+only so many can matter. Vectors of other lengths, empty ones too, count as filled up with zeros. Fewer candidates than k
+give fewer rows, an empty table none. A row with components so large that a score might not fit 64 bits is left out of the
+slices and scored by Python's integers; a score beyond 64 bits counts as the nearest long. Other columns play no part.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -137,11 +138,21 @@ def _positions(bitmap: np.ndarray) -> np.ndarray:
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """(id, q): the rows that take part. Components beyond 62 bits become the extreme of 63, which top_k refuses."""
+    """(id, x, q): the rows that take part, and their components as integers, those beyond 62 bits as the extremes of 63."""
     finite = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("x")).where(F.col("id").isNotNull() & (F.size("x") > 0) & F.coalesce(finite, F.lit(False)))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("x")).where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False)))
     most = float(1 << 62)
-    return rows.select("id", F.transform("x", lambda v: F.floor(F.greatest(F.lit(-most), F.least(F.lit(most), v * SCALE))).cast("long")).alias("q"))
+    return rows.select("id", "x", F.transform("x", lambda v: F.floor(F.greatest(F.lit(-most), F.least(F.lit(most), v * SCALE))).cast("long")).alias("q"))
+
+
+def _exact(x: list[float]) -> list[int]:
+    """Components of any size as integers."""
+    return [math.floor(v * SCALE) if abs(v) < 1e300 else int(v) * SCALE for v in x]
+
+
+def _score(a: list[int], b: list[int]) -> int:
+    """Inner product; beyond 64 bits the nearest long."""
+    return max(-(1 << 63), min((1 << 63) - 1, sum(x * y for x, y in zip(a, b, strict=False))))
 
 
 def _matrix(lists: list, width: int) -> np.ndarray:
@@ -153,17 +164,18 @@ def _matrix(lists: list, width: int) -> np.ndarray:
 
 def top_k(vectors: DataFrame, every: int = QUERY_EVERY, k: int = TOP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of vectors (vec_id, embedding) to each row whose id every divides."""
-    rows = quantised(vectors).groupBy("id", "q").agg(F.count(F.lit(1)).alias("times"))
+    rows = quantised(vectors)
+    width = rows.agg(F.max(F.size("q"))).first()[0] or 0
+    # rows whose scores might not fit 64 bits keep their components as they are
+    limit = math.isqrt((1 << 62) // max(1, width))
+    rows = rows.select("id", "q", F.when(F.exists("q", lambda v: F.abs(v) >= limit), F.col("x")).alias("x")).groupBy("id", "q", "x").agg(F.count(F.lit(1)).alias("times"))
     asks = F.col("id") % every == 0
-    count, width, low, high, asking = rows.agg(F.count(F.lit(1)), F.max(F.size("q")), F.min(F.array_min("q")), F.max(F.array_max("q")), F.count_if(asks)).first()
-    count, width = count or 0, width or 0
-    if width * (max(abs(low or 0), abs(high or 0)) + 1) ** 2 >= 1 << 62:
-        raise OverflowError("scores would not fit 64 bits; scale the vectors down")
+    count, asking = rows.agg(F.count(F.lit(1)), F.count_if(asks)).first()
     tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(1, -(-8 * count * width // block_bytes))
     parts = max(1, min(-(-tasks // blocks), -(-asking // PART)))
     spread = F.xxhash64("id", "q")
-    row = ("id", "q", "times")
+    row = ("id", "q", "x", "times")
     # more than one part only where there are fewer blocks than tasks
     block, part = F.pmod(spread, F.lit(blocks)), F.pmod(F.xxhash64("q", "id"), F.lit(parts))
     each = lambda n, work: F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda x: work(x).cast("int"))).alias("work")
@@ -172,25 +184,34 @@ def top_k(vectors: DataFrame, every: int = QUERY_EVERY, k: int = TOP, block_byte
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each work item first the block's rows, then its queries."""
-        now, ids, lists, index = None, [], [], None
+        now, ids, lists, far, index = None, [], [], [], None
         for batch in batches:
             out = []
-            for work, kind, i, q, times in zip(*(batch.column(c).to_pylist() for c in ("work", "kind", *row)), strict=True):
+            for work, kind, i, q, x, times in zip(*(batch.column(c).to_pylist() for c in ("work", "kind", *row)), strict=True):
                 if work != now:
-                    now, ids, lists, index = work, [], [], None
+                    now, ids, lists, far, index = work, [], [], [], None
                 if kind == 0:
                     copies = min(times, k + 1)
-                    ids += [i] * copies
-                    lists += [q] * copies
-                elif ids or index:
-                    if index is None:
+                    if x is not None:
+                        far += [(i, _exact(x))] * copies
+                    else:
+                        ids += [i] * copies
+                        lists += [q] * copies
+                else:
+                    if index is None and ids:
                         index, ids, lists = BlockIndex(np.array(ids, np.int64), _matrix(lists, width)), [], []
-                    query = _matrix([q], width)[0]
-                    out += [(i, hash_of(query), times, v, s) for s, v in index.top(query, k, i)]
+                    exact = q if x is None else _exact(x)
+                    others = [far[j] for j in range(len(far)) if j != next((m for m, y in enumerate(far) if x is not None and y == (i, exact)), None)]
+                    if x is not None and index is not None:
+                        others += zip(index.ids.tolist(), index.vectors.tolist(), strict=True)
+                    best = [(_score(exact, v), j) for j, v in others]
+                    if x is None and index is not None:
+                        best += index.top(_matrix([q], width)[0], k, i)
+                    out += [(i, hash_of(exact), times, v, s) for s, v in sorted(best, key=lambda y: (-y[0], y[1]))[:k]]
             yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(5)], ["query_id", "query", "times", "vec_id", "score"])
 
-    def hash_of(query: np.ndarray) -> int:
-        return int.from_bytes(hashlib.blake2b(query.tobytes(), digest_size=8).digest(), "little", signed=True)
+    def hash_of(query: list[int]) -> int:
+        return int.from_bytes(hashlib.blake2b(repr(query).encode(), digest_size=8).digest(), "little", signed=True)
 
     dealt = indexed.union(asked).repartition(max(tasks, min(blocks * parts, 1 << 16)), "work").sortWithinPartitions("work", "kind")
     found = dealt.mapInArrow(search, "query_id long, query long, times long, vec_id long, score long")
@@ -206,7 +227,8 @@ WITH v AS (
   SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT a.u, a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  SELECT a.u, a.vec_id AS query_id, b.vec_id AS vec_id, CASE WHEN len(a.q) = len(b.q) AND len(a.q) > 0 THEN list_inner_product(a.q, b.q)
+    ELSE coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])), 0) END::BIGINT AS score
   FROM v a JOIN v b ON a.u <> b.u WHERE a.vec_id % 50 = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5

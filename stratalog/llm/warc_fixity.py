@@ -90,10 +90,11 @@ def audit(left: DataFrame, right: DataFrame) -> DataFrame:
 def damaged(pages: DataFrame) -> DataFrame:
     """The second replica of the registered query: the same records at the same offsets, some with a byte changed, some lost, by rules that stand in for faults of a disk."""
     kept = records(pages)
-    rotten = pages.where(F.pmod("page_id", F.lit(97)) == 13).select(F.col("page_id").cast("long").alias("page_id"), "url", F.concat(F.lit("?"), F.substring(F.coalesce("html", F.lit("")), 2, 1 << 30)).alias("html"))
-    changed = rotten.select(F.col("page_id"), F.octet_length(record(F.col("url"), F.col("html"))).cast("long").alias("other_length"), F.sha2(record(F.col("url"), F.col("html")), 256).alias("other")).dropDuplicates(["page_id"])
+    # by page and digest: rows of one page may differ
+    rotten = pages.where(F.pmod("page_id", F.lit(97)) == 13).select(F.col("page_id").cast("long").alias("page_id"), F.sha2(record(F.col("url"), F.col("html")), 256).alias("digest"), "url", F.concat(F.lit("?"), F.substring(F.coalesce("html", F.lit("")), 2, 1 << 30)).alias("html"))
+    changed = rotten.select("page_id", "digest", F.octet_length(record(F.col("url"), F.col("html"))).cast("long").alias("other_length"), F.sha2(record(F.col("url"), F.col("html")), 256).alias("other")).dropDuplicates(["page_id", "digest"])
     lost = F.pmod("page_id", F.lit(211)) == 5
-    return kept.join(changed, "page_id", "left").where(~F.coalesce(lost, F.lit(False))).select("file", "offset", F.coalesce("other_length", "length").alias("length"), F.coalesce("other", "digest").alias("digest"))
+    return kept.join(changed, ["page_id", "digest"], "left").where(~F.coalesce(lost, F.lit(False))).select("file", "offset", F.coalesce("other_length", "length").alias("length"), F.coalesce("other", "digest").alias("digest"))
 
 
 ORACLE = r"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stratalog.functions.shared import removed, written
 from stratalog.llm.decontamination import contaminated
-from stratalog.llm.ngram_join import jaccard_components
+from stratalog.llm.ngram_join import jaccard_groups
 from stratalog.llm.packing import pack
 from stratalog.llm.queries import BYTE_BPE
 from stratalog.llm.substring_dedup import without_repeats
@@ -27,14 +27,22 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose id is their component's smallest; rows that repeat an id, or have none, stay as far as they differ."""
-    gone = jaccard_components(docs.select("doc_id", "text")).where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    # equal texts of one id are copies; the text stands for itself by a hash, so that texts aren't moved where ids are unique
-    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("doc_id")
-    one = Window.partitionBy("doc_id", F.xxhash64("text"), "text").orderBy(*(F.col(c) for c in docs.columns if c not in ("doc_id", "text")))
-    repeats = kept.join(again, "doc_id", "left_semi").withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*docs.columns)
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).union(repeats)
+    """One row of each group of linked documents, that with the smallest id; rows without an id stay.
+
+    Rows of one id are judged by their texts: those that link nothing stay as far as their texts differ.
+    """
+    found = jaccard_groups(docs.select("doc_id", "text")).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "tag", "leads", "n_shingles")
+    # texts of one id with the leading set, which differ in case or white space: the one with the least key stands for it
+    same = found.where("leads AND n_shingles > 0").groupBy("id", "tag").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").select("id", "tag", "least")
+    beside = found.where("leads AND n_shingles > 0").join(same, ["id", "tag"]).where("key > least")
+    gone = found.where("NOT leads").select("id", "key").union(beside.select("id", "key")).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    kept = rows.join(gone, ["id", "key"], "left_anti")
+    # equal texts of one id are copies
+    again = rows.where("id IS NOT NULL").groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "key")
+    one = Window.partitionBy("id", "key", "row.text").orderBy(F.to_json("row"))
+    repeats = kept.join(again, ["id", "key"], "left_semi").withColumn("nth", F.row_number().over(one)).where("nth = 1")
+    return kept.join(again, ["id", "key"], "left_anti").select("row").union(repeats.select("row")).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

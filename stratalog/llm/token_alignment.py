@@ -7,8 +7,8 @@ link), and where both change at once the text falls apart into groups that no to
 How often each pair of ids is linked in the whole corpus needs all texts, and each text needs those counts back. A task
 aligns its texts block by block as it reads them, and writes each text's links as places in its block's list of distinct
 pairs. Spark sums the blocks' pairs, takes each B id's highest count, and joins back by pair and then by block. So a pair,
-however frequent, is one row a block, texts aren't shuffled, and the vocabularies' product is never broadcast. Both
-sides' ids come from a piece table that a worker keeps, emptied when full.
+however frequent, is one row a block, texts aren't shuffled, and the vocabularies' product is never broadcast. B's ids
+come from a table of pieces that a worker keeps, emptied when full.
 
 Defined results: a text that is null, empty, or whose tokens' bytes differ from a space and the text has no tokens on
 either side, zeros and an empty string of groups; a null id stays null and its links count; rows that repeat an id, or
@@ -21,7 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from stratalog.functions.shared import spread, written
-from stratalog.llm._pretokens import byte_pieces, kept, readable, sentence_pieces
+from stratalog.llm._pretokens import kept, readable, sentence_pieces
 
 #: Entries of a worker's piece table, characters of text that are aligned in one go (a longer text alone), and of a block.
-PIECES, SLAB, BLOCK = 200_000, 1 << 21, 12 << 20
+PIECES, SLAB, BLOCK = 200_000, 1 << 20, 8 << 20
 MARK = "▁"
 _HEX = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -50,8 +50,8 @@ def byte_side(ranks: str, pattern: str) -> tuple[Callable[[str], list[int]], lis
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary, entries
 
 
-def piece_side(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
-    """The same of a sentencepiece model: a mark stands for a space, <0xHH> for a byte."""
+def piece_side(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
+    """The same of several texts by a sentencepiece model: a mark stands for a space, <0xHH> for a byte."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -60,81 +60,74 @@ def piece_side(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
         piece = model.id_to_piece(i)
         byte = _HEX.fullmatch(piece)
         entries.append(bytes([int(byte[1], 16)]) if byte else piece.replace(MARK, " ").encode())
-    return lambda text: model.encode(text, num_threads=1), entries
+    return lambda texts: model.encode(texts, num_threads=1), entries
 
 
-class _Side:
-    """One tokenizer: pieces of texts to ids, through a table of the pieces met. first: number of its first name."""
+class _Pieces:
+    """Ids of the pieces that a worker has met, each encoded once."""
 
-    def __init__(self, made: tuple[Callable[[str], list[int]], list[bytes]], first: int):
-        self.encode, self.entries = made
-        self.first, self.sizes = first, np.array([len(e) for e in self.entries], np.int32)
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], entries: list[bytes]):
+        self.encode, self.entries = encode, entries
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.ids, self.starts, self.same = [], [0], []
-        self.table = None
-
-    def numbers(self, pieces: list[str], before: str) -> list[int]:
-        """The pieces' places in the table; before is what each piece's tokens spell besides the piece."""
-        out = list(map(self.known.get, pieces))
-        for k in [k for k, at in enumerate(out) if at is None] if None in out else ():
-            at = self.known.get(pieces[k])
-            out[k] = self._learned(pieces[k], before + pieces[k]) if at is None else at
-            self.table = None
-        return out
 
-    def _learned(self, piece: str, body: str) -> int:
-        ids = self.encode(piece)
-        at = self.known[piece] = len(self.same)
-        self.ids += ids
-        self.starts.append(len(self.ids))
-        self.same.append(b"".join([self.entries[i] for i in ids]) == body.encode())
-        return at
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Each piece stands for a space and itself; whether its tokens spell that is kept."""
+        new = [p for p in pieces if p not in self.known]
+        for piece, ids in zip(new, self.encode(new), strict=True):
+            self.known[piece] = len(self.same)
+            self.ids += ids
+            self.starts.append(len(self.ids))
+            self.same.append(b"".join([self.entries[i] for i in ids]) == f" {piece}".encode())
 
     def tokens(self, numbers: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of some pieces, and how many each piece has."""
-        if self.table is None:
-            self.table = np.array(self.ids, np.int32), np.array(self.starts, np.int64)
-        ids, starts = self.table
-        at = np.array(numbers, np.int64)
+        ids, starts, at = np.array(self.ids, np.int32), np.array(self.starts, np.int64), np.array(numbers, np.int64)
         size = starts[at + 1] - starts[at]
         return ids[np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
 
 
 class Aligner:
+    """A: encoder of a text and entries by id; B: encoder of texts that begin at a space, and entries."""
+
     def __init__(self, a: tuple, b: tuple):
-        self.a, self.b = _Side(a, 0), _Side(b, len(a[1]))
+        (self.encode, self.entries), self.pieces = a, _Pieces(*b)
+        self.sizes = [np.array([len(e) for e in entries], np.int32) for entries in (a[1], b[1])]
         # each id's number and what may follow it
         self.names = np.array([f"{i}{x}" for n in (len(a[1]), len(b[1])) for i in range(n) for x in ",|;"], object)
 
-    def _pieces(self, text: str) -> tuple[list[int], list[int]] | None:
-        """The pieces of A's space and text, and of B's text; None where the tokens of either spell another text, or there is none."""
-        if not text:
-            return None
-        a, b = self.a.numbers(byte_pieces(" " + text), ""), self.b.numbers(sentence_pieces(text), " ")
-        return (a, b) if all(map(self.a.same.__getitem__, a)) and all(map(self.b.same.__getitem__, b)) else None
+    def encoded(self, texts: list[str]) -> list[tuple[np.ndarray, list[int]] | None]:
+        """A's ids of space and text, and the pieces of B's text; None where the tokens of either spell another text, or there is none."""
+        if len(self.pieces.known) > PIECES:
+            self.pieces.clear()
+        known, same, spelt = self.pieces.known, self.pieces.same, self.entries.__getitem__
+        cut = [sentence_pieces(t) for t in texts]
+        self.pieces.learn({p for pieces in cut for p in pieces if p not in known})
+        out = []
+        for t, pieces in zip(texts, cut, strict=True):
+            b = list(map(known.__getitem__, pieces))
+            if not t or not all(map(same.__getitem__, b)):
+                out.append(None)
+                continue
+            a = self.encode(f" {t}")
+            out.append((np.array(a, np.int32), b) if b"".join(map(spelt, a)) == f" {t}".encode() else None)
+        return out
 
     def slab(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """Of each text: tokens of A, of B, groups, links and digest of its groups; and all links' codes (A id << 32 | B id)."""
-        if len(self.a.known) > PIECES or len(self.b.known) > PIECES:
-            self.a.clear()
-            self.b.clear()
-        both = [self._pieces(t) for t in texts]
-        some = np.array([x is not None for x in both], bool)
-        each, sides = [x for x in both if x], []
+        both = self.encoded(texts)
+        each, some = [x for x in both if x], np.array([x is not None for x in both], bool)
         n = np.zeros((4, len(texts)), np.int64)
-        for k, side in enumerate((self.a, self.b)):
-            ids, size = side.tokens([i for x in each for i in x[k]])
-            ends = np.cumsum([len(x[k]) for x in each])
-            total = np.append(0, np.cumsum(size))
-            n[k, some] = np.diff(total[ends], prepend=0) if len(each) else 0
-            sides.append(ids)
-        a, b = sides
+        a = np.concatenate([np.zeros(0, np.int32), *(x for x, _ in each)])
+        b, size = self.pieces.tokens([i for _, x in each for i in x])
+        n[0, some] = [len(x) for x, _ in each]
+        n[1, some] = np.diff(np.append(0, np.cumsum(size))[np.cumsum([0, *(len(x) for _, x in each)])])
         if not len(a):
             return *n, np.zeros(0, np.int64), [""] * len(texts)
-        own_a, own_b = (np.repeat(np.arange(len(ids), dtype=np.int32), side.sizes[ids]) for ids, side in ((a, self.a), (b, self.b)))
+        own_a, own_b = (np.repeat(np.arange(len(ids), dtype=np.int32), sizes[ids]) for ids, sizes in zip((a, b), self.sizes, strict=True))
         new_a, new_b = np.ones(len(own_a), bool), np.ones(len(own_b), bool)
         new_a[1:], new_b[1:] = own_a[1:] != own_a[:-1], own_b[1:] != own_b[:-1]
         first = np.flatnonzero(new_a | new_b)  # where a pair of owners begins
@@ -151,7 +144,7 @@ class Aligner:
         end_a, end_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         end_a[upto_a - 1], end_b[upto_b - 1] = 1, 2
         name = np.empty(len(a) + len(b), np.int64)
-        name[place_a], name[place_b] = 3 * (a + self.a.first) + end_a, 3 * (b + np.int64(self.b.first)) + end_b
+        name[place_a], name[place_b] = 3 * a.astype(np.int64) + end_a, 3 * (b.astype(np.int64) + len(self.entries)) + end_b
         names = self.names[name].tolist()
         edge = np.append(0, np.cumsum(n[0]))
         byte = np.append(np.flatnonzero(new_a), len(own_a))[edge]
@@ -175,13 +168,17 @@ def _slabs(texts: list[str], most: int) -> Iterator[list[str]]:
         yield some
 
 
-def _planes(places: np.ndarray) -> bytes:
-    """Numbers under 2 ** 32, byte by byte: the higher bytes are mostly zeros and compress."""
-    return np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def _packed(places: np.ndarray) -> bytes:
+    """Numbers under 2 ** 32, byte by byte, the higher bytes being mostly zeros, and compressed."""
+    import zstandard
+
+    return zstandard.compress(np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
 
+def _unpacked(blob: bytes) -> np.ndarray:
+    import zstandard
 
-def _unplaned(blob: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
 
 
 TEXT, PAIRS = 0, 1
@@ -197,7 +194,7 @@ def aligned(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataFrame:
         digests = [x for p in parts for x in p[5]]
         pairs, place, counts = np.unique(codes, return_inverse=True, return_counts=True)
         edge = np.append(0, np.cumsum(n))
-        links = [_planes(place[i:j]) for i, j in zip(edge, edge[1:], strict=False)]
+        links = [_packed(place[i:j]) for i, j in zip(edge, edge[1:], strict=False)]
         text = len(ids)
         columns = {
             "kind": pa.array([TEXT] * text + [PAIRS], pa.int32()),
@@ -215,9 +212,9 @@ def aligned(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataFrame:
         aligner = kept(("aligner", ranks, model), lambda: Aligner(byte_side(ranks, pattern), piece_side(model)))
         block, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            for i, body in zip(batch.column("doc_id").to_pylist(), batch.column("body").to_pylist(), strict=True):
-                ids.append(i)
-                texts.append(readable(body))
+            for i, body in zip(batch.column("doc_id"), batch.column("body"), strict=True):
+                ids.append(i.as_py())
+                texts.append(readable(body.as_py()))
                 size += len(texts[-1])
                 if size >= BLOCK:
                     yield rows(aligner, block, ids, texts)
@@ -249,7 +246,7 @@ def align_tokens(docs: DataFrame, ranks: str, pattern: str, model: str) -> DataF
         n[place], best[place] = told.column("n").to_numpy(), told.column("best").to_numpy()
         sizes, good, sums = [], [], []
         for blob in rows.column("links").to_pylist():
-            at = _unplaned(blob)
+            at = _unpacked(blob)
             sizes.append(len(at))
             good.append(int(best[at].sum()))
             sums.append(int(n[at].sum()))

@@ -1,19 +1,33 @@
 """Parse engines: options compile, on the driver, to a function from a text column to a map of strings.
 
-Everything stays in Catalyst expressions. A null result means that the text doesn't have the engine's form.
+All but grok expressions that may run away stay in Catalyst expressions. A null result means that the text doesn't have
+the engine's form; why(text) then gives the reason.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stratalog.functions.net import let
+from stratalog.operators.patience import NO_MATCH, risky, timed_match
+
+
+@dataclass(frozen=True)
+class Engine:
+    """A text column's fields, and the reason for which a text has none."""
+
+    run: Callable[[Column], Column]
+    why: Callable[[Column], Column] = lambda text: F.lit("parse_failed")
+
+    def __call__(self, text: Column) -> Column:
+        return self.run(text)
+
 
-Engine = Callable[[Column], Column]
 ENGINES: dict[str, Callable[..., Engine]] = {}
 
 
@@ -85,7 +99,7 @@ def kv(pair_separator: str = " ", kv_separator: str = "=", strip_quotes: bool =
         bare = lambda v: F.regexp_replace(F.regexp_extract(v, r'(?s)^"((?:[^"\\]|\\.)*)', 1), r"(?s)\\(.)", "$1")
         return last_wins(keys, F.transform(values, lambda v: F.when(v.startswith('"'), bare(v)).otherwise(v)) if strip_quotes else values)
 
-    return run
+    return Engine(run)
 
 
 @engine("csv")
@@ -102,7 +116,7 @@ def csv(columns: list[str] | None = None, column_map: dict | None = None, delimi
         plain = F.transform(cells, lambda c: F.when(c.startswith(quotechar), F.replace(F.regexp_replace(c, rf"(?s)^{q}(.*){q}", "$1"), F.lit(quotechar * 2), F.lit(quotechar))).otherwise(c))
         return named(names, plain, skip_empty)
 
-    return run
+    return Engine(run)
 
 
 @engine("tsv")
@@ -117,7 +131,7 @@ def tsv(columns: list[str], separator: str = "\t", set_separator: str = ",", uns
         value = lambda c, i: F.when(c == unset_field, None).when(c == empty_field, F.when(is_list(i), "[]")).when(is_list(i), F.to_json(F.split(c, _literal(set_separator), -1))).otherwise(c)
         return F.when(~text.startswith("#"), named(columns, F.transform(cells, value)))
 
-    return run
+    return Engine(run, lambda text: F.lit("tsv_header_line"))
 
 
 #: Extension keys whose label field names them (fixed values).
@@ -148,16 +162,17 @@ def cef() -> Engine:
 
         return F.when(text.rlike(header), let(whole, labelled))
 
-    return run
+    return Engine(run, lambda text: F.when(~text.contains("CEF:"), "cef_no_marker").otherwise("cef_header_incomplete"))
 
 
 @engine("leef")
 def leef() -> Engine:
     """LEEF 1.0 with tabs, or 2.0 with a delimiter field: a character, 0xNN or xNN, or empty for a tab."""
     head = ("leefVersion", "vendor", "product", "productVersion", "eventId")
+    rest = lambda text: F.regexp_extract(text, r"(?s)LEEF:(.*)$", 1)
 
     def run(text: Column) -> Column:
-        body = F.regexp_extract(text, r"(?s)LEEF:(.*)$", 1)
+        body = rest(text)
         version = F.substring_index(body, "|", 1)
         cut = lambda n: F.split(body, r"\|", n)
         two = version == "2.0"
@@ -171,7 +186,12 @@ def leef() -> Engine:
         good = version.isin("1.0", "2.0") & (F.size(cut(7)) >= 5) & (~two | (F.length(mark) <= 1) | (code != ""))
         return F.when(good, last_wins(keys, values))
 
-    return run
+    def why(text: Column) -> Column:
+        version, parts = F.substring_index(rest(text), "|", 1), F.size(F.split(rest(text), r"\|", -1))
+        known = F.when(parts < F.when(version == "2.0", 6).otherwise(5), "leef_header_incomplete").otherwise("leef_invalid_delimiter")
+        return F.when(~text.contains("LEEF:"), "leef_no_marker").when(~version.isin("1.0", "2.0"), "leef_unsupported_version").otherwise(known)
+
+    return Engine(run, why)
 
 
 @engine("dissect")
@@ -193,7 +213,7 @@ def dissect(pattern: str, append_separator: str = "") -> Engine:
         group = lambda n: [F.regexp_extract(text, regex, i + 1) for i, x in enumerate(names) if x.lstrip("+") == n]
         return F.when(text.rlike(regex), F.map_from_arrays(F.array(*map(F.lit, order)), F.array(*(F.concat_ws(append_separator, *group(n)) for n in order))))
 
-    return run
+    return Engine(run, lambda text: F.when(~text.startswith(parts[0]), "dissect_prefix_mismatch").otherwise("dissect_delimiter_missing"))
 
 
 def expand_grok(pattern: str, patterns: dict[str, str] | None = None, depth: int = 20) -> tuple[str, list[str]]:
@@ -224,19 +244,32 @@ def expand_grok(pattern: str, patterns: dict[str, str] | None = None, depth: int
 
 @engine("grok")
 def grok(pattern: str, patterns: dict[str, str] | None = None, grok_timeout_ms: int = 100) -> Engine:
-    """A searched expression; a field that several alternatives name takes the one that matched. All groups come from one match."""
+    """A searched expression; a field that several alternatives name takes the one that matched. All groups come from one match.
+
+    An expression that may run away is matched under the limit of grok_timeout_ms in Arrow batches, others in the JVM.
+    """
     regex, fields = expand_grok(pattern, patterns)
-    record = "\x01".join(f"${i}" for i in range(1, len(fields) + 1))
-    whole = f"(?s)^.*?(?-s:{regex}).*$"
+    names = list(dict.fromkeys(fields))
 
-    def run(text: Column) -> Column:
-        names = list(dict.fromkeys(fields))
+    def entries(groups: Column) -> Column:
+        if not fields:
+            return F.when(groups.isNotNull(), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
         value = lambda g, n: F.coalesce(*(F.nullif(g[i], F.lit("")) for i, f in enumerate(fields) if f == n))
         pairs = lambda g: F.filter(F.array(*(F.struct(F.lit(n).alias("k"), value(g, n).alias("v")) for n in names)), lambda p: p["v"].isNotNull())
-        groups = F.split(F.regexp_replace(text, whole, record), "\x01", -1)
-        return F.when(text.rlike(regex), let(groups, lambda g: F.map_from_entries(pairs(g))))
+        return let(groups, lambda g: F.when(g.isNotNull(), F.map_from_entries(pairs(g))))
 
-    return run
+    if risky(regex):
+        return Engine(lambda text: entries(timed_match(text, regex, grok_timeout_ms)["groups"]), lambda text: timed_match(text, regex, grok_timeout_ms)["reason"])
+    # a match is replaced by its groups, each after a mark; a text that holds the mark itself has its groups extracted
+    mark = "\x01"
+    record, whole = "".join(f"{mark}${i}" for i in range(1, len(fields) + 1)) or mark, f"(?s)^.*?(?-s:{regex}).*$"
+
+    def run(text: Column) -> Column:
+        replaced = lambda r: F.when(r.startswith(mark), F.slice(F.split(r, mark, -1), 2, max(1, len(fields))))
+        each = F.when(text.rlike(regex), F.array(*(F.regexp_extract(text, regex, i) for i in range(1, len(fields) + 1))) if fields else F.array(F.lit("")))
+        return entries(F.when(text.contains(mark), each).otherwise(let(F.regexp_replace(text, whole, record), replaced)))
+
+    return Engine(run, lambda text: F.lit(NO_MATCH))
 
 
 def lint_grok(pattern: str) -> list[str]:
@@ -244,25 +277,41 @@ def lint_grok(pattern: str) -> list[str]:
     return [w for w, bad in (("nested quantifier", r"\([^()]*[+*][^()]*\)[+*]"), ("quantified reference", r"%\{[^}]*\}[+*]"), ("leading greedy match", r"^(\.\*|%\{GREEDYDATA)")) if re.search(bad, pattern)]
 
 
-#: Objects within objects that are taken apart; what lies deeper stays JSON text.
-JSON_DEPTH = 6
+def json_leaves(variant: Column, size: Column, sep: str = ".") -> Column:
+    """Array of (k: dotted path, v: variant) of all scalars, empty objects and empty arrays of an object, however deep, with their types.
+
+    size: a number that no row's depth exceeds. Each turn opens one level; a row without anything left to open waits cheaply.
+    """
+    kind = lambda v: F.substring(F.schema_of_variant(v), 1, 6)
+    struct = lambda k, v: F.struct(k.alias("k"), v.alias("v"))
+
+    def opened(e: Column) -> Column:
+        inner = F.transform(F.map_entries(F.try_variant_get(e["v"], "$", "map<string,variant>")), lambda x: struct(F.concat(e["k"], F.lit(sep), x["key"]), x["value"]))
+        items = F.transform(F.try_variant_get(e["v"], "$", "array<variant>"), lambda x, i: struct(F.concat(e["k"], F.lit(sep), i.cast("string")), x))
+        one = F.array(struct(e["k"], e["v"]))
+        some = lambda x: F.when(F.size(x) > 0, x).otherwise(one)
+        return let(kind(e["v"]), lambda t: F.when(t == "OBJECT", let(inner, some)).when(t == "ARRAY<", let(items, some)).otherwise(one))
+
+    def turn(state: Column, _: Column) -> Column:
+        more = let(F.flatten(F.transform(state["e"], opened)), lambda e: F.struct(e.alias("e"), (F.size(e) > 0).alias("open")))
+        return F.when(state["open"], let(more, lambda m: F.struct(m["e"].alias("e"), F.exists(m["e"], nested).alias("open")))).otherwise(state)
+
+    # an empty object or array stays as it is
+    nested = lambda e: let(kind(e["v"]), lambda t: t.isin("OBJECT", "ARRAY<") & ~F.to_json(e["v"]).isin("{}", "[]"))
+    top = F.transform(F.map_entries(F.try_variant_get(variant, "$", "map<string,variant>")), lambda e: struct(e["key"], e["value"]))
+    start = let(top, lambda e: F.struct(e.alias("e"), F.exists(e, nested).alias("open")))
+    return F.when(variant.isNotNull(), F.aggregate(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), start, turn, lambda s: s["e"]))
 
 
-def flatten_json(variant: Column, sep: str = ".", depth: int = JSON_DEPTH) -> Column:
-    """Map of dotted paths to scalars as text; empty objects and arrays stay as they are."""
-    entries = F.transform(F.map_entries(F.try_variant_get(variant, "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))
-    for _ in range(depth - 1):
+def json_size(text: Column) -> Column:
+    """A bound of the nesting of a JSON text: its opening brackets."""
+    return F.length(text) - F.length(F.translate(text, "{[", ""))
 
-        def opened(e: Column) -> Column:
-            inner = F.transform(F.map_entries(F.try_variant_get(e["v"], "$", "map<string,variant>")), lambda x: F.struct(F.concat(e["k"], F.lit(sep), x["key"]).alias("k"), x["value"].alias("v")))
-            items = F.transform(F.try_variant_get(e["v"], "$", "array<variant>"), lambda x, i: F.struct(F.concat(e["k"], F.lit(sep), i.cast("string")).alias("k"), x.alias("v")))
-            one = F.array(F.struct(e["k"].alias("k"), e["v"].alias("v")))
-            some = lambda x: F.when(F.size(x) > 0, x).otherwise(one)
-            return let(F.substring(F.schema_of_variant(e["v"]), 1, 6), lambda kind: F.when(kind == "OBJECT", let(inner, some)).when(kind == "ARRAY<", let(items, some)).otherwise(one))
 
-        entries = F.flatten(F.transform(entries, opened))
-    text = lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.when(~F.is_variant_null(v), F.to_json(v)))
-    return let(entries, lambda all_: last_wins(F.transform(all_, lambda e: e["k"]), F.transform(all_, lambda e: text(e["v"]))))
+def flatten_json(variant: Column, text: Column, sep: str = ".") -> Column:
+    """Map of dotted paths to scalars as text; empty objects and arrays stay as they are. text: what variant was parsed from."""
+    plain = lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.when(~F.is_variant_null(v), F.to_json(v)))
+    return let(json_leaves(variant, json_size(text), sep), lambda all_: F.when(all_.isNotNull(), last_wins(F.transform(all_, lambda e: e["k"]), F.transform(all_, lambda e: plain(e["v"])))))
 
 
 @engine("json")
@@ -272,10 +321,10 @@ def json(array_mode: str = "index", sep: str = ".") -> Engine:
     def run(text: Column) -> Column:
         only = F.from_json(text, "array<string>")
         root = F.when(F.ltrim(text).startswith("["), F.when(F.size(only) == 1, only[0])).otherwise(text)
-        flat = let(root, lambda r: F.when(F.ltrim(r).startswith("{"), flatten_json(F.try_parse_json(r), sep)))
+        flat = let(root, lambda r: F.when(F.ltrim(r).startswith("{"), flatten_json(F.try_parse_json(r), r, sep)))
         return let(flat, lambda m: F.when(m.isNotNull(), _joined(m, sep))) if array_mode == "join" else flat
 
-    return run
+    return Engine(run, lambda text: F.when(F.try_parse_json(text).isNull(), "json_invalid").otherwise("json_not_one_object"))
 
 
 def _joined(flat: Column, sep: str) -> Column:

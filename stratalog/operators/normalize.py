@@ -146,21 +146,23 @@ def leaf_paths(kind, prefix: str = "") -> list[str]:
 
 
 def parsed(lines: DataFrame, definitions: list[Definition]) -> DataFrame:
-    """lines (raw binary and more) with text, bom_stripped, source_type, envelope and fields."""
+    """lines (raw binary and more) with text, bom_stripped, source_type, envelope, fields and parse_reason (why there are none)."""
     out = lines.withColumn("bom_stripped", bom_stripped(F.col("raw"))).withColumn("text", decoded(F.col("raw")))
     out, header = enveloped(out, "text")
     out = out.withColumn("payload", header["message"]).withColumn("kind", sniff_layered(F.col("text"))["inner"])
     out = out.withColumn("source_type", route(F.col("text"), definitions)).drop("payload", "kind")
-    fields = F
+    fields, reason = F, F
     for d in definitions:
-        body = header["message"] if d.envelope == "syslog" and d.engine not in ("cef", "leef") else F.col("text")
-        got = compile_engine(d.engine, d.options)(body)
+        own = F.when(F.col("source_type") == d.name, header["message"] if d.envelope == "syslog" and d.engine not in ("cef", "leef") else F.col("text"))
+        engine = compile_engine(d.engine, d.options)
+        got, reason = engine(own), reason.when(F.col("source_type") == d.name, engine.why(own))
         if d.envelope == "syslog":
             names = ("timestamp", "hostname", "app_name", "procid", "msgid", "tag", "pri", "facility", "facility_name", "severity", "severity_name")
             extra = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(f"envelope.{h}").alias("k"), F.when(header["format"] != "none", header[h].cast("string")).alias("v")) for h in names)), lambda e: e["v"].isNotNull()))
             got = F.map_concat(got, extra)
         fields = fields.when(F.col("source_type") == d.name, got)
     out = out.withColumn("fields", fields.otherwise(F.lit(None).cast("map<string,string>")) if definitions else F.lit(None).cast("map<string,string>"))
+    out = out.withColumn("parse_reason", F.when(F.col("fields").isNull(), reason.otherwise(None)) if definitions else F.lit(None).cast("string"))
     return out.drop(*(c for c in out.columns if c.startswith("__envelope_")))
 
 
@@ -201,10 +203,10 @@ def normalized(lines: DataFrame, definitions: list[Definition], reference: Colum
     derived = finalized(at)
     failed = lambda p: F.when(F.col(f"`__r_{p}`.e").isNotNull(), F.struct(F.lit("normalize").alias("stage"), F.col(f"`__r_{p}`.e").alias("reason"), F.lit(p).alias("target")))
     first_error = by_source(lambda d: F.coalesce(*(failed(r.target) for r in d.rules)))
-    parse_error = F.when((F.col("source_type") != "unknown") & F.col("fields").isNull(), F.struct(F.lit("parse").alias("stage"), F.lit("parse_failed").alias("reason"), F.lit(None).cast("string").alias("target")))
+    parse_error = F.when((F.col("source_type") != "unknown") & F.col("fields").isNull(), F.struct(F.lit("parse").alias("stage"), F.coalesce("parse_reason", F.lit("parse_failed")).alias("reason"), F.lit(None).cast("string").alias("target")))
     # of two references to fields none is inlined, so the map is built once
     rest = F.when(f.isNotNull(), by_source(lambda d: unused(d, f))).cast("map<string,string>")
-    own = [c for c in rows.columns if c != "error" and not c.startswith("__r_")]
+    own = [c for c in rows.columns if c not in ("error", "parse_reason") and not c.startswith("__r_")]
     return flat.select(
         *own, by_source(lambda d: F.lit(d.version)).alias("mapping_version"),
         F.when(F.col("source_type") != "unknown", nested({p: derived.get(p, at(p)) for p in kinds})).alias("ocsf"),

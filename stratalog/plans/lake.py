@@ -18,11 +18,6 @@ ORIGIN = 946_857_600
 BRONZE = "event_uid string, raw_b64 string, raw_hash string, raw_len int, ingest_time_ns long, source_id string, transport string, peer string"
 DEAD = "event_uid string, raw string, raw_hash string, reason string, stage string, detail string, ts_ns long"
 SEARCH = (*schema.CORE, "date", "severity", "action")
-_FORBIDDEN = "insert update delete drop create alter attach detach copy export import install load pragma set reset call vacuum checkpoint truncate merge grant revoke replace use refresh cache".split()
-
-
-class ReadOnlyViolation(ValueError):
-    pass
 
 
 def bronze(lines: DataFrame) -> DataFrame:
@@ -141,28 +136,6 @@ def unresolved(dead: DataFrame, resolved: DataFrame) -> DataFrame:
     return dead.join(resolved.select("event_uid").distinct(), "event_uid", "left_anti")
 
 
-def checked_sql(sql: str, strict: bool = False) -> str:
-    """The statement, if it is one SELECT or WITH and nothing else."""
-    bare = re.sub(r"('(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`)|--[^\n]*|/\*.*?\*/", lambda m: m[1] or " ", sql, flags=re.S).strip().rstrip(";").strip()
-    masked = re.sub(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`", "''", bare)
-    if ";" in masked:
-        raise ReadOnlyViolation("one statement at a time")
-    if not re.match(r"(?i)(select|with)\b", masked):
-        raise ReadOnlyViolation("only SELECT and WITH")
-    for word in _FORBIDDEN:
-        if re.search(rf"(?i)\b{word}\b(?!\s*\()" if not strict else rf"(?i)\b{word}\b", masked):
-            raise ReadOnlyViolation(f"{word} is not allowed")
-    return bare
-
-
-def query(spark: SparkSession, sql: str, args=None, strict: bool = False) -> DataFrame:
-    bare = checked_sql(sql, strict)
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(bare)
-    if "Command" in plan.getClass().getSimpleName():
-        raise ReadOnlyViolation("commands are not allowed")
-    return spark.sql(bare, args=args) if args else spark.sql(bare)
-
-
 def unify(parts: list[DataFrame]) -> DataFrame:
     """Union by name; a column whose types differ becomes JSON text in all parts."""
     kinds: dict[str, set[str]] = {}

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from stratalog.functions import net, times
 from stratalog.functions.shared import spread
-from stratalog.operators import crosswalk, decode, enrich, integrity, normalize, validate
+from stratalog.operators import crosswalk, decode, definition, engines, enrich, integrity, normalize, validate
 from stratalog.operators.definition import detector, route
 from stratalog.operators.engines import compile_engine
-from stratalog.plans import builtin, jobs, lake
+from stratalog.plans import builtin, jobs, lake, readonly
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -315,6 +315,51 @@ def parse_grok(spark, d):
     return table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), m.alias("m")).select("id", *_get("m", ip="ip", n="n", word="word"))
 
 
+def _reasoned(name: str, detect: dict, engine: str, options: dict) -> definition.Definition:
+    return definition.read({
+        "name": name, "detect": detect, "parse": {"engine": engine, "options": options, "envelope": "none"},
+        "normalize": {"class_uid": 4001, "category_uid": 4, "activity_id": 6, "fields": {"src_endpoint.ip": {"from": "ip", "type": "ip"}}},
+    })
+
+
+#: Lines that an engine refuses, by the reason that it must give.
+_REFUSED = {
+    "grok_no_match": "grok_plain:from 10.0.0.x to", "json_invalid": '{"json":', "json_not_one_object": '[{"json":1},2]', "cef_no_marker": "cef:no such thing", "cef_header_incomplete": "cef:CEF:0|a|b",
+    "leef_no_marker": "leef:none", "leef_unsupported_version": "leef:LEEF:3.0|a|b|c|d|", "leef_header_incomplete": "leef:LEEF:1.0|a|b", "dissect_delimiter_missing": "dissect:10.0.0.1 at",
+    "grok_timeout": "grok_wild:" + "a" * 60 + "!",
+}
+
+
+@query(f"""
+WITH e AS (SELECT event_id, CASE WHEN event_id % 500 = 7 THEN 9 ELSE event_id % 11 END AS k FROM events)
+SELECT {[*_REFUSED]!r}[least(k, 9) + 1] AS reason, 'parse' AS stage, count(*)::BIGINT AS n FROM e WHERE k < 9 OR event_id % 500 = 7 GROUP BY ALL""")
+def grok_reasons(spark, d):
+    """Why lines have no fields, by each engine's own reasons, and matches that end with their budget; lines that parse are no dead letters."""
+    k = F.when(F.col("event_id") % 500 == 7, 9).otherwise(F.when(F.col("event_id") % 11 < 9, F.col("event_id") % 11).otherwise(10)).cast("int")
+    lines = _lines(table(spark, d, "events"), F.element_at(F.array(*map(F.lit, (*_REFUSED.values(), "grok_plain:from 10.0.0.7 to"))), k + 1), "event_id")
+    starts = lambda *of: {"any": [{"starts_with": x} for x in of]}
+    made = [
+        _reasoned("grok_plain", starts("grok_plain:"), "grok", {"pattern": "from %{IP:ip} to"}), _reasoned("grok_wild", starts("grok_wild:"), "grok", {"pattern": "^grok_wild:(?:(a|aa)+)+$", "grok_timeout_ms": 20}),
+        _reasoned("json", starts('{"json"', '[{"json"'), "json", {}), _reasoned("cef", starts("cef:"), "cef", {}), _reasoned("leef", starts("leef:"), "leef", {}), _reasoned("dissect", starts("dissect:"), "dissect", {"pattern": "dissect:%{ip} end"}),
+    ]
+    _, dead = validate.routed(normalize.normalized(lines, made, F.lit("2026-11-26").cast("timestamp")), {m.name: "warn" for m in made})
+    return dead.groupBy("reason", "stage").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT event_id AS id, 8::BIGINT AS leaves, repeat('k.', 40) || 'n' AS deepest, event_id::VARCHAR AS n, event_type AS t, 'BIGINT,STRING,BOOLEAN,VOID,OBJECT<>' AS kinds, (event_id % 9)::VARCHAR AS last FROM events""")
+def parse_json_deep(spark, d):
+    """Objects forty levels deep, flattened whole, with the types that the values had."""
+    line = F.expr("""concat(repeat('{"k":', 40), '{"n":', event_id, ',"t":"', event_type, '","b":', event_id % 2 = 0, ',"list":[', event_id % 7, ',{"x":null},{"y":', event_id % 9, '},[]],"o":{}', repeat('}', 41))""")
+    rows = table(spark, d, "events").select("event_id", line.alias("text"))
+    rows = rows.select("event_id", "text", engines.json_leaves(F.try_parse_json("text"), engines.json_size(F.col("text"))).alias("leaves"), compile_engine("json")(F.col("text")).alias("m"))
+    path = lambda tail: F.concat(F.repeat(F.lit("k."), 40), F.lit(tail))
+    kind = lambda tail: F.schema_of_variant(F.filter("leaves", lambda e: e["k"] == path(tail))[0]["v"])
+    longest = F.filter("leaves", lambda e: e["k"].endswith(".n"))[0]["k"]
+    kinds = F.concat_ws(",", kind("n"), kind("t"), kind("b"), kind("list.1.x"), kind("o"))
+    return rows.select(F.col("event_id").alias("id"), F.size("m").cast("bigint").alias("leaves"), longest.alias("deepest"), F.element_at("m", path("n")).alias("n"), F.element_at("m", path("t")).alias("t"), kinds.alias("kinds"), F.element_at("m", path("list.2.y")).alias("last"))
+
+
 # ---- scalars ----------------------------------------------------------------------------------------------------
 @query("SELECT event_id AS id, (epoch_us(ts) // 1000000) * 1000000000 AS s, (epoch_us(ts) // 1000000) * 1000000000 + 123000000 AS ms, (epoch_us(ts) // 1000000) * 1000000000 + 5 AS frac FROM events")
 def ts_epoch_scale(spark, d):
@@ -582,8 +627,9 @@ def _sql(name: str, sql: str, tables: str, oracle: str | None = None) -> None:
     def run(spark, d):
         text = sql
         for t in tables.split():
-            text = text.replace(f"{{{t}}}", f"parquet.`{d}/{t}.parquet`")
-        return lake.query(spark, text)
+            spark.read.parquet(f"{d}/{t}.parquet").createOrReplaceTempView(f"lake_{t}")
+            text = text.replace(f"{{{t}}}", f"lake_{t}")
+        return readonly.query(spark, text, tables=[f"lake_{t}" for t in tables.split()])
 
     run.__name__ = name
     QUERIES[name] = run

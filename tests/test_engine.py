@@ -18,7 +18,7 @@ from stratalog.functions.shared import shared_folder, spread
 from stratalog.operators import decode, export, integrity, normalize, validate
 from stratalog.operators.definition import DefinitionError, Registry, read
 from stratalog.operators.engines import compile_engine, expand_grok, lint_grok
-from stratalog.plans import builtin, jobs, lake
+from stratalog.plans import builtin, jobs, lake, readonly
 from stratalog.sources import readers
 from stratalog.streaming import ingest
 
@@ -124,9 +124,9 @@ def test_every_line_is_an_event_or_a_dead_letter(spark):
 
 def test_lake_guard_and_unify(spark, tmp_path):
     for bad in ("delete from x", "select 1; select 2", "with a as (select 1) insert into b select * from a", "create table x (a int)"):
-        with pytest.raises(lake.ReadOnlyViolation):
-            lake.query(spark, bad)
-    assert lake.query(spark, "select 'drop table x; --' as a, replace('a', 'a', 'b') as b -- c").first().b == "b"
+        with pytest.raises(readonly.ReadOnlyViolation):
+            readonly.query(spark, bad)
+    assert readonly.query(spark, "select 'drop table x; --' as a, replace('a', 'a', 'b') as b -- c").first().b == "b"
     with pytest.raises(ValueError, match="unknown filters"):
         lake.search(spark.range(1), nope=1)
     assert lake.read_silver(spark, str(tmp_path / "none")).count() == 0

@@ -35,6 +35,8 @@ from stratalog.llm._words import ROLL_A, mix
 SPAN = 50
 #: Bytes of the first ranks, windows of a piece at most (bits of an answer), and positions looked at in one go.
 WORD, PIECE, CHUNK = 8, 32, 1 << 17
+#: Bytes of text whose suffixes are ranked at once (texts of one mark always are).
+SLAB = 1 << 21
 NO_ID = np.iinfo(np.int64).max
 _OF_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * ROLL_A)
 
@@ -183,6 +185,19 @@ def _settled(texts: list[bytes], least: np.ndarray, span: int) -> np.ndarray:
     marks = np.concatenate([_marks(body[a : a + CHUNK + span - 1], span) for a in range(0, len(body) - span + 1, CHUNK)])
     _, group, count = np.unique(marks[ends - sizes], return_inverse=True, return_counts=True)
     mixed = np.flatnonzero(count[group] > 1)  # the only text with its mark shares no window with another
+    mixed = mixed[np.argsort(group[mixed], kind="stable")]
+    # texts of one mark meet in one slab, whole marks as long as they fit
+    before = np.cumsum(sizes[mixed]) - sizes[mixed]
+    head = np.flatnonzero(np.diff(group[mixed], prepend=-1))
+    slab = np.repeat(before[head], np.diff(np.append(head, len(mixed)))) // SLAB
+    cuts = np.flatnonzero(np.diff(slab, prepend=-1)).tolist()
+    for a, b in zip(cuts, [*cuts[1:], len(mixed)], strict=True):
+        _mask_slab(out, mixed[a:b], texts, sizes, least, span)
+    return out
+
+
+def _mask_slab(out: np.ndarray, mixed: np.ndarray, texts: list[bytes], sizes: np.ndarray, least: np.ndarray, span: int) -> None:
+    """Sets the bits of the texts numbered mixed."""
     body = np.frombuffer(b"".join([texts[i] for i in mixed.tolist()]), np.uint8)
     ends = np.cumsum(sizes[mixed])
     counts = sizes[mixed] - (span - 1)
@@ -199,8 +214,7 @@ def _settled(texts: list[bytes], least: np.ndarray, span: int) -> np.ndarray:
         first = np.empty(len(order), np.int64)
         first[order] = np.repeat(np.minimum.reduceat(least[own][order], head), np.diff(np.append(head, len(order))))
         lost = first < least[own]
-        out += np.bincount(own[lost], weights=2.0 ** nth[where[found]][lost], minlength=len(texts)).astype(np.int64)
-    return out
+        out += np.bincount(own[lost], weights=2.0 ** nth[where[found]][lost], minlength=len(out)).astype(np.int64)
 
 
 def repeated_bytes(docs: DataFrame, span: int = SPAN) -> DataFrame:

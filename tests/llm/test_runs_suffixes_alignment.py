@@ -120,6 +120,7 @@ def brute_bytes(rows, span):
 
 @pytest.mark.parametrize("span", [20, 33, 50])
 def test_suffix_dedup_against_brute_force(spark, span):
+    """With slabs of a few bytes too, which put each mark in a slab of its own."""
     rng = np.random.default_rng(span)
     word = lambda n: "".join(rng.choice(list("abc"), int(n)))
     pool = [word(rng.integers(30, 200)) for _ in range(6)]
@@ -128,6 +129,16 @@ def test_suffix_dedup_against_brute_force(spark, span):
         parts = [word(rng.integers(0, 40)) if rng.random() < 0.6 else pool[rng.integers(6)][int(rng.integers(0, 20)) :][: int(rng.integers(20, 200))] for _ in range(int(rng.integers(0, 9)))]
         rows.append((int(rng.integers(0, 50)) if rng.random() < 0.95 else None, "".join(parts)))
     assert rows_of(suffix_dedup.summary(suffix_dedup.repeated_bytes(with_clashes(spark, rows), span))) == brute_bytes(rows, span)
+    texts = sorted({t[p : p + span + 9] for _, x in rows for t in [(x or "").encode()] for p in range(0, len(t) - span, 7)})
+    least = np.arange(len(texts))[::-1].copy()
+    marks = {t: suffix_dedup._marks(np.frombuffer(t, np.uint8), span)[0] for t in texts}
+    alike = [t for t in texts if (suffix_dedup._marks(np.frombuffer(t, np.uint8), span) == marks[t]).all()]
+    one = suffix_dedup._settled(alike, least[: len(alike)], span)
+    suffix_dedup.SLAB, kept = 8, suffix_dedup.SLAB
+    try:
+        assert (suffix_dedup._settled(alike, least[: len(alike)], span) == one).all() and one.any()
+    finally:
+        suffix_dedup.SLAB = kept
     assert suffix_dedup.repeated_bytes(spark.createDataFrame([], DOCS), span).collect() == []
 
 

@@ -15,7 +15,7 @@ MAX_LIMIT = 10_000
 UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
 #: Buckets are counted from Monday 2000-01-03, in seconds (a fixed value).
 ORIGIN = 946_857_600
-BRONZE = "event_uid string, raw_b64 string, raw_hash string, raw_len int, ingest_time_ns long, source_id string, transport string, peer string"
+BRONZE = "event_uid string, raw_b64 string, raw_hash string, raw_len int, ingest_time_ns long, source_id string, transport string, peer string, locator string"
 DEAD = "event_uid string, raw string, raw_hash string, reason string, stage string, detail string, ts_ns long"
 SEARCH = (*schema.CORE, "date", "severity", "action")
 
@@ -27,12 +27,12 @@ def bronze(lines: DataFrame) -> DataFrame:
 
 def write_bronze(lines: DataFrame, path: str) -> None:
     own = bronze(lines)
-    keep = [c for c in ("event_uid", "raw_hash", "raw_len", "ingest_time_ns", "source_id", "transport", "peer", "date") if c in own.columns]
+    keep = [c for c in ("event_uid", "raw_hash", "raw_len", "ingest_time_ns", "source_id", "transport", "peer", "locator", "date") if c in own.columns]
     own.select(*keep, F.base64("raw").alias("raw_b64")).write.mode("append").partitionBy("date").option("compression", "gzip").json(path)
 
 
 def read_bronze(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
-    rows = spark.read.schema(BRONZE + ", date string").json(path).withColumn("raw", F.unbase64("raw_b64")).withColumn("locator", F.input_file_name())
+    rows = spark.read.schema(BRONZE + ", date string").json(path).withColumn("raw", F.unbase64("raw_b64")).withColumn("locator", F.coalesce("locator", F.input_file_name()))
     return rows.where(F.col("date") == date) if date else rows
 
 

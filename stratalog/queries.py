@@ -746,38 +746,64 @@ def detect_field_equals(spark, d):
     return rows.select("id", rule("event_type", "alert").alias("hit"), rule("kind", "x").alias("other"))
 
 
-# ---- streams (rows only) ----------------------------------------------------------------------------------------
-def _streamed(spark, d, make) -> DataFrame:
-    """What a bounded stream over events gives, once it has read all of them."""
+# ---- streams ----------------------------------------------------------------------------------------------------
+def _streamed(spark, d, make, time=None, settings=None) -> DataFrame:
+    """What a bounded stream over events gives, once it has read all of them and closed its windows."""
     from stratalog.streaming.ingest import drained
 
     source = spark.readStream.schema(spark.read.parquet(f"{d}/events.parquet").schema).format("parquet").option("pathGlobFilter", "*.parquet").load(f"{d}/events.parquet*")
-    return drained(make(source.withColumn("ts", F.col("ts").cast("timestamp"))), "stream")
+    return drained(source.withColumn("ts", F.col("ts").cast("timestamp")), make, "stream", time, settings)
 
 
-@query()
+def _start() -> Column:
+    return F.unix_seconds("w.start").alias("start_s")
+
+
+@query("SELECT DISTINCT event_id FROM events")
 def stream_dedup(spark, d):
     from stratalog.streaming.ingest import deduplicated
 
     return _streamed(spark, d, lambda e: deduplicated(e, "ts", "event_id").select("event_id"))
 
 
-@query()
+@query("SELECT epoch_us(ts) // 3600000000 * 3600 AS start_s, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL")
 def stream_tumbling(spark, d):
     from stratalog.streaming.ingest import tumbling
 
-    return _streamed(spark, d, lambda e: tumbling(e, "ts", "1 hour", "event_type").select("w.start", "event_type", "n"))
+    return _streamed(spark, d, lambda e: tumbling(e, "ts", "1 hour", "event_type").select(_start(), "event_type", "n"), "ts")
 
 
-@query()
+@query("SELECT epoch_us(ts) // 1800000000 * 1800 - back AS start_s, event_type, count(*)::BIGINT AS n FROM events, (VALUES (0), (1800)) AS b(back) GROUP BY ALL")
 def stream_sliding(spark, d):
     from stratalog.streaming.ingest import tumbling
 
-    return _streamed(spark, d, lambda e: tumbling(e, "ts", "1 hour", "event_type", slide="30 minutes").select("w.start", "event_type", "n"))
+    return _streamed(spark, d, lambda e: tumbling(e, "ts", "1 hour", "event_type", slide="30 minutes").select(_start(), "event_type", "n"), "ts")
 
 
-@query()
+@query("""
+WITH p AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
+s AS (SELECT user_id, ts, sum(CASE WHEN ts - before < INTERVAL 10 MINUTE THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM p)
+SELECT epoch_us(min(ts)) // 1000000 AS start_s, user_id, count(*)::BIGINT AS n FROM s GROUP BY user_id, g""")
 def stream_session(spark, d):
     from stratalog.streaming.ingest import sessions
 
-    return _streamed(spark, d, lambda e: sessions(e, "ts", "10 minutes", "user_id").select("w.start", "user_id", "n"))
+    return _streamed(spark, d, lambda e: sessions(e, "ts", "10 minutes", "user_id").select(_start(), "user_id", "n"), "ts")
+
+
+@query("""
+WITH l AS (SELECT event_id % 4 AS lane, row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) - 1 AS o, event_id::VARCHAR AS uid, sha256(event_id::VARCHAR || '|' || event_type) AS h FROM events),
+f AS (SELECT *, count(*) OVER (PARTITION BY lane) // 100 * 100 AS whole FROM l), s AS (SELECT lane, o // 100 AS number, h, o, uid FROM f WHERE o < whole),
+t AS (WITH RECURSIVE t(lane, number, x, n, a, z) AS (SELECT lane, number, list(h ORDER BY o), count(*), min_by(uid, o), max_by(uid, o) FROM s GROUP BY ALL
+  UNION ALL SELECT lane, number, list_transform(range(0, (len(x) + 1) // 2), lambda i: sha256(unhex(x[2 * i + 1] || coalesce(x[2 * i + 2], x[2 * i + 1])))), n, a, z FROM t WHERE len(x) > 1)
+  SELECT * FROM t WHERE len(x) = 1)
+SELECT lane::INTEGER AS lane, number::BIGINT AS number, 'size' AS reason, n::BIGINT AS leaf_count, x[1] AS batch_root, a AS first_event_uid, z AS last_event_uid FROM t""")
+def stream_sealed(spark, d):
+    """Batches of a hundred that a stream seals in each of four lanes; what is left waits in its state."""
+    from stratalog.streaming import ingest, sealing
+
+    def make(e):
+        own = e.select(F.col("event_id").cast("string").alias("event_uid"), F.sha2(F.concat_ws("|", "event_id", "event_type"), 256).alias("raw_hash"), F.col("event_id").alias("ingest_time_ns"))
+        return sealing.sealed_batches(own, size=100, wait_ms=3_600_000, lane=F.col("ingest_time_ns") % 4)
+
+    found = sealing.roots(_streamed(spark, d, make, settings=ingest.NO_IDLE), 100)
+    return found.select("lane", "number", "reason", "leaf_count", "batch_root", F.element_at("uids", 1).alias("first_event_uid"), F.element_at("uids", -1).alias("last_event_uid"))

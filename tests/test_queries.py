@@ -12,6 +12,7 @@ NAMES = (
     "lines_to_stats", "src_vpc_flow", "parse_json_flatten", "parse_csv", "parse_tsv_zeek", "parse_leef", "ts_formats", "coerce_ip", "syslog_rfc5424_sd", "sniff_formats", "bom_strip", "dlq_rows", "zone_lpm", "ioc_first_hit",
     "ioc_cidr", "geo_lookup", "dlq_recent", "dlq_counts", "dlq_sample", "search", "recent", "parse_dissect", "parse_grok",
     "stats_by_source", "timeseries", "dlq_stats", "merkle_root_batches", "inclusion_proofs", "tamper_detect", "chain_fold", "verify_chain_lag", "reprocess_compare", "compact_unify", "sql_asof", "sql_grouping_sets",
+    "stream_dedup", "stream_tumbling", "stream_sliding", "stream_session", "stream_sealed", "grok_reasons", "parse_json_deep",
 )
 
 
@@ -36,4 +37,4 @@ def test_query_gives_what_its_sql_gives(spark, con, name):
 
 
 def test_every_query_has_sql_or_is_known_not_to():
-    assert set(queries.QUERIES) - set(queries.ORACLE) == {"sql_approx_distinct", "stream_dedup", "stream_tumbling", "stream_sliding", "stream_session"}
+    assert set(queries.QUERIES) - set(queries.ORACLE) == {"sql_approx_distinct"}

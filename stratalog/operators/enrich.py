@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalog.functions.net import flags, ip_key, lpm, lpm_join, masked
+from stratalog.operators.normalize import leaf_paths
 
 #: Zones, rules and techniques shipped with the library (fixed values).
 ZONES = (
@@ -59,6 +60,30 @@ def network_context(ip: Column, zones=ZONES) -> Column:
     return F.when(key.isNotNull(), F.struct(*(c.alias(n) for n, c in kinds.items()), found["zone"].alias("zone"), found["criticality"].alias("criticality")))
 
 
+def keyed_contexts(rows: DataFrame, zones=ZONES, record: str = "ocsf") -> Column:
+    """Map of the context of every address that a record holds: by path of its ip attributes, and by key of its unmapped entries."""
+    paths = [p for p in leaf_paths(rows.schema[record].dataType) if p.split(".")[-1] == "ip"]
+    struct = lambda k, v: F.struct(k.alias("key"), v.alias("value"))
+    # one look-up for all of them, whatever their number
+    own = F.array(*(struct(F.lit(p), F.col(f"{record}.{p}")) for p in paths))
+    rest = F.transform(F.map_entries(F.coalesce("unmapped", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))), lambda e: struct(F.concat(F.lit("unmapped."), e["key"]), e["value"]))
+    found = F.transform(F.filter(F.concat(own, rest), lambda e: e["value"].isNotNull()), lambda e: F.struct(e["key"].alias("key"), network_context(e["value"], zones).alias("value")))
+    return F.map_from_entries(F.filter(found, lambda e: e["value"].isNotNull()))
+
+
+#: Names of attributes that hold hosts, and digests of files.
+HOSTS, HASHES = ("hostname", "domain"), ("hash", "md5", "sha1", "sha256")
+
+
+def indicator_candidates(rows: DataFrame, record: str = "ocsf") -> list[tuple[str, str, Column]]:
+    """All of a record's attributes that indicators may name, in the order in which hits count: source, destination, other addresses, hosts, digests."""
+    first = ("src_endpoint.ip", "dst_endpoint.ip", "query.hostname")
+    paths = leaf_paths(rows.schema[record].dataType)
+    kind = lambda p: next((k for k, names in (("ip", ("ip",)), ("domain", HOSTS), ("hash", HASHES)) if p.split(".")[-1] in names), None)
+    some = [p for k in ("ip", "domain", "hash") for p in sorted(paths, key=lambda p: (first.index(p) if p in first else len(first), p)) if kind(p) == k]
+    return [(p, kind(p), F.col(f"{record}.{p}").cast("string")) for p in some]
+
+
 def direction(src: Column, dst: Column) -> Column:
     """outbound, inbound, internal or transit, by which end is private."""
     a, b = flags(ip_key(src))["is_private"], flags(ip_key(dst))["is_private"]
@@ -87,7 +112,11 @@ def indicator_hits(rows: DataFrame, candidates: list[tuple[str, str, Column]], i
     key = {"ip": lambda v: F.array(ip_key(v), *(prefix(ip_key(v), F.lit(n)) for n in lengths)), "domain": domain_suffixes, "hash": lambda v: F.array(F.lower(v))}
     norm = F.when(network, prefix(ip_key(bits[0]), length)).when(F.col("type") == "ip", ip_key(F.col("indicator"))).when(F.col("type") == "domain", F.regexp_replace(F.lower("indicator"), r"\.$", "")).otherwise(F.lower("indicator"))
     table = indicators.select(F.col("type").alias("__t"), norm.alias("__k"), F.struct("indicator", F.col("type").alias("ioc_type"), F.col("source").alias("ioc_source"), "confidence").alias("__hit")).where("__k is not null").groupBy("__t", "__k").agg(F.min("__hit").alias("__hit"))
-    numbered = rows.withColumn("__row", F.struct(*(v.cast("string").alias(f"v{i}") for i, (_, _, v) in enumerate(candidates))))
+    values = F.struct(*(v.cast("string").alias(f"v{i}") for i, (_, _, v) in enumerate(candidates)))
+    # rows without any value find nothing; they are spread by what they are, so that they don't meet under one key
+    own = F.col("event_uid") if "event_uid" in rows.columns else F.to_json(F.struct(*rows.columns))
+    spread = F.concat(F.lit("none-"), F.pmod(F.xxhash64(own), F.lit(4096)).cast("string"))
+    numbered = rows.withColumn("__row", F.when(reduce(or_, (v.isNotNull() for _, _, v in candidates)), F.to_json(values)).otherwise(spread))
 
     def attempts(i: int, matched_on: str, kind: str, value: Column) -> Column:
         return F.transform(key[kind](value), lambda k, j: F.struct((F.lit(1000 * i) + j).alias("order"), F.lit(kind).alias("t"), k.alias("k"), F.lit(matched_on).alias("matched_on")))
@@ -96,7 +125,7 @@ def indicator_hits(rows: DataFrame, candidates: list[tuple[str, str, Column]], i
     distinct = numbered.select("__row", F.filter(F.concat(*(F.coalesce(x, F.array().cast("array<struct<order:int,t:string,k:string,matched_on:string>>")) for x in tries)), lambda x: x["k"].isNotNull()).alias("__tries")).groupBy("__row").agg(F.first("__tries").alias("__tries"))
     best = distinct.select("__row", F.explode("__tries").alias("x")).join(table, (F.col("x.t") == F.col("__t")) & (F.col("x.k") == F.col("__k"))).groupBy("__row").agg(F.min(F.struct("x.order", "x.matched_on", "__hit")).alias("b"))
     hit = F.when(F.col("b").isNotNull(), F.struct(F.lit(True).alias("matched"), F.col("b.__hit.indicator").alias("indicator"), F.col("b.__hit.ioc_type").alias("ioc_type"), F.col("b.__hit.ioc_source").alias("ioc_source"), F.col("b.__hit.confidence").alias("confidence"), F.col("b.matched_on").alias("matched_on")))
-    return numbered.join(best, numbered["__row"].eqNullSafe(best["__row"]), "left").withColumn("ioc", hit).drop("__row", "b")
+    return numbered.join(best, "__row", "left").withColumn("ioc", hit).drop("__row", "b")
 
 
 def located(rows: DataFrame, ip: str, networks: DataFrame, name: str = "location") -> DataFrame:
@@ -139,7 +168,7 @@ def enriched(rows: DataFrame, indicators: DataFrame | None = None, zones=ZONES,
     parts = [network_context(src, zones).alias("src"), network_context(dst, zones).alias("dst"), way.alias("direction"), techniques(at, rules).alias("attack")]
     out = rows.withColumn("enrichment", F.struct(*parts))
     if indicators is not None:
-        out = indicator_hits(out, [("src_endpoint.ip", "ip", src), ("dst_endpoint.ip", "ip", dst), ("query.hostname", "domain", at("query.hostname"))], indicators)
+        out = indicator_hits(out, indicator_candidates(out), indicators)
     got = F.col("enrichment.direction")
     unset = F.coalesce(at("connection_info.direction").isin("", "Unknown"), F.lit(True)) & got.isin("inbound", "outbound")
     info = F.col("ocsf.connection_info").withField("direction", F.when(unset, F.initcap(got)).otherwise(at("connection_info.direction"))).withField("direction_id", F.when(unset, F.when(got == "inbound", 1).otherwise(2).cast("bigint")).otherwise(at("connection_info.direction_id")))

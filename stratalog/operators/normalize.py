@@ -166,10 +166,10 @@ def parsed(lines: DataFrame, definitions: list[Definition]) -> DataFrame:
     return out.drop(*(c for c in out.columns if c.startswith("__envelope_")))
 
 
-def normalized(lines: DataFrame, definitions: list[Definition], reference: Column | None = None, log_version: str | None = None) -> DataFrame:
+def normalized(lines: DataFrame, definitions: list[Definition], reference: Column | None = None, log_version: str | dict[str, str] | None = None) -> DataFrame:
     """lines (event_uid, raw, raw_hash and more) with source_type, mapping_version, ocsf, unmapped and error.
 
-    reference: the time that yearless timestamps are read against.
+    reference: the time that yearless timestamps are read against; log_version: of all events, or by source.
     """
     reference = F.current_timestamp() if reference is None else reference
     rows = parsed(lines, definitions)
@@ -197,7 +197,7 @@ def normalized(lines: DataFrame, definitions: list[Definition], reference: Colum
 
     leaves = {p: value(p) for p in kinds if p not in ("class_uid", "category_uid", "activity_id", "type_uid")}
     leaves |= {"class_uid": by_source(lambda d: F.lit(d.class_uid).cast("bigint")), "category_uid": by_source(lambda d: F.lit(d.category_uid).cast("bigint")), "activity_id": by_source(activity)}
-    leaves |= {"metadata.uid": F.col("event_uid"), "metadata.log_hash": F.col("raw_hash"), "metadata.version": F.lit(schema.VERSION), "metadata.log_version": F.lit(log_version).cast("string")}
+    leaves |= {"metadata.uid": F.col("event_uid"), "metadata.log_hash": F.col("raw_hash"), "metadata.version": F.lit(schema.VERSION), "metadata.log_version": by_source(lambda d: F.lit(log_version.get(d.name))) if isinstance(log_version, dict) else F.lit(log_version).cast("string")}
     flat = rows.select("*", *(c.alias(f"__{p}") for p, c in leaves.items()))
     at = lambda p: F.col(f"`__{p}`")
     derived = finalized(at)

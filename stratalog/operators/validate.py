@@ -40,8 +40,8 @@ def validated(rows: DataFrame) -> DataFrame:
     say = lambda bad, *text: F.when(bad, F.concat(*(F.lit(t) if isinstance(t, str) else F.coalesce(t.cast("string"), F.lit("None")) for t in text)))
     per_class, score = F, F
     for c, (category, objects, recommended) in schema.SHAPES.items():
-        missing = [say(at(s).isNull(), f"missing required attribute: {s}") for s in schema.SCALARS]
-        missing += [say(~populated(record, o), f"missing required attribute: {o}") for o in objects]
+        missing = [say(at(s).isNull(), f"{s} is absent, though required") for s in schema.SCALARS]
+        missing += [say(~populated(record, o), f"{o} is absent, though required") for o in objects]
         missing += [say(F.coalesce(at("metadata.uid") == "", at("metadata.uid").isNull()), "metadata.uid is required")]
         missing += [say(at("category_uid") != category, f"category_uid must be {category}, got ", at("category_uid"))]
         missing += [say(~at("activity_id").isin(*schema.ACTIVITIES[c]), "activity_id ", at("activity_id"), f" is not a {c} activity")]
@@ -54,9 +54,9 @@ def validated(rows: DataFrame) -> DataFrame:
         score = score.when(cls == c, reduce(lambda a, b: a + b, (populated(record, n).cast("int") for n in names)) / F.lit(float(len(names))))
     unknown = cls.isNull() | ~cls.isin(*schema.SHAPES)
     leaves = leaf_paths(record)
-    common = [say(at("type_uid") != cls * 100 + at("activity_id"), "type_uid ", at("type_uid"), " should be ", cls * 100 + at("activity_id")), say(at("time") <= 0, "time must be a positive int, got ", at("time"))]
-    common += [say(at(p).isNotNull() & ip_key(at(p)).isNull(), "invalid IP address: ", at(p)) for p in leaves if p.split(".")[-1] == "ip"]
-    common += [say(~at(p).between(0, 65535), "port out of range 0-65535: ", at(p)) for p in leaves if p.split(".")[-1] == "port"]
+    common = [say(at("type_uid") != cls * 100 + at("activity_id"), "type_uid ", at("type_uid"), " is not class and activity, ", cls * 100 + at("activity_id")), say(at("time") <= 0, "time is before 1970 or zero: ", at("time"))]
+    common += [say(at(p).isNotNull() & ip_key(at(p)).isNull(), "not an address: ", at(p)) for p in leaves if p.split(".")[-1] == "ip"]
+    common += [say(~at(p).between(0, 65535), "not a port: ", at(p)) for p in leaves if p.split(".")[-1] == "port"]
     errors = F.when(unknown, F.array(F.concat(F.lit("unknown or missing class_uid: "), F.coalesce(cls.cast("string"), F.lit("None"))))).otherwise(F.concat(per_class, F.array_compact(F.array(*common))))
     warnings = F.when(unknown, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(say(F.coalesce(at("metadata.version") == "", at("metadata.version").isNull()), "metadata.version is not set"), say(at("activity_id") == 0, "activity_id is 0 (Unknown)"), say(at("severity_id") == 0, "severity_id is 0 (Unknown)"))))
     return rows.withColumn("errors", errors).withColumn("warnings", warnings).withColumn("completeness", F.coalesce(score.otherwise(0.0), F.lit(0.0))).withColumn("valid", F.size("errors") == 0)

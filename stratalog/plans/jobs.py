@@ -5,28 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratalog.functions.shared import cut
 from stratalog.operators import integrity
 from stratalog.operators.definition import Definition
 from stratalog.operators.enrich import enriched
-from stratalog.operators.normalize import normalized
+from stratalog.operators.normalize import normalized, parsed
 from stratalog.operators.validate import routed, validated
 from stratalog.plans import lake
+from stratalog.plans.commits import Commits
 
 
-def process(lines: DataFrame, definitions: list[Definition], reference: Column | None = None, indicators: DataFrame | None = None, log_version: str | None = None) -> tuple[DataFrame, DataFrame]:
+def process(lines: DataFrame, definitions: list[Definition], reference: Column | None = None, indicators: DataFrame | None = None, log_version: str | dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(events, dead letters) of evidence rows (event_uid, raw, raw_hash, ingest_time_ns)."""
     good, dead = routed(normalized(lines, definitions, reference, log_version), {d.name: d.on_failure for d in definitions})
     return enriched(good, indicators), dead
 
 
+def staged(commits: Commits, events: DataFrame, dead: DataFrame) -> dict[str, list[str]]:
+    """Files of events and dead letters, for a commit."""
+    dead = dead.withColumn("date", lake.date_of_ns(F.col("ts_ns")))
+    return {"silver": commits.stage(lake.silver(events), "silver", "parquet", "date", "source_type", compression="zstd"), "deadletters": commits.stage(dead, "deadletters", "json", "date")}
+
+
 def ingest(lines: DataFrame, definitions: list[Definition], root: str, reference: Column | None = None, seed: bytes | None = None) -> None:
-    """Evidence first, sealed if there is a key to sign with, then events and dead letters; a failing definition never loses a line."""
-    lake.write_bronze(lines, f"{root}/bronze")
+    """Evidence first, sealed if there is a key to sign with, then events and dead letters in one commit; a failing definition never loses a line."""
+    commits = Commits(lines.sparkSession, root)
+    commits.commit({"bronze": commits.stage(lake.bronze_rows(lines), "bronze", "json", "date", compression="gzip")})
     if seed:
         integrity.seal(lines.sparkSession, lake.bronze(lines), root, seed)
-    events, dead = process(lake.bronze(lines), definitions, reference)
-    lake.write_silver(events, f"{root}/silver")
-    dead.withColumn("date", lake.date_of_ns(F.col("ts_ns"))).write.mode("append").partitionBy("date").json(f"{root}/deadletters")
+    commits.commit(staged(commits, *process(lake.bronze(lines), definitions, reference)))
 
 
 def verify(spark: SparkSession, root: str, public: bytes | None = None) -> tuple[tuple[int, str] | None, DataFrame]:
@@ -59,30 +66,42 @@ def compare(new: DataFrame, old: DataFrame, ignored: tuple[str, ...] = ("event_u
     return j.agg(n(both & (F.col("a") != F.col("b")))("changed"), n(both & (F.col("a") == F.col("b")))("unchanged"), n(~both)("no_previous"), F.avg(F.when(both, F.col("cb"))).alias("completeness_before"), F.avg(F.when(both, F.col("ca"))).alias("completeness_after"))
 
 
-def reprocess(spark: SparkSession, root: str, definitions: list[Definition], stamp: str, date: str | None = None, source: str | None = None, dry_run: bool = False) -> DataFrame:
-    """Events of the evidence under today's definitions, marked as a later version and appended unless dry_run."""
+def reprocess(spark: SparkSession, root: str, definitions: list[Definition], stamp: str, date: str | None = None, source: str | None = None, dry_run: bool = False, reference: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(events, dead letters) of the evidence under today's definitions, each event marked as a later version of its own definition.
+
+    source: only lines that are routed to it count. Unless dry_run, both are added in one commit, and returned as stored.
+    """
     lines = lake.read_bronze(spark, f"{root}/bronze", date)
-    events, _ = process(lines.drop("raw_b64", "locator"), definitions, log_version=f"{definitions[0].version if definitions else '1.0.0'}+reprocess-{stamp}")
-    events = events.where(F.col("source_type") == source) if source else events
+    versions = {d.name: f"{d.version}+reprocess-{stamp}" for d in definitions}
+    if source:
+        routed_to = parsed(lines.select("event_uid", "raw"), definitions).where(F.col("source_type") == source).select("event_uid")
+        lines = lines.join(routed_to, "event_uid", "left_semi")
+    events, dead = process(lines.drop("raw_b64", "locator"), definitions, reference, log_version=versions)
+    if not dry_run:
+        commits = Commits(spark, root)
+        commits.commit(staged(commits, events, dead))
+    return events, dead
+
+
+def replay(spark: SparkSession, root: str, definitions: list[Definition], now_ns: int, reason: str | None = None, since_ns: int | None = None, dry_run: bool = False, reference: Column | None = None) -> dict[str, int]:
+    """Outstanding dead letters once more, by the evidence where it has them; counts of candidates, succeeded and still_failing.
+
+    Events that pass, their marks as resolved, and new dead letters of those that fail again are one commit, so a replay
+    that is cut short leaves nothing behind, and the next one starts from the same dead letters. An event with several
+    dead letters is replayed once.
+    """
+    dead, done = lake.read_dead_letters(spark, f"{root}/deadletters"), lake.read_resolved(spark, f"{root}/resolved")
+    open_ = cut(lake.unresolved(dead, done, reason, since_ns).groupBy("event_uid").agg(*(F.max_by(c, "ts_ns").alias(c) for c in ("raw", "raw_hash", "reason", "stage")), F.max("ts_ns").alias("ts_ns")))
+    evidence = lake.read_bronze(spark, f"{root}/bronze").select("event_uid", F.col("raw").alias("kept"), F.col("ingest_time_ns").alias("first_ns")).dropDuplicates(["event_uid"])
+    lines = open_.join(evidence, "event_uid", "left").select("event_uid", F.coalesce("kept", F.unbase64("raw")).alias("raw"), "raw_hash", F.coalesce("first_ns", "ts_ns").alias("ingest_time_ns"))
+    events, failed = process(lines, definitions, reference)
+    events, failed = cut(events), cut(failed.withColumn("ts_ns", F.lit(now_ns).cast("long")))
+    counts = {"candidates": open_.count(), "succeeded": events.count(), "still_failing": failed.count()}
     if not dry_run:
-        lake.write_silver(events, f"{root}/silver")
-    return events
-
-
-def replay(spark: SparkSession, root: str, definitions: list[Definition], now_ns: int) -> None:
-    """Outstanding dead letters once more, by the evidence where it has them; those that pass are marked resolved."""
-    dead = lake.read_dead_letters(spark, f"{root}/deadletters")
-    try:
-        done = spark.read.schema("event_uid string, resolved_ts_ns long").json(f"{root}/resolved")
-        done.limit(1).count()
-    except Exception:  # noqa: BLE001  none resolved yet
-        done = spark.createDataFrame([], "event_uid string, resolved_ts_ns long")
-    open_ = lake.unresolved(dead, done)
-    evidence = lake.read_bronze(spark, f"{root}/bronze").select("event_uid", F.col("raw").alias("kept"))
-    lines = open_.join(evidence, "event_uid", "left").select("event_uid", F.coalesce("kept", F.unbase64("raw")).alias("raw"), "raw_hash", F.col("ts_ns").alias("ingest_time_ns"))
-    events, _ = process(lines, definitions)
-    lake.write_silver(events, f"{root}/silver")
-    events.select("event_uid", F.lit(now_ns).alias("resolved_ts_ns")).write.mode("append").json(f"{root}/resolved")
+        commits = Commits(spark, root)
+        marks = events.select("event_uid").join(open_, "event_uid").select("event_uid", F.lit(now_ns).cast("long").alias("resolved_ts_ns"), F.col("reason").alias("original_reason"), F.col("stage").alias("original_stage"))
+        commits.commit(staged(commits, events, failed) | {"resolved": commits.stage(marks, "resolved", "json")})
+    return counts
 
 
 def roundtrip(lines: DataFrame, definitions: list[Definition], reference: Column) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalog.functions.times import date_of_ns
 from stratalog.operators import schema
 from stratalog.operators.normalize import core_columns, leaf_paths
+from stratalog.plans.commits import Commits, Conflict, live_files
 
 MAX_LIMIT = 10_000
 UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
@@ -25,17 +27,30 @@ def bronze(lines: DataFrame) -> DataFrame:
     return lines.withColumn("raw_hash", F.sha2("raw", 256)).withColumn("raw_len", F.octet_length("raw")).withColumn("date", date_of_ns(F.col("ingest_time_ns")))
 
 
-def write_bronze(lines: DataFrame, path: str) -> None:
+def bronze_rows(lines: DataFrame) -> DataFrame:
+    """Evidence as it is stored."""
     own = bronze(lines)
     keep = [c for c in ("event_uid", "raw_hash", "raw_len", "ingest_time_ns", "source_id", "transport", "peer", "locator", "date") if c in own.columns]
-    own.select(*keep, F.base64("raw").alias("raw_b64")).write.mode("append").partitionBy("date").option("compression", "gzip").json(path)
+    return own.select(*keep, F.base64("raw").alias("raw_b64"))
+
+
+def write_bronze(lines: DataFrame, path: str) -> None:
+    bronze_rows(lines).write.mode("append").partitionBy("date").option("compression", "gzip").json(path)
 
 
 def read_bronze(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
-    rows = spark.read.schema(BRONZE + ", date string").json(path).withColumn("raw", F.unbase64("raw_b64")).withColumn("locator", F.coalesce("locator", F.input_file_name()))
+    rows = _live_json(spark, path, BRONZE + ", date string").withColumn("raw", F.unbase64("raw_b64")).withColumn("locator", F.coalesce("locator", F.input_file_name()))
     return rows.where(F.col("date") == date) if date else rows
 
 
+def _live_json(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
+    """A table of JSON lines: the live files of a lake with a log, else all of the folder."""
+    files = live_files(spark, path)
+    if files is None:
+        return spark.read.schema(schema).options(**options).json(path)
+    return spark.read.schema(schema).option("basePath", path).json(files) if files else spark.createDataFrame([], schema)
+
+
 def silver(events: DataFrame) -> DataFrame:
     """Core columns, the record's other leaves under their dotted names, and the rests as JSON; date is the event's, or else the ingest's."""
     drift = leaf_paths(events.schema["ocsf"].dataType)
@@ -52,17 +67,32 @@ def write_silver(events: DataFrame, path: str) -> None:
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """All parts by column name; an empty lake gives an empty, typed table."""
+    files = live_files(spark, path)
     try:
-        found = spark.read.option("mergeSchema", True).parquet(path)
+        found = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*([path] if files is None else files))
     except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e) and files != []:
             raise
         return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in schema.CORE.items()) + ", unmapped_json string, enrichments_json string, date string")
     return found.withColumn("date", F.col("date").cast("string"))
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DEAD).option("pathGlobFilter", "*deadletters*").option("recursiveFileLookup", True).json(path)
+    """Dead letters; in a folder without a log those files that are named so."""
+    if live_files(spark, path) is None:
+        return spark.read.schema(DEAD).option("pathGlobFilter", "*deadletters*").option("recursiveFileLookup", True).json(path)
+    return _live_json(spark, path, DEAD)
+
+
+def read_resolved(spark: SparkSession, path: str) -> DataFrame:
+    """Which dead letters were resolved, and when; none yet gives none."""
+    schema = "event_uid string, resolved_ts_ns long, original_reason string, original_stage string"
+    try:
+        return _live_json(spark, path, schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def recent(events: DataFrame, limit: int = 100, tie: str = "event_uid") -> DataFrame:
@@ -132,7 +162,15 @@ def read_by_uid(bronze: DataFrame, event_uid: str) -> DataFrame:
     return bronze.where(F.col("event_uid") == event_uid).withColumn("intact", F.sha2("raw", 256) == F.col("raw_hash"))
 
 
-def unresolved(dead: DataFrame, resolved: DataFrame) -> DataFrame:
+def dead_letter_examples(dead: DataFrame, reason: str, limit: int = 5) -> DataFrame:
+    """The oldest dead letters of one reason."""
+    return dead.where(F.col("reason") == reason).orderBy("ts_ns", "event_uid").limit(max(0, limit))
+
+
+def unresolved(dead: DataFrame, resolved: DataFrame, reason: str | None = None, since_ns: int | None = None) -> DataFrame:
+    """Outstanding dead letters, of a reason and from a time on if these are given."""
+    dead = dead.where(F.col("reason") == reason) if reason is not None else dead
+    dead = dead.where(F.col("ts_ns") >= since_ns) if since_ns is not None else dead
     return dead.join(resolved.select("event_uid").distinct(), "event_uid", "left_anti")
 
 
@@ -151,33 +189,37 @@ def unify(parts: list[DataFrame]) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, target_bytes: int = 128 << 20, min_files: int = 2) -> dict:
-    """Merges the part files of each leaf folder with min_files or more into files of about target_bytes. New files are complete before old ones go; a folder that fails is skipped."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    folders: dict[str, list] = {}
-    it = fs.listFiles(hadoop.Path(path), True)
-    while it.hasNext():
-        s = it.next()
-        if s.getPath().getName().endswith(".parquet"):
-            folders.setdefault(s.getPath().getParent().toString(), []).append(s)
+    """Merges the live files of each partition with min_files or more into files of about target_bytes, a commit for each partition.
+
+    Readers see a partition's files before or after, never both. A partition that another commit changes meanwhile stays
+    as it is and is counted as skipped; what else fails is raised. Old files stay for readers until Commits.vacuum; only
+    in a folder that had no log until now, whose readers take all files, they go at once.
+    """
+    root, _, table = path.rstrip("/").rpartition("/")
+    commits = Commits(spark, root)
+    plain = not commits.exists()
+    commits.adopt(table)
+    live = commits.version()[1].get(table, {})
+    size = {name: n for name, n, _ in commits._data(table)}
+    folders: dict[str, list[str]] = {}
+    for f in live:
+        if f.endswith(".parquet"):
+            folders.setdefault(f.rpartition("/")[0], []).append(f)
     report = {"merged": 0, "skipped": 0, "files_before": 0, "files_after": 0}
     for folder, files in folders.items():
         if len(files) < min_files:
             continue
+        n = max(1, -(-sum(size.get(f, 0) for f in files) // target_bytes))
+        merged = unify([spark.read.parquet(f"{root}/{f}") for f in files]).repartition(n)
+        made = commits.stage(merged, folder, "parquet", compression="zstd")
         try:
-            n = max(1, -(-sum(f.getLen() for f in files) // target_bytes))
-            parts = [spark.read.parquet(f.getPath().toString()) for f in files]
-            temp = hadoop.Path(f"{folder}/../_compact-{spark.sparkContext.applicationId}")
-            unify(parts).repartition(n).write.mode("overwrite").option("compression", "zstd").parquet(temp.toString())
-            made = [f.getPath() for f in fs.listStatus(temp) if f.getPath().getName().endswith(".parquet")]
-            for p in made:
-                fs.rename(p, hadoop.Path(folder, p.getName()))
-            for f in files:
-                fs.delete(f.getPath(), False)
-            fs.delete(temp, True)
-            report["merged"] += 1
-            report["files_before"] += len(files)
-            report["files_after"] += len(made)
-        except Exception:  # noqa: BLE001  another folder's fault must not stop the rest
+            commits.commit({table: made}, {table: files})
+        except Conflict:
             report["skipped"] += 1
+            continue
+        if plain:
+            commits.delete(files)
+        report["merged"] += 1
+        report["files_before"] += len(files)
+        report["files_after"] += len(made)
     return report

@@ -406,12 +406,12 @@ def dead_letter_reasons(spark, d):
     return dead.groupBy("reason", "stage").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {EV} SELECT event_id AS id, true AS valid, 0::BIGINT AS errors, CASE WHEN k = 3 THEN 0.95 ELSE 1.0 END::DECIMAL(9,2)::VARCHAR AS completeness FROM e")
+@query(f"WITH {EV} SELECT event_id AS id, true AS valid, 0::BIGINT AS errors, CASE WHEN k = 3 THEN 18 / 20 ELSE 1.0 END::DOUBLE AS completeness FROM e")
 def completeness_by_class(spark, d):
+    """Of the twenty attributes that the class asks for or recommends, the lines of an unknown action fill eighteen."""
     lines = iptables_lines(spark, d).withColumn("raw", F.concat("raw", F.lit(" rule=7").cast("binary")))
     v = validate.validated(normalize.normalized(lines, only("iptables"), F.lit("2026-11-26").cast("timestamp")))
-    score = F.when(F.col("completeness") < 1, F.lit("0.95")).otherwise(F.lit("1.00"))
-    return v.select("id", "valid", F.size("errors").cast("bigint").alias("errors"), score.alias("completeness"))
+    return v.select("id", "valid", F.size("errors").cast("bigint").alias("errors"), "completeness")
 
 
 # ---- enrichment -------------------------------------------------------------------------------------------------
@@ -440,6 +440,42 @@ def ioc_first_hit(spark, d):
     return out.select("id", F.col("ioc.indicator").alias("indicator"), F.col("ioc.matched_on").alias("matched_on"))
 
 
+@query("SELECT event_id AS id, CASE WHEN event_id % 4 = 0 THEN 'finding' WHEN event_id % 4 = 1 THEN 'listed' END AS source, CASE WHEN event_id % 4 = 0 THEN 'process.sha256' WHEN event_id % 4 = 1 THEN 'file.md5' END AS matched_on FROM events")
+def ioc_hash(spark, d):
+    """Digests of files and processes, in any case; most rows have none, and those don't meet in one task."""
+    rows = table(spark, d, "events").selectExpr("event_id", "concat('e', event_id) as event_uid", "if(event_id % 4 = 0, upper(sha2(event_type, 256)), null) as sha", "if(event_id % 4 = 1, md5(event_type), if(event_id % 4 = 2, md5('other'), null)) as md5")
+    kinds = table(spark, d, "events").select("event_type").distinct()
+    iocs = kinds.select(F.lit("hash").alias("type"), F.sha2("event_type", 256).alias("indicator"), F.lit("finding").alias("source"), F.lit("high").alias("confidence")).union(kinds.select(F.lit("hash"), F.upper(F.md5("event_type")), F.lit("listed"), F.lit("low")))
+    out = enrich.indicator_hits(rows, [("process.sha256", "hash", F.col("sha")), ("file.md5", "hash", F.col("md5"))], iocs)
+    return out.select(F.col("event_id").alias("id"), F.col("ioc.ioc_source").alias("source"), F.col("ioc.matched_on").alias("matched_on"))
+
+
+@query("SELECT event_id AS id, CASE WHEN event_id % 5 = 0 THEN 'dst_endpoint.ip' WHEN event_id % 2 = 0 THEN 'proxy_endpoint.ip' WHEN event_id % 3 = 0 THEN 'device.hostname' WHEN event_id % 7 = 0 THEN 'dst_endpoint.hostname' END AS matched_on FROM events")
+def ioc_all_hosts(spark, d):
+    """Indicators of any address and any host of a record: addresses come first, source and destination before others."""
+    ends = lambda **of: F.struct(*(F.expr(e).alias(k) for k, e in of.items()))
+    record = F.struct(
+        ends(ip="'10.0.0.1'", hostname="cast(null as string)").alias("src_endpoint"), ends(ip="if(event_id % 5 = 0, '198.51.100.7', '10.0.0.2')", hostname="if(event_id % 7 = 0, 'www.bad.example', null)").alias("dst_endpoint"),
+        ends(ip="if(event_id % 2 = 0, '2001:db8::5', '10.9.9.9')").alias("proxy_endpoint"), ends(hostname="if(event_id % 3 = 0, 'Evil.example.', 'good.example')").alias("device"),
+    )
+    rows = table(spark, d, "events").select("event_id", record.alias("ocsf"))
+    listed = [("ip", "198.51.100.0/24"), ("ip", "2001:db8::5"), ("domain", "evil.example"), ("domain", "bad.example")]
+    iocs = spark.createDataFrame([(t, i, "list", "high") for t, i in listed], "type string, indicator string, source string, confidence string")
+    out = enrich.indicator_hits(rows, enrich.indicator_candidates(rows), iocs)
+    return out.select(F.col("event_id").alias("id"), F.col("ioc.matched_on").alias("matched_on"))
+
+
+@query(f"""WITH {EV} SELECT event_id AS id, 'corp-servers' AS proxy_zone, 'high' AS proxy_criticality, CASE WHEN k = 1 THEN 'dmz' END AS nat_zone, k = 1 AS has_nat, false AS has_other, CASE WHEN k = 1 THEN 4 ELSE 3 END::BIGINT AS n FROM e""")
+def netctx_all(spark, d):
+    """The context of every address of a record, among its unmapped entries too."""
+    record = F.struct(F.struct(F.col("src").alias("ip")).alias("src_endpoint"), F.struct(F.col("dst").alias("ip")).alias("dst_endpoint"), F.struct(F.lit("10.10.3.4").alias("ip")).alias("proxy_endpoint"))
+    rest = F.create_map(F.lit("nat"), F.when(F.col("k") == 1, "192.168.1.9"), F.lit("other"), F.lit("no address"))
+    rows = _events(spark, d).select("event_id", "k", record.alias("ocsf"), rest.alias("unmapped"))
+    rows = rows.select("event_id", enrich.keyed_contexts(rows).alias("c"))
+    at = lambda key: F.try_element_at("c", F.lit(key))
+    return rows.select(F.col("event_id").alias("id"), at("proxy_endpoint.ip")["zone"].alias("proxy_zone"), at("proxy_endpoint.ip")["criticality"].alias("proxy_criticality"), at("unmapped.nat")["zone"].alias("nat_zone"), at("unmapped.nat").isNotNull().alias("has_nat"), at("unmapped.other").isNotNull().alias("has_other"), F.size("c").cast("bigint").alias("n"))
+
+
 @query(f"WITH {EV} SELECT event_id AS id, CASE WHEN k = 2 AND dport = 22 THEN 'T1110' WHEN k <> 2 AND dport = 8081 THEN 'T1571' END AS technique, CASE WHEN k = 2 AND dport = 22 THEN 'credential-access' WHEN k <> 2 AND dport = 8081 THEN 'command-and-control' END AS tactic FROM e")
 def attack_tags(spark, d):
     n = normalize.normalized(fortigate_lines(spark, d), only("fortigate_traffic"), F.lit("2026-11-26").cast("timestamp"))
@@ -567,10 +603,15 @@ def verify_chain_lag(spark, d):
     return integrity.verify_chain(c.withColumn("batch_root", changed("batch_root", 3)).withColumn("prev_chained_root", changed("prev_chained_root", 6)))
 
 
-@query("WITH o AS (SELECT (row_number() OVER (ORDER BY event_id) - 1) AS o, count(*) OVER () AS n FROM events), b AS (SELECT o // 100 AS seq, o % 100 AS i, least(100, n - (o // 100) * 100) AS c FROM o) SELECT seq, i::BIGINT AS leaf_index, ceil(log2(c))::BIGINT AS steps, true AS proved FROM b")
+@query("""WITH l AS (SELECT (row_number() OVER (ORDER BY event_id) - 1) AS o, sha256(event_id::VARCHAR || '|' || event_type) AS h FROM events),
+a AS (SELECT o // 4 AS seq, list(h ORDER BY o) AS x FROM l GROUP BY 1),
+p AS (SELECT seq, len(x) AS c, x, [sha256(unhex(x[1] || coalesce(x[2], x[1]))), sha256(unhex(coalesce(x[3], '') || coalesce(x[4], x[3], '')))] AS y FROM a), i AS (SELECT *, unnest(range(0, c)) AS i FROM p)
+SELECT seq, i::BIGINT AS leaf_index, CASE WHEN c = 1 THEN '' ELSE CASE WHEN i % 2 = 0 THEN 'right:' || coalesce(x[i + 2], x[i + 1]) ELSE 'left:' || x[i] END || CASE WHEN c <= 2 THEN '' WHEN i < 2 THEN ',right:' || y[2] ELSE ',left:' || y[1] END END AS proof, true AS proved FROM i""")
 def inclusion_proofs(spark, d):
-    p = integrity.proofs(_batched(spark, d, 100), size=100)
-    return p.select("seq", F.col("leaf_index").cast("bigint").alias("leaf_index"), F.size("proof").cast("bigint").alias("steps"), (integrity.proof_root(F.col("leaf"), F.col("proof")) == F.col("root")).alias("proved"))
+    """The hashes of each event's path to its batch's root, and whether they lead there."""
+    p = integrity.proofs(_batched(spark, d, 4), size=4)
+    path = F.array_join(F.transform("proof", lambda s: F.concat(s["side"], F.lit(":"), s["sibling"])), ",")
+    return p.select("seq", F.col("leaf_index").cast("bigint").alias("leaf_index"), path.alias("proof"), (integrity.proof_root(F.col("leaf"), F.col("proof")) == F.col("root")).alias("proved"))
 
 
 @query("WITH o AS (SELECT event_id AS event_uid, (row_number() OVER (ORDER BY event_id) - 1) // 100 AS seq, event_id % 333 = 7 AS bad FROM events) SELECT event_uid, CASE WHEN bad THEN 'hash' WHEN bool_or(bad) OVER (PARTITION BY seq) THEN 'proof' END AS reason FROM o")
@@ -611,9 +652,43 @@ def compact_unify(spark, d):
     return lake.unify([a, b])
 
 
-@query(f"WITH {EV} SELECT 100.0::DOUBLE AS byte_lossless, 100.0::DOUBLE AS reparse_stable, 100.0::DOUBLE AS renormalize_stable, sum((k = 3)::INT)::BIGINT AS dead_letters, 0::BIGINT AS no_match FROM e")
+@query(f"""WITH {EV} SELECT 100.0::DOUBLE * sum((event_id % 50 <> 3)::INT) / count(*) AS byte_lossless, 100.0::DOUBLE AS reparse_stable, 100.0::DOUBLE AS renormalize_stable,
+sum((k = 3 AND event_id % 40 <> 1)::INT)::BIGINT AS dead_letters, sum((event_id % 40 = 1)::INT)::BIGINT AS no_match FROM e""")
 def roundtrip_rates(spark, d):
-    return jobs.roundtrip(vpc_lines(spark, d), only("aws_vpc_flow"), F.lit("2026-11-26").cast("timestamp"))
+    """Of lines of which some were altered after they were hashed, and some are of no known source."""
+    lines = vpc_lines(spark, d)
+    text = F.when(F.col("id") % 40 == 1, F.lit("of no source")).otherwise(F.col("raw").cast("string"))
+    lines = lines.withColumn("raw", text.cast("binary")).withColumn("raw_hash", F.sha2("raw", 256))
+    altered = F.when(F.col("id") % 50 == 3, F.concat(F.col("raw").cast("string"), F.lit(" "))).otherwise(F.col("raw").cast("string"))
+    return jobs.roundtrip(lines.withColumn("raw", altered.cast("binary")), only("aws_vpc_flow"), F.lit("2026-11-26").cast("timestamp"))
+
+
+def _kv_rules(**fields) -> list[definition.Definition]:
+    return [definition.read({
+        "name": "plain", "detect": {"starts_with": "plain "}, "parse": {"engine": "kv", "envelope": "none"},
+        "normalize": {"class_uid": 4001, "category_uid": 4, "activity_id": 6, "constants": {"severity_id": 1}, "fields": {"time": {"from": "at", "type": "timestamp"}} | fields},
+    })]
+
+
+@query("SELECT event_id AS id, CASE WHEN event_id % 5 = 0 THEN 'invalid_int' ELSE 'required_unresolved' END AS reason, CASE WHEN event_id % 5 = 0 THEN 'dst_endpoint.port' ELSE 'src_endpoint.hostname' END AS target FROM events WHERE event_id % 3 = 0 OR event_id % 5 = 0")
+def map_required_errors(spark, d):
+    """Required attributes that no source gives, and values that aren't of their kind, by the first rule that fails."""
+    line = F.expr("concat('plain at=1764151200 port=', if(event_id % 5 = 0, 'x', cast(event_id % 65536 as string)), if(event_id % 3 = 0, ' host=', ' host=h'), if(event_id % 3 = 0, '', cast(event_id as string)))")
+    made = _kv_rules(**{"dst_endpoint.port": {"from": "port", "type": "int"}, "src_endpoint.hostname": {"from": ["host", "name"], "required": True}})
+    _, dead = validate.routed(normalize.normalized(_lines(table(spark, d, "events"), line, "event_id"), made, F.lit("2026-11-26").cast("timestamp")))
+    return dead.select(F.substring("event_uid", 2, 20).cast("bigint").alias("id"), "reason", F.get_json_object("detail", "$.target").alias("target"))
+
+
+@query("""
+SELECT event_id AS id, event_id % 4 = 0 AND event_id % 3 = 0 AND event_id % 7 > 0 AS valid, ((event_id % 4 > 0)::INT + (event_id % 3 > 0)::INT + (event_id % 7 = 0)::INT)::BIGINT AS errors, event_id % 4 > 0 AS port, event_id % 3 > 0 AS address, event_id % 7 = 0 AS time
+FROM events""")
+def validate_errors(spark, d):
+    """Records with ports, addresses and times that can't be, one message for each."""
+    line = F.expr("concat('plain at=', if(event_id % 7 = 0, 0, 1764151200), ' port=', if(event_id % 4 = 0, 443, 65536 + event_id), ' ip=', if(event_id % 3 = 0, '10.0.0.1', '10.0.0.256'), ' proto=tcp out=1')")
+    made = _kv_rules(**{"dst_endpoint.port": {"from": "port", "type": "int"}, "src_endpoint.ip": {"from": "ip"}, "dst_endpoint.ip": {"from": "none", "default": "10.0.0.2"}, "connection_info.protocol_name": {"from": "proto"}, "traffic.bytes_out": {"from": "out", "type": "int"}})
+    v = validate.validated(normalize.normalized(_lines(table(spark, d, "events"), line, "event_id"), made, F.lit("2026-11-26").cast("timestamp")))
+    says = lambda word: F.exists("errors", lambda e: e.contains(word))
+    return v.select("id", "valid", F.size("errors").cast("bigint").alias("errors"), says("not a port").alias("port"), says("not an address").alias("address"), says("time is").alias("time"))
 
 
 @query("SELECT event_id, round(avg((event_id % 7 > 0)::INT) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 999 PRECEDING AND CURRENT ROW), 6) AS rate FROM events")
@@ -746,6 +821,28 @@ def detect_field_equals(spark, d):
     return rows.select("id", rule("event_type", "alert").alias("hit"), rule("kind", "x").alias("other"))
 
 
+# ---- replay -----------------------------------------------------------------------------------------------------
+@query(f"""WITH {EV} SELECT sum((k <> 3 OR event_id % 8 = 3)::INT)::BIGINT AS events, count(DISTINCT CASE WHEN k <> 3 OR event_id % 8 = 3 THEN event_id END)::BIGINT AS distinct_events,
+sum((k = 3)::INT + (event_id % 8 = 7)::INT)::BIGINT AS dead_letters, sum((event_id % 8 = 3)::INT)::BIGINT AS resolved, sum((event_id % 8 = 7)::INT)::BIGINT AS open FROM e""")
+def dlq_replay_unresolved(spark, d):
+    """A lake whose dead letters are replayed under a definition that takes half of them: those are events and resolved, the others dead letters once more."""
+    import uuid
+
+    from stratalog.functions.shared import shared_folder
+
+    root, now = f"{shared_folder(spark)}/replay-{uuid.uuid4().hex}", F.lit("2026-11-26").cast("timestamp")
+    line = F.expr("concat('plain at=1764151200 proto=tcp out=1 ip=', if(event_id % 4 = 3, 'none', '10.0.0.1'), if(event_id % 8 = 3, ' alt=10.0.0.9', ''))")
+    rest = {"dst_endpoint.ip": {"from": "none", "default": "10.0.0.2"}, "connection_info.protocol_name": {"from": "proto"}, "traffic.bytes_out": {"from": "out", "type": "int"}}
+    jobs.ingest(_lines(spread(table(spark, d, "events")), line, "event_id").drop("id"), _kv_rules(**{"src_endpoint.ip": {"from": "ip", "type": "ip"}}, **rest), root, now)
+    jobs.replay(spark, root, _kv_rules(**{"src_endpoint.ip": {"from": ["alt", "ip"], "type": "ip"}}, **rest), 1, reference=now)
+    events, dead, done = lake.read_silver(spark, f"{root}/silver"), lake.read_dead_letters(spark, f"{root}/deadletters"), lake.read_resolved(spark, f"{root}/resolved")
+    counts = events.agg(F.count(F.lit(1)).alias("events"), F.count_distinct("event_uid").alias("distinct_events"))
+    letters = dead.agg(F.count(F.lit(1)).alias("dead_letters"))
+    open_ = lake.unresolved(dead, done).agg(F.count_distinct("event_uid").alias("open"))
+    # tables of one row each
+    return counts.join(letters, F.lit(True)).join(done.agg(F.count(F.lit(1)).alias("resolved")), F.lit(True)).join(open_, F.lit(True))
+
+
 # ---- streams ----------------------------------------------------------------------------------------------------
 def _streamed(spark, d, make, time=None, settings=None) -> DataFrame:
     """What a bounded stream over events gives, once it has read all of them and closed its windows."""

@@ -13,6 +13,7 @@ NAMES = (
     "ioc_cidr", "geo_lookup", "dlq_recent", "dlq_counts", "dlq_sample", "search", "recent", "parse_dissect", "parse_grok",
     "stats_by_source", "timeseries", "dlq_stats", "merkle_root_batches", "inclusion_proofs", "tamper_detect", "chain_fold", "verify_chain_lag", "reprocess_compare", "compact_unify", "sql_asof", "sql_grouping_sets",
     "stream_dedup", "stream_tumbling", "stream_sliding", "stream_session", "stream_sealed", "grok_reasons", "parse_json_deep",
+    "map_required_errors", "validate_errors", "dlq_replay_unresolved", "ioc_hash", "ioc_all_hosts", "netctx_all", "completeness_by_class", "roundtrip_rates",
 )
 
 

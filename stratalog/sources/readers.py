@@ -56,6 +56,27 @@ def deframed(captures: DataFrame, content: str = "content") -> DataFrame:
     return captures.mapInPandas(run, (kinds + ", " if kinds else "") + "position int, raw binary")
 
 
+def _json_parts(body: str) -> tuple[Column, Column]:
+    """Elements of an array body, keys sorted and compact, or null; lines of a body of JSON lines, or null."""
+    t = F.trim(F.col(body))
+    elements = F.transform(F.try_variant_get(F.try_parse_json(t), "$", "array<variant>"), lambda v: F.to_json(v))
+    lines = F.filter(F.split(t, "\r?\n", -1), lambda x: F.trim(x) != "")
+    return F.when(t.startswith("["), elements), F.when(~t.startswith("[") & F.forall(lines, lambda x: F.try_parse_json(x).isNotNull()), lines)
+
+
+def refused_bodies(bodies: DataFrame, body: str, kind: str = "raw") -> DataFrame:
+    """Bodies that give no events, without the body, with its bytes and the reason: body_too_large, or of kind json body_invalid.
+
+    Beside raw_body_lines, json_body_events and hec_events, so that each body is accepted or refused. A body of HEC objects
+    that breaks off is refused whole too, but only known by having no events.
+    """
+    size = F.coalesce(F.octet_length(body), F.lit(0))
+    elements, lines = _json_parts(body)
+    broken = F.coalesce(elements, lines).isNull() & F.col(body).isNotNull() if kind == "json" else F.lit(False)
+    reason = F.when(size > MAX_BODY, "body_too_large").when(broken, "body_invalid")
+    return bodies.select(*[c for c in bodies.columns if c != body], size.cast("long").alias("n_bytes"), reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def raw_body_lines(bodies: DataFrame, body: str) -> DataFrame:
     """Lines of bodies, without carriage returns and blanks."""
     lines = F.transform(F.split(body, "\n", -1), lambda x: F.regexp_replace(x, "\r$", ""))
@@ -64,11 +85,8 @@ def raw_body_lines(bodies: DataFrame, body: str) -> DataFrame:
 
 def json_body_events(bodies: DataFrame, body: str) -> DataFrame:
     """Elements of an array body, keys sorted and compact, or the lines of a body of JSON lines; an invalid body gives none."""
-    t = F.trim(F.col(body))
-    elements = F.transform(F.try_variant_get(F.try_parse_json(t), "$", "array<variant>"), lambda v: F.to_json(v))
-    lines = F.filter(F.split(t, "\r?\n", -1), lambda x: F.trim(x) != "")
-    ok = F.forall(lines, lambda x: F.try_parse_json(x).isNotNull())
-    return bodies.where(F.octet_length(body) <= MAX_BODY).select(*[c for c in bodies.columns if c != body], F.posexplode(F.when(t.startswith("["), elements).when(ok, lines)).alias("position", "line"))
+    elements, lines = _json_parts(body)
+    return bodies.where(F.octet_length(body) <= MAX_BODY).select(*[c for c in bodies.columns if c != body], F.posexplode(F.coalesce(elements, lines)).alias("position", "line"))
 
 
 def hec_events(bodies: DataFrame, body: str) -> DataFrame:
@@ -99,7 +117,7 @@ def hec_events(bodies: DataFrame, body: str) -> DataFrame:
                     yield pd.DataFrame(out)
 
     kinds = ", ".join(f"`{c}` {bodies.schema[c].dataType.simpleString()}" for c in keep)
-    return bodies.mapInPandas(run, (kinds + ", " if kinds else "") + "position int, line string, source_id string")
+    return bodies.where(F.octet_length(body) <= MAX_BODY).mapInPandas(run, (kinds + ", " if kinds else "") + "position int, line string, source_id string")
 
 
 def zeek_tsv(lines: DataFrame, stream: str, position: str, line: str) -> DataFrame:

@@ -280,27 +280,28 @@ def lint_grok(pattern: str) -> list[str]:
 def json_leaves(variant: Column, size: Column, sep: str = ".") -> Column:
     """Array of (k: dotted path, v: variant) of all scalars, empty objects and empty arrays of an object, however deep, with their types.
 
-    size: a number that no row's depth exceeds. Each turn opens one level; a row without anything left to open waits cheaply.
+    size: a number that no row's depth exceeds. Each turn opens one level; what was found to be a leaf isn't looked at again,
+    so a value costs its own children only, however deep it lies, and a row without anything left to open waits cheaply.
     """
-    kind = lambda v: F.substring(F.schema_of_variant(v), 1, 6)
-    struct = lambda k, v: F.struct(k.alias("k"), v.alias("v"))
+    struct = lambda k, v, left: F.struct(k.alias("k"), v.alias("v"), F.lit(left).alias("left"))
 
     def opened(e: Column) -> Column:
-        inner = F.transform(F.map_entries(F.try_variant_get(e["v"], "$", "map<string,variant>")), lambda x: struct(F.concat(e["k"], F.lit(sep), x["key"]), x["value"]))
-        items = F.transform(F.try_variant_get(e["v"], "$", "array<variant>"), lambda x, i: struct(F.concat(e["k"], F.lit(sep), i.cast("string")), x))
-        one = F.array(struct(e["k"], e["v"]))
-        some = lambda x: F.when(F.size(x) > 0, x).otherwise(one)
-        return let(kind(e["v"]), lambda t: F.when(t == "OBJECT", let(inner, some)).when(t == "ARRAY<", let(items, some)).otherwise(one))
+        inner = F.transform(F.map_entries(F.try_variant_get(e["v"], "$", "map<string,variant>")), lambda x: struct(F.concat(e["k"], F.lit(sep), x["key"]), x["value"], True))
+        items = F.transform(F.try_variant_get(e["v"], "$", "array<variant>"), lambda x, i: struct(F.concat(e["k"], F.lit(sep), i.cast("string")), x, True))
+        # an empty object or array stays as it is
+        one = F.array(struct(e["k"], e["v"], False))
+        return F.when(e["left"], let(F.coalesce(inner, items), lambda x: F.when(F.size(x) > 0, x).otherwise(one))).otherwise(one)
 
     def turn(state: Column, _: Column) -> Column:
-        more = let(F.flatten(F.transform(state["e"], opened)), lambda e: F.struct(e.alias("e"), (F.size(e) > 0).alias("open")))
-        return F.when(state["open"], let(more, lambda m: F.struct(m["e"].alias("e"), F.exists(m["e"], nested).alias("open")))).otherwise(state)
-
-    # an empty object or array stays as it is
-    nested = lambda e: let(kind(e["v"]), lambda t: t.isin("OBJECT", "ARRAY<") & ~F.to_json(e["v"]).isin("{}", "[]"))
-    top = F.transform(F.map_entries(F.try_variant_get(variant, "$", "map<string,variant>")), lambda e: struct(e["key"], e["value"]))
-    start = let(top, lambda e: F.struct(e.alias("e"), F.exists(e, nested).alias("open")))
-    return F.when(variant.isNotNull(), F.aggregate(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), start, turn, lambda s: s["e"]))
+        more = let(F.flatten(F.transform(state["e"], opened)), lambda e: F.struct(e.alias("e"), F.exists(e, lambda x: x["left"]).alias("open")))
+        return F.when(state["open"], more).otherwise(state)
+
+    def whole(v: Column) -> Column:
+        top = F.transform(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), lambda e: struct(e["key"], e["value"], True))
+        start = F.struct(top.alias("e"), F.lit(True).alias("open"))
+        return F.when(v.isNotNull(), F.aggregate(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), start, turn, lambda s: F.transform(s["e"], lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v")))))
+
+    return let(variant, whole)
 
 
 def json_size(text: Column) -> Column:

@@ -54,6 +54,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.isStreaming or df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df for work that costs far more than reading: at least eight tasks a core, so that a task's share of a large input stays small."""
+    tasks = 8 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.isStreaming or df._jdf.rdd().getNumPartitions() >= tasks else df.repartition(tasks)
+
+
 def removed(df: DataFrame) -> None:
     """Deletes the files of a table that written() gave."""
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:

@@ -121,9 +121,11 @@ def indicator_hits(rows: DataFrame, candidates: list[tuple[str, str, Column]], i
     def attempts(i: int, matched_on: str, kind: str, value: Column) -> Column:
         return F.transform(key[kind](value), lambda k, j: F.struct((F.lit(1000 * i) + j).alias("order"), F.lit(kind).alias("t"), k.alias("k"), F.lit(matched_on).alias("matched_on")))
 
-    tries = [attempts(i, *c) for i, c in enumerate(candidates)]
-    distinct = numbered.select("__row", F.filter(F.concat(*(F.coalesce(x, F.array().cast("array<struct<order:int,t:string,k:string,matched_on:string>>")) for x in tries)), lambda x: x["k"].isNotNull()).alias("__tries")).groupBy("__row").agg(F.first("__tries").alias("__tries"))
-    best = distinct.select("__row", F.explode("__tries").alias("x")).join(table, (F.col("x.t") == F.col("__t")) & (F.col("x.k") == F.col("__k"))).groupBy("__row").agg(F.min(F.struct("x.order", "x.matched_on", "__hit")).alias("b"))
+    # each combination of values is expanded once, after they are made distinct
+    tries = [attempts(i, matched_on, kind, F.col(f"v{i}")) for i, (matched_on, kind, _) in enumerate(candidates)]
+    distinct = numbered.where(reduce(or_, (v.isNotNull() for _, _, v in candidates))).select("__row", *(v.cast("string").alias(f"v{i}") for i, (_, _, v) in enumerate(candidates))).distinct()
+    distinct = distinct.select("__row", F.filter(F.concat(*(F.coalesce(x, F.array().cast("array<struct<order:int,t:string,k:string,matched_on:string>>")) for x in tries)), lambda x: x["k"].isNotNull()).alias("__tries"))
+    best = distinct.select("__row", F.explode_outer("__tries").alias("x")).join(table, (F.col("x.t") == F.col("__t")) & (F.col("x.k") == F.col("__k"))).groupBy("__row").agg(F.min(F.struct("x.order", "x.matched_on", "__hit")).alias("b"))
     hit = F.when(F.col("b").isNotNull(), F.struct(F.lit(True).alias("matched"), F.col("b.__hit.indicator").alias("indicator"), F.col("b.__hit.ioc_type").alias("ioc_type"), F.col("b.__hit.ioc_source").alias("ioc_source"), F.col("b.__hit.confidence").alias("confidence"), F.col("b.matched_on").alias("matched_on")))
     return numbered.join(best, "__row", "left").withColumn("ioc", hit).drop("__row", "b")
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalog.functions import net, times
-from stratalog.functions.shared import spread
+from stratalog.functions.shared import dealt
 from stratalog.operators import crosswalk, decode, definition, engines, enrich, integrity, normalize, validate
 from stratalog.operators.definition import detector, route
 from stratalog.operators.engines import compile_engine
@@ -67,7 +67,7 @@ e AS (SELECT event_id, event_id % 4 AS k, ts, event_type, value,
 
 
 def _events(spark, d) -> DataFrame:
-    return spread(table(spark, d, "events")).selectExpr(
+    return dealt(table(spark, d, "events")).selectExpr(
         "event_id", "event_id % 4 as k", "ts", "event_type", "value",
         "concat('10.', (user_id div 250) % 250, '.', user_id % 250, '.', event_id % 250 + 1) as src", "concat('203.0.113.', event_id % 250 + 1) as dst", "1024 + event_id % 5000 as sport",
         "case event_type when 'purchase' then 443 when 'click' then 22 else 8081 end as dport", "cast(floor(value) as bigint) as sent", "event_id % 100000 as rcvd",
@@ -351,7 +351,7 @@ SELECT event_id AS id, 8::BIGINT AS leaves, repeat('k.', 40) || 'n' AS deepest,
 def parse_json_deep(spark, d):
     """Objects forty levels deep, flattened whole, with the types that the values had."""
     line = F.expr("""concat(repeat('{"k":', 40), '{"n":', event_id, ',"t":"', event_type, '","b":', event_id % 2 = 0, ',"list":[', event_id % 7, ',{"x":null},{"y":', event_id % 9, '},[]],"o":{}', repeat('}', 41))""")
-    rows = spread(table(spark, d, "events")).select("event_id", line.alias("text"))
+    rows = dealt(table(spark, d, "events")).select("event_id", line.alias("text"))
     rows = rows.select("event_id", "text", engines.json_leaves(F.try_parse_json("text"), engines.json_size(F.col("text"))).alias("leaves"), compile_engine("json")(F.col("text")).alias("m"))
     path = lambda tail: F.concat(F.repeat(F.lit("k."), 40), F.lit(tail))
     kind = lambda tail: F.schema_of_variant(F.filter("leaves", lambda e: e["k"] == path(tail))[0]["v"])
@@ -458,7 +458,7 @@ def ioc_all_hosts(spark, d):
         ends(ip="'10.0.0.1'", hostname="cast(null as string)").alias("src_endpoint"), ends(ip="if(event_id % 5 = 0, '198.51.100.7', '10.0.0.2')", hostname="if(event_id % 7 = 0, 'www.bad.example', null)").alias("dst_endpoint"),
         ends(ip="if(event_id % 2 = 0, '2001:db8::5', '10.9.9.9')").alias("proxy_endpoint"), ends(hostname="if(event_id % 3 = 0, 'Evil.example.', 'good.example')").alias("device"),
     )
-    rows = table(spark, d, "events").select("event_id", record.alias("ocsf"))
+    rows = dealt(table(spark, d, "events")).select("event_id", record.alias("ocsf"))
     listed = [("ip", "198.51.100.0/24"), ("ip", "2001:db8::5"), ("domain", "evil.example"), ("domain", "bad.example")]
     iocs = spark.createDataFrame([(t, i, "list", "high") for t, i in listed], "type string, indicator string, source string, confidence string")
     out = enrich.indicator_hits(rows, enrich.indicator_candidates(rows), iocs)
@@ -531,7 +531,7 @@ def dlq_stats(spark, d):
 
 
 def _dead(spark, d) -> DataFrame:
-    return spread(table(spark, d, "events")).selectExpr("event_id as event_uid", "event_type as reason", "case when event_id % 2 = 0 then 'parse' else 'normalize' end as stage", "unix_micros(ts) as ts_ns")
+    return dealt(table(spark, d, "events")).selectExpr("event_id as event_uid", "event_type as reason", "case when event_id % 2 = 0 then 'parse' else 'normalize' end as stage", "unix_micros(ts) as ts_ns")
 
 
 @query("SELECT event_id AS event_uid, event_type AS reason FROM events ORDER BY ts DESC, event_id LIMIT 50")
@@ -833,7 +833,7 @@ def dlq_replay_unresolved(spark, d):
     root, now = f"{shared_folder(spark)}/replay-{uuid.uuid4().hex}", F.lit("2026-11-26").cast("timestamp")
     line = F.expr("concat('plain at=1764151200 proto=tcp out=1 ip=', if(event_id % 4 = 3, 'none', '10.0.0.1'), if(event_id % 8 = 3, ' alt=10.0.0.9', ''))")
     rest = {"dst_endpoint.ip": {"from": "none", "default": "10.0.0.2"}, "connection_info.protocol_name": {"from": "proto"}, "traffic.bytes_out": {"from": "out", "type": "int"}}
-    jobs.ingest(_lines(spread(table(spark, d, "events")), line, "event_id").drop("id"), _kv_rules(**{"src_endpoint.ip": {"from": "ip", "type": "ip"}}, **rest), root, now)
+    jobs.ingest(_lines(dealt(table(spark, d, "events")), line, "event_id").drop("id"), _kv_rules(**{"src_endpoint.ip": {"from": "ip", "type": "ip"}}, **rest), root, now)
     jobs.replay(spark, root, _kv_rules(**{"src_endpoint.ip": {"from": ["alt", "ip"], "type": "ip"}}, **rest), 1, reference=now)
     events, dead, done = lake.read_silver(spark, f"{root}/silver"), lake.read_dead_letters(spark, f"{root}/deadletters"), lake.read_resolved(spark, f"{root}/resolved")
     counts = events.agg(F.count(F.lit(1)).alias("events"), F.count_distinct("event_uid").alias("distinct_events"))

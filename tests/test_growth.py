@@ -5,7 +5,9 @@ import time
 
 from pyspark.sql import functions as F
 
-from stratalog.operators import engines
+from stratalog import queries
+from stratalog.functions import net
+from stratalog.operators import engines, enrich, normalize
 
 
 def test_json_leaves_cost_their_own_depth_once(spark):
@@ -29,3 +31,26 @@ def test_json_leaves_of_odd_objects(spark):
     got = {r.i: r.l for r in rows.select("i", F.transform(leaves, lambda e: F.concat(e["k"], F.lit("="), F.to_json(e["v"]))).alias("l")).collect()}
     assert [got[i] for i in range(len(texts))] == [[], ["a=1"], ["a={}", "b=[]"], ["a.0=[]", "a.1.0.0=1", "a.2.b.0={}"], None, None, None, None]
     assert json.loads(texts[3])["a"][1] == [[1]]
+
+
+def plan(df) -> list[str]:
+    """Lines of the optimized plan, the results first."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        return df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    finally:
+        conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_indicators_meet_distinct_values_only(spark):
+    """What is looked up is worked out after values are made distinct, not for each row."""
+    rows = spark.range(1000).select("id", F.concat(F.lit("10.0.0."), F.col("id") % 3).alias("src"))
+    listed = spark.createDataFrame([("ip", "10.0.0.0/31", "list", "high")], "type string, indicator string, source string, confidence string")
+    out = enrich.indicator_hits(rows, [("src", "ip", F.col("src"))], listed)
+    lines = plan(out)
+    start = next(i for i, x in enumerate(lines) if "Generate explode" in x)
+    distinct = next(i for i, x in enumerate(lines) if i > start and "Aggregate" in x)
+    below = [x for x in lines[distinct + 1 :] if "Range" in x or "conv(" in x]
+    assert "conv(" not in below[0]
+    assert out.where("ioc is not null").count() == 667

@@ -29,6 +29,11 @@ def let(value: Column, of) -> Column:
     return F.transform(F.array(value), of)[0]
 
 
+def apart(c: Column) -> Column:
+    """c, in a projection that Spark's code generator doesn't fuse with others: fused, those of many rules make methods beyond the size that the JVM compiles."""
+    return let(c, lambda x: x)
+
+
 def _groups(text: Column) -> Column:
     """The eight groups of an IPv6 text, unpadded; null if it isn't one."""
     # a dotted tail stands for two groups
@@ -48,9 +53,11 @@ def _groups(text: Column) -> Column:
 
 def ip_key(text: Column) -> Column:
     """The sortable key of an address; null if it isn't one."""
-    v4 = lambda t: F.concat(F.lit("4"), *(F.lpad(F.lower(F.hex(F.regexp_extract(t, V4, i).cast("bigint"))), 2, "0") for i in range(1, 5)))
+    t = F.trim(text)
+    parts = F.split(t, "\\.")
+    number = reduce(lambda n, i: n * 256 + parts[i].cast("bigint"), (1, 2, 3), parts[0].cast("bigint"))
     v6 = lambda t: F.concat(F.lit("6"), F.array_join(F.transform(_groups(t), lambda g: F.lpad(g, 4, "0")), ""))
-    return let(F.trim(text), lambda t: F.when(t.rlike(V4), v4(t)).when(t.contains(":"), v6(t)))
+    return F.when(t.rlike(V4), F.concat(F.lit("4"), F.lpad(F.lower(F.hex(number)), 8, "0"))).when(t.contains(":"), let(t, v6))
 
 
 def canonical_ip(text: Column) -> Column:
@@ -62,7 +69,8 @@ def canonical_ip(text: Column) -> Column:
             out = out.when(joined.rlike(rf"(^|:)0(:0){{{n - 1}}}(:|$)"), F.regexp_replace(joined, rf"^(.*?)(^|:)0(?::0){{{n - 1}}}(?::|$)", "$1::"))
         return out.otherwise(joined)
 
-    return let(F.trim(text), lambda t: F.when(t.rlike(V4), t).when(t.contains(":"), let(F.array_join(_groups(t), ":"), short)))
+    t = F.trim(text)
+    return F.when(t.rlike(V4), t).when(t.contains(":"), let(F.array_join(_groups(t), ":"), short))
 
 
 @dataclass(frozen=True)
@@ -78,36 +86,38 @@ def network(cidr: str) -> Network:
     return Network(n.prefixlen, key(n.network_address), key(n.broadcast_address))
 
 
-def within(key: Column, cidrs: tuple[str, ...]) -> Column:
-    def any_of(k: Column) -> Column:
-        hits = [k.between(n.low, n.high) for n in map(network, cidrs)]
-        return reduce(or_, hits)
+def _between(k: Column, cidrs: tuple[str, ...]) -> Column:
+    return reduce(or_, (k.between(n.low, n.high) for n in map(network, cidrs)))
 
-    return let(key, any_of)
 
+def within(key: Column, cidrs: tuple[str, ...]) -> Column:
+    return let(key, lambda k: _between(k, cidrs))
 
-def flags(key: Column) -> dict[str, Column]:
-    """version and the kinds of an address, null for none."""
-    private = within(key, PRIVATE) & ~within(key, DOCUMENTATION)
+
+def key_flags(key: Column) -> dict[str, Column]:
+    """version and the kinds of an address, null for none; key: a column or bound value, as it is written many times."""
+    private = _between(key, PRIVATE) & ~_between(key, DOCUMENTATION)
     return {
-        "ip_version": F.substring(key, 1, 1).cast("int"), "is_private": private, "is_loopback": within(key, LOOPBACK), "is_multicast": within(key, MULTICAST),
-        "is_reserved": within(key, RESERVED), "is_global": ~private & ~within(key, SHARED),
+        "ip_version": F.substring(key, 1, 1).cast("int"), "is_private": private, "is_loopback": _between(key, LOOPBACK), "is_multicast": _between(key, MULTICAST),
+        "is_reserved": _between(key, RESERVED), "is_global": ~private & ~_between(key, SHARED),
     }
 
 
+def flags(key: Column) -> dict[str, Column]:
+    """key_flags of any expression."""
+    one = lambda n: let(key, lambda k: key_flags(k)[n])
+    return {n: one(n) for n in key_flags(key)}
+
+
 def lpm(key: Column, networks: dict[str, Column]) -> Column:
-    """The value of the longest network that holds the key, as one compiled expression over a small table."""
+    """The value of the longest network that holds the key, as one compiled expression over a small table; key: as for key_flags."""
     if len(networks) > MAX_COMPILED:
         raise ValueError(f"{len(networks)} networks; join them with lpm_join")
     ordered = sorted(((network(c), v) for c, v in networks.items()), key=lambda x: -x[0].length)
-
-    def first(k: Column) -> Column:
-        out = F
-        for n, v in ordered:
-            out = out.when(k.between(n.low, n.high), v)
-        return out
-
-    return let(key, first) if ordered else F.lit(None)
+    out = F
+    for n, v in ordered:
+        out = out.when(key.between(n.low, n.high), v)
+    return out if ordered else F.lit(None)
 
 
 def masked(key: Column, length: Column) -> Column:

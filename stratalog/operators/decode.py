@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalog.functions.net import let
+from stratalog.functions.net import apart, let
 
 #: Names by number (fixed values).
 FACILITIES = ("kernel", "user", "mail", "daemon", "auth", "syslog", "lpr", "news", "uucp", "cron", "authpriv", "ftp", "ntp", "audit", "alert", "cron2", *(f"local{i}" for i in range(8)))
@@ -90,7 +90,7 @@ def enveloped(rows: DataFrame, text: str) -> tuple[DataFrame, dict[str, Column]]
     """
     t, at = F.col(text), lambda k: F.col(f"__envelope_{k}")
     bind = lambda df, columns: df.select("*", *(c.alias(f"__envelope_{k}") for k, c in columns.items()))
-    out = bind(rows, {"is5424": t.rlike(_RFC5424), "number": _number(t)})
+    out = bind(rows, {"is5424": apart(t).rlike(_RFC5424), "number": _number(t)})
     out = bind(out, {"is3164": ~at("is5424") & t.rlike(_RFC3164), "words": _words(t, at("is5424"))})
     out = bind(out, {"body": F.when(at("is3164"), F.regexp_extract(t, _RFC3164, 3))})
     out = bind(out, {"tagged": at("is3164") & at("body").rlike(_TAG)})

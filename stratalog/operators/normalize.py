@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalog.functions.net import canonical_ip, let
+from stratalog.functions.net import apart, canonical_ip, let
 from stratalog.functions.times import any_ns
 from stratalog.operators import schema
 from stratalog.operators.decode import bom_stripped, decoded, enveloped, sniff_layered
@@ -19,6 +19,7 @@ from stratalog.operators.definition import Definition, Rule, route
 from stratalog.operators.engines import compile_engine
 
 TRUE, FALSE = ("true", "t", "yes", "y", "1", "on"), ("false", "f", "no", "n", "0", "off", "")
+ERROR = "struct<stage: string, reason: string, target: string>"
 KINDS = {"int": "bigint", "timestamp": "bigint", "float": "double", "bool": "boolean"}
 
 
@@ -61,26 +62,31 @@ def _kind(rule: Rule) -> str:
     return "bigint" if values and all(isinstance(v, int) and not isinstance(v, bool) for v in values) else "string"
 
 
-def source_value(rule: Rule, fields: Column) -> Column:
-    """What the rule's sources give."""
-    each = [present(fields, s) for s in rule.sources]
+def source_value(rule: Rule, at) -> Column:
+    """What the rule's sources give; at(source) gives a field's column."""
+    each = [F.when(at(s) != "", at(s)) for s in rule.sources]
     if rule.join is not None and len(each) > 1:
         return F.nullif(F.concat_ws(rule.join, *each), F.lit(""))
     return F.coalesce(*each)
 
 
-def mapped(rule: Rule, fields: Column, reference: Column, kind: str) -> Column:
-    """Struct of the rule's value, as kind, and the reason of its error, null if there is none."""
-    raw = source_value(rule, fields)
-    default = _literal(rule.default, _kind(rule))
-    missing = F.lit("required_unresolved" if rule.required else None).cast("string")
-    out = lambda v, bad=None: F.struct(v.cast(kind).alias("v"), F.coalesce(*([bad] if bad is not None else []), F.when(v.isNull(), missing)).alias("e"))
+def typed(rule: Rule) -> bool:
+    return rule.map is None and rule.type != "str"
+
+
+def read_as(rule: Rule, raw: Column, reference: Column) -> Column:
+    """A source's value by the rule's table or as its type, null where it isn't one."""
     if rule.map is not None:
-        return let(let(raw, lambda r: F.when(r.isNull(), default).otherwise(lookup(r, rule.map, rule.default, _kind(rule)))), lambda v: out(v))
-    if rule.type == "str":
-        return let(F.coalesce(raw, default), lambda v: out(v))
-    pair = let(raw, lambda r: F.struct(r.alias("r"), coerce(r, rule.type, reference, rule.format, rule.tz).alias("t")))
-    return let(pair, lambda p: F.when(p["r"].isNull(), out(default)).otherwise(out(p["t"], F.when(p["t"].isNull(), f"invalid_{rule.type}"))))
+        return lookup(raw, rule.map, rule.default, _kind(rule))
+    return coerce(raw, rule.type, reference, rule.format, rule.tz) if typed(rule) else raw
+
+
+def mapped(rule: Rule, raw: Column, got: Column, kind: str) -> tuple[Column, Column]:
+    """The rule's value, as kind, and the reason of its error, null if there is none; got: read_as of raw."""
+    default = _literal(rule.default, _kind(rule)).cast(kind)
+    value = F.when(raw.isNull(), default).otherwise(got) if rule.default is not None else F.when(raw.isNotNull(), got)
+    bad = F.when(raw.isNotNull() & got.isNull(), f"invalid_{rule.type}") if typed(rule) else F
+    return value, bad.when(value.isNull(), "required_unresolved").otherwise(None) if rule.required else bad.otherwise(None) if typed(rule) else F.lit(None).cast("string")
 
 
 def unused(definition: Definition, fields: Column) -> Column:
@@ -177,15 +183,25 @@ def normalized(lines: DataFrame, definitions: list[Definition], reference: Colum
     by_source = lambda pick: _case(definitions, pick)
     f = F.col("fields")
     rules = {d.name: {r.target: r for r in d.rules} for d in definitions}
-    # value and error of each target, side by side, so that later columns refer to them
+    # each step's results are columns, so that later ones refer to them: the fields that rules name, what each target's
+    # rule takes from them, and that as the rule's type
+    users: dict[str, list[str]] = {}
+    for d in definitions:
+        for n in dict.fromkeys([x for r in d.rules for x in r.sources] + ([d.activity["from"]] if isinstance(d.activity, dict) else [])):
+            users.setdefault(n, []).append(d.name)
+    own = [c for c in rows.columns if c not in ("error", "parse_reason")]
+    rows = rows.select(*(apart(F.col(c)).alias(c) if c == "source_type" else c for c in rows.columns), *(F.when(F.col("source_type").isin(*of), F.try_element_at(f, F.lit(n))).alias(f"__f_{n}") for n, of in users.items()))
     paths = [p for p in kinds if any(p in rules[d.name] for d in definitions)]
-    pairs = {p: by_source(lambda d, p=p: mapped(rules[d.name][p], f, reference, kinds[p]) if p in rules[d.name] else None) for p in paths}
-    rows = rows.select("*", *(c.alias(f"__r_{p}") for p, c in pairs.items()))
+    ruled = lambda p, of: by_source(lambda d: of(rules[d.name][p]) if p in rules[d.name] else None)
+    field, raw, got = (lambda p, x=x: F.col(f"`__{x}_{p}`") for x in "fst")
+    rows = rows.select("*", *(ruled(p, lambda r: source_value(r, field)).alias(f"__s_{p}") for p in paths))
+    rows = rows.select("*", *(ruled(p, lambda r, p=p: read_as(r, raw(p), reference).cast(kinds[p])).alias(f"__t_{p}") for p in paths))
+    result = lambda r: mapped(r, raw(r.target), got(r.target), kinds[r.target])
 
     def value(path: str) -> Column:
         def of(d: Definition):
             if path in rules[d.name]:
-                return F.col(f"`__r_{path}`.v")
+                return result(rules[d.name][path])[0]
             return _literal(d.constants[path], kinds[path]) if path in d.constants else None
 
         return by_source(of).cast(kinds[path])
@@ -193,23 +209,23 @@ def normalized(lines: DataFrame, definitions: list[Definition], reference: Colum
     def activity(d: Definition):
         if isinstance(d.activity, int):
             return F.lit(d.activity).cast("bigint")
-        return lookup(present(f, d.activity["from"]), {str(k): v for k, v in d.activity["map"].items()}, d.activity.get("default"), "bigint")
+        return lookup(F.when(field(d.activity["from"]) != "", field(d.activity["from"])), {str(k): v for k, v in d.activity["map"].items()}, d.activity.get("default"), "bigint")
 
     leaves = {p: value(p) for p in kinds if p not in ("class_uid", "category_uid", "activity_id", "type_uid")}
-    leaves |= {"class_uid": by_source(lambda d: F.lit(d.class_uid).cast("bigint")), "category_uid": by_source(lambda d: F.lit(d.category_uid).cast("bigint")), "activity_id": by_source(activity)}
+    leaves |= {"class_uid": apart(by_source(lambda d: F.lit(d.class_uid).cast("bigint"))), "category_uid": by_source(lambda d: F.lit(d.category_uid).cast("bigint")), "activity_id": by_source(activity)}
     leaves |= {"metadata.uid": F.col("event_uid"), "metadata.log_hash": F.col("raw_hash"), "metadata.version": F.lit(schema.VERSION), "metadata.log_version": by_source(lambda d: F.lit(log_version.get(d.name))) if isinstance(log_version, dict) else F.lit(log_version).cast("string")}
     flat = rows.select("*", *(c.alias(f"__{p}") for p, c in leaves.items()))
     at = lambda p: F.col(f"`__{p}`")
     derived = finalized(at)
-    failed = lambda p: F.when(F.col(f"`__r_{p}`.e").isNotNull(), F.struct(F.lit("normalize").alias("stage"), F.col(f"`__r_{p}`.e").alias("reason"), F.lit(p).alias("target")))
-    first_error = by_source(lambda d: F.coalesce(*(failed(r.target) for r in d.rules)))
+    problem = lambda r: result(r)[1]
+    failed = lambda r: F.when(problem(r).isNotNull(), F.struct(F.lit("normalize").alias("stage"), problem(r).alias("reason"), F.lit(r.target).alias("target")))
+    first_error = by_source(lambda d: F.coalesce(*(failed(r) for r in d.rules if typed(r) or r.required), F.lit(None).cast(ERROR)))
     parse_error = F.when((F.col("source_type") != "unknown") & F.col("fields").isNull(), F.struct(F.lit("parse").alias("stage"), F.coalesce("parse_reason", F.lit("parse_failed")).alias("reason"), F.lit(None).cast("string").alias("target")))
     # of two references to fields none is inlined, so the map is built once
     rest = F.when(f.isNotNull(), by_source(lambda d: unused(d, f))).cast("map<string,string>")
-    own = [c for c in rows.columns if c not in ("error", "parse_reason") and not c.startswith("__r_")]
     return flat.select(
         *own, by_source(lambda d: F.lit(d.version)).alias("mapping_version"),
-        F.when(F.col("source_type") != "unknown", nested({p: derived.get(p, at(p)) for p in kinds})).alias("ocsf"),
+        F.when(F.col("source_type") != "unknown", nested({p: derived.get(p, at(p)) for p in kinds} | {"class_uid": apart(at("class_uid"))})).alias("ocsf"),
         rest.alias("unmapped"), F.coalesce(parse_error, first_error).alias("error"),
     )
 

@@ -43,6 +43,18 @@ def plan(df) -> list[str]:
         conf.unset("spark.sql.debug.maxToStringFields")
 
 
+def test_lines_are_dealt_to_several_tasks_a_core(spark):
+    lines = queries.fortigate_lines(spark, "/root/testdata/sf0.001")
+    assert lines.rdd.getNumPartitions() >= 8 * spark.sparkContext.defaultParallelism
+
+
+def test_each_field_is_looked_up_once(spark):
+    lines = queries.fortigate_lines(spark, "/root/testdata/sf0.001")
+    rows = normalize.normalized(lines, queries.only("fortigate_traffic"), F.lit("2026-11-26").cast("timestamp"))
+    text = "\n".join(plan(rows.select("ocsf", "error")))
+    assert text.count(", srcip, ") == text.count(", dstport, ") == 1
+
+
 def test_indicators_meet_distinct_values_only(spark):
     """What is looked up is worked out after values are made distinct, not for each row."""
     rows = spark.range(1000).select("id", F.concat(F.lit("10.0.0."), F.col("id") % 3).alias("src"))

@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalog.functions.net import flags, ip_key, lpm, lpm_join, masked
+from stratalog.functions.net import apart, ip_key, key_flags, let, lpm, lpm_join, masked
 from stratalog.operators.normalize import leaf_paths
 
 #: Zones, rules and techniques shipped with the library (fixed values).
@@ -52,14 +52,18 @@ RULES = (
 )
 
 
-def network_context(ip: Column, zones=ZONES) -> Column:
-    """Struct of an address's kinds, zone and criticality; null if it isn't one."""
-    key = ip_key(ip)
+def key_context(key: Column, zones=ZONES) -> Column:
+    """network_context of an address's key, a column or a bound value."""
     found = lpm(key, {c: F.struct(F.lit(z).alias("zone"), F.lit(x).alias("criticality")) for c, z, x in zones})
-    kinds = flags(key)
+    kinds = key_flags(key)
     return F.when(key.isNotNull(), F.struct(*(c.alias(n) for n, c in kinds.items()), found["zone"].alias("zone"), found["criticality"].alias("criticality")))
 
 
+def network_context(ip: Column, zones=ZONES) -> Column:
+    """Struct of an address's kinds, zone and criticality; null if it isn't one."""
+    return let(ip_key(ip), lambda key: key_context(key, zones))
+
+
 def keyed_contexts(rows: DataFrame, zones=ZONES, record: str = "ocsf") -> Column:
     """Map of the context of every address that a record holds: by path of its ip attributes, and by key of its unmapped entries."""
     paths = [p for p in leaf_paths(rows.schema[record].dataType) if p.split(".")[-1] == "ip"]
@@ -84,10 +88,15 @@ def indicator_candidates(rows: DataFrame, record: str = "ocsf") -> list[tuple[st
     return [(p, kind(p), F.col(f"{record}.{p}").cast("string")) for p in some]
 
 
+def way(a: Column, b: Column) -> Column:
+    """The direction by whether source and destination are private."""
+    return F.when(a & b, "internal").when(a & ~b, "outbound").when(~a & b, "inbound").when(~a & ~b, "transit")
+
+
 def direction(src: Column, dst: Column) -> Column:
     """outbound, inbound, internal or transit, by which end is private."""
-    a, b = flags(ip_key(src))["is_private"], flags(ip_key(dst))["is_private"]
-    return F.when(a & b, "internal").when(a & ~b, "outbound").when(~a & b, "inbound").when(~a & ~b, "transit")
+    private = lambda ip: let(ip_key(ip), lambda k: key_flags(k)["is_private"])
+    return let(F.struct(private(src).alias("a"), private(dst).alias("b")), lambda p: way(p["a"], p["b"]))
 
 
 def domain_suffixes(host: Column) -> Column:
@@ -165,10 +174,13 @@ def techniques(at, rules=RULES) -> Column:
 def enriched(rows: DataFrame, indicators: DataFrame | None = None, zones=ZONES, rules=RULES) -> DataFrame:
     """rows with enrichment, and the direction promoted into the record where it has none. All parts see the record as it was."""
     at = lambda p: F.col(f"ocsf.{p}")
-    src, dst = at("src_endpoint.ip"), at("dst_endpoint.ip")
-    way = direction(src, dst)
-    parts = [network_context(src, zones).alias("src"), network_context(dst, zones).alias("dst"), way.alias("direction"), techniques(at, rules).alias("attack")]
-    out = rows.withColumn("enrichment", F.struct(*parts))
+    # the keys and what is private are columns, as many parts refer to them
+    own = rows.columns
+    rows = rows.select("*", apart(ip_key(at("src_endpoint.ip"))).alias("__src"), ip_key(at("dst_endpoint.ip")).alias("__dst"))
+    rows = rows.select("*", key_context(F.col("__src"), zones).alias("__from"), apart(key_context(F.col("__dst"), zones)).alias("__to"))
+    a, b = F.col("__from.is_private"), F.col("__to.is_private")
+    parts = [F.col("__from").alias("src"), F.col("__to").alias("dst"), way(a, b).alias("direction"), techniques(at, rules).alias("attack")]
+    out = rows.select(*(F.col(c) for c in own), F.struct(*parts).alias("enrichment"))
     if indicators is not None:
         out = indicator_hits(out, indicator_candidates(out), indicators)
     got = F.col("enrichment.direction")

@@ -106,7 +106,7 @@ def replay(spark: SparkSession, root: str, definitions: list[Definition], now_ns
 
 def roundtrip(lines: DataFrame, definitions: list[Definition], reference: Column) -> DataFrame:
     """Shares, in percent, of lines whose bytes, parse and record come out the same twice; 100 where there is nothing to compare."""
-    first, second = (validated(normalized(lines, definitions, reference)).select("event_uid", F.sha2("raw", 256).alias("h"), "raw_hash", F.to_json("fields").alias("f"), F.to_json("ocsf").alias("o"), "error", "source_type") for _ in range(2))
+    first, second = (validated(normalized(lines, definitions, reference)).select("event_uid", F.sha2("raw", 256).alias("h"), "raw_hash", F.sha2(F.to_json("fields"), 256).alias("f"), F.sha2(F.to_json("ocsf"), 256).alias("o"), "error", "source_type") for _ in range(2))
     j = first.join(second.select("event_uid", F.col("f").alias("f2"), F.col("o").alias("o2")), "event_uid")
     share = lambda ok, of: F.coalesce(100.0 * F.sum((ok & of).cast("int")) / F.nullif(F.sum(of.cast("int")), F.lit(0)), F.lit(100.0))
     known = F.col("source_type") != "unknown"

@@ -23,8 +23,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -50,44 +50,50 @@ class BlockIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.slices = [slices(c) for c in self.vectors.T]
+        each = [slices(c) for c in self.vectors.T]
         self.words = -(-len(ids) // 64)
+        # a row for each slice, those of a component from its first on, then their complements
+        self.bits = [len(s) for s in each]
+        self.first = [0, *accumulate(self.bits)]
+        plain = np.array([bitmap for s in each for bitmap in s], np.uint64).reshape(-1, self.words)
+        self.slices = np.concatenate([plain, ~plain])
         self.all = np.packbits(np.arange(64 * self.words) < len(ids), bitorder="little").view(np.uint64)
 
     def scores(self, query: np.ndarray) -> list[np.ndarray]:
         """Slices of the inner products; the last is the sign."""
-        # weight -> bitmaps that count so much; negative parts are complemented: -x = ~x + 1
-        columns, constant = defaultdict(list), 0
-        width = 2 + int(sum(abs(int(q)) << (len(s) - 1) for q, s in zip(query, self.slices, strict=False))).bit_length()
-        for q, own in zip(query.tolist(), self.slices, strict=False):
+        # which slices count, each with its weight; negative parts are complemented: -x = ~x + 1
+        rows, weights, constant, turned = [], [], 0, len(self.slices) // 2
+        width = 2 + int(sum(abs(int(q)) << (n - 1) for q, n in zip(query, self.bits, strict=False))).bit_length()
+        for q, first, n in zip(query.tolist(), self.first, self.bits, strict=False):
             for shift, sign in _digits(int(q)):
-                top = len(own) - 1
-                for b, bitmap in enumerate(own):
-                    if (b == top) != (sign < 0):  # a negative weight: (1 - x) counts positively, less a constant
-                        columns[b + shift].append(~bitmap)
-                        constant -= 1 << (b + shift)
-                    else:
-                        columns[b + shift].append(bitmap)
+                # a negative weight: (1 - x) counts positively, less a constant
+                constant -= (1 << (n - 1) if sign > 0 else (1 << (n - 1)) - 1) << shift
+                lower, top = (0, turned) if sign > 0 else (turned, 0)
+                rows += [*range(lower + first, lower + first + n - 1), top + first + n - 1]
+                weights += range(shift, shift + n)
         constant &= (1 << width) - 1
-        ones = ~np.zeros(self.words, np.uint64)
+        order = np.argsort(np.array(weights, np.int64), kind="stable")
+        rows, weights = np.array(rows, np.int64)[order], np.array(weights, np.int64)[order]
+        edges = np.searchsorted(weights, np.arange(width + 1))
+        ones = np.full((1, self.words), ~np.uint64(0))
+        out, carried = [], []
         for b in range(width):
-            if constant >> b & 1:
-                columns[b].append(ones)
-        out = []
-        for b in range(width):
-            now, above = columns[b], columns[b + 1]
-            while len(now) > 2:  # full adders: three bitmaps give a sum and a carry
-                x, y, z = now.pop(), now.pop(), now.pop()
-                xy = x ^ y
-                now.append(xy ^ z)
-                above.append((x & y) | (xy & z))
-                if len(now) > 2:
-                    now.insert(0, now.pop())
+            now = np.concatenate([self.slices[rows[edges[b] : edges[b + 1]]], *carried, ones[: constant >> b & 1]])
+            carried = []
+            while len(now) > 2:  # full adders, all of a digit at once: three bitmaps give a sum and a carry
+                n, rest = divmod(len(now), 3)
+                x, y, z = now[:n], now[n : 2 * n], now[2 * n : 3 * n]
+                carry, either = x & y, x ^ y
+                np.bitwise_xor(either, z, out=x)
+                either &= z
+                carry |= either
+                carried.append(carry)
+                now[n : n + rest] = now[3 * n :]
+                now = now[: n + rest]
             if len(now) == 2:
-                x, y = now
-                above.append(x & y)
-                now[:] = [x ^ y]
-            out.append(now[0] if now else np.zeros(self.words, np.uint64))
+                carried.append(now[:1] & now[1:])
+                now = now[:1] ^ now[1:]
+            out.append(now[0] if len(now) else np.zeros(self.words, np.uint64))
         return out
 
     def top(self, query: np.ndarray, k: int, own: int | None = None) -> list[tuple[int, int]]:
@@ -155,10 +161,10 @@ def _score(a: list[int], b: list[int]) -> int:
     return max(-(1 << 63), min((1 << 63) - 1, sum(x * y for x, y in zip(a, b, strict=False))))
 
 
-def _matrix(lists: list, width: int) -> np.ndarray:
+def _matrix(lists: pa.ListArray, width: int) -> np.ndarray:
+    """A row for each list, filled up with zeros."""
     out = np.zeros((len(lists), width), np.int64)
-    for row, x in zip(out, lists, strict=True):
-        row[: len(x)] = x
+    out[np.arange(width) < lists.value_lengths().to_numpy()[:, None]] = lists.flatten().to_numpy()
     return out
 
 
@@ -184,36 +190,37 @@ def top_k(vectors: DataFrame, every: int = QUERY_EVERY, k: int = TOP, block_byte
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each work item first the block's rows, then its queries."""
-        now, ids, lists, far, index = None, [], [], [], None
+        now, held, far, index = None, [], [], None
         for batch in batches:
             out = []
-            for work, kind, i, q, x, times in zip(*(batch.column(c).to_pylist() for c in ("work", "kind", *row)), strict=True):
-                if work != now:
-                    now, ids, lists, far, index = work, [], [], [], None
-                if kind == 0:
-                    copies = min(times, k + 1)
-                    if x is not None:
-                        far += [(i, _exact(x))] * copies
-                    else:
-                        ids += [i] * copies
-                        lists += [q] * copies
-                else:
-                    if index is None and ids:
-                        index, ids, lists = BlockIndex(np.array(ids, np.int64), _matrix(lists, width)), [], []
-                    exact = q if x is None else _exact(x)
-                    others = [far[j] for j in range(len(far)) if j != next((m for m, y in enumerate(far) if x is not None and y == (i, exact)), None)]
-                    if x is not None and index is not None:
+            work, kind, ids, times = (batch.column(c).to_numpy() for c in ("work", "kind", "id", "times"))
+            vectors, near = _matrix(batch.column("q"), width), batch.column("x").is_null().to_numpy(zero_copy_only=False)
+            change = np.flatnonzero((work[1:] != work[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for a, b in pairwise([0, *change.tolist(), len(work)] if len(work) else []):
+                if work[a] != now:
+                    now, held, far, index = work[a], [], [], None
+                if kind[a] == 0:
+                    own = np.repeat(np.arange(a, b), np.minimum(times[a:b], k + 1))
+                    held.append((ids[own[near[own]]], vectors[own[near[own]]]))
+                    far += [(int(ids[j]), _exact(batch.column("x")[j].as_py())) for j in own[~near[own]].tolist()]
+                    continue
+                if index is None and sum(len(i) for i, _ in held):
+                    index, held = BlockIndex(np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held])), []
+                for j in range(a, b):
+                    i, exact = int(ids[j]), batch.column("q")[j].as_py() if near[j] else _exact(batch.column("x")[j].as_py())
+                    others = [far[m] for m in range(len(far)) if m != next((m for m, y in enumerate(far) if not near[j] and y == (i, exact)), None)]
+                    if not near[j] and index is not None:
                         others += zip(index.ids.tolist(), index.vectors.tolist(), strict=True)
-                    best = [(_score(exact, v), j) for j, v in others]
-                    if x is None and index is not None:
-                        best += index.top(_matrix([q], width)[0], k, i)
-                    out += [(i, hash_of(exact), times, v, s) for s, v in sorted(best, key=lambda y: (-y[0], y[1]))[:k]]
+                    best = [(_score(exact, v), m) for m, v in others]
+                    if near[j] and index is not None:
+                        best += index.top(vectors[j], k, i)
+                    out += [(i, hash_of(exact), int(times[j]), v, s) for s, v in sorted(best, key=lambda y: (-y[0], y[1]))[:k]]
             yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(5)], ["query_id", "query", "times", "vec_id", "score"])
 
     def hash_of(query: list[int]) -> int:
         return int.from_bytes(hashlib.blake2b(repr(query).encode(), digest_size=8).digest(), "little", signed=True)
 
-    dealt = indexed.union(asked).repartition(max(tasks, min(blocks * parts, 1 << 16)), "work").sortWithinPartitions("work", "kind")
+    dealt = indexed.union(asked).repartitionById(min(blocks * parts, 1 << 16), "work").sortWithinPartitions("work", "kind")
     found = dealt.mapInArrow(search, "query_id long, query long, times long, vec_id long, score long")
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,17 +63,18 @@ def validated(rows: DataFrame) -> DataFrame:
     return rows.withColumn("errors", errors).withColumn("warnings", warnings).withColumn("completeness", F.coalesce(score.otherwise(0.0), F.lit(0.0))).withColumn("valid", F.size("errors") == 0)
 
 
-def routed(rows: DataFrame, policies: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+def routed(rows: DataFrame, policies: dict[str, str] | None = None, hold: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(events, dead letters) of normalized rows. Nothing is dropped: each row is in just one of them.
 
-    policies: source type to "warn" where invalid records are kept; unknown sources pass.
+    policies: source type to "warn" where invalid records are kept; unknown sources pass. hold: keeps the checked rows, so
+    that both parts come from one evaluation.
     """
     warn = [k for k, v in (policies or {}).items() if v == "warn"]
     known = F.col("source_type") != "unknown"
     invalid = known & ~F.col("valid") & (~F.col("source_type").isin(*warn) if warn else F.lit(True))
     failed = known & F.col("error").isNotNull()
     # a filter below which no predicate is pushed: substituted into the projections beneath, it would multiply them
-    checked = validated(rows).withColumn("__barrier", F.monotonically_increasing_id())
+    checked = (hold or (lambda x: x))(validated(rows)).withColumn("__barrier", F.monotonically_increasing_id())
     held = F.col("__barrier") >= 0
     reason = F.when(failed, F.col("error.reason")).otherwise("validation_failed")
     stage = F.when(failed, F.col("error.stage")).otherwise("validate")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalog.functions.shared import cut
+from stratalog.functions.shared import cut, removed, written
 from stratalog.operators import integrity
 from stratalog.operators.definition import Definition
 from stratalog.operators.enrich import enriched
@@ -15,12 +18,28 @@ from stratalog.plans import lake
 from stratalog.plans.commits import Commits
 
 
-def process(lines: DataFrame, definitions: list[Definition], reference: Column | None = None, indicators: DataFrame | None = None, log_version: str | dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+def process(lines: DataFrame, definitions: list[Definition], reference: Column | None = None, indicators: DataFrame | None = None, log_version: str | dict[str, str] | None = None, hold: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(events, dead letters) of evidence rows (event_uid, raw, raw_hash, ingest_time_ns)."""
-    good, dead = routed(normalized(lines, definitions, reference, log_version), {d.name: d.on_failure for d in definitions})
+    good, dead = routed(normalized(lines, definitions, reference, log_version), {d.name: d.on_failure for d in definitions}, hold)
     return enriched(good, indicators), dead
 
 
+@contextmanager
+def held() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Keeps rows as tables of the shared folder for as long as it is open: what several writes need is worked out once."""
+    tables: list[DataFrame] = []
+
+    def hold(rows: DataFrame) -> DataFrame:
+        tables.append(written(rows, "held"))
+        return tables[-1]
+
+    try:
+        yield hold
+    finally:
+        for t in tables:
+            removed(t)
+
+
 def staged(commits: Commits, events: DataFrame, dead: DataFrame) -> dict[str, list[str]]:
     """Files of events and dead letters, for a commit."""
     dead = dead.withColumn("date", lake.date_of_ns(F.col("ts_ns")))
@@ -92,15 +111,19 @@ def replay(spark: SparkSession, root: str, definitions: list[Definition], now_ns
     """
     dead, done = lake.read_dead_letters(spark, f"{root}/deadletters"), lake.read_resolved(spark, f"{root}/resolved")
     open_ = cut(lake.unresolved(dead, done, reason, since_ns).groupBy("event_uid").agg(*(F.max_by(c, "ts_ns").alias(c) for c in ("raw", "raw_hash", "reason", "stage")), F.max("ts_ns").alias("ts_ns")))
-    evidence = lake.read_bronze(spark, f"{root}/bronze").select("event_uid", F.col("raw").alias("kept"), F.col("ingest_time_ns").alias("first_ns")).dropDuplicates(["event_uid"])
-    lines = open_.join(evidence, "event_uid", "left").select("event_uid", F.coalesce("kept", F.unbase64("raw")).alias("raw"), "raw_hash", F.coalesce("first_ns", "ts_ns").alias("ingest_time_ns"))
-    events, failed = process(lines, definitions, reference)
-    events, failed = cut(events), cut(failed.withColumn("ts_ns", F.lit(now_ns).cast("long")))
-    counts = {"candidates": open_.count(), "succeeded": events.count(), "still_failing": failed.count()}
-    if not dry_run:
-        commits = Commits(spark, root)
-        marks = events.select("event_uid").join(open_, "event_uid").select("event_uid", F.lit(now_ns).cast("long").alias("resolved_ts_ns"), F.col("reason").alias("original_reason"), F.col("stage").alias("original_stage"))
-        commits.commit(staged(commits, events, failed) | {"resolved": commits.stage(marks, "resolved", "json")})
+    evidence = lake.read_bronze(spark, f"{root}/bronze").select("event_uid", F.col("raw_b64").alias("kept"), F.col("ingest_time_ns").alias("first_ns"))
+    # repeated evidence is only told apart where it is open; decoding and parsing cost far more than the join's bytes tell,
+    # by which Spark would give them few tasks, so the lines are dealt anew
+    found = open_.join(evidence, "event_uid", "left").dropDuplicates(["event_uid"]).repartition(8 * spark.sparkContext.defaultParallelism)
+    lines = found.select("event_uid", F.unbase64(F.coalesce("kept", "raw")).alias("raw"), "raw_hash", F.coalesce("first_ns", "ts_ns").alias("ingest_time_ns"))
+    with held() as hold:
+        events, failed = process(lines, definitions, reference, hold=hold)
+        failed = failed.withColumn("ts_ns", F.lit(now_ns).cast("long"))
+        counts = {"candidates": open_.count(), "succeeded": events.count(), "still_failing": failed.count()}
+        if not dry_run:
+            commits = Commits(spark, root)
+            marks = events.select("event_uid").join(open_, "event_uid").select("event_uid", F.lit(now_ns).cast("long").alias("resolved_ts_ns"), F.col("reason").alias("original_reason"), F.col("stage").alias("original_stage"))
+            commits.commit(staged(commits, events, failed) | {"resolved": commits.stage(marks, "resolved", "json")})
     return counts
 
 

@@ -130,3 +130,24 @@ def test_of_two_commits_one_is_first(spark, tmp_path):
         (a if i % 2 else b).commit({"more": [f"more/{i}"]})
     assert a.version()[0] == 47 and len(b.version()[1]["more"]) == 45 and list(b.version()[1]["silver"]) == two
     assert sum(f.endswith(".snapshot") for f in os.listdir(tmp_path / "_log")) == 2
+
+
+def test_replay_parses_each_line_once(spark, root, monkeypatch):
+    """Events, dead letters and counts come from one evaluation of what is open, of repeated evidence too, dealt to all cores."""
+    rows, parts, plain = spark.sparkContext.accumulator(0), [], jobs.normalized
+
+    def counted(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    def watched(lines, *args):
+        parts.append(lines.rdd.getNumPartitions())
+        return plain(lines.mapInArrow(counted, lines.schema), *args)
+
+    commits = Commits(spark, root)
+    commits.commit({"bronze": commits.stage(jobs.lake.read_bronze(spark, f"{root}/bronze").drop("raw", "locator"), "bronze", "json", "date")})
+    monkeypatch.setattr(jobs, "normalized", watched)
+    assert jobs.replay(spark, root, HALF, 5, reference=ref()) == {"candidates": 2, "succeeded": 1, "still_failing": 1}
+    assert rows.value == 2
+    assert parts == [8 * spark.sparkContext.defaultParallelism]

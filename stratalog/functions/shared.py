@@ -1,10 +1,14 @@
-"""Files that all executors see."""
+"""Files that all executors see, and memory given back."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import suppress
 
+import pyarrow as pa
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +37,29 @@ def trimmed(spark: SparkSession) -> None:
         pass
 
 
+def released() -> None:
+    """A Python worker gives back memory that it has freed: it is kept for later stages, and its allocators would hold what its largest block took."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # a C library without that call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(f: Callable) -> Callable:
+    """f, a function of a group (key, table) or of two (key, table, other), with released() after each call."""
+
+    def one(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        out = f(key, table)
+        released()
+        return out
+
+    def two(key: tuple[pa.Scalar, ...], table: pa.Table, other: pa.Table) -> pa.Table:
+        out = f(key, table, other)
+        released()
+        return out
+
+    return one if f.__code__.co_argcount == 2 else two
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df, computed now and kept in the shared folder: later plans read it, and lost executors cost nothing."""
     shared_folder(df.sparkSession)

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalog.functions.shared import cut
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
-    """(u, v, m): m is the least of u and its neighbours v."""
-    least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return edges.join(least, "u")
+    """(u, v, m): m is the least of u and its neighbours v.
+
+    A window, not a join with the groups' minima: the rows of u meet in one task either way, and one exchange and sort do.
+    """
+    return edges.withColumn("m", F.least(F.min("v").over(Window.partitionBy("u")), F.col("u")))
+
+
+def _both(rows: DataFrame, one: tuple[str, str], other: tuple[str, str], names: tuple[str, str]) -> DataFrame:
+    """Two pairs of columns of each row as two rows, without a second pass over what gives the rows."""
+    pairs = (F.struct(F.col(a).alias(names[0]), F.col(b).alias(names[1])) for a, b in (one, other))
+    return rows.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,9 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
         if not now.n or now == state:
             break
         state = now
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = _with_least(large)
-        stars = small.select(F.col("v").alias("a"), F.col("m").alias("b")).union(small.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        # one row of large for each edge, so its repeats can stay until the end of the round
+        large = _with_least(_both(edges, ("a", "b"), ("b", "a"), ("u", "v"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        stars = _both(_with_least(large), ("v", "m"), ("u", "m"), ("a", "b"))
         edges = cut(stars.where("a <> b").distinct())
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()

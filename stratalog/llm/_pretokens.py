@@ -6,6 +6,8 @@ import os
 import re
 from array import array
 
+from stratalog.functions.shared import released
+
 #: Entries of a worker's cache, and the longest piece that is kept.
 CACHE_ENTRIES, CACHE_CHARS = 250_000, 64
 
@@ -106,6 +108,7 @@ _KEPT: dict = {}
 def kept(key, make):
     if key not in _KEPT:
         _KEPT[key] = make()
+        released()  # what reading its file took
     return _KEPT[key]
 
 

@@ -37,7 +37,7 @@ from xxhash import xxh3_128_intdigest
 
 from stratalog.llm._blocks import dealt, layout, pack_gaps, shard_edges, unpack_gaps
 from stratalog.llm._components import components
-from stratalog.functions.shared import cut
+from stratalog.functions.shared import cut, lean
 from stratalog.llm._words import ROLL_A, ROLL_B, hash_words, mix, rolling, split_words, window_starts
 
 #: Words of a shingle; a link needs PERCENT of the union.
@@ -280,7 +280,7 @@ def _labels(text: DataFrame, tiles: DataFrame, homes: DataFrame, tile: int) -> D
     """(id, component) of the sets of tiles (id, component), by exact links; homes: (id, block) of a text with each set."""
     total = tiles.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     wanted = tiles.join(total, "component").join(homes, "id").select("block", F.col("component").alias("tile"), (F.col("n") > tile + 1).cast("int").alias("large"), "id")
-    raw = cut(text.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(_fetch, SET_ROW))
+    raw = cut(text.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(lean(_fetch), SET_ROW))
     band = F.floor(F.log(F.octet_length("body") / 8) / F.log(F.lit(BAND))).cast("int")
     raw = raw.withColumn("band", F.when(F.col("large") == 1, band).otherwise(0))
     large, least = raw.where("large = 1"), F.col("id") == F.col("tile")
@@ -293,7 +293,7 @@ def _labels(text: DataFrame, tiles: DataFrame, homes: DataFrame, tile: int) -> D
     own = salted(large.where(~least), subs).select("tile", "band", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int").alias("sub"), "id", "body")
     visits = large.where(least).select("tile", around.alias("band"), "id", "body").join(subs, ["tile", "band"]).select("tile", "band", upto("subs").alias("sub"), "id", "body")
     sets = raw.where("large = 0").select("tile", "band", F.lit(0).alias("sub"), "id", "body").union(own).union(visits)
-    done = cut(sets.groupBy(*CHUNK).applyInArrow(_tile, f"tile {NODE}, band int, sub int, id {NODE}, label {NODE}"))
+    done = cut(sets.groupBy(*CHUNK).applyInArrow(lean(_tile), f"tile {NODE}, band int, sub int, id {NODE}, label {NODE}"))
     base = own.join(done, [*CHUNK, "id"])
     asks = cut(base.where("label <> tile"))
     if asks.isEmpty():
@@ -304,7 +304,7 @@ def _labels(text: DataFrame, tiles: DataFrame, homes: DataFrame, tile: int) -> D
     asking = salted(asks.select("tile", F.col("band").alias("from"), F.col("sub").alias("home"), around.alias("band"), "id", "label", "body"), targets)
     asking = asking.select("tile", "band", upto("subs").alias("sub"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "id", "label", "body", "from", "home")
     asking = asking.where((F.col("band") != F.col("from")) | (F.col("sub") != F.col("home"))).drop("from", "home")
-    links = held.union(asking).groupBy(*CHUNK, "part").applyInArrow(_cross, f"a {NODE}, b {NODE}")
+    links = held.union(asking).groupBy(*CHUNK, "part").applyInArrow(lean(_cross), f"a {NODE}, b {NODE}")
     return components(done.select(F.col("id").alias("a"), F.col("label").alias("b")).union(links))
 
 
@@ -313,10 +313,10 @@ def jaccard_groups(docs: DataFrame, tile: int = TILE) -> DataFrame:
     plan = layout(docs)
     blocks, shards, shift = plan.blocks, plan.shards, np.uint64(64 - plan.bits)
     text = dealt(docs.select("doc_id", "text", F.xxhash64("text").alias("key")), blocks, ("key",))
-    sketches = text.groupBy("block").applyInArrow(_sketch(shift, shards), SKETCH)
-    answers = sketches.repartition(shards, "shard").groupBy("shard").applyInArrow(_merge, ANSWER)
-    found = cut(text.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_find(shift, shards), FOUND))
-    met = found.where(F.col("kind") == POSTINGS).repartition(shards, "shard").groupBy("shard").applyInArrow(_meet, "a long, b long, c long, d long")
+    sketches = text.groupBy("block").applyInArrow(lean(_sketch(shift, shards)), SKETCH)
+    answers = sketches.repartition(shards, "shard").groupBy("shard").applyInArrow(lean(_merge), ANSWER)
+    found = cut(text.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lean(_find(shift, shards)), FOUND))
+    met = found.where(F.col("kind") == POSTINGS).repartition(shards, "shard").groupBy("shard").applyInArrow(lean(_meet), "a long, b long, c long, d long")
     links = _unpacked(found, LINKS, list("abcd")).drop("block").union(met)
     tiles = components(links.select(_node("a", "b", "a"), _node("c", "d", "b")))
     rows = _unpacked(found, DOCS, ["id", "n", "rep", "tag", "key"])

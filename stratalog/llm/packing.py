@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalog.llm._pretokens import id_bytes, kept, readable
-from stratalog.functions.shared import cut
+from stratalog.functions.shared import cut, released
 
 #: Tokens of a sequence, and the id that ends a document.
 CAPACITY, END_ID = 1024, 2
@@ -56,6 +56,7 @@ def token_pieces(docs: DataFrame, *encoder: str, capacity: int = CAPACITY, end_i
                     rows.append((doc, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
                     start, piece = stop, piece + 1
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        released()
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("body"))
     return text.mapInArrow(tokenize, "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalog.functions.shared import lean
 from stratalog.llm._blocks import dealt, layout, pack_gaps, shard_edges, unpack_gaps
 from stratalog.llm._words import ROLL_A, ROLL_B, hash_words, mix, rolling, split_words, window_starts
 
@@ -137,11 +138,11 @@ def _repeat_table(docs: DataFrame, span: int, removed, carried: tuple[str, ...]
                 hit, at = hit[more], at[more]
         return removed(w, np.cumsum(gone[:-1]) > 0, table)
 
-    sketches = text.groupBy("block").applyInArrow(sketch, "shard int, block int, cells binary")
-    shared = sketches.repartition(shards, "shard").groupBy("shard").applyInArrow(merge, "block int, shard int, n int, bits binary")
-    windows = text.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(repeated, "shard int, block int, hi binary, lo binary, ids binary, many binary")
-    least = windows.repartition(shards, "shard").groupBy("shard").applyInArrow(smallest, "block int, shard int, hi binary, lo binary, ids binary")
-    return text.groupBy("block").cogroup(least.groupBy("block")).applyInArrow(cut, removed.schema)
+    sketches = text.groupBy("block").applyInArrow(lean(sketch), "shard int, block int, cells binary")
+    shared = sketches.repartition(shards, "shard").groupBy("shard").applyInArrow(lean(merge), "block int, shard int, n int, bits binary")
+    windows = text.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(lean(repeated), "shard int, block int, hi binary, lo binary, ids binary, many binary")
+    least = windows.repartition(shards, "shard").groupBy("shard").applyInArrow(lean(smallest), "block int, shard int, hi binary, lo binary, ids binary")
+    return text.groupBy("block").cogroup(least.groupBy("block")).applyInArrow(lean(cut), removed.schema)
 
 
 def _report(w: _Windows, gone: np.ndarray):

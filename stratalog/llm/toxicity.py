@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalog.functions.shared import trimmed
+from stratalog.functions.shared import released, trimmed
 from stratalog.llm._pretokens import readable
 from stratalog.llm._words import ROLL_A, ROLL_B, mix
 
@@ -397,6 +397,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
         rows = sorted(x for b in batches for x in zip(*(b.column(c).to_pylist() for c in ("id", "text", "toxic")), strict=True))
         net = train([t for _, t, _ in rows], [y for _, _, y in rows])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], ["net"])
+        del rows, net
+        released()
 
     found = training_sample(docs, labels).repartition(1).mapInArrow(run, "net binary").first()
     trimmed(docs.sparkSession)
@@ -412,6 +414,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             scores = pa.array(score(batch.column("body")), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), scores], ["doc_id", "held_out", "score"])
+        del score
+        released()
 
     text = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("text").cast("binary").alias("body"))
     return text.mapInArrow(run, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
@@ -425,6 +429,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         score = _scorer(net.value)
         for batch in batches:
             yield batch.filter(pa.array(score(batch.column("text").cast(pa.binary())) < 0.5))
+        del score
+        released()
 
     return docs.mapInArrow(run, docs.schema)
 

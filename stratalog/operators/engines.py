@@ -1,7 +1,7 @@
 """Parse engines: options compile, on the driver, to a function from a text column to a map of strings.
 
-All but grok expressions that may run away stay in Catalyst expressions. A null result means that the text doesn't have
-the engine's form; why(text) then gives the reason.
+All but grok expressions that may run away, and JSON that is said to be deep, stay in Catalyst expressions. A null result
+means that the text doesn't have the engine's form; why(text) then gives the reason.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stratalog.functions.net import let
+from stratalog.operators.deep import walk
 from stratalog.operators.patience import NO_MATCH, risky, timed_match
 
 
@@ -309,20 +310,33 @@ def json_size(text: Column) -> Column:
     return F.length(text) - F.length(F.translate(text, "{[", ""))
 
 
-def flatten_json(variant: Column, text: Column, sep: str = ".") -> Column:
-    """Map of dotted paths to scalars as text; empty objects and arrays stay as they are. text: what variant was parsed from."""
+def deep_leaves(text: Column, sep: str = ".") -> Column:
+    """json_leaves of a JSON text, walked once by Python workers, so not for use in a lambda; those that they leave out are opened level by level."""
+    variant = F.try_parse_json(text)
+    found = F.transform(walk(F.when(variant.isNotNull(), text), sep), lambda e: F.struct(e["k"].alias("k"), F.try_parse_json(e["t"]).alias("v")))
+    return F.coalesce(found, json_leaves(variant, json_size(text), sep))
+
+
+def leaf_map(leaves: Column) -> Column:
+    """Map of dotted paths to scalars as text; empty objects and arrays stay as they are."""
     plain = lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.when(~F.is_variant_null(v), F.to_json(v)))
-    return let(json_leaves(variant, json_size(text), sep), lambda all_: F.when(all_.isNotNull(), last_wins(F.transform(all_, lambda e: e["k"]), F.transform(all_, lambda e: plain(e["v"])))))
+    return let(leaves, lambda all_: F.when(all_.isNotNull(), last_wins(F.transform(all_, lambda e: e["k"]), F.transform(all_, lambda e: plain(e["v"])))))
+
+
+def flatten_json(variant: Column, text: Column, sep: str = ".") -> Column:
+    """leaf_map of a variant. text: what it was parsed from."""
+    return leaf_map(json_leaves(variant, json_size(text), sep))
 
 
 @engine("json")
-def json(array_mode: str = "index", sep: str = ".") -> Engine:
-    """An object, or an array of exactly one, by dotted paths; array_mode=join puts lists of scalars into one text."""
+def json(array_mode: str = "index", sep: str = ".", deep: bool = False) -> Engine:
+    """An object, or an array of exactly one, by dotted paths; array_mode=join puts lists of scalars into one text. deep: for sources of deeply nested texts, see deep_leaves."""
 
     def run(text: Column) -> Column:
         only = F.from_json(text, "array<string>")
         root = F.when(F.ltrim(text).startswith("["), F.when(F.size(only) == 1, only[0])).otherwise(text)
-        flat = let(root, lambda r: F.when(F.ltrim(r).startswith("{"), flatten_json(F.try_parse_json(r), r, sep)))
+        whole = lambda r: F.when(F.ltrim(r).startswith("{"), r)
+        flat = leaf_map(deep_leaves(whole(root), sep)) if deep else let(root, lambda r: F.when(F.ltrim(r).startswith("{"), flatten_json(F.try_parse_json(r), r, sep)))
         return let(flat, lambda m: F.when(m.isNotNull(), _joined(m, sep))) if array_mode == "join" else flat
 
     return Engine(run, lambda text: F.when(F.try_parse_json(text).isNull(), "json_invalid").otherwise("json_not_one_object"))

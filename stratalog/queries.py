@@ -352,7 +352,7 @@ def parse_json_deep(spark, d):
     """Objects forty levels deep, flattened whole, with the types that the values had."""
     line = F.expr("""concat(repeat('{"k":', 40), '{"n":', event_id, ',"t":"', event_type, '","b":', event_id % 2 = 0, ',"list":[', event_id % 7, ',{"x":null},{"y":', event_id % 9, '},[]],"o":{}', repeat('}', 41))""")
     rows = dealt(table(spark, d, "events")).select("event_id", line.alias("text"))
-    rows = rows.select("event_id", "text", engines.json_leaves(F.try_parse_json("text"), engines.json_size(F.col("text"))).alias("leaves"), compile_engine("json")(F.col("text")).alias("m"))
+    rows = rows.select("event_id", engines.deep_leaves(F.col("text")).alias("leaves")).select("event_id", "leaves", engines.leaf_map(F.col("leaves")).alias("m"))
     path = lambda tail: F.concat(F.repeat(F.lit("k."), 40), F.lit(tail))
     kind = lambda tail: F.schema_of_variant(F.filter("leaves", lambda e: e["k"] == path(tail))[0]["v"])
     longest = F.filter("leaves", lambda e: e["k"].endswith(".n"))[0]["k"]
